@@ -71,9 +71,7 @@ def dim_plans(stg_subscriptions: DataFrame) -> DataFrame:
     pid = F.lit(0)
     for name, i in reversed(PLAN_IDS):
         pid = F.when(plan == name, i).otherwise(pid)
-    return stg_subscriptions.select(plan.alias("plan_name")).distinct().select(
-        "plan_name", pid.alias("plan_id")
-    )
+    return stg_subscriptions.select("plan").distinct().select(plan.alias("plan_name"), pid.alias("plan_id"))
 
 
 def dim_variants(stg_experiments: DataFrame) -> DataFrame:
