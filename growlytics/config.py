@@ -142,7 +142,7 @@ class Params:
             mrr_cutoff=dt.date(2001, 7, 2),
             calendar_start=dt.date(1995, 1, 1),
             calendar_end=dt.date(2001, 8, 31),
-            enrol_start=dt.date(1997, 1, 1),
+            enrol_start=dt.date(2026, 1, 1),
             power_frequency=12,
             engaged_free_frequency=8,
             search_event="click",

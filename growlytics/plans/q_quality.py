@@ -1 +1,263 @@
-"""Registered queries."""
+"""Registered queries: profiling, cleaning, data tests (B1-B11), experiment
+log preparation (B12-B16) and the billing schedule (B17)."""
+
+from pyspark.sql import functions as F
+
+from growlytics.operators import billing, experiment_log as XL, quality as Q
+from growlytics.plans.oracle import r6
+from growlytics.plans.registry import register
+
+PROFILED = ("lineitem", "orders", "customer", "events")
+
+
+def _columns(ctx, table):
+    return ctx.table(table).columns
+
+
+TABLE_COLUMNS = {
+    "lineitem": ("l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
+                 "l_returnflag l_linestatus l_shipdate"),
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "events": "event_id ts user_id event_type value props",
+}
+
+
+def _null_sql(t: str, c: str) -> str:
+    return (f"SELECT '{t}' AS dataset, '{c}' AS column, count(*) AS row_count, "
+            f"count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+            f"{r6(f'CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE {c} IS NULL) / count(*) END')} AS null_rate "
+            f"FROM {t}")
+
+
+@register("b2_null_profile", sql="\nUNION ALL\n".join(
+    _null_sql(t, c) for t in PROFILED for c in TABLE_COLUMNS[t].split()))
+def b2_null_profile(ctx):
+    out = None
+    for t in PROFILED:
+        part = Q.null_profile(ctx.table(t), t)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("b3_dedupe", sql="\nUNION ALL\n".join(
+    f"""SELECT '{name}' AS dataset, (SELECT count(*) FROM {src}) AS initial_rows,
+       (SELECT count(*) FROM (SELECT DISTINCT * FROM {src})) AS distinct_rows,
+       (SELECT count(*) FROM {src}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {src})) AS duplicate_rows"""
+    for name, src in (
+        ("lineitem", "lineitem"),
+        ("lineitem_keys", "(SELECT l_orderkey, l_linenumber FROM lineitem)"),
+        ("orders", "orders"),
+        ("events", "events"),
+    )))
+def b3_dedupe(ctx):
+    li = ctx.table("lineitem")
+    parts = [
+        Q.duplicate_stats(li, "lineitem"),
+        Q.duplicate_stats(li.select("l_orderkey", "l_linenumber"), "lineitem_keys"),
+        Q.duplicate_stats(ctx.table("orders"), "orders"),
+        Q.duplicate_stats(ctx.table("events"), "events"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("b4_clean_payments", sql="""
+SELECT DISTINCT payment_id, user_id, round(CAST(amount AS DOUBLE), 6) AS amount, strftime(payment_date, '%Y-%m-%d') AS payment_date
+FROM payments WHERE amount > 0
+""")
+def b4_clean_payments(ctx):
+    return Q.clean(ctx.binding.payments, "payments")
+
+
+@register("b5_clean_users", sql="""
+SELECT DISTINCT user_id, strftime(signup_date, '%Y-%m-%d') AS signup_date, coalesce(country, 'Unknown') AS country,
+       acquisition_channel, coalesce(plan_type, 'Free') AS plan_type
+FROM users
+""")
+def b5_clean_users(ctx):
+    return Q.clean(ctx.binding.users, "users")
+
+
+DATASETS = ("users", "sessions", "events", "subscriptions", "payments", "experiments")
+_B7_SRC = {
+    "users": "users", "sessions": "sessions",
+    "events": "(SELECT event_id, user_id, ts AS event_time, event_type FROM events)",
+    "subscriptions": "subscriptions", "payments": "payments", "experiments": "experiments",
+}
+
+
+@register("b7_quality", sql="\nUNION ALL\n".join(
+    f"""SELECT '{d}' AS dataset, i.n AS initial_row_count, f.n AS final_row_count, i.n - x.n AS duplicate_rows_removed,
+       i.n - f.n - (i.n - x.n) AS validation_failures_removed
+FROM (SELECT count(*) AS n FROM {_B7_SRC[d]}) i,
+     (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM {_B7_SRC[d]})) x,
+     (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM {_B7_SRC[d]}) {"WHERE amount > 0" if d == "payments" else ""}) f"""
+    for d in DATASETS))
+def b7_quality(ctx):
+    b = ctx.binding
+    out = None
+    for d in DATASETS:
+        part = Q.quality_report(b.raw(d), d)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("b8_unique", sql="""
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY ALL HAVING count(*) > 1
+""")
+def b8_unique(ctx):
+    return Q.unique_test(ctx.table("lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("b10_relationships", sql="""
+SELECT 'lineitem.l_orderkey' AS test, l_orderkey AS key, count(*) AS n FROM lineitem
+WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL) GROUP BY ALL
+UNION ALL
+SELECT 'lineitem.l_partkey', l_partkey, count(*) FROM lineitem
+WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey IS NOT NULL) GROUP BY ALL
+UNION ALL
+SELECT 'lineitem.l_suppkey', l_suppkey, count(*) FROM lineitem
+WHERE l_suppkey IS NOT NULL AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey IS NOT NULL) GROUP BY ALL
+UNION ALL
+SELECT 'orders.o_custkey', o_custkey, count(*) FROM orders
+WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL) GROUP BY ALL
+""")
+def b10_relationships(ctx):
+    """Orphan child keys with their row counts (empty when all resolve)."""
+    li, o = ctx.table("lineitem"), ctx.table("orders")
+    specs = [
+        ("lineitem.l_orderkey", li, "l_orderkey", o, "o_orderkey"),
+        ("lineitem.l_partkey", li, "l_partkey", ctx.table("part"), "p_partkey"),
+        ("lineitem.l_suppkey", li, "l_suppkey", ctx.table("supplier"), "s_suppkey"),
+        ("orders.o_custkey", o, "o_custkey", ctx.table("customer"), "c_custkey"),
+    ]
+    out = None
+    for name, child, key, parent, pk in specs:
+        part = (
+            Q.relationship_orphans(child.select(key), key, parent, pk)
+            .groupBy(F.col(key).alias("key"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .select(F.lit(name).alias("test"), "key", "n")
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("b11_accepted", sql="""
+SELECT 'l_returnflag' AS column, CAST(l_returnflag AS VARCHAR) AS value, count(*) AS n FROM lineitem
+WHERE l_returnflag IS NOT NULL AND l_returnflag NOT IN ('A', 'N', 'R') GROUP BY ALL
+UNION ALL
+SELECT 'o_orderstatus', CAST(o_orderstatus AS VARCHAR), count(*) FROM orders
+WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O') GROUP BY ALL
+""")
+def b11_accepted(ctx):
+    """Values outside the accepted sets; orders carry a third status 'P'
+    that the accepted list ('F', 'O') deliberately leaves out."""
+    a = Q.accepted_values_failures(ctx.table("lineitem"), "l_returnflag", ["A", "N", "R"])
+    b = Q.accepted_values_failures(ctx.table("orders"), "o_orderstatus", ["F", "O"])
+    return a.select(F.lit("l_returnflag").alias("column"), "value", "n").unionByName(
+        b.select(F.lit("o_orderstatus").alias("column"), "value", "n")
+    )
+
+
+@register("b_source_tests")
+def b_source_tests(ctx):
+    """Rows-only: the declared source tests (B8-B11) on the six datasets."""
+    b = ctx.binding
+    return Q.source_tests({d: b.raw(d) for d in DATASETS})
+
+
+LOG = """,
+consistent AS (
+  SELECT * FROM exp_log
+  WHERE ("group" = 'control' AND landing_page = 'old_page') OR ("group" = 'treatment' AND landing_page = 'new_page')
+),
+firsts AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY "timestamp", exposure_id) AS rn FROM consistent) t
+  WHERE rn = 1
+),
+mm AS (SELECT epoch_us(min("timestamp")) AS lo, epoch_us(max("timestamp")) AS hi FROM firsts),
+scaled AS (
+  SELECT f.*, CASE WHEN mm.hi - mm.lo > 0 THEN make_timestamp(CAST(round(
+           epoch_us(TIMESTAMP '2025-06-22 00:00:00') + (epoch_us(f."timestamp") - mm.lo)
+           * (CAST(epoch_us(TIMESTAMP '2026-06-22 00:00:00') - epoch_us(TIMESTAMP '2025-06-22 00:00:00') AS DOUBLE)
+              / CAST(mm.hi - mm.lo AS DOUBLE))) AS BIGINT))
+         ELSE TIMESTAMP '2025-06-22 00:00:00' END AS scaled_time
+  FROM firsts f, mm
+)
+"""
+
+
+@register("b12_consistent", extra=LOG, sql="""
+SELECT user_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", "group", landing_page, converted, exposure_id
+FROM consistent
+""")
+def b12_consistent(ctx):
+    return XL.consistent_assignments(ctx.binding.experiment_log)
+
+
+@register("b13_keep_first", extra=LOG, sql="""
+SELECT user_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", "group", landing_page, converted, exposure_id
+FROM firsts
+""")
+def b13_keep_first(ctx):
+    log = XL.consistent_assignments(ctx.binding.experiment_log)
+    return XL.keep_first(log, "user_id", ("timestamp",), "exposure_id")
+
+
+@register("b14_sample")
+def b14_sample(ctx):
+    """Rows-only: seeded sample of n users (xxhash64 order has no DuckDB twin)."""
+    log = XL.consistent_assignments(ctx.binding.experiment_log)
+    first = XL.keep_first(log, "user_id", ("timestamp",), "exposure_id")
+    return XL.seeded_sample(first, ctx.p.sample_size, "user_id", ctx.p.seed)
+
+
+@register("b15_rescale", extra=LOG, sql="""
+SELECT user_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", "group", landing_page, converted, exposure_id,
+       strftime(scaled_time, '%Y-%m-%d %H:%M:%S') AS scaled_time
+FROM scaled
+""")
+def b15_rescale(ctx):
+    return XL.prepare(ctx.binding.experiment_log, ctx.p)
+
+
+@register("b16_enrol", extra=LOG, sql="""
+SELECT 'EXP_3ARM' AS experiment_id, CASE WHEN "group" = 'control' THEN 'Control' ELSE 'Variant' END AS variant,
+       user_id, strftime(scaled_time, '%Y-%m-%d %H:%M:%S') AS assigned_date
+FROM scaled WHERE scaled_time >= TIMESTAMP '2026-01-01 00:00:00'
+""")
+def b16_enrol(ctx):
+    return XL.enrol(XL.prepare(ctx.binding.experiment_log, ctx.p), ctx.p)
+
+
+@register("b17_billing", sql=f"""
+, sched AS (
+  SELECT user_id, plan, CASE plan WHEN 'Pro' THEN 29.0 WHEN 'Enterprise' THEN 299.0 END AS price,
+         least(DATE '2001-08-02', coalesce(end_date, DATE '2001-08-02')) - start_date AS span,
+         start_date < DATE '2001-08-02' AS before_horizon
+  FROM subscriptions WHERE plan IN ('Pro', 'Enterprise')
+),
+n AS (
+  SELECT user_id, plan, price,
+         CASE WHEN span > 0 THEN CAST(ceil(span / 30.0) AS BIGINT) WHEN before_horizon THEN 1 ELSE 0 END AS n
+  FROM sched
+),
+exp AS (SELECT user_id, min(plan) AS plan, sum(n) AS expected_charges, sum(n * price) AS expected_amount
+        FROM n WHERE n > 0 GROUP BY user_id),
+got AS (SELECT user_id, count(*) AS paid_count, CAST(sum(amount) AS DOUBLE) AS paid_amount FROM fact_payments GROUP BY user_id)
+SELECT coalesce(exp.user_id, got.user_id) AS user_id, exp.plan,
+       CAST(coalesce(exp.expected_charges, 0) AS BIGINT) AS expected_charges,
+       {r6('coalesce(exp.expected_amount, 0)')} AS expected_amount,
+       coalesce(got.paid_count, 0) AS paid_count, {r6('coalesce(got.paid_amount, 0)')} AS paid_amount,
+       {r6('coalesce(got.paid_amount, 0) - coalesce(exp.expected_amount, 0)')} AS amount_gap
+FROM exp FULL OUTER JOIN got ON exp.user_id = got.user_id
+""")
+def b17_billing(ctx):
+    wh = ctx.wh
+    return billing.reconcile(wh.stg_subscriptions, wh.fact_payments, ctx.p)
