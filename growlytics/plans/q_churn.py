@@ -1 +1,118 @@
-"""Registered queries."""
+"""Registered queries: churn features, rule score, evaluation (K1, K5, K7)
+and the model path (K4, K6, K8; rows-only)."""
+
+from pyspark.sql import functions as F
+
+from growlytics.operators import churn
+from growlytics.plans.oracle import days_since, r6
+from growlytics.plans.registry import register
+
+FEATURES = f""",
+us AS (
+  SELECT user_id, count(DISTINCT session_id) AS session_count, {days_since('max(session_start)')} AS recency,
+         max(device_type) AS device_type
+  FROM fact_sessions WHERE user_id IS NOT NULL GROUP BY user_id
+),
+ue AS (
+  SELECT user_id, sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS search_count,
+         sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS pv_count, count(event_id) AS total_events
+  FROM fact_events WHERE user_id IS NOT NULL GROUP BY user_id
+),
+up AS (SELECT user_id, CAST(sum(amount) AS DOUBLE) AS total_revenue FROM fact_payments WHERE user_id IS NOT NULL GROUP BY user_id),
+feats AS (
+  SELECT c.user_id, c.plan, u.channel,
+         coalesce(us.session_count, 0) AS session_count, coalesce(us.recency, 365) AS recency,
+         coalesce(us.device_type, 'Desktop') AS device_type,
+         CAST(coalesce(ue.search_count, 0) AS BIGINT) AS search_count, CAST(coalesce(ue.pv_count, 0) AS BIGINT) AS pv_count,
+         coalesce(ue.total_events, 0) AS total_events, coalesce(up.total_revenue, 0.0) AS total_revenue,
+         CASE WHEN c.status = 'cancelled' THEN 1 ELSE 0 END AS churned
+  FROM subscriptions c JOIN dim_users u ON c.user_id = u.user_id
+  LEFT JOIN us ON c.user_id = us.user_id LEFT JOIN ue ON c.user_id = ue.user_id LEFT JOIN up ON c.user_id = up.user_id
+  WHERE c.plan IN ('Pro', 'Enterprise')
+),
+scored AS (
+  SELECT *, least(0.95, greatest(0.05, 0.15 + CASE WHEN recency > 90 THEN 0.55 WHEN recency > 30 THEN 0.25 ELSE 0 END
+                                          + CASE WHEN device_type = 'Mobile' THEN 0.15 ELSE 0 END)) AS churn_probability
+  FROM feats
+)
+"""
+
+
+@register("k1_features", extra=FEATURES, sql=f"""
+SELECT user_id, plan, channel, session_count, recency, device_type, search_count, pv_count, total_events,
+       {r6('total_revenue')} AS total_revenue, CAST(churned AS BIGINT) AS churned
+FROM feats
+""")
+def k1_features(ctx):
+    return churn.features(ctx.wh, ctx.p)
+
+
+@register("k7_rule_score", extra=FEATURES, sql=f"""
+SELECT user_id, recency, device_type, {r6('churn_probability')} AS churn_probability FROM scored
+""")
+def k7_rule_score(ctx):
+    f = churn.features(ctx.wh, ctx.p)
+    return f.select("user_id", "recency", "device_type", churn.rule_score(f).alias("churn_probability"))
+
+
+@register("k5_metrics", extra=FEATURES, sql=f"""
+, pred AS (SELECT churned AS y, CASE WHEN churn_probability >= 0.5 THEN 1 ELSE 0 END AS yhat FROM scored),
+classes AS (SELECT y AS cls FROM pred UNION SELECT yhat FROM pred),
+per AS (
+  SELECT cls, count(*) FILTER (WHERE y = cls AND yhat = cls) AS tp, count(*) FILTER (WHERE y <> cls AND yhat = cls) AS fp,
+         count(*) FILTER (WHERE y = cls AND yhat <> cls) AS fn
+  FROM classes, pred GROUP BY cls
+),
+acc AS (SELECT count(*) FILTER (WHERE y = yhat) * 1.0 / count(*) AS accuracy FROM pred),
+m AS (
+  SELECT cls, CASE WHEN tp + fp > 0 THEN tp * 1.0 / (tp + fp) ELSE 0 END AS precision,
+         CASE WHEN tp + fn > 0 THEN tp * 1.0 / (tp + fn) ELSE 0 END AS recall, tp + fn AS support
+  FROM per
+)
+SELECT CAST(cls AS BIGINT) AS class, {r6('precision')} AS precision, {r6('recall')} AS recall,
+       CAST(support AS BIGINT) AS support, {r6('accuracy')} AS accuracy,
+       {r6('CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END')} AS f1
+FROM m, acc
+""")
+def k5_metrics(ctx):
+    """K5 on the rule-score classifier (probability >= 0.5) over all paid users."""
+    f = churn.features(ctx.wh, ctx.p)
+    pred = f.select("churned", (churn.rule_score(f) >= 0.5).cast("int").alias("prediction"))
+    return churn.evaluate(pred)
+
+
+def _model(ctx):
+    feats = churn.features(ctx.wh, ctx.p)
+    train, test = churn.split(feats, ctx.p)
+    return feats, test, churn.fit(train, ctx.p)
+
+
+@register("k4_model")
+def k4_model(ctx):
+    """Rows-only: forest predictions on the held-out split."""
+    _, test, model = _model(ctx)
+    return churn.score(model, test).select("user_id", "churned", "prediction", "churn_probability")
+
+
+@register("k5_model_metrics")
+def k5_model_metrics(ctx):
+    """Rows-only: K5 on the forest's held-out predictions."""
+    _, test, model = _model(ctx)
+    return churn.evaluate(churn.score(model, test))
+
+
+@register("k6_scoring")
+def k6_scoring(ctx):
+    """Rows-only: churn probability for every paid user."""
+    feats, _, model = _model(ctx)
+    return churn.score(model, feats).select("user_id", "churn_probability")
+
+
+@register("k8_importances")
+def k8_importances(ctx):
+    """Rows-only: the forest's feature importances."""
+    _, _, model = _model(ctx)
+    return churn.importances(ctx.spark, model)
+
+
+__all__ = ["F"]
