@@ -90,7 +90,7 @@ exp_log AS (
          o_orderdate + to_seconds(CAST(o_orderkey % 86400 AS BIGINT)) AS "timestamp",
          CASE WHEN o_orderkey % 2 = 0 THEN 'control' ELSE 'treatment' END AS "group",
          CASE WHEN (o_orderkey % 2 = 0) = (o_orderkey % 11 <> 0) THEN 'old_page' ELSE 'new_page' END AS landing_page,
-         CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS converted,
+         CAST(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS BIGINT) AS converted,
          o_orderkey AS exposure_id
   FROM orders
 )

@@ -36,7 +36,7 @@ def d1_users(ctx):
 @register("d2_dates", sql="""
 , b AS (SELECT CAST(date_trunc('month', min(session_start)) AS DATE) AS d0, last_day(max(session_start)) AS d1 FROM fact_sessions),
 days AS (SELECT CAST(unnest(generate_series(d0, d1, INTERVAL 1 DAY)) AS DATE) AS d FROM b)
-SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_id, strftime(d, '%Y-%m-%d') AS date,
+SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS date_id, strftime(d, '%Y-%m-%d') AS date,
        CAST(weekofyear(d) AS BIGINT) AS week, CAST(month(d) AS BIGINT) AS month,
        CAST(quarter(d) AS BIGINT) AS quarter, CAST(year(d) AS BIGINT) AS year
 FROM days
@@ -47,7 +47,7 @@ def d2_dates(ctx):
 
 @register("d3_plans", sql="""
 SELECT DISTINCT plan AS plan_name,
-       CASE WHEN plan = 'Free' THEN 1 WHEN plan = 'Pro' THEN 2 WHEN plan = 'Enterprise' THEN 3 ELSE 0 END AS plan_id
+       CAST(CASE WHEN plan = 'Free' THEN 1 WHEN plan = 'Pro' THEN 2 WHEN plan = 'Enterprise' THEN 3 ELSE 0 END AS BIGINT) AS plan_id
 FROM subscriptions
 """)
 def d3_plans(ctx):

@@ -106,7 +106,7 @@ def b7_quality(ctx):
 
 
 @register("b8_unique", sql="""
-SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS n FROM lineitem
 WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY ALL HAVING count(*) > 1
 """)
 def b8_unique(ctx):

@@ -53,7 +53,7 @@ life2 AS (
 
 @register("j1_tenure", sql="""
 SELECT plan, status, strftime(start_date, '%Y-%m-%d') AS start_date, strftime(end_date, '%Y-%m-%d') AS end_date,
-       CASE WHEN status = 'cancelled' THEN 1 ELSE 0 END AS churned,
+       CAST(CASE WHEN status = 'cancelled' THEN 1 ELSE 0 END AS BIGINT) AS churned,
        CAST(CASE WHEN status = 'cancelled' THEN end_date - start_date ELSE DATE '2001-08-02' - start_date END AS BIGINT) AS tenure_days
 FROM subscriptions WHERE plan IN ('Pro', 'Enterprise')
 """)
