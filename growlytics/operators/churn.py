@@ -14,6 +14,7 @@ distributed by Spark ML; nothing is collected except model metadata.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
@@ -85,7 +86,21 @@ def _indexers() -> list[StringIndexer]:
 
 
 def fit(train: DataFrame, p: Params, label: str = "churned") -> PipelineModel | None:
-    """K2 + K4: fit encoders and the forest; None under the row minimum."""
+    """K2 + K4: fit encoders and the forest; None under the row minimum.
+
+    The training rows are persisted (memory, spilling to disk) for the
+    duration of the fit: the indexers, the split search and the tree
+    levels each pass over them, and without it every pass would recompute
+    the feature joins.  A lost executor's blocks are recomputed from
+    lineage."""
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit(train, p, label)
+    finally:
+        train.unpersist()
+
+
+def _fit(train: DataFrame, p: Params, label: str) -> PipelineModel | None:
     if train.limit(p.min_training_rows).count() < p.min_training_rows:
         return None
     enc = Pipeline(stages=_indexers()).fit(train)
@@ -141,15 +156,22 @@ def evaluate(pred: DataFrame, label: str = "churned", prediction: str = "predict
     tot = conf.agg(
         F.sum("n").alias("total"), F.sum(F.when(F.col("y") == F.col("yhat"), F.col("n")).otherwise(0)).alias("correct")
     )
-    classes = conf.select(F.col("y").alias("cls")).union(conf.select(F.col("yhat").alias("cls"))).distinct()
-    per = classes.join(conf, (F.col("cls") == F.col("y")) | (F.col("cls") == F.col("yhat")), "left").groupBy("cls").agg(
-        F.sum(F.when((F.col("y") == F.col("cls")) & (F.col("yhat") == F.col("cls")), F.col("n")).otherwise(0)).alias("tp"),
-        F.sum(F.when((F.col("y") != F.col("cls")) & (F.col("yhat") == F.col("cls")), F.col("n")).otherwise(0)).alias("fp"),
-        F.sum(F.when((F.col("y") == F.col("cls")) & (F.col("yhat") != F.col("cls")), F.col("n")).otherwise(0)).alias("fn"),
+    # each confusion cell credits its true class (tp or fn) and, when wrong,
+    # its predicted class (fp): an explode + aggregate, no join
+    hit = F.col("y") == F.col("yhat")
+    n = F.col("n")
+    credits = F.array(
+        F.struct(F.col("y").alias("cls"), F.when(hit, n).otherwise(0).alias("tp"),
+                 F.lit(0).cast("bigint").alias("fp"), F.when(hit, 0).otherwise(n).alias("fn")),
+        F.struct(F.col("yhat").alias("cls"), F.lit(0).cast("bigint").alias("tp"),
+                 F.when(hit, 0).otherwise(n).alias("fp"), F.lit(0).cast("bigint").alias("fn")),
+    )
+    per = conf.select(F.explode(credits).alias("c")).groupBy("c.cls").agg(
+        F.sum("c.tp").alias("tp"), F.sum("c.fp").alias("fp"), F.sum("c.fn").alias("fn")
     )
     precision = F.coalesce(F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")), F.lit(0.0))
     recall = F.coalesce(F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")), F.lit(0.0))
-    out = per.crossJoin(tot).select(
+    out = per.crossJoin(F.broadcast(tot)).select(
         F.col("cls").cast("bigint").alias("class"),
         precision.alias("precision"),
         recall.alias("recall"),

@@ -261,3 +261,28 @@ FROM exp FULL OUTER JOIN got ON exp.user_id = got.user_id
 def b17_billing(ctx):
     wh = ctx.wh
     return billing.reconcile(wh.stg_subscriptions, wh.fact_payments, ctx.p)
+
+
+NOT_NULL = (
+    ("users", ("user_id",)),
+    ("sessions", ("session_id", "user_id")),
+    ("events", ("event_id",)),
+    ("subscriptions", ("subscription_id", "status", "plan")),
+    ("payments", ("payment_id",)),
+    ("experiments", ("user_id",)),
+)
+_NN_SRC = dict(_B7_SRC)
+
+
+@register("b9_not_null", sql="\nUNION ALL\n".join(
+    f"SELECT '{d}' AS dataset, 'not_null' AS test, '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS failures "
+    f"FROM {_NN_SRC[d]}"
+    for d, cols in NOT_NULL for c in cols))
+def b9_not_null(ctx):
+    """B9 on the declared columns of the six datasets (failing rows)."""
+    b = ctx.binding
+    out = None
+    for d, cols in NOT_NULL:
+        part = Q.not_null_failures(b.raw(d), d, list(cols))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -72,11 +72,20 @@ class Binding:
 
     @cached_property
     def customer_orders(self) -> DataFrame:
-        """Per customer: first order time and the last order (date, key, status)."""
+        """Per customer: first order time, last order time and whether the
+        last order (latest date, then highest key) has status 'F'.
+
+        The last order is found with ``max_by`` over a single bigint
+        ordering key (epoch day * 2^40 + order key; order keys stay below
+        2^40 ~ 1.1e12) so every aggregation buffer is fixed-width and the
+        aggregate runs as a hash aggregate with map-side combine."""
         o = self.table("orders")
+        day = F.datediff(F.col("o_orderdate"), F.lit("1970-01-01")).cast("bigint")
+        order_key = day * F.lit(1 << 40) + F.col("o_orderkey")
         return o.groupBy(F.col("o_custkey").alias("user_id")).agg(
             F.min("o_orderdate").alias("first_ts"),
-            F.max(F.struct("o_orderdate", "o_orderkey", "o_orderstatus")).alias("last_order"),
+            F.max("o_orderdate").alias("last_ts"),
+            F.max_by((F.col("o_orderstatus") == "F").cast("int"), order_key).alias("last_is_f"),
         )
 
     @cached_property
@@ -122,14 +131,14 @@ class Binding:
 
     @cached_property
     def subscriptions(self) -> DataFrame:
-        last = self.customer_orders.select("user_id", "last_order")
-        cancelled = F.col("last_order.o_orderstatus") == "F"
+        last = self.customer_orders.select("user_id", "last_ts", "last_is_f")
+        cancelled = F.col("last_is_f") == 1
         return self.users.join(last, "user_id").select(
             F.col("user_id").alias("subscription_id"),
             F.col("user_id"),
             F.col("plan_type").alias("plan"),
             F.col("signup_date").alias("start_date"),
-            F.when(cancelled, F.to_date("last_order.o_orderdate")).alias("end_date"),
+            F.when(cancelled, F.to_date("last_ts")).alias("end_date"),
             F.when(cancelled, "cancelled").otherwise("active").alias("status"),
         )
 
