@@ -67,15 +67,26 @@ def features(wh, p: Params) -> DataFrame:
     )
 
 
-def split(feats: DataFrame, p: Params, label: str = "churned") -> tuple[DataFrame, DataFrame]:
+def split(feats: DataFrame, p: Params, label: str = "churned", tight: bool = False) -> tuple[DataFrame, DataFrame]:
     """K3: deterministic ~80/20 split by a seeded hash of the user id.
 
     The hash is independent of the label, so each class is split in the
     same proportion (stratified in expectation) without a shuffle or a
-    per-class window."""
-    cut = int(round(p.test_fraction * 10_000))
-    bucket = F.pmod(F.xxhash64(F.col("user_id"), F.lit(p.seed)), F.lit(10_000))
-    return feats.where(bucket >= cut), feats.where(bucket < cut)
+    per-class window.  ``tight=True`` makes the per-class proportion exact
+    up to the sketch's accuracy: each class gets its own cut at the
+    ``test_fraction`` quantile of the hash (``percentile_approx`` per class,
+    a one-row-per-class aggregate joined back by broadcast)."""
+    h = F.xxhash64(F.col("user_id"), F.lit(p.seed))
+    if not tight:
+        cut = int(round(p.test_fraction * 10_000))
+        bucket = F.pmod(h, F.lit(10_000))
+        return feats.where(bucket >= cut), feats.where(bucket < cut)
+    hashed = feats.withColumn("_h", h)
+    cuts = hashed.groupBy(label).agg(F.percentile_approx("_h", p.test_fraction, 10_000).alias("_cut"))
+    j = hashed.join(F.broadcast(cuts), label)
+    test = j.where(F.col("_h") < F.col("_cut")).drop("_h", "_cut")
+    train = j.where(F.col("_h") >= F.col("_cut")).drop("_h", "_cut")
+    return train, test
 
 
 def _indexers() -> list[StringIndexer]:

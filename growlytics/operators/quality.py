@@ -122,6 +122,17 @@ def relationship_orphans(child: DataFrame, key: str, parent: DataFrame, parent_k
     return child.where(F.col(key).isNotNull()).join(pk, F.col(key) == F.col("_pk"), "left_anti")
 
 
+def orphan_key_counts(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """B10 as a report: orphan child keys with their row counts.
+
+    Child keys are counted per key first (partial aggregation), so the anti
+    join sees one row per distinct key: a key holding a third of all child
+    rows costs one row, not a third of the table in one join task."""
+    keys = child.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    pk = parent.select(F.col(parent_key).alias("_pk")).where(F.col("_pk").isNotNull())
+    return keys.join(pk, F.col("key") == F.col("_pk"), "left_anti")
+
+
 def accepted_values_failures(df: DataFrame, column: str, values: list) -> DataFrame:
     """Values outside the accepted set (NULL is checked by not_null),
     grouped with their row counts."""

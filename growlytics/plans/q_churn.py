@@ -1,11 +1,17 @@
 """Registered queries: churn features, rule score, evaluation (K1, K5, K7)
 and the model path (K4, K6, K8; rows-only)."""
 
+import hashlib
+import os
+
 from pyspark.sql import functions as F
 
 from growlytics.operators import churn
 from growlytics.plans.oracle import days_since, r6
 from growlytics.plans.registry import register
+from growlytics.session import ensure_checkpoint_dir
+
+_LOADED: dict = {}
 
 FEATURES = f""",
 us AS (
@@ -82,9 +88,30 @@ def k5_metrics(ctx):
 
 
 def _model(ctx):
+    """Train once, then reuse: the fitted pipeline is saved under the shared
+    folder (A7) keyed by the input directory, and later calls load it, the
+    way the reference trains once and loads its pickles for prediction."""
     feats = churn.features(ctx.wh, ctx.p)
     train, test = churn.split(feats, ctx.p)
-    return feats, test, churn.fit(train, ctx.p)
+    key = hashlib.sha1(os.path.abspath(ctx.sf_dir).encode()).hexdigest()[:12]
+    path = f"{ensure_checkpoint_dir(ctx.spark).rstrip('/')}/models/churn-{key}"
+    marker = f"{path}/metadata"
+    if path in _LOADED:
+        model = _LOADED[path]
+    elif _exists(ctx.spark, marker):
+        model = churn.load(path)
+    else:
+        model = churn.fit(train, ctx.p)
+        if model is not None:
+            churn.save(model, path)
+    _LOADED[path] = model
+    return feats, test, model
+
+
+def _exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 @register("k4_model")

@@ -137,12 +137,7 @@ def b10_relationships(ctx):
     ]
     out = None
     for name, child, key, parent, pk in specs:
-        part = (
-            Q.relationship_orphans(child.select(key), key, parent, pk)
-            .groupBy(F.col(key).alias("key"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select(F.lit(name).alias("test"), "key", "n")
-        )
+        part = Q.orphan_key_counts(child, key, parent, pk).select(F.lit(name).alias("test"), "key", "n")
         out = part if out is None else out.unionByName(part)
     return out
 

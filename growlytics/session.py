@@ -40,6 +40,32 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+# Settings for a large cluster (100 TB class inputs).  AQE sizes the shuffle
+# partitions at run time from the statistics of the map stage, so the initial
+# number only has to be large enough for the biggest shuffle; skewed join
+# partitions are split; broadcasts stay under a checked size.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Set the runtime-modifiable SQL settings above on an existing session
+    (cluster-level settings such as memory come from the deployment)."""
+    for k, v in {**CLUSTER_CONF, **(overrides or {})}.items():
+        spark.conf.set(k, v)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one if unset."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)

@@ -98,3 +98,12 @@ def test_stream_intake_exactly_once(spark):
     assert out.count() == 3
     # old event times are accepted (watermark is on arrival time)
     assert out.where("event_id = 'EVT_2'").first()["date_id"] == 20200101
+
+
+def test_tight_split_keeps_class_proportions(spark, planted):
+    train, test = churn.split(planted, P, tight=True)
+    by = {r["churned"]: r["count"] for r in test.groupBy("churned").count().collect()}
+    tot = {r["churned"]: r["count"] for r in planted.groupBy("churned").count().collect()}
+    for k in tot:
+        assert abs(by[k] / tot[k] - 0.2) < 0.02
+    assert train.count() + test.count() == planted.count()
