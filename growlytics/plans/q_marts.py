@@ -14,7 +14,7 @@ SELECT session_id, user_id, strftime(session_start, '%Y-%m-%d %H:%M:%S') AS sess
 FROM sessions
 """)
 def c2_sessions(ctx):
-    return ctx.wh.stg_sessions
+    return ctx.wh_lazy.stg_sessions
 
 
 @register("c4_subscriptions", sql="""

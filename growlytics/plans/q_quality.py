@@ -69,7 +69,7 @@ SELECT DISTINCT payment_id, user_id, round(CAST(amount AS DOUBLE), 6) AS amount,
 FROM payments WHERE amount > 0
 """)
 def b4_clean_payments(ctx):
-    return Q.clean(ctx.binding.payments, "payments")
+    return Q.clean(ctx.raw("payments"), "payments")
 
 
 @register("b5_clean_users", sql="""
@@ -78,7 +78,7 @@ SELECT DISTINCT user_id, strftime(signup_date, '%Y-%m-%d') AS signup_date, coale
 FROM users
 """)
 def b5_clean_users(ctx):
-    return Q.clean(ctx.binding.users, "users")
+    return Q.clean(ctx.raw("users"), "users")
 
 
 DATASETS = ("users", "sessions", "events", "subscriptions", "payments", "experiments")
@@ -97,10 +97,9 @@ FROM (SELECT count(*) AS n FROM {_B7_SRC[d]}) i,
      (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM {_B7_SRC[d]}) {"WHERE amount > 0" if d == "payments" else ""}) f"""
     for d in DATASETS))
 def b7_quality(ctx):
-    b = ctx.binding
     out = None
     for d in DATASETS:
-        part = Q.quality_report(b.raw(d), d)
+        part = Q.quality_report(ctx.raw(d), d)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -162,8 +161,7 @@ def b11_accepted(ctx):
 @register("b_source_tests")
 def b_source_tests(ctx):
     """Rows-only: the declared source tests (B8-B11) on the six datasets."""
-    b = ctx.binding
-    return Q.source_tests({d: b.raw(d) for d in DATASETS})
+    return Q.source_tests({d: ctx.raw(d) for d in DATASETS})
 
 
 LOG = """,
@@ -193,7 +191,7 @@ SELECT user_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", "grou
 FROM consistent
 """)
 def b12_consistent(ctx):
-    return XL.consistent_assignments(ctx.binding.experiment_log)
+    return XL.consistent_assignments(ctx.raw("experiment_log"))
 
 
 @register("b13_keep_first", extra=LOG, sql="""
@@ -201,14 +199,14 @@ SELECT user_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", "grou
 FROM firsts
 """)
 def b13_keep_first(ctx):
-    log = XL.consistent_assignments(ctx.binding.experiment_log)
+    log = XL.consistent_assignments(ctx.raw("experiment_log"))
     return XL.keep_first(log, "user_id", ("timestamp",), "exposure_id")
 
 
 @register("b14_sample")
 def b14_sample(ctx):
     """Rows-only: seeded sample of n users (xxhash64 order has no DuckDB twin)."""
-    log = XL.consistent_assignments(ctx.binding.experiment_log)
+    log = XL.consistent_assignments(ctx.raw("experiment_log"))
     first = XL.keep_first(log, "user_id", ("timestamp",), "exposure_id")
     return XL.seeded_sample(first, ctx.p.sample_size, "user_id", ctx.p.seed)
 
@@ -219,7 +217,7 @@ SELECT user_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", "grou
 FROM scaled
 """)
 def b15_rescale(ctx):
-    return XL.prepare(ctx.binding.experiment_log, ctx.p)
+    return XL.prepare(ctx.raw("experiment_log"), ctx.p)
 
 
 @register("b16_enrol", extra=LOG, sql="""
@@ -228,7 +226,7 @@ SELECT 'EXP_3ARM' AS experiment_id, CASE WHEN "group" = 'control' THEN 'Control'
 FROM scaled WHERE scaled_time >= TIMESTAMP '2026-01-01 00:00:00'
 """)
 def b16_enrol(ctx):
-    return XL.enrol(XL.prepare(ctx.binding.experiment_log, ctx.p), ctx.p)
+    return XL.enrol(XL.prepare(ctx.raw("experiment_log"), ctx.p), ctx.p)
 
 
 @register("b17_billing", sql=f"""
@@ -275,9 +273,8 @@ _NN_SRC = dict(_B7_SRC)
     for d, cols in NOT_NULL for c in cols))
 def b9_not_null(ctx):
     """B9 on the declared columns of the six datasets (failing rows)."""
-    b = ctx.binding
     out = None
     for d, cols in NOT_NULL:
-        part = Q.not_null_failures(b.raw(d), d, list(cols))
+        part = Q.not_null_failures(ctx.raw(d), d, list(cols))
         out = part if out is None else out.unionByName(part)
     return out

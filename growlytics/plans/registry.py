@@ -16,7 +16,22 @@ from growlytics.config import Params
 from growlytics.plans.edge import edge
 from growlytics.plans.oracle import BINDING
 from growlytics.sources.binding import Binding, bind
-from growlytics.sources.warehouse import Warehouse
+from growlytics.session import ensure_checkpoint_dir
+from growlytics.sources.warehouse import Warehouse, materialized_binding
+
+
+@lru_cache(maxsize=1)
+def _code_version() -> str:
+    """Hash of the code that defines the marts (binding, staging, marts)."""
+    import hashlib
+    import os
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for rel in ("sources/binding.py", "sources/warehouse.py", "operators/staging.py", "operators/marts.py"):
+        with open(os.path.join(root, rel), "rb") as fh:
+            h.update(fh.read())
+    return h.hexdigest()[:12]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -53,8 +68,23 @@ class Ctx:
     def binding(self) -> Binding:
         return bind(self.spark, self.sf_dir)
 
+    @property
+    def landed(self):
+        return materialized_binding(self.spark, self.sf_dir, ensure_checkpoint_dir(self.spark), _code_version())
+
     @property
     def wh(self) -> Warehouse:
+        """The star schema, built once per input folder by the ETL step
+        (bucketed by user_id under the shared folder) and read as tables."""
+        return self.landed.wh
+
+    def raw(self, dataset: str) -> DataFrame:
+        """A landing table (raw dataset) written by the ETL step."""
+        return self.landed.raw[dataset]
+
+    @property
+    def wh_lazy(self) -> Warehouse:
+        """The same star schema as one lazy plan over the raw tables."""
         return Warehouse.from_binding(self.spark, self.sf_dir)
 
     def table(self, name: str) -> DataFrame:
