@@ -102,6 +102,10 @@ def write_warehouse(wh: Warehouse, prefix: str = "", buckets: int = 0) -> None:
     save(wh.dim_variants, "dim_variants")
 
 
+import threading
+
+_ETL_LOCK = threading.Lock()
+
 MART_TABLES = ("dim_users", "fact_sessions", "fact_events", "fact_payments", "stg_subscriptions", "dim_variants")
 # One row per user (per experiment): bucketing these on user_id is skew-free.
 # Facts are not bucketed: a user holding a third of all events would make
@@ -213,6 +217,11 @@ def materialized_binding(spark: SparkSession, sf_dir: str, base: str, version: s
 
     key = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{version}|{buckets}".encode()).hexdigest()[:12]
     cache_key = (spark.sparkContext.applicationId, key)
+    with _ETL_LOCK:
+        return _landed(spark, sf_dir, base, key, cache_key, buckets, bind)
+
+
+def _landed(spark, sf_dir, base, key, cache_key, buckets, bind) -> Landed:
     if cache_key not in _REGISTERED or not spark.catalog.databaseExists(f"gw_{key}"):
         root = f"{base.rstrip('/')}/warehouse/{key}"
         b = bind(spark, sf_dir)
