@@ -161,3 +161,107 @@ def _chi2_sf(x: Column, df: Column) -> Column:
         .when(df % 2 == 0, even)
         .otherwise(odd)
     )
+
+
+# ---------------------------------------------------------------------------
+# The same functions as SQL expression text.  Building a Column tree from
+# Python costs one JVM round trip per node; a SQL string is parsed in one
+# call, which matters for these deep expressions (series, continued
+# fraction, Halley step).  Arguments are SQL expressions over input columns.
+# ---------------------------------------------------------------------------
+
+_ids = __import__("itertools").count()
+
+
+def _name(prefix: str) -> str:
+    return f"{prefix}_{next(_ids)}"
+
+
+def _d(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def let_sql(value: str, body) -> str:
+    v = _name("v")
+    return f"transform(array({value}), {v} -> {body(v)})[0]"
+
+
+def erfc_sql(x: str, terms: int = 80, depth: int = 60) -> str:
+    def tail(a: str) -> str:
+        st, n, acc, k = _name("st"), _name("n"), _name("acc"), _name("k")
+        step = f"{st}.t * 2D * {a} * {a} / (2 * {n} + 1)"
+        series = (
+            f"{_d(2.0 / SQRT_PI)} * exp(-{a} * {a}) * aggregate(sequence(1, {terms}), "
+            f"named_struct('t', {a}, 's', {a}), ({st}, {n}) -> named_struct('t', {step}, 's', {st}.s + {step})).s"
+        )
+        cf = (
+            f"exp(-{a} * {a}) / ({_d(SQRT_PI)} * aggregate(sequence({depth}, 1, -1), {a}, "
+            f"({acc}, {k}) -> {a} + ({k} / 2D) / {acc}))"
+        )
+        return f"CASE WHEN {a} < 2.5D THEN 1D - {series} ELSE {cf} END"
+
+    def body(xv: str) -> str:
+        return let_sql(
+            let_sql(f"abs({xv})", tail),
+            lambda pv: f"CASE WHEN {xv} IS NULL THEN NULL WHEN {xv} < 0 THEN 2D - {pv} ELSE {pv} END",
+        )
+
+    return let_sql(f"CAST({x} AS DOUBLE)", body)
+
+
+def norm_two_sided_p_sql(z: str) -> str:
+    return erfc_sql(f"abs({z}) / {_d(SQRT2)}")
+
+
+def _poly_sql(coefs, x: str) -> str:
+    acc = _d(coefs[0])
+    for c in coefs[1:]:
+        acc = f"({acc} * {x} + {_d(c)})"
+    return acc
+
+
+def norm_ppf_sql(p: str) -> str:
+    def body(pv: str) -> str:
+        def refine(lo: str) -> str:
+            def guess(q: str) -> str:
+                return f"{_poly_sql(_C, q)} / ({_poly_sql(_D, q)} * {q} + 1D)"
+
+            def central(r0: str) -> str:
+                return let_sql(f"{r0} * {r0}", lambda r: f"{_poly_sql(_A, r)} * {r0} / ({_poly_sql(_B, r)} * {r} + 1D)")
+
+            x0 = (
+                f"CASE WHEN {lo} < {_d(_P_LOW)} THEN {let_sql(f'sqrt(-2D * ln({lo}))', guess)} "
+                f"ELSE {let_sql(f'{lo} - 0.5D', central)} END"
+            )
+
+            def halley(x: str) -> str:
+                e = f"(0.5D * {erfc_sql(f'-{x} / {_d(SQRT2)}')} - {lo})"
+                return let_sql(f"{e} * {_d(SQRT_2PI)} * exp({x} * {x} / 2D)", lambda u: f"{x} - {u} / (1D + {x} * {u} / 2D)")
+
+            return let_sql(x0, halley)
+
+        x1 = let_sql(f"least({pv}, 1D - {pv})", refine)
+        return f"CASE WHEN {pv} IS NULL OR {pv} <= 0 OR {pv} >= 1 THEN NULL WHEN {pv} > 0.5D THEN -{x1} ELSE {x1} END"
+
+    return let_sql(f"CAST({p} AS DOUBLE)", body)
+
+
+def chi2_sf_sql(x: str, df: str) -> str:
+    def body(xv: str, dv: str) -> str:
+        h = f"({xv} / 2D)"
+        half = f"CAST({dv} / 2 AS INT)"
+
+        def terms(first: str, n: str, step) -> str:
+            st, j = _name("st"), _name("j")
+            nxt = f"CASE WHEN {j} = 1 THEN {first} ELSE {st}.t * {h} / {step(j)} END"
+            seq = f"CASE WHEN {n} >= 1 THEN sequence(1, {n}) ELSE CAST(array() AS ARRAY<INT>) END"
+            return (f"aggregate({seq}, named_struct('t', 0D, 's', 0D), "
+                    f"({st}, {j}) -> named_struct('t', {nxt}, 's', {st}.s + {nxt})).s")
+
+        even = f"exp(-{h}) * (1D + {terms(h, f'{half} - 1', lambda j: j)})"
+        odd = (f"{erfc_sql(f'sqrt({h})')} + exp(-{h}) * "
+               f"{terms(f'2D * sqrt({h} / {_d(math.pi)})', half, lambda j: f'({j} - 0.5D)')}")
+        return (f"CASE WHEN {xv} IS NULL OR {dv} IS NULL THEN NULL WHEN {dv} <= 0 THEN 1D WHEN {xv} <= 0 THEN 1D "
+                f"WHEN {dv} % 2 = 0 THEN {even} ELSE {odd} END")
+
+    return let_sql(f"CAST({x} AS DOUBLE)", lambda xv: let_sql(f"CAST({df} AS INT)", lambda dv: body(xv, dv)))

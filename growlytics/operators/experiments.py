@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from growlytics.config import Params
-from growlytics.functions.stats import chi2_sf, let, norm_ppf, norm_two_sided_p
+from growlytics.functions.stats import chi2_sf_sql, norm_ppf_sql, norm_two_sided_p_sql
 
 
 def arms(dim_variants: DataFrame, stg_subscriptions: DataFrame, p: Params,
@@ -70,53 +70,58 @@ def _pairs(arm_table: DataFrame, keys: list[str], p: Params) -> DataFrame:
     )
 
 
-def _z_stats(cc: Column, cn: Column, vc: Column, vn: Column, z_crit: Column, n: Column, alpha: float):
-    """Rates, lift %, pooled z, two-sided p (x n, capped at 1), CI at z_crit."""
-    pc = cc / cn
-    pv = vc / vn
-    lift = F.when(pc > 0, (pv - pc) / pc * 100).otherwise(0.0)
-    pool = (cc + vc) / (cn + vn)
-    se_pool = F.sqrt(pool * (1 - pool) * (1 / cn + 1 / vn))
-    z = F.when((pool == 0) | (pool == 1), 0.0).otherwise((pv - pc) / se_pool)
-    pval = F.when((pool == 0) | (pool == 1), 1.0).otherwise(let(z, norm_two_sided_p))
-    pval = F.least(F.lit(1.0), pval * n)
-    se_diff = F.sqrt(pc * (1 - pc) / cn + pv * (1 - pv) / vn)
-    return pc, pv, lift, z, pval, (pv - pc) - z_crit * se_diff, (pv - pc) + z_crit * se_diff, pval < alpha
-
-
-def _valid(cc: Column, cn: Column, vc: Column, vn: Column) -> Column:
-    return (cc >= 0) & (cc <= cn) & (vc >= 0) & (vc <= vn)
+def _z_columns(t: DataFrame, keys: list[str], z_crit: str, n: str) -> DataFrame:
+    """Rates, pooled z, nominal two-sided p and the CI half-width, staged
+    as SQL expressions (each step refers to the previous step's columns,
+    so no sub-expression is copied).  Divisions are guarded: ANSI mode
+    raises on division by zero."""
+    ks = [f"`{k}`" for k in keys]
+    t = t.selectExpr(
+        *ks, "variant", "cc", "cn", "vc", "vn", "n_variants",
+        "cc >= 0 AND cc <= cn AND vc >= 0 AND vc <= vn AS ok",
+        "CASE WHEN cn > 0 THEN cc / cn END AS pc",
+        "CASE WHEN vn > 0 THEN vc / vn END AS pv",
+        "CASE WHEN cn + vn > 0 THEN (cc + vc) / (cn + vn) END AS pool",
+        f"{z_crit} AS z_critical",
+        f"{n} AS n_comp",
+    )
+    flat = "(cn = 0 OR vn = 0 OR pool = 0 OR pool = 1)"
+    t = t.selectExpr(
+        "*",
+        f"CASE WHEN {flat} THEN 0D ELSE (pv - pc) / sqrt(pool * (1 - pool) * (1 / cn + 1 / vn)) END AS zs",
+        "CASE WHEN cn > 0 AND vn > 0 THEN sqrt(pc * (1 - pc) / cn + pv * (1 - pv) / vn) END AS se",
+        "CASE WHEN cn > 0 AND vn > 0 THEN CASE WHEN pc > 0 THEN (pv - pc) / pc * 100 ELSE 0D END END AS lift",
+    )
+    return t.selectExpr(
+        "*", f"least(1D, CASE WHEN {flat} THEN 1D ELSE {norm_two_sided_p_sql('zs')} END * n_comp) AS pval"
+    )
 
 
 def ztest(arm_table: DataFrame, p: Params, keys: list[str] | None = None) -> DataFrame:
     """Two-proportion z-test of every variant against the control with the
     fixed critical z of the single comparison (1.96, no correction)."""
     keys = keys or ["experiment_id"]
-    t = _pairs(arm_table, keys, p)
-    cc, cn, vc, vn = F.col("cc"), F.col("cn"), F.col("vc"), F.col("vn")
-    pc, pv, lift, z, pval, lo, hi, sig = _z_stats(cc, cn, vc, vn, F.lit(p.single_z), F.lit(1), p.alpha)
-    ok = _valid(cc, cn, vc, vn)
-    no_ctrl, no_var = cn == 0, vn == 0
+    t = _z_columns(_pairs(arm_table, keys, p), keys, f"{float(p.single_z)!r}D", "1")
 
-    def pick(v: Column, ctrl0, var0) -> Column:
-        return F.when(no_ctrl, ctrl0).when(no_var, var0).when(ok, v)
+    def pick(v: str, ctrl0: str, var0: str) -> str:
+        return f"CASE WHEN cn = 0 THEN {ctrl0} WHEN vn = 0 THEN {var0} WHEN ok THEN {v} END"
 
-    return t.select(
-        *keys,
+    return t.selectExpr(
+        *[f"`{k}`" for k in keys],
         "variant",
-        cn.cast("bigint").alias("control_size"),
-        cc.cast("bigint").alias("control_conversions"),
-        vn.cast("bigint").alias("variant_size"),
-        vc.cast("bigint").alias("variant_conversions"),
-        pick(pc, F.lit(0.0), pc).alias("control_rate"),
-        pick(pv, F.lit(0.0), F.lit(0.0)).alias("variant_rate"),
-        pick(lift, F.lit(0.0), F.lit(0.0)).alias("lift_pct"),
-        pick(z, F.lit(0.0), F.lit(0.0)).alias("z_score"),
-        pick(pval, F.lit(1.0), F.lit(1.0)).alias("p_value"),
-        pick(lo, F.lit(0.0), F.lit(0.0)).alias("ci_lower"),
-        pick(hi, F.lit(0.0), F.lit(0.0)).alias("ci_upper"),
-        pick(sig, F.lit(False), F.lit(False)).alias("significant"),
-        (no_ctrl | no_var | ok).alias("valid"),
+        "CAST(cn AS BIGINT) AS control_size",
+        "CAST(cc AS BIGINT) AS control_conversions",
+        "CAST(vn AS BIGINT) AS variant_size",
+        "CAST(vc AS BIGINT) AS variant_conversions",
+        pick("pc", "0D", "pc") + " AS control_rate",
+        pick("pv", "0D", "0D") + " AS variant_rate",
+        pick("lift", "0D", "0D") + " AS lift_pct",
+        pick("zs", "0D", "0D") + " AS z_score",
+        pick("pval", "1D", "1D") + " AS p_value",
+        pick("(pv - pc) - z_critical * se", "0D", "0D") + " AS ci_lower",
+        pick("(pv - pc) + z_critical * se", "0D", "0D") + " AS ci_upper",
+        pick(f"pval < {p.alpha!r}D", "false", "false") + " AS significant",
+        "cn = 0 OR vn = 0 OR ok AS valid",
     )
 
 
@@ -126,31 +131,26 @@ def abn_test(arm_table: DataFrame, p: Params, keys: list[str] | None = None) ->
     variants of the test (at least 1).  No rows when the control is empty."""
     keys = keys or ["experiment_id"]
     t = _pairs(arm_table, keys, p).where(F.col("cn") > 0)
-    n = F.greatest(F.col("n_variants"), F.lit(1))
-    t = t.withColumn("z_critical", norm_ppf(1.0 - F.lit(p.alpha) / (2.0 * n)))
-    cc, cn, vc, vn = F.col("cc"), F.col("cn"), F.col("vc"), F.col("vn")
-    z_crit = F.col("z_critical")
-    pc, pv, lift, z, pval, lo, hi, sig = _z_stats(cc, cn, vc, vn, z_crit, n, p.alpha)
-    ok = _valid(cc, cn, vc, vn)
-    no_var = vn == 0
-
-    def pick(v: Column, var0) -> Column:
-        return F.when(no_var, var0).when(ok, v)
-
-    return t.select(
-        *keys,
+    n = "greatest(n_variants, 1)"
+    t = _z_columns(t, keys, norm_ppf_sql(f"1D - {p.alpha!r}D / (2D * {n})"), n)
+
+    def pick(v: str, var0: str) -> str:
+        return f"CASE WHEN vn = 0 THEN {var0} WHEN ok THEN {v} END"
+
+    return t.selectExpr(
+        *[f"`{k}`" for k in keys],
         "variant",
-        F.col("n_variants").cast("bigint").alias("n_comparisons"),
-        pc.alias("control_rate"),
-        pick(pv, F.lit(0.0)).alias("rate"),
-        pick(lift, F.lit(0.0)).alias("lift_pct"),
-        pick(z, F.lit(0.0)).alias("z_score"),
-        pick(pval, F.lit(1.0)).alias("p_value"),
-        pick(lo, F.lit(0.0)).alias("ci_lower"),
-        pick(hi, F.lit(0.0)).alias("ci_upper"),
-        pick(sig, F.lit(False)).alias("significant"),
-        z_crit.alias("z_critical"),
-        (no_var | ok).alias("valid"),
+        "CAST(n_variants AS BIGINT) AS n_comparisons",
+        "pc AS control_rate",
+        pick("pv", "0D") + " AS rate",
+        pick("lift", "0D") + " AS lift_pct",
+        pick("zs", "0D") + " AS z_score",
+        pick("pval", "1D") + " AS p_value",
+        pick("(pv - pc) - z_critical * se", "0D") + " AS ci_lower",
+        pick("(pv - pc) + z_critical * se", "0D") + " AS ci_upper",
+        pick(f"pval < {p.alpha!r}D", "false") + " AS significant",
+        "z_critical",
+        "vn = 0 OR ok AS valid",
     )
 
 
@@ -193,14 +193,10 @@ def chi_square(cells: DataFrame, keys: list[str], alpha: float = 0.05) -> DataFr
     )
     dof = F.col("k") - 1
     chi2 = F.when(bad | (dof == 0), 0.0).otherwise(F.col("stat"))
-    pval = F.when(bad, 1.0).otherwise(chi2_sf(chi2, dof))
-    return per.select(
-        *keys,
-        chi2.alias("chi2"),
-        pval.alias("p_value"),
-        (pval < alpha).alias("significant"),
-        dof.cast("bigint").alias("dof"),
-    )
+    staged = per.select(*keys, chi2.alias("chi2"), dof.cast("bigint").alias("dof"), bad.alias("bad"))
+    return staged.selectExpr(
+        *[f"`{k}`" for k in keys], "chi2", f"CASE WHEN bad THEN 1D ELSE {chi2_sf_sql('chi2', 'dof')} END AS p_value", "dof"
+    ).selectExpr("*", f"p_value < {alpha!r}D AS significant").select(*keys, "chi2", "p_value", "significant", "dof")
 
 
 def chi_square_global(arm_table: DataFrame, p: Params, keys: list[str] | None = None) -> DataFrame:
