@@ -28,22 +28,49 @@ from growlytics.functions.dates import lit_ts, whole_days_between
 CATEGORICAL = ("plan", "channel", "device_type")
 
 
-def features(wh, p: Params) -> DataFrame:
+def _before_cutoff(fact: DataFrame, ts_col: str, cutoffs: DataFrame | None) -> DataFrame:
+    if cutoffs is None:
+        return fact
+    return fact.join(cutoffs, "user_id").where(F.col(ts_col) < F.col("cutoff")).drop("cutoff")
+
+
+def features(wh, p: Params, leak_free: bool = False) -> DataFrame:
     """K1: paid subscriptions x users, with session, event and payment
-    aggregates; defaults 0 / 365 / 'Desktop' / 0.0; label = cancelled."""
+    aggregates; defaults 0 / 365 / 'Desktop' / 0.0; label = cancelled.
+
+    As coded by the reference, activity up to the as-of date is used, so a
+    short life (the label) also shows as fewer sessions and payments.  With
+    ``leak_free=True`` each user's activity is cut at their own cutoff (the
+    cancellation date, or as-of when active) and recency is measured from
+    that cutoff.  The cutoff table has one row per user, so joining it to a
+    fact shuffles the fact by user_id (AQE splits a hot user's partition)."""
     subs = wh.stg_subscriptions.where(F.col("plan").isin(*p.paid_plans)).select("user_id", "plan", "status")
     users = wh.dim_users.select("user_id", "channel")
-    s = wh.fact_sessions.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
+    cutoffs = None
+    if leak_free:
+        paid = wh.stg_subscriptions.where(F.col("plan").isin(*p.paid_plans))
+        cutoffs = paid.groupBy("user_id").agg(
+            F.max(F.coalesce(F.col("end_date"), F.lit(p.as_of).cast("date"))).cast("timestamp").alias("cutoff")
+        )
+    sess = _before_cutoff(wh.fact_sessions.where(F.col("user_id").isNotNull()), "session_start", cutoffs)
+    if leak_free:
+        sess = sess.join(cutoffs, "user_id")
+        recency = whole_days_between(F.max("cutoff"), F.max("session_start"))
+    else:
+        recency = whole_days_between(lit_ts(p.as_of), F.max("session_start"))
+    s = sess.groupBy("user_id").agg(
         F.count_distinct("session_id").alias("session_count"),
-        whole_days_between(lit_ts(p.as_of), F.max("session_start")).alias("recency"),
+        recency.alias("recency"),
         F.max("device_type").alias("device_type"),
     )
-    e = wh.fact_events.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
+    events = _before_cutoff(wh.fact_events.where(F.col("user_id").isNotNull()), "event_time", cutoffs)
+    pays = _before_cutoff(wh.fact_payments.where(F.col("user_id").isNotNull()), "payment_date", cutoffs)
+    e = events.groupBy("user_id").agg(
         F.sum(F.when(F.col("event_type") == p.search_event, 1).otherwise(0)).cast("bigint").alias("search_count"),
         F.sum(F.when(F.col("event_type") == p.page_view_event, 1).otherwise(0)).cast("bigint").alias("pv_count"),
         F.count("event_id").alias("total_events"),
     )
-    pay = wh.fact_payments.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
+    pay = pays.groupBy("user_id").agg(
         F.sum("amount").cast("double").alias("total_revenue")
     )
     return (

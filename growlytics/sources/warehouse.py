@@ -155,7 +155,8 @@ def materialize(spark: SparkSession, wh: "Warehouse", location: str, database: s
     inputs."""
     base = location.rstrip("/")
     marker = f"{base}/_COMPLETE"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    # the database lives in the shared folder too (not spark.sql.warehouse.dir)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base}/_db'")
     if not _fs_exists(spark, marker):
         def write(name: str) -> None:
             df = getattr(wh, name)

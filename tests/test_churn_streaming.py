@@ -107,3 +107,29 @@ def test_tight_split_keeps_class_proportions(spark, planted):
     for k in tot:
         assert abs(by[k] / tot[k] - 0.2) < 0.02
     assert train.count() + test.count() == planted.count()
+
+
+def test_leak_free_features_cut_activity(spark):
+    from growlytics.sources.warehouse import Warehouse
+
+    p = Params.binding()
+    wh = Warehouse.from_binding(spark, "/root/testdata/sf0.001")
+    coded = {r["user_id"]: r for r in churn.features(wh, p).collect()}
+    cut = {r["user_id"]: r for r in churn.features(wh, p, leak_free=True).collect()}
+    assert set(coded) == set(cut)
+    assert all(cut[u]["session_count"] <= coded[u]["session_count"] for u in coded)
+    assert all(cut[u]["total_revenue"] <= coded[u]["total_revenue"] + 1e-9 for u in coded)
+
+
+def test_stream_processing_time_trigger(spark):
+    base = tempfile.mkdtemp(prefix="growlytics-stream-")
+    landing, sink, ckpt = (os.path.join(base, x) for x in ("landing", "sink", "ckpt"))
+    os.makedirs(landing)
+    with open(os.path.join(landing, "a.json"), "w") as fh:
+        fh.write('{"event_id": "EVT_9", "user_id": "USR_9", "event_type": "search", "event_time": "2026-06-02 08:00:00"}\n')
+    q = intake.start(intake.intake(spark, landing), sink, ckpt, available_now=False, interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(sink).count() == 1

@@ -89,3 +89,16 @@ def test_funnel_steps_independent(spark):
     overall = {r["step"]: r["users"] for r in funnel.event_funnel(ev, p).collect()}
     assert overall == {"1. View": 2, "2. Click": 1, "3. Signup": 0, "4. Purchase": 1}
     assert F is not None
+
+
+def test_rolling_active_approx_close_to_exact(spark):
+    rng = random.Random(11)
+    rows = [(rng.randint(0, 400), dt.datetime(2024, 1, 1) + dt.timedelta(days=rng.randint(0, 59), hours=3))
+            for _ in range(5000)]
+    df = spark.createDataFrame(rows, "user_id int, ts timestamp")
+    exact = {r["day"]: r for r in activity.rolling_active(df, "ts").collect()}
+    approx = {r["day"]: r for r in activity.rolling_active_approx(df, "ts").collect()}
+    assert set(exact) == set(approx)
+    for d, r in exact.items():
+        for name, _ in activity.WINDOWS:
+            assert abs(approx[d][name] - r[name]) <= max(2, 0.06 * r[name]), (d, name)
