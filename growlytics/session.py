@@ -32,6 +32,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="growlytics-wh-"))
         .config("spark.driver.memory", os.environ.get("GROWLYTICS_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
