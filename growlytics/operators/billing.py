@@ -19,30 +19,41 @@ from growlytics.functions.dates import lit_date
 from growlytics.operators.survival import price_col
 
 
-def schedule(stg_subscriptions: DataFrame, p: Params) -> DataFrame:
-    """One row per expected charge: user_id, plan, charge_date, amount."""
+def _charges(stg_subscriptions: DataFrame, p: Params) -> DataFrame:
+    """Paid subscriptions with their number of due charges ``n``:
+    k = 0 .. n-1 with start + 30 k < min(horizon, end); at least the first
+    charge when the start precedes the horizon."""
     horizon = lit_date(p.as_of)
     bound = F.least(horizon, F.coalesce(F.col("end_date"), horizon))
     span = F.datediff(bound, F.col("start_date"))
     n = F.when(span > 0, F.ceil(span / p.billing_days)).when(F.col("start_date") < horizon, 1).otherwise(0)
-    paid = stg_subscriptions.where(F.col("plan").isin(*p.paid_plans)).select(
-        "user_id", "plan", "start_date", n.cast("int").alias("n")
+    return stg_subscriptions.where(F.col("plan").isin(*p.paid_plans)).select(
+        "user_id", "plan", "start_date", n.cast("int").alias("n"), price_col(p).alias("price")
     )
+
+
+def schedule(stg_subscriptions: DataFrame, p: Params) -> DataFrame:
+    """One row per expected charge: user_id, plan, charge_date, amount
+    (bounded by each subscription's own length)."""
     k = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
-    return paid.where(F.col("n") > 0).select("user_id", "plan", "start_date", k.alias("k")).select(
+    return _charges(stg_subscriptions, p).where(F.col("n") > 0).select(
+        "user_id", "plan", "start_date", "price", k.alias("k")
+    ).select(
         "user_id",
         "plan",
         F.date_add("start_date", F.col("k") * p.billing_days).alias("charge_date"),
-        price_col(p).alias("amount"),
+        F.col("price").alias("amount"),
     )
 
 
 def reconcile(stg_subscriptions: DataFrame, fact_payments: DataFrame, p: Params) -> DataFrame:
-    """Expected charges and amount vs recorded payments, per user."""
-    exp = schedule(stg_subscriptions, p).groupBy("user_id").agg(
+    """Expected charges and amount vs recorded payments, per user.  The
+    expected side needs no explode: per subscription it is n charges of the
+    plan price."""
+    exp = _charges(stg_subscriptions, p).where(F.col("n") > 0).groupBy("user_id").agg(
         F.min("plan").alias("plan"),
-        F.count(F.lit(1)).alias("expected_charges"),
-        F.sum("amount").alias("expected_amount"),
+        F.sum("n").cast("bigint").alias("expected_charges"),
+        F.sum(F.col("n") * F.col("price")).alias("expected_amount"),
     )
     got = fact_payments.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("paid_count"), F.sum("amount").cast("double").alias("paid_amount")
@@ -51,7 +62,7 @@ def reconcile(stg_subscriptions: DataFrame, fact_payments: DataFrame, p: Params)
     return j.select(
         "user_id",
         "plan",
-        F.coalesce("expected_charges", F.lit(0)).alias("expected_charges"),
+        F.coalesce("expected_charges", F.lit(0).cast("bigint")).alias("expected_charges"),
         F.coalesce("expected_amount", F.lit(0.0)).alias("expected_amount"),
         F.coalesce("paid_count", F.lit(0)).alias("paid_count"),
         F.coalesce("paid_amount", F.lit(0.0)).alias("paid_amount"),

@@ -58,11 +58,16 @@ def features(wh, p: Params, leak_free: bool = False) -> DataFrame:
         recency = whole_days_between(F.max("cutoff"), F.max("session_start"))
     else:
         recency = whole_days_between(lit_ts(p.as_of), F.max("session_start"))
-    s = sess.groupBy("user_id").agg(
-        F.count_distinct("session_id").alias("session_count"),
-        recency.alias("recency"),
-        F.max("device_type").alias("device_type"),
+    s = sess.groupBy("user_id").agg(F.count_distinct("session_id").alias("session_count"), recency.alias("recency"))
+    # max(string) has no fixed-width buffer and would make the whole
+    # session aggregate sort-based; reduce to distinct (user, device) first
+    # (hash aggregate with map-side combine), so the string max only sees a
+    # handful of rows per user
+    dev = (
+        sess.select("user_id", "device_type").distinct()
+        .groupBy("user_id").agg(F.max("device_type").alias("device_type"))
     )
+    s = s.join(dev, "user_id", "left")
     events = _before_cutoff(wh.fact_events.where(F.col("user_id").isNotNull()), "event_time", cutoffs)
     pays = _before_cutoff(wh.fact_payments.where(F.col("user_id").isNotNull()), "payment_date", cutoffs)
     e = events.groupBy("user_id").agg(

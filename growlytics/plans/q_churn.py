@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from growlytics.operators import churn
 from growlytics.plans.oracle import days_since, r6
-from growlytics.plans.registry import register
+from growlytics.plans.registry import _code_version, register
 from growlytics.session import ensure_checkpoint_dir
 
 _LOADED: dict = {}
@@ -93,7 +93,9 @@ def _model(ctx):
     way the reference trains once and loads its pickles for prediction."""
     feats = churn.features(ctx.wh, ctx.p)
     train, test = churn.split(feats, ctx.p)
-    key = hashlib.sha1(os.path.abspath(ctx.sf_dir).encode()).hexdigest()[:12]
+    with open(churn.__file__, "rb") as fh:
+        code = hashlib.sha1(fh.read()).hexdigest()
+    key = hashlib.sha1(f"{os.path.abspath(ctx.sf_dir)}|{_code_version()}|{code}".encode()).hexdigest()[:12]
     path = f"{ensure_checkpoint_dir(ctx.spark).rstrip('/')}/models/churn-{key}"
     marker = f"{path}/metadata"
     if path in _LOADED:

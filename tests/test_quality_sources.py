@@ -122,3 +122,30 @@ def test_csv_experiment_log(spark, tmp_path):
     r = df.first()
     assert r["timestamp"] is not None and r["converted"] == 0
     assert df.select(F.hour("timestamp")).first()[0] == 22
+
+
+def test_billing_schedule_matches_reconcile(spark):
+    import datetime as dt
+
+    from growlytics.config import Params
+    from growlytics.operators import billing
+
+    p = Params(as_of=dt.date(2026, 6, 22))
+    subs = spark.createDataFrame(
+        [("S1", "U1", "Pro", dt.date(2026, 1, 1), None, "active"),
+         ("S2", "U2", "Enterprise", dt.date(2026, 3, 1), dt.date(2026, 4, 15), "cancelled"),
+         ("S3", "U3", "Pro", dt.date(2026, 5, 1), dt.date(2026, 5, 1), "cancelled"),
+         ("S4", "U4", "Free", dt.date(2026, 1, 1), None, "active")],
+        "subscription_id string, user_id string, plan string, start_date date, end_date date, status string")
+    pays = spark.createDataFrame([("P1", "U1", 29.0), ("P9", "U9", 5.0)], "payment_id string, user_id string, amount double")
+    sched = {}
+    for r in billing.schedule(subs, p).collect():
+        sched.setdefault(r["user_id"], []).append(r["charge_date"])
+    # Jan 1 + 30k before Jun 22 -> 6 charges; U2: Mar 1, Mar 31 (< Apr 15); U3: first charge only
+    assert len(sched["U1"]) == 6 and sorted(sched["U2"]) == [dt.date(2026, 3, 1), dt.date(2026, 3, 31)]
+    assert sched["U3"] == [dt.date(2026, 5, 1)] and "U4" not in sched
+    rec = {r["user_id"]: r for r in billing.reconcile(subs, pays, p).collect()}
+    for u, dates in sched.items():
+        assert rec[u]["expected_charges"] == len(dates)
+    assert rec["U2"]["expected_amount"] == 2 * 299.0
+    assert rec["U9"]["expected_charges"] == 0 and rec["U9"]["paid_count"] == 1
