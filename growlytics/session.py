@@ -67,14 +67,29 @@ def apply_cluster_conf(spark: SparkSession, overrides: dict | None = None) -> No
         spark.conf.set(k, v)
 
 
+_OVERRIDE: dict[str, str] = {}
+
+
+def use_shared_base(spark: SparkSession, path: str) -> None:
+    """Use ``path`` as this application's shared folder (e.g. a fresh
+    sub-folder for a benchmark run).  ``spark.checkpoint.dir`` itself cannot
+    change once the context is up."""
+    _OVERRIDE[spark.sparkContext.applicationId] = path
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one if unset."""
+    """Return the shared folder: ``spark.checkpoint.dir`` from the session
+    (the cluster's shared storage), else the context's checkpoint dir, else
+    a local temporary folder (tests only: on a cluster it is always set)."""
+    app = spark.sparkContext.applicationId
+    if app in _OVERRIDE:
+        return _OVERRIDE[app]
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc_dir = spark.sparkContext.getCheckpointDir()
     path = conf_dir or sc_dir
     if not path:
         path = tempfile.mkdtemp(prefix="growlytics-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        _OVERRIDE[app] = path
     if not sc_dir:
         spark.sparkContext.setCheckpointDir(path)
     return path

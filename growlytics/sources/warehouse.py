@@ -127,7 +127,7 @@ def _fs_touch(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
 
 
-def _run_concurrently(fn, items, workers: int = 4) -> None:
+def _run_concurrently(fn, items, workers: int = 8) -> None:
     """Submit independent table writes as concurrent Spark jobs (the
     scheduler interleaves their tasks); the first failure is re-raised."""
     from concurrent.futures import ThreadPoolExecutor
