@@ -143,9 +143,3 @@ seg AS (
   FROM rfm
 )
 """.replace("{recency}", days_since("max(session_start)"))
-
-ORACLE: dict[str, str] = {}
-
-
-def sql(name: str, body: str, extra: str = "") -> None:
-    ORACLE[name] = BINDING + extra + body

@@ -10,10 +10,6 @@ from growlytics.plans.registry import register
 PROFILED = ("lineitem", "orders", "customer", "events")
 
 
-def _columns(ctx, table):
-    return ctx.table(table).columns
-
-
 TABLE_COLUMNS = {
     "lineitem": ("l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
                  "l_returnflag l_linestatus l_shipdate"),
