@@ -137,3 +137,16 @@ def e14_upgrade(ctx):
 
 
 __all__ = ["F"]
+
+
+@register("f1_funnel_total", sql="""
+, steps(step, event_type) AS (VALUES ('1. View', 'view'), ('2. Click', 'click'), ('3. Signup', 'signup'), ('4. Purchase', 'purchase')),
+counts AS (
+  SELECT s.step, count(DISTINCT e.user_id) AS users
+  FROM fact_events e JOIN steps s ON e.event_type = s.event_type WHERE e.user_id IS NOT NULL GROUP BY s.step
+)
+SELECT s.step, coalesce(c.users, 0) AS users FROM (SELECT DISTINCT step FROM steps) s LEFT JOIN counts c ON s.step = c.step
+""")
+def f1_funnel_total(ctx):
+    """F1 over all time, as the dashboard computes it (no split)."""
+    return funnel.event_funnel(ctx.wh.fact_events, ctx.p)
