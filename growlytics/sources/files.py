@@ -67,6 +67,17 @@ def read_raw(spark: SparkSession, dataset: str, path: str, fmt: str = "csv") ->
     return _na_to_null(df, schema)
 
 
+def read_jdbc_table(spark: SparkSession, url: str, table: str, partition_column: str,
+                    lower: int, upper: int, num_partitions: int, properties: dict | None = None) -> DataFrame:
+    """A4 for an external warehouse: a partitioned JDBC scan (one range of
+    ``partition_column`` per task, never one connection for the whole
+    table)."""
+    return spark.read.jdbc(
+        url, table, column=partition_column, lowerBound=lower, upperBound=upper,
+        numPartitions=num_partitions, properties=properties or {},
+    )
+
+
 def read_experiment_log(spark: SparkSession, path: str) -> DataFrame:
     """The external experiment log; ``timestamp`` parsed to a timestamp."""
     df = spark.read.schema(EXPERIMENT_LOG_SCHEMA).option("header", True).csv(path)
