@@ -274,3 +274,36 @@ def b9_not_null(ctx):
         part = Q.not_null_failures(ctx.raw(d), d, list(cols))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+@register("a1_csv_users", sql="""
+SELECT user_id, strftime(signup_date, '%Y-%m-%d') AS signup_date, country, acquisition_channel, plan_type FROM users
+""")
+def a1_csv_users(ctx):
+    """A1 + A2 round trip: the users landing table written as a raw CSV file
+    (header, text dates), scanned back with the fixed schema and NA tokens,
+    and typed by staging (C1)."""
+    from growlytics.operators import staging
+    from growlytics.session import shared_path
+    from growlytics.sources import files
+
+    path = shared_path(ctx.spark, "csv", "users")
+    files.write_raw_csv(ctx.raw("users"), path)
+    raw = files.read_raw(ctx.spark, "users", path)
+    return staging.stg_users(raw.withColumn("user_id", F.col("user_id").cast("bigint")))
+
+
+@register("a8_experiment_log", extra=LOG, sql="""
+SELECT user_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", "group", landing_page, converted FROM exp_log
+""")
+def a8_experiment_log(ctx):
+    """The exposure log as a CSV file, scanned back with its schema and
+    the timestamp parsed."""
+    from growlytics.session import shared_path
+    from growlytics.sources import files
+
+    path = shared_path(ctx.spark, "csv", "experiment_log")
+    log = ctx.raw("experiment_log").select("user_id", "timestamp", "group", "landing_page", "converted")
+    files.write_raw_csv(log, path)
+    back = files.read_experiment_log(ctx.spark, path)
+    return back.withColumn("user_id", F.col("user_id").cast("bigint"))
