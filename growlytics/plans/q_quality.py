@@ -154,9 +154,49 @@ def b11_accepted(ctx):
     )
 
 
-@register("b_source_tests")
+SOURCE_TESTS_SQL = """
+SELECT 'users' AS dataset, 'unique' AS test, 'user_id' AS column, (SELECT count(*) FROM (SELECT user_id FROM users WHERE user_id IS NOT NULL GROUP BY user_id HAVING count(*) > 1)) AS failures
+UNION ALL
+SELECT 'sessions' AS dataset, 'unique' AS test, 'session_id' AS column, (SELECT count(*) FROM (SELECT session_id FROM sessions WHERE session_id IS NOT NULL GROUP BY session_id HAVING count(*) > 1)) AS failures
+UNION ALL
+SELECT 'events' AS dataset, 'unique' AS test, 'event_id' AS column, (SELECT count(*) FROM (SELECT event_id FROM (SELECT event_id, user_id, ts AS event_time, event_type FROM events) WHERE event_id IS NOT NULL GROUP BY event_id HAVING count(*) > 1)) AS failures
+UNION ALL
+SELECT 'subscriptions' AS dataset, 'unique' AS test, 'subscription_id' AS column, (SELECT count(*) FROM (SELECT subscription_id FROM subscriptions WHERE subscription_id IS NOT NULL GROUP BY subscription_id HAVING count(*) > 1)) AS failures
+UNION ALL
+SELECT 'payments' AS dataset, 'unique' AS test, 'payment_id' AS column, (SELECT count(*) FROM (SELECT payment_id FROM payments WHERE payment_id IS NOT NULL GROUP BY payment_id HAVING count(*) > 1)) AS failures
+UNION ALL
+SELECT 'users', 'not_null', 'user_id', (SELECT count(*) FROM users WHERE user_id IS NULL)
+UNION ALL
+SELECT 'sessions', 'not_null', 'session_id', (SELECT count(*) FROM sessions WHERE session_id IS NULL)
+UNION ALL
+SELECT 'sessions', 'not_null', 'user_id', (SELECT count(*) FROM sessions WHERE user_id IS NULL)
+UNION ALL
+SELECT 'events', 'not_null', 'event_id', (SELECT count(*) FROM (SELECT event_id, user_id, ts AS event_time, event_type FROM events) WHERE event_id IS NULL)
+UNION ALL
+SELECT 'subscriptions', 'not_null', 'subscription_id', (SELECT count(*) FROM subscriptions WHERE subscription_id IS NULL)
+UNION ALL
+SELECT 'subscriptions', 'not_null', 'status', (SELECT count(*) FROM subscriptions WHERE status IS NULL)
+UNION ALL
+SELECT 'subscriptions', 'not_null', 'plan', (SELECT count(*) FROM subscriptions WHERE plan IS NULL)
+UNION ALL
+SELECT 'payments', 'not_null', 'payment_id', (SELECT count(*) FROM payments WHERE payment_id IS NULL)
+UNION ALL
+SELECT 'experiments', 'not_null', 'user_id', (SELECT count(*) FROM experiments WHERE user_id IS NULL)
+UNION ALL
+SELECT 'sessions', 'relationships', 'user_id', (SELECT count(*) FROM sessions x WHERE x.user_id IS NOT NULL AND x.user_id NOT IN (SELECT user_id FROM users WHERE user_id IS NOT NULL))
+UNION ALL
+SELECT 'experiments', 'relationships', 'user_id', (SELECT count(*) FROM experiments x WHERE x.user_id IS NOT NULL AND x.user_id NOT IN (SELECT user_id FROM users WHERE user_id IS NOT NULL))
+UNION ALL
+SELECT 'subscriptions', 'accepted_values', 'status', (SELECT count(DISTINCT status) FROM subscriptions WHERE status IS NOT NULL AND status NOT IN ('active', 'cancelled'))
+UNION ALL
+SELECT 'subscriptions', 'accepted_values', 'plan', (SELECT count(DISTINCT plan) FROM subscriptions WHERE plan IS NOT NULL AND plan NOT IN ('Free', 'Pro', 'Enterprise'))
+"""
+
+
+@register("b_source_tests", sql=SOURCE_TESTS_SQL)
 def b_source_tests(ctx):
-    """Rows-only: the declared source tests (B8-B11) on the six datasets."""
+    """The declared source tests (B8-B11) on the six datasets: rows each
+    test returns (duplicated values, null rows, orphan rows, bad values)."""
     return Q.source_tests({d: ctx.raw(d) for d in DATASETS})
 
 
