@@ -35,10 +35,11 @@ def keep_first(log: DataFrame, key: str = "user_id", order: tuple[str, ...] = ("
 def seeded_sample(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
     """Reproducible sample of ``n`` rows (all when n >= rows).
 
-    Rows are ranked by ``xxhash64(key, seed)`` (ties by key) and the first n
-    kept: Spark plans ``orderBy().limit(n)`` as a per-partition top-n merged
-    once (no full sort).  The limit is the operator itself."""
-    h = F.xxhash64(F.col(key), F.lit(seed))
+    Rows are ranked by ``md5(key || '|' || seed)`` (ties by key) and the
+    first n kept: Spark plans ``orderBy().limit(n)`` as a per-partition
+    top-n merged once (no full sort).  The limit is the operator itself;
+    md5 makes the sample reproducible by any engine."""
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
     return df.orderBy(h, F.col(key)).limit(n)
 
 

