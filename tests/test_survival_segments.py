@@ -90,3 +90,26 @@ def test_segment_counts_sum_to_users(spark):
     p = Params.binding()
     summary = segments.rfm_segments(wh, p)
     assert summary.agg(F.sum("user_count")).first()[0] == wh.dim_users.count()
+
+
+def test_reference_calendar(spark):
+    from growlytics.operators import marts
+
+    d = marts.dim_dates_for_range(spark, P.calendar_start, P.calendar_end)
+    rows = {r["date_id"]: r for r in d.collect()}
+    assert len(rows) == 396
+    assert rows[20260101]["week"] == 1 and rows[20251229]["week"] == 1  # ISO week of 2026 starts 2025-12-29
+    assert rows[20250601]["quarter"] == 2 and rows[20260701]["year"] == 2026
+
+
+def test_kpi_breakdowns_sum_to_totals(spark):
+    from growlytics.operators import kpis
+    from growlytics.sources.warehouse import Warehouse
+
+    wh = Warehouse.from_binding(spark, "/root/testdata/sf0.001")
+    p = Params.binding()
+    row = kpis.kpi_summary(wh, p, with_breakdowns=True).first()
+    total = wh.fact_payments.agg(F.sum("amount").cast("double")).first()[0]
+    assert sum(x["value"] for x in row["channel_revenue"]) == pytest.approx(total)
+    assert sum(x["value"] for x in row["plan_revenue"]) == pytest.approx(total)  # one subscription per user
+    assert row["dau"] <= row["wau"] <= row["mau"] <= row["total_users"]
