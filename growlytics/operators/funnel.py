@@ -63,10 +63,13 @@ def conversion_by_channel(dim_users: DataFrame, stg_subscriptions: DataFrame, p:
     Subscriptions are reduced to one ``bool_or(paid)`` row per user before the
     left join, so the join cannot fan out."""
     paid = stg_subscriptions.groupBy("user_id").agg(F.bool_or(F.col("plan").isin(*p.paid_plans)).alias("paid"))
-    j = dim_users.select("user_id", "channel").join(paid, "user_id", "left")
-    agg = j.groupBy("channel").agg(
-        F.count_distinct("user_id").alias("total_users"),
-        F.count_distinct(F.when(F.col("paid"), F.col("user_id"))).alias("paid_conversions"),
+    j = dim_users.where(F.col("user_id").isNotNull()).select("user_id", "channel").join(paid, "user_id", "left")
+    # paid is one value per user, so distinct (channel, user, paid) rows make
+    # count(*) / count_if exact distinct-user counts; two count(distinct)
+    # aggregates would make Spark Expand every row twice
+    agg = j.select("channel", "user_id", "paid").distinct().groupBy("channel").agg(
+        F.count(F.lit(1)).alias("total_users"),
+        F.count_if(F.col("paid")).alias("paid_conversions"),
     )
     rate = F.when(F.col("total_users") > 0, F.col("paid_conversions") / F.col("total_users") * 100).otherwise(0.0)
     return agg.withColumn("conversion_rate", rate)
