@@ -1,7 +1,5 @@
 """Registered queries: rolling active users."""
 
-from pyspark.sql import functions as F
-
 from growlytics.operators import activity
 from growlytics.plans.oracle import r6
 from growlytics.plans.registry import register
@@ -54,5 +52,3 @@ def e11_rolling_sessions(ctx):
     """E11 over sessions (orders): 2,400 calendar days of activity."""
     return activity.rolling_active(ctx.wh.fact_sessions, "session_start")
 
-
-__all__ = ["F"]

@@ -4,8 +4,6 @@ and the model path (K4, K6, K8; rows-only)."""
 import hashlib
 import os
 
-from pyspark.sql import functions as F
-
 from growlytics.operators import churn
 from growlytics.plans.oracle import days_since, r6
 from growlytics.plans.registry import _code_version, register
@@ -143,5 +141,3 @@ def k8_importances(ctx):
     _, _, model = _model(ctx)
     return churn.importances(ctx.spark, model)
 
-
-__all__ = ["F"]

@@ -71,7 +71,7 @@ SELECT total_users, dau, wau, mau, {r6('mrr')} AS mrr, {r6('arr')} AS arr, {r6('
        {r6('churn_rate')} AS churn_rate,
        {r6('CASE WHEN churn_rate / 100.0 / 12.0 > 0 THEN arpu / (churn_rate / 100.0 / 12.0) ELSE arpu * 24 END')} AS ltv
 FROM k
-""".replace("\nSELECT count(DISTINCT", "SELECT count(DISTINCT", 1))
+""")
 def e9_kpis(ctx):
     return kpis.kpi_summary(ctx.wh, ctx.p)
 
@@ -136,9 +136,6 @@ def e14_upgrade(ctx):
     return funnel.signup_to_upgrade(ctx.wh.dim_users, ctx.wh.stg_subscriptions, ctx.p)
 
 
-__all__ = ["F"]
-
-
 @register("f1_funnel_total", sql="""
 , steps(step, event_type) AS (VALUES ('1. View', 'view'), ('2. Click', 'click'), ('3. Signup', 'signup'), ('4. Purchase', 'purchase')),
 counts AS (

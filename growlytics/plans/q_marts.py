@@ -1,7 +1,5 @@
 """Registered queries: staging (C2, C4) and marts."""
 
-from pyspark.sql import functions as F
-
 from growlytics.operators import marts
 from growlytics.plans.oracle import r6
 from growlytics.plans.registry import register
@@ -87,5 +85,3 @@ FROM fact_sessions
 def d7_fact_sessions(ctx):
     return ctx.wh.fact_sessions
 
-
-__all__ = ["F"]

@@ -1,7 +1,5 @@
 """Registered queries: RFM segmentation (H1-H3)."""
 
-from pyspark.sql import functions as F
-
 from growlytics.operators import segments
 from growlytics.plans.oracle import RFM, r6
 from growlytics.plans.registry import register
@@ -32,5 +30,3 @@ FROM seg GROUP BY segment ORDER BY user_count DESC, segment
 def h3_summary(ctx):
     return segments.rfm_segments(ctx.wh, ctx.p)
 
-
-__all__ = ["F"]

@@ -1,7 +1,5 @@
 """Registered query: streaming intake (L1-L3) of the events table."""
 
-from pyspark.sql import functions as F
-
 from growlytics.session import shared_path
 from growlytics.streaming import intake
 from growlytics.plans.registry import register
@@ -24,5 +22,3 @@ def l2_ingest(ctx):
     intake.run_available(spark, landing, sink, ckpt)
     return spark.read.parquet(sink).drop("ingested_at")
 
-
-__all__ = ["F"]
