@@ -102,3 +102,37 @@ def test_rolling_active_approx_close_to_exact(spark):
     for d, r in exact.items():
         for name, _ in activity.WINDOWS:
             assert abs(approx[d][name] - r[name]) <= max(2, 0.06 * r[name]), (d, name)
+
+
+def test_seeded_samples(spark):
+    df = spark.range(0, 5000).withColumnRenamed("id", "user_id")
+    a = [r["user_id"] for r in XL.seeded_sample(df, 100, "user_id", 42).collect()]
+    b = [r["user_id"] for r in XL.seeded_sample(df, 100, "user_id", 42).collect()]
+    c = [r["user_id"] for r in XL.seeded_sample(df, 100, "user_id", 7).collect()]
+    assert len(a) == 100 and sorted(a) == sorted(b) and sorted(a) != sorted(c)
+    assert XL.seeded_sample(df, 10_000, "user_id", 42).count() == 5000  # n above rows: all rows
+    frac = XL.seeded_sample_fraction(df, 0.2, "user_id", 42).count()
+    assert 800 < frac < 1200
+
+
+def test_rescale_maps_range_onto_window(spark):
+    rows = [(1, dt.datetime(2017, 1, 2)), (2, dt.datetime(2017, 1, 12)), (3, dt.datetime(2017, 1, 22))]
+    df = spark.createDataFrame(rows, "user_id int, timestamp timestamp")
+    out = {r["user_id"]: r["scaled_time"] for r in XL.rescale_timestamps(
+        df, "timestamp", dt.datetime(2025, 6, 22), dt.datetime(2026, 6, 22)).collect()}
+    assert out[1] == dt.datetime(2025, 6, 22) and out[3] == dt.datetime(2026, 6, 22)
+    assert out[2] == dt.datetime(2025, 12, 21, 12)  # midpoint
+    one = spark.createDataFrame([(1, dt.datetime(2017, 1, 2))], "user_id int, timestamp timestamp")
+    assert XL.rescale_timestamps(one, "timestamp", dt.datetime(2025, 6, 22), dt.datetime(2026, 6, 22)).first()[
+        "scaled_time"] == dt.datetime(2025, 6, 22)  # zero range -> window start
+
+
+def test_cluster_conf_applies(spark):
+    from growlytics.session import CLUSTER_CONF, apply_cluster_conf
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    apply_cluster_conf(spark, {"spark.sql.shuffle.partitions": before})
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == CLUSTER_CONF["spark.sql.adaptive.skewJoin.enabled"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "134217728")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", before)
