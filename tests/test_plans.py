@@ -58,3 +58,37 @@ def test_mrr_pushes_date_filter(spark):
 def test_raw_scans_read_only_needed_columns(spark):
     plan = _plan(spark, "b8_unique")
     assert re.search(r"FileScan parquet \[l_orderkey,l_linenumber\]", re.sub(r"#\d+L?", "", plan))
+
+
+def _segments(plan: str):
+    """(exchange line, lines of its subtree down to the next exchange)."""
+    lines = plan.splitlines()
+
+    def depth(s: str) -> int:
+        return len(s) - len(s.lstrip(" :+-"))
+
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning(" not in line:
+            continue
+        d, seg = depth(line), []
+        for nxt in lines[i + 1:]:
+            if depth(nxt) <= d:
+                break
+            if "Exchange" in nxt:
+                break
+            seg.append(nxt)
+        yield line, seg
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP))
+def test_facts_are_combined_before_user_shuffles(spark, name):
+    """A fact's raw rows never cross a shuffle keyed by user_id alone: a
+    partial aggregate combines them first, so a user holding a third of all
+    rows sends one row per map task, not a third of the table to one task."""
+    plan = re.sub(r"#\d+L?", "", _plan(spark, name))
+    for head, seg in _segments(plan):
+        if not re.search(r"hashpartitioning\(user_id, \d+\)", head):
+            continue
+        body = "\n".join(seg)
+        if re.search(r"FileScan parquet \S*fact_(sessions|events|payments)", body):
+            assert "Aggregate" in body, (name, head)
