@@ -83,7 +83,10 @@ def cohort_label(c: Column, grain: str) -> Column:
 
 
 def retention_matrix(long: DataFrame) -> DataFrame:
-    """One record per cohort with a map index -> rate (index ascending)."""
+    """One record per cohort with a map index -> rate (index ascending).
+
+    The collected list per cohort has one entry per activity period after
+    the cohort (bounded by the calendar, not by the number of users)."""
     return long.groupBy("cohort", "cohort_size").agg(
         F.map_from_entries(
             F.array_sort(F.collect_list(F.struct(F.col("cohort_index"), F.col("retention_rate"))))

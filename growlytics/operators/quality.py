@@ -89,7 +89,8 @@ def quality_report(df: DataFrame, dataset: str) -> DataFrame:
 
 
 def full_report(df: DataFrame, dataset: str) -> DataFrame:
-    """B7 with the B2 null counts and rates attached as maps (A5 payload)."""
+    """B7 with the B2 null counts and rates attached as maps (A5 payload);
+    the maps hold one entry per column of the dataset."""
     prof = null_profile(df, dataset).groupBy("dataset").agg(
         F.map_from_entries(F.collect_list(F.struct("column", "null_count"))).alias("null_counts"),
         F.map_from_entries(F.collect_list(F.struct("column", "null_rate"))).alias("null_rates"),
