@@ -52,18 +52,27 @@ def arms(dim_variants: DataFrame, stg_subscriptions: DataFrame, p: Params,
 
 
 def _pairs(arm_table: DataFrame, keys: list[str], p: Params) -> DataFrame:
-    """Each non-control arm next to its control (control size 0 if missing)."""
-    ctrl = arm_table.where(F.col("variant") == p.control_variant).select(
-        *keys, F.col("conversions").alias("cc"), F.col("group_size").alias("cn")
+    """Each non-control arm next to its control (control size 0 if missing).
+
+    The control's counts reach the variant rows through a window over the
+    test key (a few rows per test) rather than a self-join, so the arm table
+    is read once."""
+    w = Window.partitionBy(*keys)
+    is_ctrl = F.col("variant") == p.control_variant
+    t = arm_table.select(
+        *keys,
+        "variant",
+        "conversions",
+        "group_size",
+        F.max(F.when(is_ctrl, F.col("conversions"))).over(w).alias("_cc"),
+        F.max(F.when(is_ctrl, F.col("group_size"))).over(w).alias("_cn"),
+        F.count(F.when(~is_ctrl, F.lit(1))).over(w).alias("n_variants"),
     )
-    var = arm_table.where(F.col("variant") != p.control_variant)
-    n = Window.partitionBy(*keys)
-    var = var.withColumn("n_variants", F.count(F.lit(1)).over(n))
-    return var.join(ctrl, keys, "left").select(
+    return t.where(~is_ctrl).select(
         *keys,
         "variant",
-        F.coalesce("cc", F.lit(0)).cast("double").alias("cc"),
-        F.coalesce("cn", F.lit(0)).cast("double").alias("cn"),
+        F.coalesce("_cc", F.lit(0)).cast("double").alias("cc"),
+        F.coalesce("_cn", F.lit(0)).cast("double").alias("cn"),
         F.col("conversions").cast("double").alias("vc"),
         F.col("group_size").cast("double").alias("vn"),
         "n_variants",
@@ -206,24 +215,32 @@ def chi_square_global(arm_table: DataFrame, p: Params, keys: list[str] | None =
 
 
 def chi_square_pairwise(arm_table: DataFrame, p: Params, keys: list[str] | None = None) -> DataFrame:
-    """I4 on the 2 x 2 table control vs each variant (keys + variant)."""
+    """I4 on the 2 x 2 table control vs each variant (keys + variant): each
+    variant row becomes its two table rows (variant, control)."""
     keys = keys or ["experiment_id"]
-    ctrl = arm_table.where(F.col("variant") == p.control_variant).select(
-        *keys, "conversions", "group_size"
-    )
-    var = arm_table.where(F.col("variant") != p.control_variant).select(*keys, "variant", "conversions", "group_size")
-    ctrl_rows = var.select(*keys, "variant").join(ctrl, keys, "left").select(
-        *keys, "variant",
-        F.coalesce("conversions", F.lit(0)).alias("conversions"),
-        F.coalesce("group_size", F.lit(0)).alias("group_size"),
-    )
-    return chi_square(var.unionByName(ctrl_rows), [*keys, "variant"], p.alpha)
+    pairs = _pairs(arm_table, keys, p)
+    cells = pairs.select(
+        *keys,
+        "variant",
+        F.explode(
+            F.array(
+                F.struct(F.col("vc").alias("conversions"), F.col("vn").alias("group_size")),
+                F.struct(F.col("cc").alias("conversions"), F.col("cn").alias("group_size")),
+            )
+        ).alias("c"),
+    ).select(*keys, "variant", "c.conversions", "c.group_size")
+    return chi_square(cells, [*keys, "variant"], p.alpha)
 
 
 def experiment_report(arm_table: DataFrame, p: Params, keys: list[str] | None = None) -> DataFrame:
     """Per test, the first variant (lowest name) z-test and 2 x 2
-    chi-square, plus the global chi-square over all arms."""
+    chi-square, plus the global chi-square over all arms.
+
+    The three parts read the same arm table, so it is checkpointed once
+    (eagerly, into the shared checkpoint folder): the assignments x
+    subscriptions aggregation runs one time, and the lineage is cut."""
     keys = keys or ["experiment_id"]
+    arm_table = arm_table.checkpoint(eager=True)
     z = ztest(arm_table, p, keys)
     first = z.groupBy(*keys).agg(F.min("variant").alias("variant"))
     z1 = z.join(first, [*keys, "variant"])
