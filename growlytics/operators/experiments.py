@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from growlytics.config import Params
+from growlytics.session import checkpointed
 from growlytics.functions.stats import chi2_sf_sql, norm_ppf_sql, norm_two_sided_p_sql
 
 
@@ -240,7 +241,7 @@ def experiment_report(arm_table: DataFrame, p: Params, keys: list[str] | None =
     (eagerly, into the shared checkpoint folder): the assignments x
     subscriptions aggregation runs one time, and the lineage is cut."""
     keys = keys or ["experiment_id"]
-    arm_table = arm_table.checkpoint(eager=True)
+    arm_table = checkpointed(arm_table)
     z = ztest(arm_table, p, keys)
     first = z.groupBy(*keys).agg(F.min("variant").alias("variant"))
     z1 = z.join(first, [*keys, "variant"])

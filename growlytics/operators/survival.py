@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from growlytics.config import Params
+from growlytics.session import checkpointed
 from growlytics.functions.dates import lit_date
 
 
@@ -41,12 +42,23 @@ def tenure(stg_subscriptions: DataFrame, p: Params) -> DataFrame:
     )
 
 
+def tenure_groups(ten: DataFrame) -> DataFrame:
+    """(plan, tenure) -> deaths, total: the one aggregation every survival
+    output derives from (NULL tenures kept as their own group, so row counts
+    include them as the reference's do)."""
+    return ten.groupBy("plan", "tenure_days").agg(
+        F.sum("churned").cast("bigint").alias("deaths"), F.count(F.lit(1)).alias("total")
+    )
+
+
 def life_table(ten: DataFrame) -> DataFrame:
     """Per plan and tenure: deaths, total, at_risk (reverse cumulative
     total), hazard, survival (cumulative product of 1 - hazard)."""
-    g = ten.where(F.col("tenure_days").isNotNull()).groupBy("plan", "tenure_days").agg(
-        F.sum("churned").cast("bigint").alias("deaths"), F.count(F.lit(1)).alias("total")
-    )
+    return life_table_from_groups(tenure_groups(ten))
+
+
+def life_table_from_groups(groups: DataFrame) -> DataFrame:
+    g = groups.where(F.col("tenure_days").isNotNull())
     desc = Window.partitionBy("plan").orderBy(F.desc("tenure_days")).rowsBetween(Window.unboundedPreceding, 0)
     asc = Window.partitionBy("plan").orderBy("tenure_days").rowsBetween(Window.unboundedPreceding, 0)
     g = g.withColumn("at_risk", F.sum("total").over(desc))
@@ -56,14 +68,20 @@ def life_table(ten: DataFrame) -> DataFrame:
 
 def plan_stats(ten: DataFrame, lt: DataFrame, p: Params) -> DataFrame:
     """Per plan: rows, churns, exposure (sum of tenure) and the curve end
-    ``max_day`` = min(max tenure, cap) (not below 0)."""
-    s = ten.groupBy("plan").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("churned").cast("bigint").alias("churns"),
-        F.sum("tenure_days").cast("double").alias("exposure"),
+    ``max_day`` = min(max tenure, cap) (not below 0); derived from the same
+    (plan, tenure) aggregate as the life table, so the subscriptions are
+    aggregated once."""
+    return plan_stats_from_groups(tenure_groups(ten), p)
+
+
+def plan_stats_from_groups(groups: DataFrame, p: Params) -> DataFrame:
+    s = groups.groupBy("plan").agg(
+        F.sum("total").alias("n"),
+        F.sum("deaths").cast("bigint").alias("churns"),
+        F.sum(F.col("tenure_days") * F.col("total")).cast("double").alias("exposure"),
+        F.max("tenure_days").alias("max_tenure"),
     )
-    m = lt.groupBy("plan").agg(F.max("tenure_days").alias("max_tenure"))
-    return s.join(m, "plan", "left").withColumn(
+    return s.withColumn(
         "max_day", F.greatest(F.least(F.coalesce("max_tenure", F.lit(0)), F.lit(p.tenure_cap)), F.lit(0))
     )
 
@@ -146,13 +164,21 @@ def default_curve(spark: SparkSession, present: DataFrame, p: Params) -> DataFra
     )
 
 
+def curve_parts(stg_subscriptions: DataFrame, p: Params) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Life table, per-plan stats and daily curve from one pass over the
+    subscriptions: the (plan, tenure) aggregate (a few thousand rows per
+    plan) is checkpointed eagerly into the shared checkpoint folder, and the
+    several consumers below read it instead of re-aggregating."""
+    groups = checkpointed(tenure_groups(tenure(stg_subscriptions, p)))
+    lt = life_table_from_groups(groups)
+    stats = plan_stats_from_groups(groups, p)
+    return lt, stats, daily_curve(lt, stats)
+
+
 def survival_ltv(stg_subscriptions: DataFrame, p: Params) -> tuple[DataFrame, DataFrame]:
     """Summary per plan (J4/J5, J7) and sampled curves."""
     spark = stg_subscriptions.sparkSession
-    ten = tenure(stg_subscriptions, p)
-    lt = life_table(ten)
-    stats = plan_stats(ten, lt, p)
-    curve = daily_curve(lt, stats)
+    lt, stats, curve = curve_parts(stg_subscriptions, p)
     summary = lifetime(curve, stats, p)
     present = stats.select("plan")
     return (

@@ -71,17 +71,14 @@ def j2_life_table(ctx):
 
 
 def _curve(ctx):
-    ten = S.tenure(ctx.wh.stg_subscriptions, ctx.p)
-    lt = S.life_table(ten)
-    stats = S.plan_stats(ten, lt, ctx.p)
-    return ten, lt, stats, S.daily_curve(lt, stats)
+    return S.curve_parts(ctx.wh.stg_subscriptions, ctx.p)
 
 
 @register("j3_curve", extra=KM, sql=f"""
 SELECT plan, CAST(day AS BIGINT) AS day, CAST(max_day AS BIGINT) AS max_day, {r6('survival')} AS survival FROM curve
 """)
 def j3_curve(ctx):
-    return _curve(ctx)[3]
+    return _curve(ctx)[2]
 
 
 @register("j4_lifetime", extra=KM, sql=f"""

@@ -99,3 +99,18 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A fresh sub-folder of the shared folder (unique per call)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts, uuid.uuid4().hex])
+
+
+def checkpointed(df):
+    """Cut lineage with a reliable checkpoint into the shared checkpoint
+    folder, computing ``df`` once: it is persisted while the checkpoint is
+    written (otherwise writing the files recomputes it) and released after.
+    Meant for small intermediate results that several consumers read."""
+    from pyspark import StorageLevel
+
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
