@@ -91,12 +91,13 @@ def run_available(spark: SparkSession, landing: str, sink: str, checkpoint: str)
         raise q.exception()
 
 
-def write_payloads(events: DataFrame, landing: str, files: int = 4) -> None:
-    """Producer side: write tracked events as JSON payload files."""
+def write_payloads(events: DataFrame, landing: str) -> None:
+    """Producer side: write tracked events as JSON payload files (one file
+    per input split; no shuffle)."""
     out = events.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.col("user_id").cast("string").alias("user_id"),
         "event_type",
         F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"),
     )
-    out.repartition(files).write.mode("append").json(landing)
+    out.write.mode("append").json(landing)
