@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import gc
 import sys
-import zlib
 
 import numpy as np
 import xxhash
@@ -51,18 +50,22 @@ def pick(df: DataFrame, **types: str) -> DataFrame:
     return plain.select(*[F.col(f"c{cols.index(n)}").cast(t).alias(n) for n, t in types.items()])
 
 
-def with_payload(df: DataFrame, **types: str) -> DataFrame:
-    """As :func:`pick`, plus ``payload``: a struct of all columns in order."""
-    cols = df.columns
-    plain = df.toDF(*[f"c{i}" for i in range(len(cols))])
-    return plain.select(*[F.col(f"c{cols.index(n)}").cast(t).alias(n) for n, t in types.items()],
-                        F.struct(*[F.col(f"c{i}") for i in range(len(cols))]).alias("payload"))
+def plain(df: DataFrame, **types: str) -> tuple[DataFrame, dict[str, str]]:
+    """All columns under the names c0, c1, ... (the named ones cast), and
+    where the named ones are; :func:`restored` undoes it."""
+    names = df.columns
+    out = df.toDF(*[f"c{i}" for i in range(len(names))])
+    at = {n: f"c{names.index(n)}" for n in types}
+    for n, t in types.items():
+        if dict(out.dtypes)[at[n]] != t:
+            out = out.withColumn(at[n], F.col(at[n]).cast(t))
+    return out, at
 
 
-def unpack(df: DataFrame, names: list[str], *extra: str, **replaced) -> DataFrame:
-    """The columns of ``payload`` under their old names; ``replaced`` gives
-    new values for some; ``extra`` columns of ``df`` follow."""
-    return df.select(*[replaced.get(n, F.col(f"payload.c{i}")).alias(n) for i, n in enumerate(names)], *extra)
+def restored(df: DataFrame, names: list[str], *extra: str, **replaced) -> DataFrame:
+    """c0, c1, ... under their old names; ``replaced`` gives new values for
+    some; ``extra`` columns of ``df`` follow."""
+    return df.select(*[replaced.get(n, F.col(f"c{i}")).alias(n) for i, n in enumerate(names)], *extra)
 
 
 def staged(df: DataFrame, what: str) -> DataFrame:
@@ -70,7 +73,7 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     garbage collection lets Spark remove the shuffle files behind it."""
     spark = df.sparkSession
     path = shared_path(spark, "llm", what)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
@@ -93,27 +96,24 @@ def spread(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def appended(df: DataFrame, text: str, fn, fields: dict[str, str]) -> DataFrame:
-    """``df`` as struct ``payload`` (see :func:`unpack`) and new columns that
-    ``fn`` makes of the texts of a batch: lists in the order of ``fields``."""
+def appended(df: DataFrame, inputs: list[str], fn, fields: dict[str, str]) -> DataFrame:
+    """``df`` (whose names are distinct) and new columns that ``fn`` makes of
+    the input columns of a batch: lists, in the order of ``fields``."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    at = df.columns.index(text)
-    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
-    plain = plain.withColumn(f"c{at}", F.col(f"c{at}").cast("string"))
-    new = StructType.fromDDL(", ".join(f"x{i} {t}" for i, t in enumerate(fields.values())))
+    at = [df.columns.index(c) for c in inputs]
+    new = StructType.fromDDL(", ".join(f"{n} {t}" for n, t in fields.items()))
     types = [f.type for f in to_arrow_schema(new)]
 
     def run(batches):
         for b in batches:
-            got = fn(b.column(at).to_pylist())
+            got = fn(*[b.column(i).to_pylist() for i in at])
             arrays = [pa.array(v, t) for v, t in zip(got, types)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *arrays], [*b.schema.names, *[f"x{i}" for i in range(len(types))]])
+            yield pa.RecordBatch.from_arrays([*b.columns, *arrays], [*b.schema.names, *new.names])
 
-    out = plain.mapInArrow(run, StructType(plain.schema.fields + new.fields))
-    return out.select(F.struct(*plain.columns).alias("payload"), *[F.col(f"x{i}").alias(n) for i, n in enumerate(fields)])
+    return df.mapInArrow(run, StructType(df.schema.fields + new.fields))
 
 
 def shipped(spark: SparkSession, thing):
@@ -199,12 +199,11 @@ def rolled(h: np.ndarray, k: int) -> np.ndarray:
 
 def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Sum of each offsets range (0 for an empty one), along axis 0."""
-    total = np.concatenate([np.zeros((1, *values.shape[1:]), np.float64), np.cumsum(values, axis=0, dtype=np.float64)])
-    return total[offsets[1:]] - total[offsets[:-1]]
-
-
-def crc(text: str) -> int:
-    return zlib.crc32(text.encode())
+    out = np.zeros((len(offsets) - 1, *values.shape[1:]))
+    some = np.flatnonzero(np.diff(offsets))
+    if len(some):
+        out[some] = np.add.reduceat(values.astype(np.float64, copy=False), offsets[:-1][some], axis=0)
+    return out
 
 
 # ------------------------------------------------------- connected components

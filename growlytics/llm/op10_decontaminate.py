@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growlytics.llm.common import WORD, appended, by_value, coded, pick, revived, rolled, shipped, slices, unpack
+from growlytics.llm.common import WORD, appended, by_value, coded, pick, plain, restored, revived, rolled, shipped, slices
 
 by_value(__name__)
 WINDOW, LEAST, PART_WORDS = 8, 5, 1 << 21
@@ -153,35 +153,30 @@ def _search(shared):
     return fn
 
 
-def flagged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_words: int = PART_WORDS) -> DataFrame:
-    """``payload``, item_ids (array<long>) and n_windows per row of ``docs``.
+def flagged(docs: DataFrame, text: str, benchmark: DataFrame, window: int = WINDOW, part_words: int = PART_WORDS) -> DataFrame:
+    """``docs`` (with distinct names), item_ids (array<long>) and n_windows.
     The items are shipped in parts of about ``part_words`` words; every part
     meets every document."""
     spark = docs.sparkSession
     items = pick(benchmark, item_id="long", text="string").where("text is not null")
     total = items.select(F.sum(F.regexp_count("text", F.lit(WORD)))).first()[0] or 0
     parts = max(1, -(-total // part_words))
-    names, out = docs.columns, None
+    out = docs.withColumn("item_ids", F.array().cast("array<bigint>")).withColumn("n_windows", F.lit(0).cast("long"))
     for p in range(parts):
         rows = items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == p).collect()  # one part
         shared = shipped(spark, Items([r[0] for r in rows], [r[1] for r in rows], window))
-        if out is None:
-            out = appended(docs, "text", _search(shared), {"item_ids": "array<bigint>", "n_windows": "bigint"})
-        else:
-            before = unpack(out, names, F.col("item_ids").alias("__ids"), F.col("n_windows").alias("__n"))
-            again = appended(before, "text", _search(shared), {"item_ids": "array<bigint>", "n_windows": "bigint"})
-            at = len(names)
-            out = again.select("payload", F.array_sort(F.array_union(f"payload.c{at}", "item_ids")).alias("item_ids"),
-                               (F.col(f"payload.c{at + 1}") + F.col("n_windows")).alias("n_windows"))
+        out = appended(out, [text], _search(shared), {"part_ids": "array<bigint>", "part_n": "bigint"})
+        out = out.select(*docs.columns, F.array_sort(F.array_union("item_ids", "part_ids")).alias("item_ids"), (F.col("n_windows") + F.col("part_n")).alias("n_windows"))
     return out
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """doc_id, contaminated, item_ids, n_windows for every document."""
-    out = flagged(pick(docs, doc_id="long", text="string"), benchmark, **options)
-    return out.select(F.col("payload.c0").alias("doc_id"), (F.col("n_windows") > 0).alias("contaminated"), "item_ids", "n_windows")
+    out = flagged(pick(docs, doc_id="long", text="string"), "text", benchmark, **options)
+    return out.select("doc_id", (F.col("n_windows") > 0).alias("contaminated"), "item_ids", "n_windows")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that hold no benchmark item; columns as given."""
-    return unpack(flagged(docs, benchmark, **options).where("n_windows = 0"), docs.columns)
+    rows, at = plain(docs, text="string")
+    return restored(flagged(rows, at["text"], benchmark, **options).where("n_windows = 0"), docs.columns)

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growlytics.llm.common import appended, by_value, coded, held_out, pick, slices, sums, unpack
+from growlytics.llm.common import appended, by_value, coded, held_out, pick, plain, restored, slices, sums
 
 by_value(__name__)
 BUCKETS = 1 << 15
@@ -139,26 +139,26 @@ def _judge(langs: list[str], table: np.ndarray, texts: list):
     return pred, score, shares
 
 
-def judged(docs: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame:
-    """``payload`` and lang_pred, score, shares per row."""
+def judged(docs: DataFrame, text: str, langs: list[str], table: np.ndarray) -> DataFrame:
+    """``docs`` (with distinct names) and lang_pred, score, shares."""
     shared = docs.sparkSession.sparkContext.broadcast(table)  # BUCKETS x languages doubles
 
     def fn(texts):
         return _judge(langs, shared.value, texts)
 
-    return appended(docs, "text", fn, {"lang_pred": "string", "score": "double", "shares": "array<double>"})
+    return appended(docs, [text], fn, {"lang_pred": "string", "score": "double", "shares": "array<double>"})
 
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray] | None = None, folds: int = FOLDS) -> DataFrame:
     """doc_id, held_out, lang_pred, score (share of the predicted language)
     and shares (one per learned language, in order; empty for ``und``)."""
-    out = judged(pick(docs, doc_id="long", text="string"), *(model or learn(docs, folds)))
-    return out.select(F.col("payload.c0").alias("doc_id"), "lang_pred", "score", "shares").select(
-        "doc_id", held_out("doc_id", folds).alias("held_out"), "lang_pred", "score", "shares")
+    out = judged(pick(docs, doc_id="long", text="string"), "text", *(model or learn(docs, folds)))
+    return out.select("doc_id", held_out("doc_id", folds).alias("held_out"), "lang_pred", "score", "shares")
 
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows whose language is identified with at least ``least`` share;
     columns as given."""
-    out = judged(docs, *learn(docs)).where(f"lang_pred <> 'und' and score >= {least}")
-    return unpack(out, docs.columns)
+    rows, at = plain(docs, text="string")
+    out = judged(rows, at["text"], *learn(docs)).where(f"lang_pred <> 'und' and score >= {least}")
+    return restored(out, docs.columns)

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from growlytics.llm.common import WORD, by_value, staged, unpack, with_payload
+from growlytics.llm.common import WORD, by_value, plain, restored, staged
 
 by_value(__name__)
 _PRIME = 2654435761
@@ -104,13 +104,14 @@ def placements(docs: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5, mos
                block_words: int = 1 << 16, shard_words: int = 1 << 20, seed: int = 17,
                keep: bool = False) -> DataFrame:
     """Per document: doc_id, source, size, source_size, target, taken and
-    ``placed``, an array of (copy, shard, words); with ``keep`` the document's
-    columns as ``payload``."""
+    ``placed``, an array of (copy, shard, words); with ``keep`` also all
+    columns as c0, c1, ..."""
     spark = docs.sparkSession
-    base = with_payload(docs, doc_id="long", text="string", source="string")
-    base = base.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-                       F.xxhash64("doc_id", "text", F.lit(seed)).alias("h"), *(["payload"] if keep else []))
-    slim = staged(base.drop("payload"), "mix-sizes")
+    rows, at = plain(docs, doc_id="long", text="string", source="string")
+    carried = rows.columns if keep else []
+    base = rows.withColumns({n: F.col(c) for n, c in at.items()}).select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+                       F.xxhash64("doc_id", "text", F.lit(seed)).alias("h"), *carried)
+    slim = staged(base.drop(*carried), "mix-sizes")
     plan = [r.asDict() for r in targets(slim, weights, share, most).collect()]  # one row per source
     for r in plan:
         size, quota = r["source_size"], math.floor(r["target"] + 0.5)
@@ -148,15 +149,15 @@ def placements(docs: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5, mos
 
     rows = dealt(base).join(blocks, ["rn", "rank"])
     cut = (F.col("need") > 0) & (F.col("need") < F.col("n_words"))
-    plain = rows.where(~cut).withColumn("last", F.when(F.col("need") > 0, F.col("size")).otherwise(F.lit(0)).cast("long"))
+    whole = rows.where(~cut).withColumn("last", F.when(F.col("need") > 0, F.col("size")).otherwise(F.lit(0)).cast("long"))
     ahead = F.sum("size").over(Window.partitionBy("rn").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, -1))
     edge = rows.where(cut).withColumn("last", F.greatest(F.lit(0), F.least("size", F.col("need") - F.coalesce(ahead, F.lit(0)))).cast("long"))
-    out = plain.unionByName(edge)
+    out = whole.unionByName(edge)
     given = F.transform(F.coalesce("at", F.array().cast("array<struct<copy:bigint,shard:bigint>>")), lambda x: F.struct(
         x["copy"].alias("copy"), x["shard"].alias("shard"), F.when(x["copy"] < F.col("passes"), F.col("size")).otherwise(F.col("last")).alias("words")))
     out = out.withColumn("placed", F.filter(given, lambda x: x["words"] > 0))
     taken = F.col("passes") * F.col("size") + F.col("last")
-    return out.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "placed", "h", *(["payload"] if keep else []))
+    return out.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "placed", "h", *carried)
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -165,11 +166,11 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     and mix_shard, mix_pos, mix_copy, mix_words."""
     names = docs.columns
     seed = options.get("seed", 17)
-    placed = placements(docs, keep=True, **options).select("doc_id", "size", "h", "payload", F.explode("placed").alias("p"))
+    placed = placements(docs, keep=True, **options).select("doc_id", "size", "h", *[f"c{i}" for i in range(len(names))], F.explode("placed").alias("p"))
     order = Window.partitionBy("p.shard").orderBy(F.xxhash64("h", "p.copy", F.lit(seed + 1)), "doc_id")
     placed = placed.withColumn("mix_pos", F.row_number().over(order).cast("long"))
     placed = placed.select("*", F.col("p.shard").alias("mix_shard"), F.col("p.copy").alias("mix_copy"), F.col("p.words").alias("mix_words"))
-    text = F.col(f"payload.c{names.index('text')}")
+    text = F.col(f"c{names.index('text')}").cast("string")
     cut = F.concat_ws(" ", F.slice(F.regexp_extract_all(text, F.lit(f"({WORD})")), 1, F.greatest(F.lit(1), F.col("mix_words").cast("int"))))
     text = F.when(F.col("mix_words") < F.col("size"), cut).otherwise(text)
-    return unpack(placed, names, "mix_shard", "mix_pos", "mix_copy", "mix_words", text=text)
+    return restored(placed, names, "mix_shard", "mix_pos", "mix_copy", "mix_words", text=text)

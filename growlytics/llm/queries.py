@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from growlytics.llm import op1_lm, op2_language, op4_quality, op5_mixing, op7_topk, op9_html, op10_decontaminate
+from growlytics.llm import op1_lm, op2_language, op3_lines, op4_quality, op5_mixing, op7_topk, op9_html, op10_decontaminate
 from growlytics.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +75,32 @@ def op9_html_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontaminate_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in every document."""
     return op10_decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    r"""
+    WITH d AS (SELECT *, row_number() OVER () AS r FROM documents),
+         u AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
+         l AS (SELECT doc_id, text, generate_subscripts(string_split(text, chr(10)), 1) AS line, unnest(string_split(text, chr(10))) AS x FROM u),
+         w AS (SELECT *, list_sort(list_distinct(list_filter(string_split_regex(x, '[\x20\x09-\x0D]+'), lambda y: y <> ''))) AS s FROM l),
+         f AS (SELECT *, len(s) AS n, CASE WHEN len(s) > 0 THEN row_number() OVER (ORDER BY len(s) = 0, doc_id NULLS LAST, hash(text), line) END AS id FROM w),
+         g AS (SELECT s, n, min(id) AS id FROM f WHERE n > 0 GROUP BY s, n),
+         t AS (SELECT id, n, unnest(s) AS tok FROM g),
+         c AS (SELECT tok, count(*) AS c FROM t GROUP BY tok),
+         o AS (SELECT id, n, tok, row_number() OVER (PARTITION BY id ORDER BY c, tok) AS pos FROM t JOIN c USING (tok)),
+         p AS (SELECT * FROM o WHERE pos <= n - (4 * n + 4) // 5 + 1),
+         q AS (SELECT DISTINCT a.id, b.id AS id_0 FROM p a JOIN p b ON a.tok = b.tok AND b.id < a.id AND greatest(a.n, b.n) * 4 <= least(a.n, b.n) * 5),
+         m AS (SELECT DISTINCT q.id FROM q JOIN g a ON a.id = q.id JOIN g b ON b.id = q.id_0
+               WHERE len(list_intersect(a.s, b.s)) * 9 >= 4 * (a.n + b.n)),
+         k AS (SELECT id FROM g WHERE id NOT IN (SELECT id FROM m)),
+         j AS (SELECT f.doc_id, f.text, count(f.id) AS n_lines, count(f.id) - count(k.id) AS n_removed,
+                      coalesce(string_agg(f.x, chr(10) ORDER BY f.line) FILTER (WHERE f.n = 0 OR k.id IS NOT NULL), '') AS kept
+               FROM f LEFT JOIN k ON k.id = f.id GROUP BY f.doc_id, f.text)
+    SELECT d.doc_id, coalesce(j.n_lines, 0) AS n_lines, coalesce(j.n_removed, 0) AS n_removed, j.kept AS text
+    FROM d LEFT JOIN j ON j.doc_id IS NOT DISTINCT FROM d.doc_id AND j.text = d.text
+    """
+)
+def op3_line_dedup_setjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that repeat earlier ones."""
+    out = op3_lines.deduplicated(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col("dedup_lines").alias("n_lines"), F.col("dedup_removed").alias("n_removed"), "text")
