@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growlytics.llm import op1_lm, op2_language, op3_lines, op4_quality, op5_mixing, op7_topk, op9_html, op10_decontaminate
+from growlytics.llm import op1_lm, op2_language, op3_lines, op4_quality, op5_mixing, op6_ngram_join, op7_topk, op8_substrings, op9_html, op10_decontaminate
 from growlytics.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,16 @@ def op3_line_dedup_setjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that repeat earlier ones."""
     out = op3_lines.deduplicated(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.col("dedup_lines").alias("n_lines"), F.col("dedup_removed").alias("n_removed"), "text")
+
+
+@query()
+def op6_ngram_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document."""
+    return op6_ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_substring_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated windows."""
+    out = op8_substrings.deduplicated(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
