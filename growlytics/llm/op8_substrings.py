@@ -244,7 +244,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORD
     total = distinct.agg(F.coalesce(F.sum(F.col("n") + window - 1), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_words))
     low = distinct.groupBy(F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard")).applyInPandas(_search(window), "piece string, low array<long>")
-    low = staged(low.distinct().select(F.xxhash64("piece").alias("pk"), "piece", "low"), "repeat-low")
+    low = staged(low.select(F.xxhash64("piece").alias("pk"), "piece", "low"), "repeat-low")
     hits = pieces.select("rid", "d", "start", F.xxhash64("piece").alias("pk"), "piece").join(low, ["pk", "piece"])
     starts = F.filter(F.transform("low", lambda x, i: F.when(x < F.col("d"), F.col("start") + i)), lambda x: x.isNotNull())
     return hits.select("rid", starts.alias("starts")).where("size(starts) > 0")
