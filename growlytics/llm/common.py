@@ -11,7 +11,6 @@ import gc
 import sys
 
 import numpy as np
-import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +19,7 @@ from growlytics.session import ensure_checkpoint_dir, shared_path
 
 #: A word, everywhere in this subpackage: a run of anything but these six characters.
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE = 1 << 20
+SLICE = 1 << 18
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
 
@@ -80,6 +79,25 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     return out
 
 
+#: Largest size of a table, as written, that is sent to all tasks.
+BROADCAST_BYTES = 24 << 20
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A staged table, marked for broadcast if its files' size is at most
+    ``BROADCAST_BYTES``; beyond that Spark's own choice (a shuffled join)
+    holds."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    if not files:
+        return F.broadcast(df)
+    if len(files) > 4096:
+        return df
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0].rsplit("/", 1)[0])
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return F.broadcast(df) if fs.getContentSummary(path).getLength() <= BROADCAST_BYTES else df
+
+
 def held_out(doc_id: str, folds: int):
     """True where crc32(doc_id as text) mod ``folds`` is 0; a null id has the
     text ''."""
@@ -163,20 +181,83 @@ def words(text) -> list[bytes]:
     return text.encode("utf-8", "replace").split() if text else []
 
 
-def coded(lists: list[list[bytes]]):
-    """(codes of all words in a row, offsets of each list, distinct words)."""
-    seen: dict[bytes, int] = {}
-    put = seen.setdefault
-    sizes = np.fromiter((len(x) for x in lists), dtype=np.int64, count=len(lists))
-    offsets = np.concatenate([[0], np.cumsum(sizes)])
-    codes = np.fromiter((put(w, len(seen)) for x in lists for w in x), dtype=np.int64, count=int(offsets[-1]))
-    return codes, offsets, list(seen)
+def flags(chars: bytes) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(chars)] = True
+    return out
+
+
+_BLANK = flags(b"\x20\x09\x0a\x0b\x0c\x0d")
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_BASE = 0x9E3779B97F4A7C15
+
+
+class _Powers:
+    """Powers of an odd base modulo 2**64, and of its inverse, as far as
+    needed so far; travels without them."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def __reduce__(self):
+        return _Powers, ()
 
+    def __call__(self, n: int):
+        if len(self.up) <= n:
+            for name, x in (("up", _BASE), ("down", pow(_BASE, -1, 2**64))):
+                run = np.full(max(n, SLICE) + 4096, x, np.uint64)
+                run[0] = 1
+                setattr(self, name, np.cumprod(run, dtype=np.uint64))
+        return self.up, self.down
 
-def hashes(distinct: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words."""
-    h = xxhash.xxh3_64_intdigest
-    return np.fromiter((h(w) for w in distinct), dtype=np.uint64, count=len(distinct))
+
+_powers = _Powers()
+
+
+class Tokens:
+    """All words of a slice of texts without a Python object per word.
+
+    ``bytes``: the texts as UTF-8, joined by line ends; ``start``, ``end``:
+    each word in it; ``offsets``: the words of each text; ``begin``: the first
+    byte of each text."""
+
+    def __init__(self, texts, lower: bool = False):
+        parts = [t.encode("utf-8", "replace") if t else b"" for t in texts]
+        self.raw = b"\n".join([*parts, b""])
+        self.bytes = np.frombuffer(self.raw, np.uint8)
+        if lower:
+            self.bytes = _LOWER[self.bytes]
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
+        self.begin = np.concatenate([[0], np.cumsum(size)])
+        inside = ~_BLANK[self.bytes]
+        edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+        if len(inside) and inside[0]:
+            edge = np.concatenate([[0], edge])
+        self.start, self.end = edge[::2], edge[1::2]
+        self.offsets = np.searchsorted(self.start, self.begin)
+
+    def __len__(self):
+        return len(self.start)
+
+    def hashes(self) -> np.ndarray:
+        """64-bit hashes of the words, by a polynomial over their bytes."""
+        return hashed(self.bytes, self.start, self.end)
+
+    def sizes(self) -> np.ndarray:
+        return np.diff(self.offsets)
+
+    def of(self) -> np.ndarray:
+        """The text of each word."""
+        return np.repeat(np.arange(len(self.offsets) - 1), self.sizes())
+
+
+def hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of byte ranges, alike wherever the bytes stand."""
+    up, down = _powers(len(data))
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
+    return mix((total[end] - total[start]) * down[start])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -187,14 +268,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def rolled(h: np.ndarray, k: int) -> np.ndarray:
-    """Hash of each run of ``k`` consecutive word hashes."""
+    """Hash of each run of ``k`` consecutive (already spread) hashes."""
     n = len(h) - k + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for i in range(k):
-        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + h[i:i + n])
-    return out
+    out = h[:n].copy()
+    for i in range(1, k):
+        out *= np.uint64(_BASE)
+        out += h[i:i + n]
+    return mix(out + np.uint64(k))
 
 
 def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:

@@ -18,70 +18,82 @@ is reported as null; extra columns are ignored or carried along.
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growlytics.llm.common import WORD, appended, by_value, coded, pick, plain, restored, revived, rolled, shipped, slices
+from growlytics.llm.common import WORD, Tokens, appended, by_value, flags, hashed, pick, plain, restored, revived, rolled, shipped, slices
 
 by_value(__name__)
 WINDOW, LEAST, PART_WORDS = 8, 5, 1 << 21
 NUM, UNIT, NAME = (np.uint64(i) for i in (1, 2, 3))
-_NUMBER = re.compile(r"[+-]?\d[\d.,:/]*(?:%|st|nd|rd|th)?|zero|one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|"
-                     r"thirteen|fourteen|fifteen|sixteen|seventeen|eighteen|nineteen|twenty|thirty|forty|fifty|sixty|seventy|"
-                     r"eighty|ninety|hundred|thousand|million|billion")
-_UNITS = frozenset("mm cm dm m km in ft yd mi mg g kg t oz lb lbs ml cl l gal s sec min h hr hrs ms kmh mph kw kwh w v a hz khz "
-                   "mhz ghz kb mb gb tb c f k pa bar cal kcal j kj usd eur gbp dollars euros cents meters metres miles "
-                   "kilometers kilometres grams kilograms pounds ounces liters litres seconds minutes hours days weeks "
-                   "months years degrees percent".split())
-_EDGE = re.compile(r"^[\W_]+|[\W_]+$")
-
-
-def _kinds(distinct: list[bytes]):
-    """Per distinct word: template code (0: no token), value, capitalised, ends a sentence."""
-    n = len(distinct)
-    code, value, cap, end = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, bool), np.zeros(n, bool)
-    for i, w in enumerate(distinct):
-        raw = w.decode("utf-8", "replace")
-        end[i] = raw.rstrip("\"')]}*%&#$")[-1:] in (".", "!", "?", ":", "|")
-        core = _EDGE.sub("", raw)
-        if not core:
-            continue
-        low = core.lower()
-        h = max(16, xxhash.xxh3_64_intdigest(low.encode()))
-        value[i] = h
-        if _NUMBER.fullmatch(low):
-            code[i] = NUM
-        elif low in _UNITS and len(low) > 1:
-            code[i] = UNIT
-        else:
-            code[i] = h
-            cap[i] = len(core) > 1 and core[0].isupper() and core[1:].islower()
-    return code, value, cap, end
+_NUMBERS = ("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen "
+            "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion").split()
+_UNITS = ("mm cm dm km ft yd mi mg kg oz lb lbs ml cl gal sec min hr hrs ms kmh mph kw kwh hz khz mhz ghz kb mb gb tb pa bar cal "
+          "kcal kj usd eur gbp dollars euros cents meters metres miles kilometers kilometres grams kilograms pounds ounces liters "
+          "litres seconds minutes hours days weeks months years degrees percent").split()
+_DIGIT = flags(b"0123456789")
+_SMALL, _UPPER = flags(bytes(range(97, 123))), flags(bytes(range(65, 91)))
+_WIDE = np.arange(256) >= 128
+_ALNUM = _DIGIT | _SMALL | _UPPER | _WIDE
+_STOP = flags(b".!?:|")
+
+
+def _of_words(some: list[str]) -> np.ndarray:
+    return np.sort(Tokens([" ".join(some)]).hashes())
+
+
+def _in(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return sorted_[np.minimum(np.searchsorted(sorted_, x), len(sorted_) - 1)] == x
 
 
 def templates(texts: list):
-    """(template codes, values, offsets) of the texts' tokens."""
-    lists = [[w for line in (t or "").split("\n") for w in (*line.encode("utf-8", "replace").split(), b"\n")] for t in texts]
-    codes, offsets, distinct = coded(lists)
-    code, value, cap, end = _kinds(distinct)
-    for i, w in enumerate(distinct):
-        if w == b"\n":
-            end[i] = True
-    first = np.ones(len(codes), bool)  # starts a sentence
-    if len(codes):
-        first[1:] = end[codes[:-1]]
-        first[offsets[:-1][offsets[:-1] < len(codes)]] = True
-    template = code[codes]
-    template[cap[codes] & ~first] = NAME
-    keep = template > 0
-    sizes = np.add.reduceat(np.append(keep, False).astype(np.int64), offsets[:-1]) if len(texts) else np.zeros(0, np.int64)
-    sizes[np.diff(offsets) == 0] = 0
-    return template[keep], value[codes][keep], np.concatenate([[0], np.cumsum(sizes)])
+    """(template codes, values, offsets) of the texts' tokens.  A token is a
+    word without the marks around it; number: it starts with a digit and has
+    at most two letters, or is a number word."""
+    t = Tokens(texts)
+    data, n = t.bytes, len(t.bytes)
+    # the same bytes in small letters, where the case does not change their number
+    small = b"\n".join([low if len(low := x.lower().encode("utf-8", "replace")) == len(x.encode("utf-8", "replace")) else x.encode("utf-8", "replace").lower()
+                        for x in (x or "" for x in texts)] + [b""])
+    small = np.frombuffer(small, np.uint8)
+    changed = small != data
+    mark = _ALNUM[data]
+    after = np.minimum.accumulate(np.where(mark, np.arange(n), n)[::-1])[::-1] if n else np.zeros(0, np.int64)
+    before = np.maximum.accumulate(np.where(mark, np.arange(n), -1)) if n else np.zeros(0, np.int64)
+    start, end = after[t.start], before[t.end - 1] + 1
+    core = start < end  # also: the first mark is inside the word
+    core &= start < t.end
+    start, end = np.where(core, start, t.start), np.where(core, end, t.end)
+
+    def within(mask):
+        total = np.concatenate([[0], np.cumsum(mask)])
+        return total[end] - total[start]
+
+    h = hashed(small, start, end)
+    h[h < 16] = 16
+    upper = within(changed & ((data & 0xC0) != 0x80) | np.concatenate([changed[1:] & ((data[1:] & 0xC0) == 0x80), [False]]))
+    first = data[start] if len(t) else np.zeros(0, np.uint8)
+    letters = within(_SMALL[data] | _UPPER[data] | _WIDE[data])
+    code = h.copy()
+    begins = changed[start] | np.where(start + 1 < n, changed[np.minimum(start + 1, max(n - 1, 0))] & (first >= 0xC0), False) if len(t) else np.zeros(0, bool)
+    name = begins & (upper == 1) & (end - start > 1)
+    # a word after a line end, or after a word that ends a sentence, has a capital anyway
+    stops = np.zeros(n + 1, np.int64)
+    np.cumsum(_STOP[data] | (data == 10), out=stops[1:])
+    if len(t):
+        gap = np.concatenate([[1], stops[t.start[1:]] - stops[np.minimum(end[:-1], t.start[1:])]])
+        gap[t.offsets[:-1][t.offsets[:-1] < len(t)]] = 1
+        name &= (gap == 0) & (stops[start] == stops[t.start])
+    code[name] = NAME
+    code[_in(UNIT_HASHES, h)] = UNIT
+    code[_DIGIT[first] & (letters <= 2) | _in(NUMBER_HASHES, h)] = NUM
+    return code[core], h[core], np.concatenate([[0], np.cumsum(core)])[t.offsets]
+
+
+NUMBER_HASHES, UNIT_HASHES = _of_words(_NUMBERS), _of_words(_UNITS)
 
 
 class Items:
@@ -102,20 +114,27 @@ class Items:
             rows.sort()
             self.per[k] = (np.array([r[0] for r in rows], np.uint64), [(r[1], r[2]) for r in rows])
 
-    def hits(self, t: np.ndarray, v: np.ndarray) -> dict:
-        """Item id -> number of consistent windows of one document."""
-        diagonals = defaultdict(list)
+    def alignments(self, t: np.ndarray, off: np.ndarray) -> dict:
+        """Text -> {(item, diagonal): its equal windows}, for a slice of texts."""
+        found: dict = defaultdict(lambda: defaultdict(list))
         for k, (sorted_h, at) in self.per.items():
             h = rolled(t, k)
             if not len(h) or not len(sorted_h):
                 continue
             lo = np.searchsorted(sorted_h, h)
-            for d in np.flatnonzero(sorted_h[np.minimum(lo, len(sorted_h) - 1)] == h).tolist():
+            hit = np.flatnonzero(sorted_h[np.minimum(lo, len(sorted_h) - 1)] == h)
+            text = np.searchsorted(off, hit, side="right") - 1
+            inside = hit + k <= off[text + 1]
+            for d, i in zip(hit[inside].tolist(), text[inside].tolist()):
                 j = int(lo[d])
                 while j < len(at) and sorted_h[j] == h[d]:
                     item, p = at[j]
-                    diagonals[item, d - p].append((d, p, k))
+                    found[i][item, d - p].append((d, p, k))
                     j += 1
+        return found
+
+    def hits(self, diagonals: dict, t: np.ndarray, v: np.ndarray) -> dict:
+        """Item id -> number of consistent windows of one text."""
         out: dict = defaultdict(int)
         for (item, _), found in diagonals.items():
             base, there, back = int(self.off[item]), {}, {}
@@ -143,8 +162,8 @@ def _search(shared):
         ids, n = [[] for _ in texts], [0] * len(texts)
         for lo, hi in slices(texts):
             t, v, off = templates(texts[lo:hi])
-            for i in range(hi - lo):
-                got = items.hits(t[off[i]:off[i + 1]], v[off[i]:off[i + 1]]) if off[i + 1] > off[i] else {}
+            for i, diagonals in items.alignments(t, off).items():
+                got = items.hits(diagonals, t, v)
                 if got:
                     ids[lo + i] = sorted(got, key=lambda x: (x is None, x or 0))
                     n[lo + i] = sum(got.values())

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growlytics.llm.common import added, by_value, coded, hashes, held_out, pick, revived, shipped, slices, staged, sums
+from growlytics.llm.common import Tokens, added, by_value, held_out, mix, pick, revived, shipped, slices, staged, sums
 
 by_value(__name__)
 FOLDS, SHARE = 10, 1e-6
@@ -39,46 +39,50 @@ SHORT, CLASSES, WIDTH, CONTEXT, NOISE, BATCH = 127, 128, 16, 5, 64, 2048
 SYMBOLS = 1 + SHORT + CLASSES  # 0 is the end, which also stands before a text
 ROUNDS = (1, 3, 12)  # sixteenths of the training documents
 RATE, SEED = 0.15, 5
-END = b""  # no word is empty
-
-
-def _lower_words(texts) -> list[list[bytes]]:
-    return [(t.encode("utf-8", "replace").lower().split() if t else []) + [END] for t in texts]
-
-
-def _signed(h: np.ndarray) -> np.ndarray:
-    return h.view(np.int64)
-
-
-def _classes(distinct: list[bytes]) -> np.ndarray:
-    """Class of a word by the hash of its last three bytes."""
-    ends: dict[bytes, int] = {}
-    tails = [w[-3:] for w in distinct]
-    for t in tails:
-        if t not in ends:
-            ends[t] = int(hashes([t])[0] % np.uint64(CLASSES))
-    return np.fromiter((ends[t] for t in tails), np.int64, len(tails))
+END = np.int64(0)  # the end's place among the words' hashes: class 0, all other bits 0
+_CLASS = np.uint64(CLASSES - 1)
+
+
+def _encoded(texts):
+    """(words with an end after each text, offsets).  The lowest bits of a
+    word's hash are its class, by the hash of its last three bytes."""
+    t = Tokens(texts, lower=True)
+    size = t.end - t.start
+    tail = t.bytes[t.end - 1].astype(np.uint64) if len(t) else np.zeros(0, np.uint64)
+    for j in (2, 3):
+        ok = size >= j
+        tail[ok] |= t.bytes[t.end[ok] - j].astype(np.uint64) << np.uint64(8 * (j - 1))
+    tok = ((t.hashes() | (_CLASS + np.uint64(1))) & ~_CLASS) | (mix(tail) & _CLASS)  # never END
+    offsets = t.offsets + np.arange(len(t.offsets))
+    out = np.full(offsets[-1], END, np.int64)
+    at = np.arange(len(t)) + t.of()
+    out[at] = tok.view(np.int64)
+    return out, offsets
 
 
 def _count(frames):
-    seen: dict[bytes, int] = {}
+    held, size = [], 0
 
     def flush():
-        words_ = list(seen)
-        out = pd.DataFrame({"tok": _signed(hashes(words_)), "cls": _classes(words_), "n": np.fromiter(seen.values(), np.int64, len(seen))})
-        seen.clear()
-        return out
+        tok = np.concatenate([h[0] for h in held])
+        n = np.concatenate([h[1] for h in held])
+        tok, at = np.unique(tok, return_inverse=True)
+        return tok, np.bincount(at, weights=n).astype(np.int64)
 
     for f in frames:
         texts = f["text"].tolist()
         for lo, hi in slices(texts):
-            codes, _, distinct = coded(_lower_words(texts[lo:hi]))
-            for w, n in zip(distinct, np.bincount(codes, minlength=len(distinct)).tolist()):
-                seen[w] = seen.get(w, 0) + n
-            if len(seen) > 600_000:
-                yield flush()
-    if seen:
-        yield flush()
+            held.append(np.unique(_encoded(texts[lo:hi])[0], return_counts=True))
+            size += len(held[-1][0])
+            if size > 3_000_000:
+                held = [flush()]
+                size = len(held[0][0])
+                if size > 1_500_000:
+                    yield pd.DataFrame({"tok": held[0][0], "n": held[0][1]})
+                    held, size = [], 0
+    if held:
+        tok, n = flush()
+        yield pd.DataFrame({"tok": tok, "n": n})
 
 
 class Vocabulary:
@@ -92,13 +96,15 @@ class Vocabulary:
         got = counts.where(F.col("n") >= max(1.0, self.n * share)).toPandas()  # at most 1 / share rows
         got = got.sort_values("tok", ignore_index=True)
         self.tok, self.c = got["tok"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
-        end = _signed(hashes([END]))[0]
-        order = [i for i in np.lexsort((self.tok, -self.c)).tolist() if self.tok[i] != end][:SHORT]
+        order = [i for i in np.lexsort((self.tok, -self.c)).tolist() if self.tok[i] != END][:SHORT]
         self.symbol = np.full(len(self.tok), -1, np.int64)
         self.symbol[order] = 1 + np.arange(len(order))
-        self.symbol[self.tok == end] = 0
-        short = [int(t) for t, s in zip(self.tok, self.symbol) if s >= 0] + [int(end)]
-        by = counts.where(~F.col("tok").isin(short)).groupBy("cls").agg(F.sum("n").alias("n"), F.count("*").alias("v")).toPandas()
+        self.symbol[self.tok == END] = 0
+        by_hash = sorted(order)
+        self.short, self.short_symbol = self.tok[by_hash], self.symbol[by_hash]
+        known = [int(t) for t in self.short] + [int(END)]
+        cls = F.col("tok").bitwiseAND(F.lit(CLASSES - 1))
+        by = counts.where(~F.col("tok").isin(known)).groupBy(cls.alias("cls")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).toPandas()
         self.class_n, self.class_v = np.zeros(CLASSES), np.zeros(CLASSES)
         self.class_n[by["cls"]], self.class_v[by["cls"]] = by["n"], by["v"]
         uni = np.zeros(SYMBOLS)
@@ -106,18 +112,19 @@ class Vocabulary:
         uni[1 + SHORT:] = self.class_n
         self.unigram = (uni + 0.5) / (uni + 0.5).sum()
 
-    def look_up(self, distinct: list[bytes]):
-        """(hash, count or -1 if not shipped, symbol, class) of words."""
-        tok, cls = _signed(hashes(distinct)), _classes(distinct)
+    def symbols(self, tok: np.ndarray) -> np.ndarray:
+        out = 1 + SHORT + (tok & (CLASSES - 1))
+        if len(self.short):
+            at = np.minimum(np.searchsorted(self.short, tok), len(self.short) - 1)
+            out = np.where(self.short[at] == tok, self.short_symbol[at], out)
+        return np.where(tok == END, 0, out)
+
+    def counts_of(self, tok: np.ndarray) -> np.ndarray:
+        """Count of each word, -1 if it is not among the shipped ones."""
         if not len(self.tok):
-            at, hit = np.zeros(len(tok), np.int64), np.zeros(len(tok), bool)
-            c, sym = np.full(len(tok), -1, np.int64), np.full(len(tok), -1, np.int64)
-        else:
-            at = np.minimum(np.searchsorted(self.tok, tok), len(self.tok) - 1)
-            hit = self.tok[at] == tok
-            c, sym = np.where(hit, self.c[at], -1), np.where(hit, self.symbol[at], -1)
-        sym = np.where(np.array([w == END for w in distinct], bool), 0, sym) if len(distinct) else sym
-        return tok, c, np.where(sym >= 0, sym, 1 + SHORT + cls), cls
+            return np.full(len(tok), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.tok, tok), len(self.tok) - 1)
+        return np.where(self.tok[at] == tok, self.c[at], -1)
 
 
 # ------------------------------------------------------------------ the model
@@ -200,12 +207,6 @@ def log10_softmax(p: np.ndarray, ctx: np.ndarray, target: np.ndarray) -> np.ndar
     return out
 
 
-def _encode(vocabulary: Vocabulary, texts):
-    codes, offsets, distinct = coded(_lower_words(texts))
-    tok, c, sym, cls = vocabulary.look_up(distinct)
-    return codes, offsets, tok, c, sym, cls
-
-
 def _train(shared, params: np.ndarray):
     def run(frames):
         vocabulary, p = revived(Vocabulary, shared), params.copy()
@@ -216,8 +217,8 @@ def _train(shared, params: np.ndarray):
         for f in frames:
             texts = f["text"].tolist()
             for lo, hi in slices(texts):
-                codes, offsets, _, _, sym, _ = _encode(vocabulary, texts[lo:hi])
-                s = sym[codes]
+                tok, offsets = _encoded(texts[lo:hi])
+                s = vocabulary.symbols(tok)
                 ctx = contexts(s, offsets)
                 order = rng.permutation(len(s))
                 noise = rng.choice(SYMBOLS, (len(s) // BATCH + 1, NOISE), p=vocabulary.unigram)
@@ -254,21 +255,24 @@ def _score(shared, params):
         for f in frames:
             texts = f["text"].tolist()
             for lo, hi in slices(texts):
-                codes, offsets, tok, c, sym, cls = _encode(vocabulary, texts[lo:hi])
-                s = sym[codes]
+                tok, offsets = _encoded(texts[lo:hi])
+                s, c = vocabulary.symbols(tok), vocabulary.counts_of(tok)
                 lm = log10_softmax(p, contexts(s, offsets), s)
-                known = c >= 0  # shipped
-                base = np.where(known, np.log10((np.maximum(c, 0) + 0.1) / (all_n + 0.1 * (all_v + 1))), 0.0)
-                inner = np.where(known & (sym > SHORT), np.log10((np.maximum(c, 0) + 0.1) / (vocabulary.class_n[cls] + 0.1 * (vocabulary.class_v[cls] + 1))), 0.0)
-                rare_tok, rare_n = [], []
-                for i in range(hi - lo):
-                    own = codes[offsets[i]:offsets[i + 1]]
-                    own, n = np.unique(own[~known[own]], return_counts=True)
-                    rare_tok.append(tok[own]), rare_n.append(n * CLASSES + cls[own])
+                known, cls = c >= 0, tok & (CLASSES - 1)
+                of_c = np.log10(np.maximum(c, 0) + 0.1)
+                base = np.where(known, of_c - np.log10(all_n + 0.1 * (all_v + 1)), 0.0)
+                lm += np.where(known & (s > SHORT), of_c - np.log10(vocabulary.class_n[cls] + 0.1 * (vocabulary.class_v[cls] + 1)), 0.0)
+                other = np.flatnonzero(~known)
+                of = np.searchsorted(offsets, other, side="right") - 1
+                order = np.lexsort((tok[other], of))
+                of, rare = of[order], tok[other][order]
+                head = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (rare[1:] != rare[:-1])]) if len(of) else np.zeros(0, np.int64)
+                times = np.diff(np.append(head, len(of)))
+                cut = np.searchsorted(of[head], np.arange(hi - lo + 1))
                 yield pd.DataFrame({
-                    "rid": f["rid"].iloc[lo:hi].to_numpy(), "doc_id": f["doc_id"].iloc[lo:hi].array, "n_tokens": np.diff(offsets),
-                    "n_known": sums(known[codes], offsets).astype(np.int64), "base": sums(base[codes], offsets),
-                    "lm": sums(lm + inner[codes], offsets), "rare": rare_tok, "rare_n": rare_n})
+                    "rid": f["rid"].iloc[lo:hi].to_numpy(), "doc_id": f["doc_id"].array[lo:hi], "n_tokens": np.diff(offsets),
+                    "n_known": sums(known, offsets).astype(np.int64), "base": sums(base, offsets), "lm": sums(lm, offsets),
+                    "rare": [rare[head[a:b]] for a, b in zip(cut[:-1], cut[1:])], "rare_n": [times[a:b] for a, b in zip(cut[:-1], cut[1:])]})
 
     return run
 
@@ -278,7 +282,7 @@ def scores(docs: DataFrame, folds: int = FOLDS, share: float = SHARE) -> DataFra
     spark = docs.sparkSession
     rows = pick(docs, doc_id="long", text="string")
     training = rows.where(~held_out("doc_id", folds))
-    counts = training.select("text").mapInPandas(_count, "tok long, cls long, n long").groupBy("tok", "cls").agg(F.sum("n").alias("n"))
+    counts = training.select("text").mapInPandas(_count, "tok long, n long").groupBy("tok").agg(F.sum("n").alias("n"))
     counts = staged(counts, "lm-counts")
     vocabulary = Vocabulary(counts, share)
     shared = shipped(spark, vocabulary)  # at most 1 / share words
@@ -291,10 +295,10 @@ def scores(docs: DataFrame, folds: int = FOLDS, share: float = SHARE) -> DataFra
     got = got.select("rid", "doc_id", "n_tokens", "n_known", "base", "lm", F.explode_outer(F.arrays_zip("rare", "rare_n")).alias("r"),
                      F.col("rare")[0].alias("head")).select("*", (F.col("r.rare").isNull() | (F.col("r.rare") == F.col("head"))).alias("first"))
     own = [F.when(F.col("first"), F.col(c)).alias(c) for c in ("doc_id", "n_tokens", "n_known", "base", "lm")]
-    got = got.select("rid", *own, F.col("r.rare").alias("tok"), F.floor(F.col("r.rare_n") / CLASSES).alias("tf"), (F.col("r.rare_n") % CLASSES).cast("int").alias("cls"))
+    got = got.select("rid", *own, F.col("r.rare").alias("tok"), F.col("r.rare_n").alias("tf"), F.col("r.rare").bitwiseAND(F.lit(CLASSES - 1)).cast("int").alias("cls"))
     whole = got.where("tok is null").select("rid", "doc_id", "n_tokens", "n_known", "base", "lm")
-    small = counts.where(F.col("n") < max(1.0, n * share)).select("tok", "n")
-    parts = got.where("tok is not null").join(small, "tok", "left")
+    rarer = counts.where(F.col("n") < max(1.0, n * share)).select("tok", "n")
+    parts = got.where("tok is not null").join(rarer, "tok", "left")
     c = F.coalesce("n", F.lit(0))
     class_total = F.array(*[F.lit(float(a + 0.1 * (b + 1))) for a, b in zip(vocabulary.class_n, vocabulary.class_v)])
     parts = parts.select(

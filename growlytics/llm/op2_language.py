@@ -21,34 +21,42 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growlytics.llm.common import appended, by_value, coded, held_out, pick, plain, restored, slices, sums
+from growlytics.llm.common import Tokens, appended, by_value, flags, held_out, pick, plain, restored, slices, sums
 
 by_value(__name__)
 BUCKETS = 1 << 15
 FOLDS = 5
 
 
-def _trigrams(distinct: list[bytes]):
-    """Buckets of the trigrams of all words (each framed by blanks), and the
-    offsets of each word."""
-    sizes = np.fromiter((len(w) for w in distinct), np.int64, len(distinct))
-    raw = np.frombuffer(b"  ".join([b"", *distinct, b""]), np.uint8).astype(np.uint32)
-    offsets = np.concatenate([[0], np.cumsum(sizes)])
-    if not len(distinct):
-        return np.empty(0, np.int64), offsets
-    # word i starts at offsets[i] + 2 * (i + 1); its trigrams start one before it
-    first = offsets[:-1] + 2 * np.arange(1, len(distinct) + 1) - 1
-    at = np.repeat(first - offsets[:-1], sizes) + np.arange(offsets[-1])
-    code = raw[at] << 16 | raw[at + 1] << 8 | raw[at + 2]
-    return ((code * np.uint32(2654435761)) >> np.uint32(17)).astype(np.int64), offsets
+_LETTER = flags(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_EDGE = np.arange(256, dtype=np.uint32)
+_EDGE[[9, 10, 11, 12, 13]] = 32
 
 
-def _letters(word: bytes) -> bool:
-    return word.isalpha() or any(c.isalpha() for c in word.decode("utf-8", "replace"))
+def _trigrams(t: Tokens):
+    """The buckets of the trigrams around each byte of the words (blanks
+    stand around a word), and the offsets of each word's."""
+    raw = _EDGE[np.concatenate([[32], t.bytes, [32]]).astype(np.int64)]
+    code = raw[:-2] << np.uint32(16) | raw[1:-1] << np.uint32(8) | raw[2:]
+    size = t.end - t.start
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    at = np.repeat(t.start - offsets[:-1], size) + np.arange(offsets[-1])
+    return ((code[at] * np.uint32(2654435761)) >> np.uint32(17)).astype(np.int64), offsets
 
 
-def _words(text) -> list[bytes]:
-    return text.lower().encode("utf-8", "replace").split() if text else []
+def _lettered(t: Tokens) -> np.ndarray:
+    """Which words have a letter (of any script)."""
+    if not len(t):
+        return np.zeros(0, bool)
+    ok = np.diff(np.concatenate([[0], np.cumsum(_LETTER[t.bytes])])[np.stack([t.start, t.end])], axis=0)[0] > 0
+    wide = np.diff(np.concatenate([[0], np.cumsum(t.bytes >= 128)])[np.stack([t.start, t.end])], axis=0)[0] > 0
+    for i in np.flatnonzero(wide & ~ok).tolist():
+        ok[i] = any(c.isalpha() for c in t.raw[t.start[i]:t.end[i]].decode("utf-8", "replace"))
+    return ok
+
+
+def _lower(texts) -> Tokens:
+    return Tokens([t.lower() if t else t for t in texts])
 
 
 def _count(frames):
@@ -58,10 +66,7 @@ def _count(frames):
             texts = texts.tolist()
             into = total.setdefault(lang, np.zeros(BUCKETS, np.int64))
             for lo, hi in slices(texts):
-                codes, _, distinct = coded([_words(t) for t in texts[lo:hi]])
-                at, offsets = _trigrams(distinct)
-                times = np.bincount(codes, minlength=len(distinct))
-                into += np.bincount(at, weights=np.repeat(times, np.diff(offsets)), minlength=BUCKETS).astype(np.int64)
+                into += np.bincount(_trigrams(_lower(texts[lo:hi]))[0], minlength=BUCKETS)
     for lang, n in total.items():
         at = np.flatnonzero(n)
         yield pd.DataFrame({"lang": lang, "bucket": at, "n": n[at]})
@@ -90,13 +95,12 @@ def _em(lik, doc, offsets, n, pi, steps):
     return pi, sums(np.log((lik * pi[doc]).sum(axis=1)), offsets)
 
 
-def infer(word_ll: np.ndarray, codes: np.ndarray, offsets: np.ndarray, steps: int = 8) -> np.ndarray:
-    """Shares per document [documents, languages]; every document has at
-    least one word."""
+def infer(word_ll: np.ndarray, offsets: np.ndarray, steps: int = 6) -> np.ndarray:
+    """Shares per document [documents, languages] from the log-likelihoods
+    of their words; every document has at least one word."""
     n = np.diff(offsets).astype(np.float64)
     langs = word_ll.shape[1]
-    like = np.exp(np.maximum(word_ll - word_ll.max(axis=1, keepdims=True), -60.0))
-    lik = like[codes]
+    lik = np.exp(np.maximum(word_ll - word_ll.max(axis=1, keepdims=True), -60.0))
     doc = np.repeat(np.arange(len(n)), np.diff(offsets))
     pi, _ = _em(lik, doc, offsets, n, np.full((len(n), langs), 1.0 / langs), steps)
     pi = np.where(pi * n[:, None] < 0.5, 0.0, pi)  # less than half a word
@@ -125,15 +129,15 @@ def infer(word_ll: np.ndarray, codes: np.ndarray, offsets: np.ndarray, steps: in
 def _judge(langs: list[str], table: np.ndarray, texts: list):
     pred, score, shares = ["und"] * len(texts), [0.0] * len(texts), [[] for _ in texts]
     for lo, hi in slices(texts):
-        codes, offsets, distinct = coded([_words(t) for t in texts[lo:hi]])
-        ok = np.fromiter(map(_letters, distinct), bool, len(distinct))
-        use = ok[codes] if len(codes) else np.zeros(0, bool)
-        sizes = sums(use, offsets).astype(np.int64)
+        t = _lower(texts[lo:hi])
+        use = _lettered(t)
+        sizes = sums(use, t.offsets).astype(np.int64)
         some = np.flatnonzero(sizes)
         if not len(some) or not langs:
             continue
-        at, word_at = _trigrams(distinct)
-        pi = infer(sums(table[at], word_at), codes[use], np.concatenate([[0], np.cumsum(sizes[some])]))
+        at, word_at = _trigrams(t)
+        word_ll = np.column_stack([sums(table[at, i], word_at) for i in range(len(langs))])
+        pi = infer(word_ll[use], np.concatenate([[0], np.cumsum(sizes[some])]))
         for i, k, p in zip(some.tolist(), pi.argmax(axis=1).tolist(), pi):
             pred[lo + i], score[lo + i], shares[lo + i] = langs[k], min(1.0, max(0.0, float(p[k]))), p.tolist()
     return pred, score, shares

@@ -6,13 +6,13 @@ at least num/den to it; similarity is judged on the input, so the result does
 not depend on an order of removals.  Blank lines stay.
 
 1. Word frequencies give the global order "rarest first" (any total order is
-   exact; the frequent words, at most 1/``SHARE`` of them, are ranked by
-   their counts, the rest by hash).
+   exact): words are counted in ``BUCKETS`` buckets of their hash, a table of
+   fixed size; ties are ordered by hash.
 2. Equal sets collapse to their first line (partial aggregation, so a line
    that stands in a third of all documents is one row per task).
-3. Most lines that have an earlier match share a min-hash with it: the first
-   line per min-hash is a cheap candidate.  What it matches exactly is
-   settled, so a large group of near copies does not become all pairs.
+3. Where more than ``CROWD`` lines share a min-hash, the first one is tried
+   for all others.  What it matches exactly is settled, so a large group of
+   near copies does not become all pairs.
 4. All other lines probe an inverted index: the rarest words of each line
    (prefix filter) are joined with those of all lines, under the length
    filter, the positional filter and a parity-bitmap bound on the symmetric
@@ -31,162 +31,159 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growlytics.llm.common import appended, by_value, coded, hashes, mix, plain, restored, row_key, slices, staged, words
+from growlytics.llm.common import Tokens, appended, by_value, mix, plain, restored, row_key, slices, small, staged, words
 
 by_value(__name__)
-NUM, DEN, SHARE, MINHASHES = 4, 5, 1e-6, 3
+NUM, DEN, MINHASHES = 4, 5, 3
+BUCKETS, SHARE, CROWD = 1 << 22, 1e-6, 16
 ROW = "key long, n int, bm1 long, bm2 long, m0 long, m1 long, m2 long, nul boolean, doc_id long, rid long, line int, prefix array<int>"
+_TOP = np.uint64(42)  # the 22 highest bits choose the bucket
 
 
 def _frequencies(share: float):
     def run(frames):
-        seen: dict[bytes, int] = {}
-        total = 0
-
-        def flush():
-            floor = max(2.0, total * share)
-            often = [w for w, n in seen.items() if n >= floor]
-            out = pd.DataFrame({"tok": hashes(often).view(np.int64), "n": np.fromiter((seen[w] for w in often), np.int64, len(often))})
-            seen.clear()
-            return out
-
+        count, total = np.zeros(BUCKETS, np.int64), 0
         for f in frames:
             texts = f["text"].tolist()
             for lo, hi in slices(texts):
-                codes, _, distinct = coded([words(t) for t in texts[lo:hi]])
-                total += len(codes)
-                for w, n in zip(distinct, np.bincount(codes, minlength=len(distinct)).tolist()):
-                    seen[w] = seen.get(w, 0) + n
-                if len(seen) > 600_000:
-                    yield flush()
-                    total = 0
-        if seen:
-            yield flush()
+                h = Tokens(texts[lo:hi]).hashes()
+                at, n = np.unique(h >> _TOP, return_counts=True)
+                count[at.astype(np.int64)] += n
+                total += len(h)
+        at = np.flatnonzero(count >= max(2.0, total * share))
+        yield pd.DataFrame({"bucket": at, "n": count[at]})
 
     return run
 
 
-def frequent_words(texts: DataFrame, share: float = SHARE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (sorted) and counts of at most 1/share words.  A word too rare
-    to show in any task's share is left out: it only moves in the order."""
-    counts = texts.mapInPandas(_frequencies(share), "tok long, n long").groupBy("tok").agg(F.sum("n").alias("n"))
-    counts = staged(counts, "lines-words")
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    got = counts.where(F.col("n") >= max(2.0, total * share)).toPandas()
-    tok, n = got["tok"].to_numpy(np.int64).view(np.uint64), got["n"].to_numpy(np.int64)
-    order = np.argsort(tok)
-    return tok[order], n[order]
+def frequency_classes(texts: DataFrame, share: float = SHARE) -> np.ndarray:
+    """A class from 0 (rare) to 63 for each bucket of word hashes: the
+    logarithm of the bucket's count.  A bucket that no task finds frequent
+    stays at 0; that only moves its words in the order."""
+    counts = texts.mapInPandas(_frequencies(share), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(BUCKETS, np.uint8)
+    out[counts["bucket"].to_numpy(np.int64)] = np.minimum(63, 1 + np.log2(counts["n"].to_numpy(np.float64)) * 1.5).astype(np.uint8)
+    return out
 
 
 def _prefix(n, num: int, den: int):
     return n - (num * n + den - 1) // den + 1
 
 
+def _sorted_sets(line: np.ndarray, rarity: np.ndarray, h: np.ndarray):
+    """Order words by (line, rarity, hash) and drop repeats in a line."""
+    if line[-1] < 1 << 18:
+        key = line.astype(np.uint64) << np.uint64(46) | rarity.astype(np.uint64) << np.uint64(40) | h >> np.uint64(24)
+        order = np.argsort(key)
+    else:
+        order = np.lexsort((h, rarity, line))
+    line, h = line[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
+    return line[new], h[new]
+
+
 def _lines(shared, num: int, den: int):
-    bit = np.uint64(1)
+    one = np.uint64(1)
 
-    def run(frames):
-        tok, count = shared.value
-        for f in frames:
-            texts = f["text"].tolist()
-            ids, rids = f["doc_id"].array, f["rid"].to_numpy(np.int64)
+    def run(batches):
+        import pyarrow as pa
+
+        rarity = shared.value
+        for b in batches:
+            texts = b.column("text").to_pylist()
+            ids = b.column("doc_id")
+            rids = b.column("rid").to_numpy()
             for lo, hi in slices(texts):
-                lists, doc, line = [], [], []
-                for i in range(lo, hi):
-                    for k, x in enumerate((texts[i] or "").split("\n")):
-                        w = words(x)
-                        if w:
-                            lists.append(w), doc.append(i), line.append(k)
-                if not lists:
+                t = Tokens(texts[lo:hi])
+                if not len(t):
                     continue
-                codes, offsets, distinct = coded(lists)
-                h = hashes(distinct)
-                at = np.minimum(np.searchsorted(tok, h), max(len(tok) - 1, 0))
-                often = np.where(tok[at] == h, count[at], 0) if len(tok) else np.zeros(len(h), np.int64)
-                by_rarity = np.lexsort((h, often))
-                rank = np.empty(len(h), np.int64)
-                rank[by_rarity] = np.arange(len(h))
-                of = np.repeat(np.arange(len(lists)), np.diff(offsets))
-                pairs = np.unique(of * len(h) + rank[codes])
-                of, hs = pairs // len(h), h[by_rarity][pairs % len(h)]
-                n = np.bincount(of, minlength=len(lists))
-                start = np.concatenate([[0], np.cumsum(n)])
-                heads = start[:-1]
-                shift = (hs >> np.uint64(1)) & np.uint64(63)
-                low = (hs & bit).astype(bool)
-                bits = bit << shift
+                ends = np.flatnonzero(t.bytes == 10)
+                line = np.searchsorted(ends, t.start)
+                h = t.hashes()
+                line, h = _sorted_sets(line, rarity[(h >> _TOP).astype(np.int64)], h)
+                heads = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
+                which = line[heads]
+                n = np.diff(np.append(heads, len(h)))
+                text = np.searchsorted(t.begin, np.concatenate([[0], ends + 1])[which], side="right") - 1
+                first = np.searchsorted(ends, t.begin[:-1])  # the number of each text's first line
+                low = (h & one).astype(bool)
+                bits = one << ((h >> one) & np.uint64(63))
                 size = _prefix(n, num, den)
-                short = (hs >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                doc = np.array(doc)
-                yield pd.DataFrame({
-                    "key": np.add.reduceat(mix(hs), heads).view(np.int64), "n": n.astype(np.int32),
-                    "bm1": np.bitwise_xor.reduceat(np.where(low, bits, 0).astype(np.uint64), heads).view(np.int64),
-                    "bm2": np.bitwise_xor.reduceat(np.where(low, 0, bits).astype(np.uint64), heads).view(np.int64),
-                    **{f"m{i}": np.minimum.reduceat(mix(hs ^ np.uint64(0x9E3779B97F4A7C15 * (i + 1) % 2**64)), heads).view(np.int64) for i in range(MINHASHES)},
-                    "nul": pd.isna(ids[doc]), "doc_id": ids[doc], "rid": rids[doc], "line": np.array(line, np.int32),
-                    "prefix": [short[a:a + s] for a, s in zip(heads, size)]})
+                offsets = np.concatenate([[0], np.cumsum(size)])
+                at = np.repeat(heads - offsets[:-1], size) + np.arange(offsets[-1])
+                short = (h >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                doc = ids.take(pa.array(lo + text))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (
+                    np.add.reduceat(mix(h), heads).view(np.int64), n.astype(np.int32),
+                    np.bitwise_xor.reduceat(np.where(low, bits, np.uint64(0)), heads).view(np.int64),
+                    np.bitwise_xor.reduceat(np.where(low, np.uint64(0), bits), heads).view(np.int64),
+                    *[np.minimum.reduceat(mix(h ^ np.uint64(0x9E3779B97F4A7C15 * (i + 1) % 2**64)), heads).view(np.int64) for i in range(MINHASHES)])] + [
+                    doc.is_null(), doc, pa.array(rids[lo + text]), pa.array((which - first[text]).astype(np.int32)),
+                    pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(short[at]))],
+                    ["key", "n", "bm1", "bm2", "m0", "m1", "m2", "nul", "doc_id", "rid", "line", "prefix"])
 
     return run
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, num: int, den: int, what: str) -> DataFrame:
-    """The keys of ``pairs`` (key, rid, line and the earlier rid_0, line_0)
+    """The ids of ``pairs`` (id, rid, line and the earlier rid_0, line_0)
     whose similarity is really at least num/den."""
     wanted = pairs.select("rid", "line").union(pairs.select("rid_0", "line_0")).distinct()
-    wanted = wanted.groupBy("rid").agg(F.collect_set("line").alias("lines"))
-    sets = docs.join(wanted, "rid").select("rid", F.split("text", "\n").alias("all"), F.explode("lines").alias("line"))
+    wanted = staged(wanted.groupBy("rid").agg(F.collect_set("line").alias("lines")), what + "-wanted")
+    sets = docs.join(small(wanted), "rid").select("rid", F.split("text", "\n").alias("all"), F.explode("lines").alias("line"))
     toks = F.array_distinct(F.filter(F.split(F.element_at("all", F.col("line") + 1), r"[\x20\x09-\x0D]+"), lambda x: x != ""))
-    sets = staged(sets.select("rid", "line", toks.alias("w")), what)
+    sets = staged(sets.select("rid", "line", toks.alias("w")), what + "-words")
     both = pairs.join(sets, ["rid", "line"]).join(sets.select(F.col("rid").alias("rid_0"), F.col("line").alias("line_0"), F.col("w").alias("w_0")), ["rid_0", "line_0"])
     i = F.size(F.array_intersect("w", "w_0"))
-    return both.where(i * (num + den) >= num * (F.size("w") + F.size("w_0"))).select("key").distinct()
+    return staged(both.where(i * (num + den) >= num * (F.size("w") + F.size("w_0"))).select("id").distinct(), what)
 
 
-def kept_lines(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+def kept_lines(docs: DataFrame, num: int = NUM, den: int = DEN, crowd: int = CROWD) -> DataFrame:
     """(rid, line) of the lines with words that stay; docs: doc_id, rid, text."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(frequent_words(docs.select("text")))  # at most 1 / SHARE words
-    lines = docs.select("doc_id", "rid", "text").mapInPandas(_lines(shared, num, den), ROW)
-    sets = ["key", "n", "bm1", "bm2"]
-    rest = ["nul", "doc_id", "rid", "line", "m0", "m1", "m2", "prefix"]
-    firsts = lines.groupBy(*sets).agg(F.min(F.struct(*rest)).alias("s"))
-    firsts = staged(firsts.select(*sets, *[f"s.{c}" for c in rest]), "lines-first")
-    place = F.struct("nul", "doc_id", "rid", "line")
-
-    def near(a: str, b: str):
-        """Length filter and bitmap bound (the overlap must reach ``least``)."""
+    shared = spark.sparkContext.broadcast(frequency_classes(docs.select("text")))  # BUCKETS bytes
+    lines = docs.select("doc_id", "rid", "text").mapInArrow(_lines(shared, num, den), ROW)
+    sets, rest = ["key", "n", "bm1", "bm2"], ["nul", "doc_id", "rid", "line", "m0", "m1", "m2", "prefix"]
+    firsts = lines.groupBy(*sets).agg(F.min(F.struct(*rest)).alias("s")).select("n", "bm1", "bm2", *[f"s.{c}" for c in rest])
+    # ids in corpus order: earlier lines have smaller ids
+    firsts = staged(firsts, "lines-first").orderBy("nul", "doc_id", "rid", "line")
+    firsts = staged(firsts.drop("nul", "doc_id").withColumn("id", F.monotonically_increasing_id()), "lines-ordered")
+    place = firsts.select("id", "n", "bm1", "bm2", "rid", "line")
+
+    def bound(a: str, b: str):
+        """(length filter, least overlap, most symmetric difference)."""
         na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-        least = F.ceil((na + nb) * num / (num + den) - 1e-9)
-        return (F.greatest(na, nb) * num <= F.least(na, nb) * den), least, na + nb - 2 * least
-
-    # the first line of each min-hash is a candidate for the later ones
-    bands = firsts.select(*sets, place.alias("at"), F.posexplode(F.array("m0", "m1", "m2")).alias("slot", "m"))
-    hubs = bands.groupBy("slot", "m").agg(F.min(F.struct("at", *sets)).alias("h"), F.count("*").alias("size")).where("size > 1").select("slot", "m", "h.*")
-    length, _, apart = near("b", "h")
-    found = bands.alias("b").join(hubs.alias("h"), (F.col("b.slot") == F.col("h.slot")) & (F.col("b.m") == F.col("h.m")) & (F.col("h.at") < F.col("b.at")) & length
-                                  & (F.bit_count(F.col("b.bm1").bitwiseXOR(F.col("h.bm1"))) + F.bit_count(F.col("b.bm2").bitwiseXOR(F.col("h.bm2"))) <= apart))
-    pairs = found.select("b.key", F.col("b.at.rid").alias("rid"), F.col("b.at.line").alias("line"), F.col("h.at.rid").alias("rid_0"), F.col("h.at.line").alias("line_0"))
-    pairs = staged(pairs.distinct(), "lines-hubs")
-    settled = staged(_verified(docs, pairs, num, den, "lines-hub-words"), "lines-settled")
-
-    # the others probe the prefix index of all lines
-    postings = ["tok", "key", "n", "bm1", "pos"]
-    index = firsts.select("key", "n", "bm1", F.posexplode("prefix").alias("pos", "tok")).select(*postings)
-    probe = firsts.join(settled, "key", "left_anti").select("key", "n", "bm1", F.posexplode("prefix").alias("pos", "tok")).select(*postings)
-    length, least, apart = near("p", "i")
+        least = F.floor((F.lit(num).cast("long") * (na + nb) + (num + den - 1)) / F.lit(num + den))
+        return F.greatest(na, nb) * num <= F.least(na, nb) * den, least, na + nb - 2 * least
+
+    def apart(a: str, b: str, *maps: str):
+        return sum((F.bit_count(F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}"))) for m in maps), F.lit(0))
+
+    def placed(pairs: DataFrame, what: str) -> DataFrame:
+        """Pairs (id, id_0) that pass the filters on both bitmaps, with places."""
+        p, i = place.alias("p"), place.withColumnRenamed("id", "id_0").alias("i")
+        length, _, most = bound("p", "i")
+        out = pairs.alias("x").join(p, F.col("x.id") == F.col("p.id")).join(i, F.col("x.id_0") == F.col("i.id_0"))
+        out = out.where(length & (apart("p", "i", "bm1", "bm2") <= most))
+        return staged(out.select("x.id", "p.rid", "p.line", F.col("i.rid").alias("rid_0"), F.col("i.line").alias("line_0")), what)
+
+    # in a crowd that shares a min-hash, the first line is tried for all others
+    bands = firsts.select("id", F.posexplode(F.array("m0", "m1", "m2")).alias("slot", "m"))
+    crowds = bands.groupBy("slot", "m").agg(F.min("id").alias("id_0"), F.count("*").alias("size")).where(F.col("size") > crowd)
+    crowds = staged(crowds.drop("size"), "lines-crowds")
+    tried = bands.join(small(crowds), ["slot", "m"]).where("id > id_0").select("id", "id_0").distinct()
+    settled = _verified(docs, placed(tried, "lines-tried"), num, den, "lines-settled")
+
+    # all others probe the prefix index of the lines before them
+    index = firsts.select("id", "n", "bm1", F.posexplode("prefix").alias("pos", "tok"))
+    probe = firsts.join(small(settled), "id", "left_anti").select("id", "n", "bm1", F.posexplode("prefix").alias("pos", "tok"))
+    length, least, most = bound("p", "i")
     left = F.least(F.col("p.n") - F.col("p.pos"), F.col("i.n") - F.col("i.pos"))
-    found = probe.alias("p").join(index.alias("i"), (F.col("p.tok") == F.col("i.tok")) & (F.col("p.key") != F.col("i.key")) & length & (left >= least)
-                                  & (F.bit_count(F.col("p.bm1").bitwiseXOR(F.col("i.bm1"))) <= apart))
-    found = found.select(F.col("p.key").alias("key"), F.col("i.key").alias("key_0")).distinct()
-    slim = firsts.select("key", "n", "bm1", "bm2", place.alias("at"))
-    here = slim.select("key", F.struct("n", "bm1", "bm2", "at").alias("b"))
-    there = slim.select(F.col("key").alias("key_0"), F.struct("n", "bm1", "bm2", "at").alias("h"))
-    _, _, apart = near("b", "h")
-    found = found.join(here, "key").join(there, "key_0").where(
-        (F.col("h.at") < F.col("b.at")) & (F.bit_count(F.col("b.bm1").bitwiseXOR(F.col("h.bm1"))) + F.bit_count(F.col("b.bm2").bitwiseXOR(F.col("h.bm2"))) <= apart))
-    pairs = staged(found.select("key", F.col("b.at.rid").alias("rid"), F.col("b.at.line").alias("line"), F.col("h.at.rid").alias("rid_0"), F.col("h.at.line").alias("line_0")), "lines-found")
-    also = staged(_verified(docs, pairs, num, den, "lines-found-words"), "lines-also")
-    return firsts.join(settled.union(also), "key", "left_anti").select("rid", "line")
+    found = probe.alias("p").join(index.alias("i"), (F.col("p.tok") == F.col("i.tok")) & (F.col("i.id") < F.col("p.id")) & length & (left >= least) & (apart("p", "i", "bm1") <= most))
+    found = staged(found.select(F.col("p.id").alias("id"), F.col("i.id").alias("id_0")).distinct(), "lines-candidates")
+    also = _verified(docs, placed(found, "lines-found"), num, den, "lines-also")
+    return firsts.join(small(staged(settled.union(also), "lines-gone")), "id", "left_anti").select("rid", "line")
 
 
 def _strip(texts, kept):
@@ -209,8 +206,8 @@ def deduplicated(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     rows, at = plain(docs, doc_id="long", text="string")
     rows = rows.withColumn("rid", row_key(at["doc_id"], at["text"]))
     kept = kept_lines(rows.select("rid", F.col(at["doc_id"]).alias("doc_id"), F.col(at["text"]).alias("text")), num, den)
-    kept = kept.groupBy("rid").agg(F.collect_list("line").alias("kept"))  # the lines of one document
-    out = appended(rows.join(kept, "rid", "left"), [at["text"], "kept"], _strip, {"left": "string", "dedup_lines": "bigint", "dedup_removed": "bigint"})
+    kept = staged(kept.groupBy("rid").agg(F.collect_list("line").alias("kept")), "lines-kept")  # the lines of one document
+    out = appended(rows.join(small(kept), "rid", "left"), [at["text"], "kept"], _strip, {"left": "string", "dedup_lines": "bigint", "dedup_removed": "bigint"})
     return restored(out, docs.columns, "dedup_lines", "dedup_removed", text=F.col("left"))
 
 

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growlytics.llm.common import added, by_value, held_out, pick, staged, words
+from growlytics.llm.common import Tokens, added, by_value, flags, hashed, held_out, pick, slices, staged, sums
 
 by_value(__name__)
 FOLDS, WIDTH, RIDGE, SEED, BINS = 5, 256, 1e-3, 11, 1024
@@ -39,35 +39,63 @@ KINDS = 6 + len(_MARKS)
 N_FEATURES = KINDS + 10
 
 
-def features(text) -> np.ndarray:
-    """Statistics of one whole text."""
-    out = np.zeros(N_FEATURES)
-    if not text:
-        return out
-    raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-    out[:KINDS] = np.sqrt(np.bincount(_KIND[raw], minlength=KINDS) / len(raw))
-    toks = words(text)
-    n = len(toks)
-    lines = [x for x in text.split("\n") if x.strip()]
-    x = out[KINDS:]
-    x[0], x[1] = np.log1p(len(raw)), np.log1p(n)
-    if n:
-        sizes = np.fromiter(map(len, toks), np.int64, n)
-        distinct = len(set(toks))
-        x[2], x[3] = sizes.mean(), sizes.std()
-        x[4] = np.log1p(distinct) / np.log1p(n)
-        x[5] = (sizes <= 3).mean()
-        x[6] = sum(t.isupper() for t in toks) / n
-        x[7] = sum(t[-1] in b".!?" for t in toks) / n
-    if lines:
-        x[8] = np.log1p(n / len(lines))
-        x[9] = 1 - len(set(lines)) / len(lines)
+_UPPER, _SMALL = flags(bytes(range(65, 91))), flags(bytes(range(97, 123)))
+_STOPS = flags(b".!?")
+
+
+def _within(mask: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    total = np.concatenate([[0], np.cumsum(mask)])
+    return total[end] - total[start]
+
+
+def _distinct(of: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
+    """Number of different hashes of each text."""
+    order = np.lexsort((h, of))
+    of, h = of[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (of[1:] != of[:-1]) | (h[1:] != h[:-1])
+    return np.bincount(of[new], minlength=n)
+
+
+def features(texts) -> np.ndarray:
+    """Statistics of whole texts, one row each."""
+    m = len(texts)
+    out = np.zeros((m, N_FEATURES))
+    t = Tokens(texts)
+    size = np.diff(t.begin)  # bytes, and one line end
+    text_of = np.repeat(np.arange(m), size)
+    kinds = np.bincount(text_of * KINDS + _KIND[t.bytes], minlength=m * KINDS).reshape(m, KINDS)
+    kinds[:, 5] -= 1
+    size = size - 1
+    some = np.maximum(size, 1)
+    out[:, :KINDS] = np.sqrt(kinds / some[:, None])
+    x = out[:, KINDS:]
+    n = t.sizes()
+    words_ = np.maximum(n, 1)
+    long_ = (t.end - t.start).astype(np.float64)
+    x[:, 0], x[:, 1] = np.log1p(size), np.log1p(n)
+    x[:, 2] = sums(long_, t.offsets) / words_
+    x[:, 3] = np.sqrt(np.maximum(sums(long_ * long_, t.offsets) / words_ - x[:, 2] ** 2, 0))
+    x[:, 4] = np.log1p(_distinct(t.of(), t.hashes(), m)) / np.log1p(words_)
+    x[:, 5] = sums(long_ <= 3, t.offsets) / words_
+    x[:, 6] = sums((_within(_UPPER[t.bytes], t.start, t.end) > 0) & (_within(_SMALL[t.bytes], t.start, t.end) == 0), t.offsets) / words_
+    x[:, 7] = sums(_STOPS[t.bytes[t.end - 1]], t.offsets) / words_
+    ends = np.flatnonzero(t.bytes == 10)
+    starts = np.concatenate([[0], ends + 1])[:-1]
+    full = np.searchsorted(t.start, ends) > np.searchsorted(t.start, starts)
+    line_of = text_of[ends[full]]
+    lines = np.bincount(line_of, minlength=m)
+    x[:, 8] = np.log1p(n / np.maximum(lines, 1)) * (lines > 0)
+    x[:, 9] = 1 - _distinct(line_of, hashed(t.bytes, starts[full], ends[full]), m) / np.maximum(lines, 1)
+    out[size == 0] = 0
     return out
 
 
 def _features(frames):
     for f in frames:
-        yield pd.DataFrame({"doc_id": f["doc_id"], "x": [features(t).tolist() for t in f["text"]]})
+        texts = f["text"].tolist()
+        for lo, hi in slices(texts):
+            yield pd.DataFrame({"doc_id": f["doc_id"].array[lo:hi], "x": list(features(texts[lo:hi]))})
 
 
 def _basis(seed: int = SEED):

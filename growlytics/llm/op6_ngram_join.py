@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growlytics.llm.common import by_value, coded, components, hashes, mix, pick, plain, restored, rolled, row_key, slices, staged
+from growlytics.llm.common import Tokens, by_value, components, mix, pick, plain, restored, rolled, row_key, slices, small, staged
 
 by_value(__name__)
 N, NUM, DEN, DEPTH, LIMIT, RECALL, BLOCK = 5, 4, 5, 3, 12, 0.999, 256
@@ -52,12 +52,12 @@ def runs_needed(num: int, den: int, depth: int, recall: float) -> int:
 
 def shingle_sets(texts, n: int = N) -> list[np.ndarray]:
     """Distinct shingle hashes of each text, sorted."""
-    codes, offsets, distinct = coded([t.lower().encode("utf-8", "replace").split() if t else [] for t in texts])
-    h = hashes(distinct)[codes] if len(codes) else np.empty(0, np.uint64)
+    t = Tokens([x.lower() if x else x for x in texts])
+    h = t.hashes()
+    every = rolled(h, n)
     out = []
-    for i in range(len(texts)):
-        own = h[offsets[i]:offsets[i + 1]]
-        out.append(np.unique(rolled(own, min(n, len(own)))) if len(own) else own)
+    for a, b in zip(t.offsets[:-1].tolist(), t.offsets[1:].tolist()):
+        out.append(np.unique(every[a:b - n + 1]) if b - a >= n else rolled(h[a:b], b - a) if b > a else h[a:a])
     return out
 
 
@@ -122,8 +122,8 @@ def candidates(nodes: DataFrame, depth: int = DEPTH, limit: int = LIMIT) -> Data
         sizes = members.groupBy(p).agg(F.count("*").alias("size"), F.min("key").alias("h0"), F.max("key").alias("h1"),
                                        F.min(F.struct(F.xxhash64("key"), "key"))["key"].alias("h2")).where("size > 1")
         sizes = staged(sizes, f"join-sizes-{level}")
-        small = members.join(sizes.where(F.col("size") <= limit).select(p), p)
-        pairs = small.alias("x").join(small.alias("y"), (F.col(f"x.{p}") == F.col(f"y.{p}")) & (F.col("x.key") < F.col("y.key"))
+        few = members.join(sizes.where(F.col("size") <= limit).select(p), p)
+        pairs = few.alias("x").join(few.alias("y"), (F.col(f"x.{p}") == F.col(f"y.{p}")) & (F.col("x.key") < F.col("y.key"))
                                       & (F.greatest("x.n", "y.n") * NUM <= F.least("x.n", "y.n") * DEN)).select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
         large = sizes.where(F.col("size") > limit)
         stars = members.join(large, p).select("key", F.explode(F.array_distinct(F.array("h0", "h1", "h2"))).alias("h")).where("key <> h")
@@ -186,7 +186,7 @@ def joined(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, depth: i
 
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     wanted = nodes.join(wanted, "key").select("key", F.col("first.rid").alias("rid"), F.col("copies").alias("weight"))
-    sets = docs.select("rid", "text").join(wanted, "rid").dropDuplicates(["key"]).select("key", "weight", "text")
+    sets = docs.select("rid", "text").join(small(staged(wanted, "join-wanted")), "rid").dropDuplicates(["key"]).select("key", "weight", "text")
     sets = staged(sets.mapInPandas(_sets(n), "key long, w long, x array<long>"), "join-sets")
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("x").alias("xa")), "a").join(sets.select(F.col("key").alias("b"), F.col("x").alias("xb")), "b")
     common = F.size(F.array_intersect("xa", "xb"))
@@ -204,7 +204,7 @@ def joined(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, depth: i
     heads = of.groupBy("comp").agg(F.min("first").alias("head"))
     of = of.join(heads, "comp").join(counted, "key", "left")
     of = staged(of.select("key", "head", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "n"), "join-labels")
-    out = member.select("rid", "doc_id", "key").join(of, "key")
+    out = member.select("rid", "doc_id", "key").join(small(of), "key")
     blank = F.col("n") == 0
     return out.select("rid", "doc_id", F.col("head.doc_id").alias("class_id"), F.when(blank, 0).otherwise(F.col("n_links")).cast("long").alias("n_links"), F.col("head.rid").alias("leader"))
 
@@ -222,5 +222,5 @@ def representatives(docs: DataFrame, **options) -> DataFrame:
     rows, at = plain(docs, doc_id="long", text="string")
     rows = rows.withColumn("rid", row_key(at["doc_id"], at["text"]))
     out = joined(rows.select("rid", F.col(at["doc_id"]).alias("doc_id"), F.col(at["text"]).alias("text")), **options)
-    leaders = out.select(F.col("leader").alias("rid")).distinct()
-    return restored(rows.join(leaders, "rid").dropDuplicates(["rid"]), docs.columns)
+    leaders = staged(out.select(F.col("leader").alias("rid")).distinct(), "join-leaders")
+    return restored(rows.join(small(leaders), "rid").dropDuplicates(["rid"]), docs.columns)

@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growlytics.llm.common import appended, by_value, coded, hashes, pick, rolled, row_key, slices, staged, words
+from growlytics.llm.common import Tokens, appended, by_value, pick, rolled, row_key, slices, small, staged, words
 
 by_value(__name__)
 WINDOW, GRAM, SHARD_WORDS = 13, 5, 1 << 19
@@ -118,20 +118,14 @@ def _anchors(h: np.ndarray, window: int):
     return best.view(np.int64), at
 
 
-def _word_hashes(texts):
-    lists = [words(t) for t in texts]
-    codes, offsets, distinct = coded(lists)
-    h = hashes(distinct)[codes] if len(codes) else np.empty(0, np.uint64)
-    return lists, [h[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
-
-
 def _list_anchors(window: int):
     def run(frames):
         for f in frames:
             texts = f["text"].tolist()
             for lo, hi in slices(texts):
-                _, hs = _word_hashes(texts[lo:hi])
-                out = [np.unique(_anchors(h, window)[0]) if len(h) >= window else np.empty(0, np.int64) for h in hs]
+                t = Tokens(texts[lo:hi])
+                h = t.hashes()
+                out = [np.unique(_anchors(h[a:b], window)[0]) if b - a >= window else np.empty(0, np.int64) for a, b in zip(t.offsets[:-1], t.offsets[1:])]
                 n = [len(x) for x in out]
                 yield pd.DataFrame({"anchor": np.concatenate(out), "d": np.repeat(f["d"].to_numpy(np.int64)[lo:hi], n), "rid": np.repeat(f["rid"].to_numpy(np.int64)[lo:hi], n)})
 
@@ -144,17 +138,19 @@ def _cut(window: int):
             texts = f["text"].tolist()
             wanted = f["anchors"].tolist()
             for lo, hi in slices(texts):
-                lists, hs = _word_hashes(texts[lo:hi])
+                t = Tokens(texts[lo:hi])
+                h = t.hashes()
                 rows = []
-                for i, (w, h) in enumerate(zip(lists, hs)):
-                    if len(h) < window:
+                for i, (first, last) in enumerate(zip(t.offsets[:-1].tolist(), t.offsets[1:].tolist())):
+                    if last - first < window:
                         continue
-                    anchor, at = _anchors(h, window)
-                    good = np.isin(anchor, np.asarray(wanted[lo + i], np.int64))
-                    change = np.flatnonzero(np.r_[True, (at[1:] != at[:-1])])
-                    for a, b in zip(change.tolist(), np.r_[change[1:], len(at)].tolist()):
-                        if good[a]:
-                            rows.append((lo + i, int(anchor[a]), a, b - a, b" ".join(w[a:b + window - 1]).decode("utf-8", "replace")))
+                    anchor, at = _anchors(h[first:last], window)
+                    head = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+                    stop = np.append(head[1:], len(at))
+                    good = np.isin(anchor[head], np.asarray(wanted[lo + i], np.int64))
+                    for a, b in zip(head[good].tolist(), stop[good].tolist()):
+                        piece = b" ".join(t.raw[t.start[first + a]:t.end[first + b + window - 2]].split())
+                        rows.append((lo + i, int(anchor[a]), a, b - a, piece.decode("utf-8", "replace")))
                 at = [r[0] for r in rows]
                 yield pd.DataFrame({"rid": f["rid"].to_numpy(np.int64)[at], "d": f["d"].to_numpy(np.int64)[at], "route": [r[1] for r in rows],
                                     "start": [r[2] for r in rows], "n": [r[3] for r in rows], "piece": [r[4] for r in rows]})
@@ -169,7 +165,7 @@ def _recut(window: int):
             rows = []
             for rid, d, start, n, piece in zip(f["rid"], f["d"], f["start"], f["n"], f["piece"]):
                 w = piece.split(" ")
-                h = rolled(hashes([x.encode() for x in w]), window).view(np.int64)
+                h = rolled(Tokens([piece]).hashes(), window).view(np.int64)
                 rows += [(rid, d, int(h[k]), start + k, 1, " ".join(w[k:k + window])) for k in range(n)]
             yield pd.DataFrame(rows, columns=["rid", "d", "route", "start", "n", "piece"])
 
@@ -179,9 +175,9 @@ def _recut(window: int):
 def _search(window: int):
     def run(f):
         """The smallest doc_id of each window of a shard's distinct pieces."""
-        lists = [p.encode().split(b" ") for p in f["piece"]]
-        codes, offsets, distinct = coded(lists)
-        sizes = np.diff(offsets)
+        t = Tokens(f["piece"].tolist())
+        distinct, codes = np.unique(t.hashes(), return_inverse=True)
+        offsets, sizes, lists = t.offsets, t.sizes(), f["piece"]
         text = np.zeros(len(codes) + len(lists) + 1, np.int64)
         at = np.arange(len(codes)) + np.repeat(np.arange(len(lists)), sizes)
         text[at] = codes + 1
@@ -234,7 +230,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORD
     own = listed.select("rid", "anchor").join(again, "anchor").groupBy("rid").agg(F.collect_set("anchor").alias("anchors"))  # of one document
     own = staged(own, "repeat-own")
     schema = "rid long, d long, route long, start int, n int, piece string"
-    pieces = staged(docs.join(own, "rid").mapInPandas(_cut(window), schema), "repeat-pieces")
+    pieces = staged(docs.join(small(own), "rid").mapInPandas(_cut(window), schema), "repeat-pieces")
 
     heavy = pieces.groupBy("route", "piece", "n").agg(F.min("d").alias("d")).groupBy("route").agg(F.sum(F.col("n") + window - 1).alias("w"))
     heavy = staged(heavy.where(F.col("w") > shard_words // 4).select("route"), "repeat-heavy")
@@ -245,7 +241,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORD
     shards = max(1, -(-total // shard_words))
     low = distinct.groupBy(F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard")).applyInPandas(_search(window), "piece string, low array<long>")
     low = staged(low.select(F.xxhash64("piece").alias("pk"), "piece", "low"), "repeat-low")
-    hits = pieces.select("rid", "d", "start", F.xxhash64("piece").alias("pk"), "piece").join(low, ["pk", "piece"])
+    hits = pieces.select("rid", "d", "start", F.xxhash64("piece").alias("pk"), "piece").join(small(low), ["pk", "piece"])
     starts = F.filter(F.transform("low", lambda x, i: F.when(x < F.col("d"), F.col("start") + i)), lambda x: x.isNotNull())
     return hits.select("rid", starts.alias("starts")).where("size(starts) > 0")
 
@@ -255,6 +251,7 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     and starts (the repeated windows) for every document."""
     rows = pick(docs, doc_id="long", text="string").withColumn("rid", row_key("doc_id", "text"))
     found = repeats(rows, **options).groupBy("rid").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))  # of one document
-    out = appended(rows.join(found, "rid", "left"), ["text", "starts"], _strip(options.get("window", WINDOW)),
+    found = staged(found, "repeat-found")
+    out = appended(rows.join(small(found), "rid", "left"), ["text", "starts"], _strip(options.get("window", WINDOW)),
                    {"n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string", "kept": "string"})
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256", "kept", "starts")
