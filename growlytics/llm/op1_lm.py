@@ -192,18 +192,20 @@ def log10_softmax(p: np.ndarray, ctx: np.ndarray, target: np.ndarray) -> np.ndar
     """Normalised log10 probabilities of the targets, in batches."""
     R, Q, b, C = _split(p)
     out = np.empty(len(target))
-    for lo in range(0, len(target), 8192):
-        c, t = ctx[lo:lo + 8192], target[lo:lo + 8192]
-        r = np.zeros((len(t), WIDTH), np.float32)
-        for j in range(CONTEXT):
-            r += (R * C[j])[c[:, j]]
+    by_place = [R * c for c in C]
+    for lo in range(0, len(target), 1024):  # a batch's scores stay in the processor's cache
+        c, t = ctx[lo:lo + 1024], target[lo:lo + 1024]
+        r = by_place[0][c[:, 0]]
+        for j in range(1, CONTEXT):
+            r += by_place[j][c[:, j]]
         s = r @ Q.T
         s += b
         hit = s[np.arange(len(t)), t].astype(np.float64)
-        top = s.max(axis=1, keepdims=True)
-        s -= top
+        top = max(0.0, float(s.max()) - 60)  # keeps the exponentials finite
+        if top:
+            s -= top
         np.exp(s, out=s)
-        out[lo:lo + 8192] = (hit - top[:, 0] - np.log(s.sum(axis=1, dtype=np.float64))) / np.log(10)
+        out[lo:lo + 1024] = (hit - top - np.log(s.sum(axis=1, dtype=np.float64))) / np.log(10)
     return out
 
 
@@ -290,7 +292,7 @@ def scores(docs: DataFrame, folds: int = FOLDS, share: float = SHARE) -> DataFra
 
     n, v = vocabulary.n, vocabulary.v
     schema = "rid long, doc_id long, n_tokens long, n_known long, base double, lm double, rare array<long>, rare_n array<long>"
-    got = rows.withColumn("rid", F.monotonically_increasing_id()).mapInPandas(_score(shared, params), schema)
+    got = staged(rows.withColumn("rid", F.monotonically_increasing_id()).mapInPandas(_score(shared, params), schema), "lm-scored")
     # one row per rare word of a text; what the text has of its own goes with the first
     got = got.select("rid", "doc_id", "n_tokens", "n_known", "base", "lm", F.explode_outer(F.arrays_zip("rare", "rare_n")).alias("r"),
                      F.col("rare")[0].alias("head")).select("*", (F.col("r.rare").isNull() | (F.col("r.rare") == F.col("head"))).alias("first"))

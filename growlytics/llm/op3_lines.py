@@ -47,8 +47,7 @@ def _frequencies(share: float):
             texts = f["text"].tolist()
             for lo, hi in slices(texts):
                 h = Tokens(texts[lo:hi]).hashes()
-                at, n = np.unique(h >> _TOP, return_counts=True)
-                count[at.astype(np.int64)] += n
+                np.add.at(count, (h >> _TOP).astype(np.int64), 1)
                 total += len(h)
         at = np.flatnonzero(count >= max(2.0, total * share))
         yield pd.DataFrame({"bucket": at, "n": count[at]})
@@ -127,7 +126,7 @@ def _lines(shared, num: int, den: int):
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, num: int, den: int, what: str) -> DataFrame:
-    """The ids of ``pairs`` (id, rid, line and the earlier rid_0, line_0)
+    """The keys of ``pairs`` (key, rid, line and the earlier rid_0, line_0)
     whose similarity is really at least num/den."""
     wanted = pairs.select("rid", "line").union(pairs.select("rid_0", "line_0")).distinct()
     wanted = staged(wanted.groupBy("rid").agg(F.collect_set("line").alias("lines")), what + "-wanted")
@@ -136,7 +135,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, num: int, den: int, what: str)
     sets = staged(sets.select("rid", "line", toks.alias("w")), what + "-words")
     both = pairs.join(sets, ["rid", "line"]).join(sets.select(F.col("rid").alias("rid_0"), F.col("line").alias("line_0"), F.col("w").alias("w_0")), ["rid_0", "line_0"])
     i = F.size(F.array_intersect("w", "w_0"))
-    return staged(both.where(i * (num + den) >= num * (F.size("w") + F.size("w_0"))).select("id").distinct(), what)
+    return staged(both.where(i * (num + den) >= num * (F.size("w") + F.size("w_0"))).select("key").distinct(), what)
 
 
 def kept_lines(docs: DataFrame, num: int = NUM, den: int = DEN, crowd: int = CROWD) -> DataFrame:
@@ -145,11 +144,10 @@ def kept_lines(docs: DataFrame, num: int = NUM, den: int = DEN, crowd: int = CRO
     shared = spark.sparkContext.broadcast(frequency_classes(docs.select("text")))  # BUCKETS bytes
     lines = docs.select("doc_id", "rid", "text").mapInArrow(_lines(shared, num, den), ROW)
     sets, rest = ["key", "n", "bm1", "bm2"], ["nul", "doc_id", "rid", "line", "m0", "m1", "m2", "prefix"]
-    firsts = lines.groupBy(*sets).agg(F.min(F.struct(*rest)).alias("s")).select("n", "bm1", "bm2", *[f"s.{c}" for c in rest])
-    # ids in corpus order: earlier lines have smaller ids
-    firsts = staged(firsts, "lines-first").orderBy("nul", "doc_id", "rid", "line")
-    firsts = staged(firsts.drop("nul", "doc_id").withColumn("id", F.monotonically_increasing_id()), "lines-ordered")
-    place = firsts.select("id", "n", "bm1", "bm2", "rid", "line")
+    firsts = lines.groupBy(*sets).agg(F.min(F.struct(*rest)).alias("s")).select(*sets, *[f"s.{c}" for c in rest])
+    # place in the corpus: by doc_id, nulls last, then by row and line
+    firsts = staged(firsts.withColumn("d", F.coalesce("doc_id", F.lit(2**63 - 1))).drop("nul", "doc_id"), "lines-first")
+    place = firsts.select("key", "n", "bm1", "bm2", "d", "rid", "line")
 
     def bound(a: str, b: str):
         """(length filter, least overlap, most symmetric difference)."""
@@ -161,29 +159,37 @@ def kept_lines(docs: DataFrame, num: int = NUM, den: int = DEN, crowd: int = CRO
         return sum((F.bit_count(F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}"))) for m in maps), F.lit(0))
 
     def placed(pairs: DataFrame, what: str) -> DataFrame:
-        """Pairs (id, id_0) that pass the filters on both bitmaps, with places."""
-        p, i = place.alias("p"), place.withColumnRenamed("id", "id_0").alias("i")
+        """Pairs (key, key_0) in corpus order that pass the filters on both
+        bitmaps, with places."""
+        p, i = place.alias("p"), place.withColumnRenamed("key", "key_0").alias("i")
         length, _, most = bound("p", "i")
-        out = pairs.alias("x").join(p, F.col("x.id") == F.col("p.id")).join(i, F.col("x.id_0") == F.col("i.id_0"))
-        out = out.where(length & (apart("p", "i", "bm1", "bm2") <= most))
-        return staged(out.select("x.id", "p.rid", "p.line", F.col("i.rid").alias("rid_0"), F.col("i.line").alias("line_0")), what)
+        out = pairs.alias("x").join(p, F.col("x.key") == F.col("p.key")).join(i, F.col("x.key_0") == F.col("i.key_0"))
+        earlier = F.struct("i.d", "i.rid", "i.line") < F.struct("p.d", "p.rid", "p.line")
+        out = out.where(earlier & length & (apart("p", "i", "bm1", "bm2") <= most))
+        return staged(out.select("x.key", "p.rid", "p.line", F.col("i.rid").alias("rid_0"), F.col("i.line").alias("line_0")), what)
 
     # in a crowd that shares a min-hash, the first line is tried for all others
-    bands = firsts.select("id", F.posexplode(F.array("m0", "m1", "m2")).alias("slot", "m"))
-    crowds = bands.groupBy("slot", "m").agg(F.min("id").alias("id_0"), F.count("*").alias("size")).where(F.col("size") > crowd)
-    crowds = staged(crowds.drop("size"), "lines-crowds")
-    tried = bands.join(small(crowds), ["slot", "m"]).where("id > id_0").select("id", "id_0").distinct()
+    bands = firsts.select("key", "d", "line", F.posexplode(F.array("m0", "m1", "m2")).alias("slot", "m"))
+    crowds = bands.groupBy("slot", "m").agg(F.min(F.struct("d", "line", "key")).alias("h"), F.count("*").alias("size")).where(F.col("size") > crowd)
+    crowds = staged(crowds.select("slot", "m", F.col("h.key").alias("key_0")), "lines-crowds")
+    tried = bands.join(small(crowds), ["slot", "m"]).where("key <> key_0").select("key", "key_0").distinct()
     settled = _verified(docs, placed(tried, "lines-tried"), num, den, "lines-settled")
 
-    # all others probe the prefix index of the lines before them
-    index = firsts.select("id", "n", "bm1", F.posexplode("prefix").alias("pos", "tok"))
-    probe = firsts.join(small(settled), "id", "left_anti").select("id", "n", "bm1", F.posexplode("prefix").alias("pos", "tok"))
-    length, least, most = bound("p", "i")
-    left = F.least(F.col("p.n") - F.col("p.pos"), F.col("i.n") - F.col("i.pos"))
-    found = probe.alias("p").join(index.alias("i"), (F.col("p.tok") == F.col("i.tok")) & (F.col("i.id") < F.col("p.id")) & length & (left >= least) & (apart("p", "i", "bm1") <= most))
-    found = staged(found.select(F.col("p.id").alias("id"), F.col("i.id").alias("id_0")).distinct(), "lines-candidates")
+    # all others probe the prefix index of the lines before them; both sides
+    # are one table, shuffled once: a settled line has its length negated, so
+    # that it passes the length filter as an index line only
+    gone = small(settled.withColumn("gone", F.lit(True)))
+    listed = firsts.join(gone, "key", "left").withColumn("n", F.when(F.col("gone"), -F.col("n")).otherwise(F.col("n")))
+    listed = listed.select("key", "d", "line", "n", "bm1", F.posexplode("prefix").alias("pos", "tok"))
+    of_p, of_i = F.col("p.n"), F.abs("i.n")
+    least = F.floor((F.lit(num).cast("long") * (of_p + of_i) + (num + den - 1)) / F.lit(num + den))
+    length = F.greatest(of_p, of_i) * num <= F.least(of_p, of_i) * den
+    left = F.least(of_p - F.col("p.pos"), of_i - F.col("i.pos"))
+    found = listed.alias("p").join(listed.alias("i"), (F.col("p.tok") == F.col("i.tok")) & ((F.col("i.d") < F.col("p.d")) | (F.col("i.d") == F.col("p.d")) & (F.col("i.line") <= F.col("p.line"))) & (F.col("i.key") != F.col("p.key")) & length & (left >= least)
+                                   & (apart("p", "i", "bm1") <= of_p + of_i - 2 * least))
+    found = staged(found.select(F.col("p.key").alias("key"), F.col("i.key").alias("key_0")).distinct(), "lines-candidates")
     also = _verified(docs, placed(found, "lines-found"), num, den, "lines-also")
-    return firsts.join(small(staged(settled.union(also), "lines-gone")), "id", "left_anti").select("rid", "line")
+    return firsts.join(small(staged(settled.union(also), "lines-gone")), "key", "left_anti").select("rid", "line")
 
 
 def _strip(texts, kept):

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from growlytics.llm.common import Tokens, by_value, components, mix, pick, plain, restored, rolled, row_key, slices, small, staged
 
 by_value(__name__)
-N, NUM, DEN, DEPTH, LIMIT, RECALL, BLOCK = 5, 4, 5, 3, 12, 0.999, 256
+N, NUM, DEN, DEPTH, LIMIT, RECALL, BLOCK, AGREE = 5, 4, 5, 3, 12, 0.999, 256, 46
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,40 +61,54 @@ def shingle_sets(texts, n: int = N) -> list[np.ndarray]:
     return out
 
 
-def chains(x: np.ndarray, runs: int, depth: int, num: int, den: int) -> list[tuple]:
-    """The chosen paths of a set: tuples of ``depth`` path ids (0 where the
-    lineage has ended)."""
+def chains(x: np.ndarray, runs: int, depth: int, num: int, den: int) -> np.ndarray:
+    """The chosen paths of a set: rows of ``depth`` path ids (0 where the
+    lineage has ended).  All open paths of a level go on at once."""
     if not len(x):
-        return []
-    share = den / (num * len(x))
-    limit = np.uint64(min(2**64 - 1, int(share * 2**64)))
-    done, front = [], [((), mix(np.uint64(r + 1) * _ODD + np.zeros(1, np.uint64))[0]) for r in range(runs)]
+        return np.zeros((0, depth), np.uint64)
+    limit = np.uint64(min(2**64 - 1, int(den / (num * len(x)) * 2**64)))
+    seed = mix(np.arange(1, runs + 1, dtype=np.uint64) * _ODD)
+    path, done = np.zeros((runs, 0), np.uint64), []
     for level in range(depth):
-        after = []
-        for path, seed in front:
-            v = mix(x ^ seed)
-            # what is chosen gets ids that do not tell where the limit is
-            kids = mix(v[v <= limit] ^ (seed * _ODD))
-            if not len(kids) and path:
-                done.append(path)
-            after += [((*path, k), k) for k in kids]
-        front = after
-    done += [p for p, _ in front]
-    return [tuple(int(v) - 2**63 for v in p) + (0,) * (depth - len(p)) for p in done]
+        up, kid = [], []
+        step = max(1, (1 << 17) // len(x))
+        for lo in range(0, len(seed), step):
+            v = mix(x[None, :] ^ seed[lo:lo + step, None])
+            i, j = np.nonzero(v <= limit)
+            # ids that do not tell where the limit is
+            up.append(i + lo), kid.append(mix(v[i, j] ^ (seed[lo + i] * _ODD)) | np.uint64(1))
+        up, kid = np.concatenate(up) if up else np.zeros(0, np.int64), np.concatenate(kid) if kid else np.zeros(0, np.uint64)
+        if level:
+            ended = np.ones(len(seed), bool)
+            ended[up] = False
+            done.append(np.hstack([path[ended], np.zeros((int(ended.sum()), depth - level), np.uint64)]))
+        path, seed = np.hstack([path[up], kid[:, None]]), kid
+    return np.vstack([*done, path])
+
+
+def sketch(x: np.ndarray) -> int:
+    """64 bits: one of the least hash in each of 64 bins.  Two sets agree in
+    about (1 + J) / 2 of them (more, if bins are empty)."""
+    if not len(x):
+        return 0
+    v = mix(x ^ _ODD)
+    at = (v >> np.uint64(58)).astype(np.int64)
+    least = np.full(64, 2**64 - 1, np.uint64)
+    np.minimum.at(least, at, v)
+    bits = np.where(least < np.uint64(2**64 - 1), mix(least) & np.uint64(1), np.uint64(0))
+    return int((bits << np.arange(64, dtype=np.uint64)).sum(dtype=np.uint64).view(np.int64))
 
 
 def _nodes(n: int, runs: int, depth: int, num: int, den: int):
     def run(frames):
-        old = np.seterr(over="ignore")
         for f in frames:
             texts = f["text"].tolist()
             for lo, hi in slices(texts):
                 sets = shingle_sets(texts[lo:hi], n)
                 rid = f["rid"].to_numpy(np.int64)[lo:hi]
                 key = np.array([int(mix(x).sum(dtype=np.uint64).view(np.int64)) if len(x) else r for x, r in zip(sets, rid)], np.int64)
-                yield pd.DataFrame({"rid": rid, "doc_id": f["doc_id"].array[lo:hi], "key": key, "n": [len(x) for x in sets],
-                                    "paths": [[v for c in chains(x, runs, depth, num, den) for v in c] for x in sets]})
-        np.seterr(**old)
+                yield pd.DataFrame({"rid": rid, "doc_id": f["doc_id"].array[lo:hi], "key": key, "n": [len(x) for x in sets], "sketch": [sketch(x) for x in sets],
+                                    "paths": [chains(x, runs, depth, num, den).ravel().view(np.int64) for x in sets]})
 
     return run
 
@@ -110,28 +124,36 @@ def _sets(n: int):
     return run
 
 
-def candidates(nodes: DataFrame, depth: int = DEPTH, limit: int = LIMIT) -> DataFrame:
-    """Pairs (a, b) of node keys, a < b, from the buckets of the path tree."""
+def candidates(nodes: DataFrame, depth: int = DEPTH, limit: int = LIMIT, num: int = NUM, den: int = DEN, agree: int = AGREE) -> DataFrame:
+    """Pairs (a, b) of node keys, a < b, from the buckets of the path tree,
+    that pass the length filter and whose sketches agree in ``agree`` of 64
+    bits (58 are expected at the threshold 0.8, with a deviation of 2.4)."""
     ids = [f"p{i}" for i in range(depth)]
+    own = ["key", "n", "sketch"]
     chain = F.transform(F.sequence(F.lit(0), F.size("paths") - 1, F.lit(depth)), lambda i: F.slice("paths", i + 1, depth))
-    rows = nodes.where("size(paths) > 0").select("key", "n", F.explode(chain).alias("c")).select("key", "n", *[F.col("c")[i].alias(p) for i, p in enumerate(ids)])
+    rows = nodes.where("size(paths) > 0").select(*own, F.explode(chain).alias("c")).select(*own, *[F.col("c")[i].alias(p) for i, p in enumerate(ids)])
+
+    def alike(x: str, y: str):
+        return (F.greatest(f"{x}.n", f"{y}.n") * num <= F.least(f"{x}.n", f"{y}.n") * den) & (
+            F.bit_count(F.col(f"{x}.sketch").bitwiseXOR(F.col(f"{y}.sketch"))) <= 64 - agree)
+
     out = None
     for level, p in enumerate(ids):
         rows = rows.where(F.col(p) != 0)
-        members = rows.select(p, "key", "n").distinct()
-        sizes = members.groupBy(p).agg(F.count("*").alias("size"), F.min("key").alias("h0"), F.max("key").alias("h1"),
-                                       F.min(F.struct(F.xxhash64("key"), "key"))["key"].alias("h2")).where("size > 1")
-        sizes = staged(sizes, f"join-sizes-{level}")
-        few = members.join(sizes.where(F.col("size") <= limit).select(p), p)
-        pairs = few.alias("x").join(few.alias("y"), (F.col(f"x.{p}") == F.col(f"y.{p}")) & (F.col("x.key") < F.col("y.key"))
-                                      & (F.greatest("x.n", "y.n") * NUM <= F.least("x.n", "y.n") * DEN)).select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
-        large = sizes.where(F.col("size") > limit)
-        stars = members.join(large, p).select("key", F.explode(F.array_distinct(F.array("h0", "h1", "h2"))).alias("h")).where("key <> h")
-        stars = stars.select(F.least("key", "h").alias("a"), F.greatest("key", "h").alias("b"))
+        members = rows.select(p, *own).distinct()
+        sizes = staged(members.groupBy(p).agg(F.count("*").alias("size")).where("size > 1"), f"join-sizes-{level}")
+        met = staged(members.join(sizes, p), f"join-met-{level}")
+        few, many = met.where(F.col("size") <= limit), met.where(F.col("size") > limit)
+        pairs = few.alias("x").join(few.alias("y"), (F.col(f"x.{p}") == F.col(f"y.{p}")) & (F.col("x.key") < F.col("y.key")) & alike("x", "y"))
+        pairs = pairs.select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
+        me = F.struct(*own)
+        hubs = many.groupBy(p).agg(F.min(me).alias("h0"), F.max(me).alias("h1"), F.min(F.struct(F.xxhash64("key"), me.alias("me")))["me"].alias("h2"))
+        stars = many.join(hubs, p).select(me.alias("x"), F.explode(F.array_distinct(F.array("h0", "h1", "h2"))).alias("y")).where((F.col("x.key") != F.col("y.key")) & alike("x", "y"))
+        stars = stars.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
         pairs = staged(pairs.union(stars).distinct(), f"join-pairs-{level}")
         out = pairs if out is None else out.union(pairs)
         if level + 1 < depth:
-            rows = staged(rows.join(large.select(p), p).select("key", "n", *ids[level + 1:]), f"join-rows-{level}")
+            rows = staged(rows.join(many.select(p).distinct(), p).select(*own, *ids[level + 1:]), f"join-rows-{level}")
     return out.distinct()
 
 
@@ -177,12 +199,12 @@ def joined(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, depth: i
     """(rid, doc_id, class_id, n_links, leader) per row of ``docs`` (doc_id,
     rid, text); leader is the rid of the class's first document."""
     runs = runs_needed(num, den, depth, recall)
-    member = docs.select("doc_id", "rid", "text").mapInPandas(_nodes(n, runs, depth, num, den), "rid long, doc_id long, key long, n int, paths array<long>")
+    member = docs.select("doc_id", "rid", "text").mapInPandas(_nodes(n, runs, depth, num, den), "rid long, doc_id long, key long, n int, sketch long, paths array<long>")
     member = staged(member, "join-members")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nul"), "doc_id", "rid")).alias("first")
-    nodes = member.groupBy("key", "n").agg(first, F.count("*").alias("copies"), F.first("paths").alias("paths"))
+    nodes = member.groupBy("key", "n", "sketch").agg(first, F.count("*").alias("copies"), F.first("paths").alias("paths"))
     nodes = staged(nodes, "join-nodes")
-    pairs = staged(candidates(nodes, depth, limit), "join-candidates")
+    pairs = staged(candidates(nodes, depth, limit, num, den), "join-candidates")
 
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
     wanted = nodes.join(wanted, "key").select("key", F.col("first.rid").alias("rid"), F.col("copies").alias("weight"))

@@ -13,10 +13,10 @@ window over it also starts in a document with a smaller doc_id.
    distinct pieces exceed a shard's share is dealt by whole windows instead.
 3. Each shard builds an FM-index of its pieces: suffix array by prefix
    doubling, Burrows-Wheeler transform in a wavelet matrix of packed bits.
-   The pieces stream through backward search, all positions at once; the
-   search depth reached is the matching statistic (up to the threshold), and
-   where it reaches the window, the suffix interval gives the smallest doc_id
-   of all occurrences.
+   The pieces stream through backward search, all at once, word by word; the
+   length of the current match is the matching statistic (up to the
+   threshold), and where it reaches the window, the suffix interval gives the
+   smallest doc_id of all occurrences.
 4. The windows found go back to their documents.
 
 Defined cases: null or blank texts have no words (kept text ''); texts
@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growlytics.llm.common import Tokens, appended, by_value, pick, rolled, row_key, slices, small, staged, words
+from growlytics.llm.common import Tokens, appended, by_value, mix, pick, rolled, row_key, slices, small, staged, words
 
 by_value(__name__)
 WINDOW, GRAM, SHARD_WORDS = 13, 5, 1 << 19
@@ -60,7 +60,7 @@ class FMIndex:
             if rank.max(initial=0) == n - 1 or step >= n:
                 break
             step *= 2
-        self.sa, self.n, self.sigma = sa, n, sigma
+        self.sa, self.n, self.sigma, self.text = sa, n, sigma, text
         bwt = text[sa - 1]
         self.c = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))])[:sigma]
         self.levels = max(1, int(sigma - 1).bit_length())
@@ -88,72 +88,111 @@ class FMIndex:
         base = self.c[code] - self.first[code]
         return base + self._map(code, lo), base + self._map(code, hi)
 
-    def statistics(self, query: np.ndarray, depth: int):
-        """Matching statistics of a streamed sequence, up to ``depth``: for
-        each end position the length of the longest suffix that occurs in the
-        index, and its suffix interval.  Codes of 0 end a match."""
+    def statistics(self, query: np.ndarray, ends: np.ndarray, begins: np.ndarray, depth: int):
+        """Truncated matching statistics of streamed sequences, all at once.
+
+        Sequence i is query[begins[i]:ends[i]]; it is read from its end.  At
+        each word the current match is extended by backward search; a match
+        of ``depth`` words is first cut by its last word: its interval grows
+        to all suffixes with the same first ``depth - 1`` words.  Returns, for
+        each position, the length of the match that begins there (at most
+        ``depth``) and its suffix interval."""
         n = len(query)
-        lo, hi = np.zeros(n, np.int64), np.full(n, self.n, np.int64)
-        length = np.zeros(n, np.int64)
-        live = np.arange(n)
-        for k in range(depth):
-            live = live[live >= k]
-            code = query[live - k]
-            live, code = live[code > 0], code[code > 0]
-            a, b = self.extend(code, lo[live], hi[live])
-            ok = a < b
-            live, a, b = live[ok], a[ok], b[ok]
-            lo[live], hi[live], length[live] = a, b, k + 1
+        lo, hi, length = np.zeros(n, np.int64), np.full(n, self.n, np.int64), np.zeros(n, np.int64)
+        group, stop = self.prefixes(depth - 1)
+        at = ends - 1
+        a, b, got = np.zeros(len(ends), np.int64), np.full(len(ends), self.n, np.int64), np.zeros(len(ends), np.int64)
+        live = np.flatnonzero(at >= begins)
+        while len(live):
+            long_ = live[got[live] == depth]
+            g = group[a[long_]]
+            a[long_], b[long_], got[long_] = stop[g], stop[g + 1], depth - 1
+            x, y = self.extend(query[at[live]], a[live], b[live])
+            ok = x < y
+            a[live], b[live] = np.where(ok, x, 0), np.where(ok, y, self.n)
+            got[live] = np.where(ok, got[live] + 1, 0)
+            p = at[live]
+            lo[p], hi[p], length[p] = a[live], b[live], got[live]
+            at[live] -= 1
+            live = live[at[live] >= begins[live]]
         return length, lo, hi
 
+    def prefixes(self, k: int):
+        """Groups of neighbouring suffixes with equal first ``k`` codes: the
+        group of each rank, and where each group starts (and the last ends)."""
+        padded = np.concatenate([self.text, np.zeros(k, np.int64)]).astype(np.uint64)
+        h = rolled(mix(padded + np.uint64(1)), k)[:self.n][self.sa]
+        new = np.concatenate([[True], h[1:] != h[:-1]])
+        return np.cumsum(new) - 1, np.append(np.flatnonzero(new), self.n)
+
 
-def _anchors(h: np.ndarray, window: int):
-    """(anchor hash of each window, its position) of one document."""
+def _runs(t: Tokens, window: int):
+    """The runs of consecutive windows with one anchor, over all texts of a
+    slice: (text, first word, number of windows, hash of the anchor)."""
+    h = t.hashes()
     g = rolled(h, GRAM)
     n = len(h) - window + 1
+    if n <= 0:
+        return (np.zeros(0, np.int64),) * 4
     best, at = g[:n].copy(), np.arange(n)
     for j in range(1, window - GRAM + 1):
         less = g[j:j + n] < best
-        best[less], at[less] = g[j:j + n][less], (np.arange(n) + j)[less]
-    return best.view(np.int64), at
+        best[less] = g[j:j + n][less]
+        at[less] = np.flatnonzero(less) + j
+    of = t.of()
+    inside = of[:n] == of[window - 1:]
+    head = inside.copy()
+    head[1:] &= ~inside[:-1] | (at[1:] != at[:-1])
+    first = np.flatnonzero(head)
+    # a run ends before the next one, or where the text has no more windows
+    last_window = t.offsets[of[first] + 1] - window
+    stop = np.minimum(np.append(first[1:], n), last_window + 1)
+    return of[first], first, stop - first, best[first].view(np.int64)
 
 
 def _list_anchors(window: int):
     def run(frames):
         for f in frames:
             texts = f["text"].tolist()
+            d, rid = f["d"].to_numpy(np.int64), f["rid"].to_numpy(np.int64)
             for lo, hi in slices(texts):
-                t = Tokens(texts[lo:hi])
-                h = t.hashes()
-                out = [np.unique(_anchors(h[a:b], window)[0]) if b - a >= window else np.empty(0, np.int64) for a, b in zip(t.offsets[:-1], t.offsets[1:])]
-                n = [len(x) for x in out]
-                yield pd.DataFrame({"anchor": np.concatenate(out), "d": np.repeat(f["d"].to_numpy(np.int64)[lo:hi], n), "rid": np.repeat(f["rid"].to_numpy(np.int64)[lo:hi], n)})
+                of, _, _, anchor = _runs(Tokens(texts[lo:hi]), window)
+                yield pd.DataFrame({"anchor": anchor, "d": d[lo + of], "rid": rid[lo + of]})
 
     return run
 
 
 def _cut(window: int):
-    def run(frames):
-        for f in frames:
-            texts = f["text"].tolist()
-            wanted = f["anchors"].tolist()
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            texts, wanted = b.column("text").to_pylist(), b.column("anchors")
+            d, rid = b.column("d").to_numpy(), b.column("rid").to_numpy()
+            bounds, values = wanted.offsets.to_numpy(), wanted.values.to_numpy()
             for lo, hi in slices(texts):
                 t = Tokens(texts[lo:hi])
-                h = t.hashes()
-                rows = []
-                for i, (first, last) in enumerate(zip(t.offsets[:-1].tolist(), t.offsets[1:].tolist())):
-                    if last - first < window:
-                        continue
-                    anchor, at = _anchors(h[first:last], window)
-                    head = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-                    stop = np.append(head[1:], len(at))
-                    good = np.isin(anchor[head], np.asarray(wanted[lo + i], np.int64))
-                    for a, b in zip(head[good].tolist(), stop[good].tolist()):
-                        piece = b" ".join(t.raw[t.start[first + a]:t.end[first + b + window - 2]].split())
-                        rows.append((lo + i, int(anchor[a]), a, b - a, piece.decode("utf-8", "replace")))
-                at = [r[0] for r in rows]
-                yield pd.DataFrame({"rid": f["rid"].to_numpy(np.int64)[at], "d": f["d"].to_numpy(np.int64)[at], "route": [r[1] for r in rows],
-                                    "start": [r[2] for r in rows], "n": [r[3] for r in rows], "piece": [r[4] for r in rows]})
+                of, first, n, anchor = _runs(t, window)
+                if not len(of):
+                    continue
+                # (text, anchor) among the wanted ones of that text
+                mine = np.repeat(np.arange(hi - lo), np.diff(bounds[lo:hi + 1]))
+                pairs = np.unique(mix(values[bounds[lo]:bounds[hi]].view(np.uint64) ^ mix(mine.astype(np.uint64))))
+                good = np.isin(mix(anchor.view(np.uint64) ^ mix(of.astype(np.uint64))), pairs)
+                of, first, n, anchor = of[good], first[good], n[good], anchor[good]
+                # the words of the slice, one blank between them
+                size = t.end - t.start + 1
+                place = np.concatenate([[0], np.cumsum(size)])
+                plain_ = np.full(place[-1], 32, np.uint8)
+                at = np.arange(place[-1]) - np.repeat(place[:-1] - t.start, size)
+                inside = at < np.repeat(t.end, size)
+                plain_[inside] = t.bytes[at[inside]]
+                a, z = place[first], place[first + n + window - 1] - 1
+                offsets = np.concatenate([[0], np.cumsum(z - a)])
+                data = plain_[np.repeat(a - offsets[:-1], z - a) + np.arange(offsets[-1])]
+                piece = pa.StringArray.from_buffers(len(of), pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(rid[lo + of]), pa.array(d[lo + of]), pa.array(anchor), pa.array((first - t.offsets[of]).astype(np.int32)),
+                                                  pa.array(n.astype(np.int32)), piece], ["rid", "d", "route", "start", "n", "piece"])
 
     return run
 
@@ -184,19 +223,19 @@ def _search(window: int):
         d = np.zeros(len(text), np.int64)
         d[at] = np.repeat(f["d"].to_numpy(np.int64), sizes)
         index = FMIndex(text, len(distinct) + 1)
-        length, lo, hi = index.statistics(text, window)
-        ends = np.flatnonzero(length >= window)
+        first = offsets[:-1] + np.arange(len(lists))
+        length, lo, hi = index.statistics(text, first + sizes, first, window)
+        begin = np.flatnonzero(length >= window)
         # intervals of one depth are equal or disjoint: one minimum for each
-        starts, which = np.unique(lo[ends], return_inverse=True)
+        starts, which = np.unique(lo[begin], return_inverse=True)
         stop = np.zeros(len(starts), np.int64)
-        stop[which] = hi[ends]
+        stop[which] = hi[begin]
         by_rank = np.append(d[index.sa], np.iinfo(np.int64).max)
         cuts = np.column_stack([starts, stop]).ravel()
         least = np.minimum.reduceat(by_rank, cuts)[::2] if len(cuts) else np.empty(0, np.int64)
         low = np.zeros(len(text), np.int64)
-        low[ends] = least[which]
-        first = offsets[:-1] + np.arange(len(lists))
-        return pd.DataFrame({"piece": f["piece"], "low": [low[a + window - 1:a + s] for a, s in zip(first, sizes)]})
+        low[begin] = least[which]
+        return pd.DataFrame({"k1": f["k1"], "k2": f["k2"], "low": [low[a:a + s - window + 1] for a, s in zip(first, sizes)]})
 
     return run
 
@@ -230,18 +269,21 @@ def repeats(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORD
     own = listed.select("rid", "anchor").join(again, "anchor").groupBy("rid").agg(F.collect_set("anchor").alias("anchors"))  # of one document
     own = staged(own, "repeat-own")
     schema = "rid long, d long, route long, start int, n int, piece string"
-    pieces = staged(docs.join(small(own), "rid").mapInPandas(_cut(window), schema), "repeat-pieces")
-
-    heavy = pieces.groupBy("route", "piece", "n").agg(F.min("d").alias("d")).groupBy("route").agg(F.sum(F.col("n") + window - 1).alias("w"))
-    heavy = staged(heavy.where(F.col("w") > shard_words // 4).select("route"), "repeat-heavy")
-    split = pieces.join(heavy, "route").mapInPandas(_recut(window), schema)
+    # from here on a piece is known by two 64-bit hashes
+    keys = [F.xxhash64("piece").alias("k1"), F.xxhash64("piece", F.lit(1)).alias("k2")]
+    pieces = docs.join(own, "rid").mapInArrow(_cut(window), schema)
+    pieces = staged(pieces.select("*", *keys), "repeat-pieces")
+
+    heavy = pieces.groupBy("route", "k1", "k2").agg(F.first("n").alias("n")).groupBy("route").agg(F.sum(F.col("n") + window - 1).alias("w"))
+    heavy = small(staged(heavy.where(F.col("w") > shard_words // 4).select("route"), "repeat-heavy"))
+    split = staged(pieces.join(heavy, "route").select("rid", "d", "route", "start", "n", "piece").mapInPandas(_recut(window), schema).select("*", *keys), "repeat-windows")
     pieces = pieces.join(heavy, "route", "left_anti").select(*split.columns).union(split)
-    distinct = staged(pieces.groupBy("route", "piece", "n").agg(F.min("d").alias("d"), F.max("d").alias("most")), "repeat-distinct")
+    distinct = staged(pieces.groupBy("route", "piece", "k1", "k2", "n").agg(F.min("d").alias("d")), "repeat-distinct")
     total = distinct.agg(F.coalesce(F.sum(F.col("n") + window - 1), F.lit(0))).first()[0]
     shards = max(1, -(-total // shard_words))
-    low = distinct.groupBy(F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard")).applyInPandas(_search(window), "piece string, low array<long>")
-    low = staged(low.select(F.xxhash64("piece").alias("pk"), "piece", "low"), "repeat-low")
-    hits = pieces.select("rid", "d", "start", F.xxhash64("piece").alias("pk"), "piece").join(small(low), ["pk", "piece"])
+    low = distinct.select(F.pmod(F.xxhash64("route"), F.lit(shards)).alias("shard"), "piece", "k1", "k2", "d")
+    low = staged(low.groupBy("shard").applyInPandas(_search(window), "k1 long, k2 long, low array<long>"), "repeat-low")
+    hits = pieces.select("rid", "d", "start", "k1", "k2").join(low, ["k1", "k2"])
     starts = F.filter(F.transform("low", lambda x, i: F.when(x < F.col("d"), F.col("start") + i)), lambda x: x.isNotNull())
     return hits.select("rid", starts.alias("starts")).where("size(starts) > 0")
 
@@ -252,6 +294,6 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     rows = pick(docs, doc_id="long", text="string").withColumn("rid", row_key("doc_id", "text"))
     found = repeats(rows, **options).groupBy("rid").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))  # of one document
     found = staged(found, "repeat-found")
-    out = appended(rows.join(small(found), "rid", "left"), ["text", "starts"], _strip(options.get("window", WINDOW)),
+    out = appended(rows.join(found, "rid", "left"), ["text", "starts"], _strip(options.get("window", WINDOW)),
                    {"n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string", "kept": "string"})
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256", "kept", "starts")
