@@ -213,13 +213,12 @@ def test_style_tree_removes_what_repeats(spark):
 def test_decontamination(spark, docs):
     item = "A train leaves Paris at 9 and Mary waits for 30 minutes until Mary sees the train from Paris arrive"
     other = "so: A train leaves London at 7 and Anna waits for 45 minutes until Anna sees the train from London arrive !"
-    broken = "A train leaves London at 7 and Anna waits for 45 minutes until Bella sees the plane from Rome arrive"
-    bench = spark.createDataFrame([(1, item), (2, None), (3, "too short"), (4, "seven words are fewer than a window")], "item_id long, text string")
-    rows = [(1, "before. " + item + " after"), (2, other), (3, "train leaves at 9"), (4, None), (5, "Seven words are: fewer than a window!"), (None, item), (6, broken.replace("waits for 45", "x"))]
+    bench = spark.createDataFrame([(1, item), (2, None), (3, "too short"), (4, "seven words are fewer than a window"), (5, "we saw Mary near Mary again with Mary today")], "item_id long, text string")
+    rows = [(1, "before. " + item + " after"), (2, other), (3, "train leaves at 9"), (4, None), (5, "Seven words are: fewer than a window!"), (None, item), (6, "we saw Anna near Bella again with Anna today"), (7, "we saw Anna near Anna again with Anna today")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     for part_words in (op10_decontaminate.PART_WORDS, 5):
         got = {r.doc_id: r.item_ids for r in op10_decontaminate.contamination(df, bench, part_words=part_words).collect()}
-        assert got == {1: [1], 2: [1], 3: [], 4: [], 5: [4], None: [1], 6: []}
+        assert got == {1: [1], 2: [1], 3: [], 4: [], 5: [4], None: [1], 6: [], 7: [5]}
     assert op10_decontaminate.clean(docs, bench.limit(0)).count() == len(corpus())
 
 
