@@ -5,11 +5,14 @@ them in batches (at most once: a failed insert loses its batch).  Here the
 producer drops JSON payloads into a landing folder and a streaming query
 
 1. L1 normalises them: a missing ``event_time`` becomes the arrival time,
-   a missing ``event_id`` becomes ``EVT_`` + 8 upper-case hex digits of a
-   hash of the payload and its file (stable across retries, unlike uuid());
-2. drops replays of the same ``event_id`` with
+   a missing ``event_id`` becomes ``EVT_`` + 32 upper-case hex digits of a
+   random id: a label, never a key, so that equal payloads stay apart; a
+   malformed ``event_time`` becomes the arrival time instead of an error
+   that would stop the stream at every restart;
+2. drops replays of the same producer-given ``event_id`` with
    ``dropDuplicatesWithinWatermark`` (the watermark is on *arrival* time, so
    events with old event times are still accepted, as in the reference);
+   events without a producer's id are all kept;
 3. L3 projects to the ``fact_events`` shape (+ ``date_id``), and
 4. L2 appends to a parquet sink; the checkpoint + the file sink's commit log
    make the append exactly once, and ``maxFilesPerTrigger`` bounds a
@@ -43,19 +46,12 @@ def read_landing(spark: SparkSession, landing: str, max_files_per_trigger: int =
 def normalise(raw: DataFrame) -> DataFrame:
     """L1: fill event_time and event_id, stamp the arrival time."""
     arrival = F.current_timestamp()
-    payload = F.concat_ws(
-        "|",
-        F.col("_file"),
-        F.coalesce("user_id", F.lit("")),
-        F.coalesce("event_type", F.lit("")),
-        F.coalesce("event_time", F.lit("")),
-    )
-    generated = F.concat(F.lit("EVT_"), F.upper(F.substring(F.sha2(payload, 256), 1, 8)))
+    generated = F.concat(F.lit("EVT_"), F.upper(F.regexp_replace(F.uuid(), "-", "")))
     return raw.select(
         F.coalesce(F.col("event_id"), generated).alias("event_id"),
         F.col("user_id"),
         F.col("event_type"),
-        F.coalesce(F.to_timestamp("event_time"), arrival).alias("event_time"),
+        F.coalesce(F.try_to_timestamp("event_time"), arrival).alias("event_time"),
         arrival.alias("ingested_at"),
     )
 

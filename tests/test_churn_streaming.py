@@ -85,7 +85,7 @@ def test_stream_intake_exactly_once(spark):
     first = spark.read.parquet(sink)
     assert first.count() == 2
     gen = first.where("user_id = 'USR_999999'").first()
-    assert gen["event_id"].startswith("EVT_") and len(gen["event_id"]) == 12 and gen["event_time"] is not None
+    assert gen["event_id"].startswith("EVT_") and len(gen["event_id"]) == 36 and gen["event_time"] is not None
     # restart on the same checkpoint: nothing new
     intake.run_available(spark, landing, sink, ckpt)
     assert spark.read.parquet(sink).count() == 2
@@ -100,6 +100,19 @@ def test_stream_intake_exactly_once(spark):
     assert out.where("event_id = 'EVT_2'").first()["date_id"] == 20200101
 
 
+def test_equal_payloads_without_id_all_stay(spark):
+    base = tempfile.mkdtemp(prefix="growlytics-stream-")
+    landing, sink, ckpt = (os.path.join(base, x) for x in ("landing", "sink", "ckpt"))
+    os.makedirs(landing)
+    with open(os.path.join(landing, "a.json"), "w") as fh:
+        fh.write('{"user_id": "USR_1", "event_type": "page_view"}\n' * 5)
+        fh.write('{"user_id": "USR_2", "event_type": "login", "event_time": "not a time"}\n')
+    for _ in range(2):  # a restart adds none
+        intake.run_available(spark, landing, sink, ckpt)
+        rows = spark.read.parquet(sink).collect()
+        assert len(rows) == 6 and len({r["event_id"] for r in rows}) == 6 and all(r["event_time"] for r in rows)
+
+
 def test_tight_split_keeps_class_proportions(spark, planted):
     train, test = churn.split(planted, P, tight=True)
     by = {r["churned"]: r["count"] for r in test.groupBy("churned").count().collect()}
