@@ -128,8 +128,15 @@ def _indexers() -> list[StringIndexer]:
     ]
 
 
+def enough_rows(feats: DataFrame, p: Params) -> bool:
+    """K4's row minimum holds for the whole feature table, not for the
+    training part of it."""
+    return feats.limit(p.min_training_rows).count() >= p.min_training_rows
+
+
 def fit(train: DataFrame, p: Params, label: str = "churned") -> PipelineModel | None:
-    """K2 + K4: fit encoders and the forest; None under the row minimum.
+    """K2 + K4: fit encoders and the forest; None without training rows.
+    Whether there are enough rows is :func:`enough_rows`' question.
 
     The training rows are persisted (memory, spilling to disk) for the
     duration of the fit: the indexers, the split search and the tree
@@ -144,7 +151,7 @@ def fit(train: DataFrame, p: Params, label: str = "churned") -> PipelineModel |
 
 
 def _fit(train: DataFrame, p: Params, label: str) -> PipelineModel | None:
-    if train.limit(p.min_training_rows).count() < p.min_training_rows:
+    if train.isEmpty():
         return None
     enc = Pipeline(stages=_indexers()).fit(train)
     # unseen labels get index n_labels from 'keep'; map them to code 0
@@ -154,7 +161,7 @@ def _fit(train: DataFrame, p: Params, label: str) -> PipelineModel | None:
     )
     sql = SQLTransformer(statement=f"SELECT *, {remap} FROM __THIS__")
     cols = [f"{c}_idx" if c in CATEGORICAL else c for c in CHURN_FEATURES]
-    asm = VectorAssembler(inputCols=cols, outputCol="features")
+    asm = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip")
     rf = RandomForestClassifier(
         labelCol=label, featuresCol="features", numTrees=p.churn_trees, maxDepth=p.churn_depth, seed=p.seed
     )
@@ -164,16 +171,25 @@ def _fit(train: DataFrame, p: Params, label: str) -> PipelineModel | None:
 
 
 def score(model: PipelineModel | None, feats: DataFrame) -> DataFrame:
-    """K6: churn probability per feature row (rule score when no model)."""
+    """K6: churn probability per feature row (rule score when no model).  A
+    row with a missing feature cannot be scored and gets 0.5, prediction 1."""
     if model is None:
         return feats.withColumn("churn_probability", rule_score(feats)).withColumn(
             "prediction", (F.col("churn_probability") >= 0.5).cast("double")
         )
-    out = model.transform(feats)
+    numeric = [c for c in CHURN_FEATURES if c not in CATEGORICAL]
+    whole = F.lit(True)
+    for c in numeric:
+        x = F.col(c).cast("double")
+        whole = whole & x.isNotNull() & ~F.isnan(x)
+    # an unscorable row goes through the forest with zeros, then gets 0.5
+    filled = feats.select("*", whole.alias("_whole"), *[F.col(c).alias(f"_given_{c}") for c in numeric])
+    filled = filled.withColumns({c: F.when(F.col("_whole"), F.col(c)).otherwise(F.lit(0).cast(feats.schema[c].dataType)) for c in numeric})
+    out = model.transform(filled)
     return out.select(
-        *feats.columns,
-        vector_to_array("probability")[1].alias("churn_probability"),
-        F.col("prediction"),
+        *[F.col(f"_given_{c}").alias(c) if c in numeric else F.col(c) for c in feats.columns],
+        F.when(F.col("_whole"), vector_to_array("probability")[1]).otherwise(0.5).alias("churn_probability"),
+        F.when(F.col("_whole"), F.col("prediction")).otherwise(1.0).alias("prediction"),
     )
 
 

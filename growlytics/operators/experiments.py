@@ -164,16 +164,19 @@ def abn_test(arm_table: DataFrame, p: Params, keys: list[str] | None = None) ->
     )
 
 
-def chi_square(cells: DataFrame, keys: list[str], alpha: float = 0.05) -> DataFrame:
+def chi_square(cells: DataFrame, keys: list[str], alpha: float = 0.05, control: Column | None = None) -> DataFrame:
     """I4: chi-square test of independence on a k x 2 table per test key.
 
     ``cells`` has one row per table row: ``keys``, ``conversions``,
     ``group_size``.  Expected counts come from window sums over the key;
-    Yates' continuity correction (|diff| capped at 0.5) only when df = 1."""
+    Yates' continuity correction (|diff| capped at 0.5) only when df = 1.
+    ``control`` tells which rows are the control arm: a test without one has
+    a control of size 0, so (0, 1, not significant)."""
     w = Window.partitionBy(*keys)
     conv = F.col("conversions").cast("double")
     fail = (F.col("group_size") - F.col("conversions")).cast("double")
-    t = cells.select(*keys, conv.alias("o1"), fail.alias("o0"), F.col("group_size").cast("double").alias("n"))
+    is_ctrl = F.lit(True) if control is None else F.coalesce(control, F.lit(False))
+    t = cells.select(*keys, conv.alias("o1"), fail.alias("o0"), F.col("group_size").cast("double").alias("n"), is_ctrl.alias("is_ctrl"))
     t = (
         t.withColumn("k", F.count(F.lit(1)).over(w))
         .withColumn("c1", F.sum("o1").over(w))
@@ -195,14 +198,17 @@ def chi_square(cells: DataFrame, keys: list[str], alpha: float = 0.05) -> DataFr
         F.min(F.least(e1, e0)).alias("min_expected"),
         F.min("n").alias("min_size"),
         F.min(F.least(F.col("o1"), F.col("o0"))).alias("min_cell"),
+        F.max("is_ctrl").alias("has_ctrl"),
     )
     bad = (
-        (F.col("min_size") <= 0)
+        ~F.col("has_ctrl")
+        | (F.col("k") == 1)
+        | (F.col("min_size") <= 0)
         | (F.col("min_cell") < 0)
         | F.coalesce(F.col("min_expected") <= 0, F.lit(True))
     )
-    dof = F.col("k") - 1
-    chi2 = F.when(bad | (dof == 0), 0.0).otherwise(F.col("stat"))
+    dof = F.col("k") - F.when(F.col("has_ctrl"), 1).otherwise(0)  # a missing control is a row of zeros
+    chi2 = F.when(bad, 0.0).otherwise(F.col("stat"))
     staged = per.select(*keys, chi2.alias("chi2"), dof.cast("bigint").alias("dof"), bad.alias("bad"))
     return staged.selectExpr(
         *[f"`{k}`" for k in keys], "chi2", f"CASE WHEN bad THEN 1D ELSE {chi2_sf_sql('chi2', 'dof')} END AS p_value", "dof"
@@ -212,7 +218,8 @@ def chi_square(cells: DataFrame, keys: list[str], alpha: float = 0.05) -> DataFr
 def chi_square_global(arm_table: DataFrame, p: Params, keys: list[str] | None = None) -> DataFrame:
     """I4 over control + all variants of each test."""
     keys = keys or ["experiment_id"]
-    return chi_square(arm_table.select(*keys, "variant", "conversions", "group_size"), keys, p.alpha)
+    return chi_square(arm_table.select(*keys, "variant", "conversions", "group_size"), keys, p.alpha,
+                      control=F.col("variant") == p.control_variant)
 
 
 def chi_square_pairwise(arm_table: DataFrame, p: Params, keys: list[str] | None = None) -> DataFrame:
@@ -233,19 +240,27 @@ def chi_square_pairwise(arm_table: DataFrame, p: Params, keys: list[str] | None
     return chi_square(cells, [*keys, "variant"], p.alpha)
 
 
-def experiment_report(arm_table: DataFrame, p: Params, keys: list[str] | None = None) -> DataFrame:
+def experiment_report(arm_table: DataFrame, p: Params, keys: list[str] | None = None,
+                      with_variants: bool = False) -> DataFrame:
     """Per test, the first variant (lowest name) z-test and 2 x 2
-    chi-square, plus the global chi-square over all arms.
+    chi-square, plus the global chi-square over all arms.  A test with a
+    control only is reported against an empty arm named 'Variant'.
+    ``with_variants`` adds the A/B/n set: an array of I3's rows by variant
+    (empty where I3 has none), a few per test.
 
-    The three parts read the same arm table, so it is checkpointed once
+    The parts read the same arm table, so it is checkpointed once
     (eagerly, into the shared checkpoint folder): the assignments x
     subscriptions aggregation runs one time, and the lineage is cut."""
     keys = keys or ["experiment_id"]
-    arm_table = checkpointed(arm_table)
-    z = ztest(arm_table, p, keys)
+    arm_table = checkpointed(arm_table.select(*keys, "variant", "conversions", "group_size"))
+    alone = arm_table.groupBy(*keys).agg(F.max(F.col("variant") != p.control_variant).alias("other")).where(~F.col("other"))
+    none = F.lit(0).cast("bigint")
+    filled = arm_table.unionByName(
+        alone.select(*keys, F.lit("Variant").alias("variant"), none.alias("conversions"), none.alias("group_size")))
+    z = ztest(filled, p, keys)
     first = z.groupBy(*keys).agg(F.min("variant").alias("variant"))
     z1 = z.join(first, [*keys, "variant"])
-    pair = chi_square_pairwise(arm_table, p, keys).select(
+    pair = chi_square_pairwise(filled, p, keys).select(
         *keys, "variant",
         F.col("chi2").alias("chi2"), F.col("p_value").alias("chi2_p_value"), F.col("significant").alias("chi2_significant"),
     )
@@ -255,9 +270,15 @@ def experiment_report(arm_table: DataFrame, p: Params, keys: list[str] | None =
         F.col("p_value").alias("global_chi2_p_value"),
         F.col("significant").alias("global_chi2_significant"),
     )
-    return z1.join(pair, [*keys, "variant"], "left").join(glob, keys, "left").withColumnRenamed(
+    out = z1.join(pair, [*keys, "variant"], "left").join(glob, keys, "left").withColumnRenamed(
         "variant", "first_variant"
     )
+    if not with_variants:
+        return out
+    abn = abn_test(arm_table, p, keys)
+    row = F.struct(*[c for c in abn.columns if c not in keys])
+    sets = abn.groupBy(*keys).agg(F.sort_array(F.collect_list(row)).alias("variants"))
+    return out.join(sets, keys, "left").withColumn("variants", F.coalesce("variants", F.array().cast(sets.schema["variants"].dataType)))
 
 
 def scenarios_from_counts(spark, rows: list[tuple]) -> DataFrame:

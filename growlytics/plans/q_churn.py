@@ -8,31 +8,29 @@ from growlytics.operators import churn
 from growlytics.plans.oracle import days_since, r6
 from growlytics.plans.registry import _code_version, register
 from growlytics.session import ensure_checkpoint_dir
+from growlytics.sources.warehouse import _fs_exists, _fs_touch, input_state
 
 _LOADED: dict = {}
 
 FEATURES = f""",
-us AS (
-  SELECT user_id, count(DISTINCT session_id) AS session_count, {days_since('max(session_start)')} AS recency,
-         max(device_type) AS device_type
-  FROM fact_sessions WHERE user_id IS NOT NULL GROUP BY user_id
+activity AS (
+  SELECT user_id, 'session' AS kind, session_id AS id, session_start AS at_ts, device_type AS label, NULL AS money FROM fact_sessions
+  UNION ALL SELECT user_id, 'event', event_id, NULL, event_type, NULL FROM fact_events
+  UNION ALL SELECT user_id, 'payment', payment_id, NULL, NULL, amount FROM fact_payments
 ),
-ue AS (
-  SELECT user_id, sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS search_count,
-         sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS pv_count, count(event_id) AS total_events
-  FROM fact_events WHERE user_id IS NOT NULL GROUP BY user_id
+totals AS (
+  SELECT user_id, count(DISTINCT id) FILTER (WHERE kind = 'session') AS n_sessions, {days_since('max(at_ts)')} AS idle_days,
+         max(label) FILTER (WHERE kind = 'session') AS device, count(*) FILTER (WHERE kind = 'event' AND label = 'click') AS n_click,
+         count(*) FILTER (WHERE kind = 'event' AND label = 'view') AS n_view, count(id) FILTER (WHERE kind = 'event') AS n_events,
+         CAST(sum(money) AS DOUBLE) AS money
+  FROM activity GROUP BY user_id
 ),
-up AS (SELECT user_id, CAST(sum(amount) AS DOUBLE) AS total_revenue FROM fact_payments WHERE user_id IS NOT NULL GROUP BY user_id),
 feats AS (
-  SELECT c.user_id, c.plan, u.channel,
-         coalesce(us.session_count, 0) AS session_count, coalesce(us.recency, 365) AS recency,
-         coalesce(us.device_type, 'Desktop') AS device_type,
-         CAST(coalesce(ue.search_count, 0) AS BIGINT) AS search_count, CAST(coalesce(ue.pv_count, 0) AS BIGINT) AS pv_count,
-         coalesce(ue.total_events, 0) AS total_events, coalesce(up.total_revenue, 0.0) AS total_revenue,
-         CASE WHEN c.status = 'cancelled' THEN 1 ELSE 0 END AS churned
-  FROM subscriptions c JOIN dim_users u ON c.user_id = u.user_id
-  LEFT JOIN us ON c.user_id = us.user_id LEFT JOIN ue ON c.user_id = ue.user_id LEFT JOIN up ON c.user_id = up.user_id
-  WHERE c.plan IN ('Pro', 'Enterprise')
+  SELECT user_id, plan, (SELECT channel FROM dim_users u WHERE u.user_id = s.user_id) AS channel,
+         coalesce(n_sessions, 0) AS session_count, coalesce(idle_days, 365) AS recency, coalesce(device, 'Desktop') AS device_type,
+         coalesce(n_click, 0) AS search_count, coalesce(n_view, 0) AS pv_count, coalesce(n_events, 0) AS total_events,
+         coalesce(money, 0.0) AS total_revenue, CAST(status = 'cancelled' AS INTEGER) AS churned
+  FROM subscriptions s LEFT JOIN totals USING (user_id) WHERE plan <> 'Free'
 ),
 scored AS (
   SELECT *, least(0.95, greatest(0.05, 0.15 + CASE WHEN recency > 90 THEN 0.55 WHEN recency > 30 THEN 0.25 ELSE 0 END
@@ -87,33 +85,32 @@ def k5_metrics(ctx):
 
 def _model(ctx):
     """Train once, then reuse: the fitted pipeline is saved under the shared
-    folder (A7) keyed by the input directory, and later calls load it, the
-    way the reference trains once and loads its pickles for prediction."""
+    folder (A7) keyed by the state of the input files, and later calls load
+    it, the way the reference trains once and loads its pickles for
+    prediction.  A marker beside it is written last: a save that was cut
+    half-way is done anew."""
     feats = churn.features(ctx.wh, ctx.p)
-    train, test = churn.split(feats, ctx.p)
+    train, test = churn.split(feats, ctx.p, tight=True)
     with open(churn.__file__, "rb") as fh:
         code = hashlib.sha1(fh.read()).hexdigest()
-    key = hashlib.sha1(f"{os.path.abspath(ctx.sf_dir)}|{_code_version()}|{code}".encode()).hexdigest()[:12]
+    state = input_state(ctx.spark, ctx.sf_dir)
+    key = hashlib.sha1(f"{os.path.abspath(ctx.sf_dir)}|{state}|{_code_version()}|{code}".encode()).hexdigest()[:12]
     path = f"{ensure_checkpoint_dir(ctx.spark).rstrip('/')}/models/churn-{key}"
-    marker = f"{path}/metadata"
-    if path in _LOADED:
-        model = _LOADED[path]
-    elif _exists(ctx.spark, marker):
+    marker = f"{path}.complete"
+    app = (ctx.spark.sparkContext.applicationId, path)
+    if app in _LOADED:
+        model = _LOADED[app]
+    elif _fs_exists(ctx.spark, marker):
         model = churn.load(path)
     else:
-        model = churn.fit(train, ctx.p)
+        model = churn.fit(train, ctx.p) if churn.enough_rows(feats, ctx.p) else None
         if model is not None:
             churn.save(model, path)
-    _LOADED[path] = model
+            _fs_touch(ctx.spark, marker)
+    _LOADED[app] = model
     return feats, test, model
 
 
-def _exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 @register("k4_model")
 def k4_model(ctx):
     """Rows-only: forest predictions on the held-out split."""

@@ -7,10 +7,10 @@ from growlytics.plans.oracle import r6
 from growlytics.plans.registry import register
 
 E2_SQL = """
-SELECT count(DISTINCT user_id) AS mau,
-       count(DISTINCT CASE WHEN session_start >= TIMESTAMP '2001-07-26' THEN user_id END) AS wau,
-       count(DISTINCT CASE WHEN session_start >= TIMESTAMP '2001-08-01' THEN user_id END) AS dau
-FROM fact_sessions
+, latest AS (SELECT user_id, max(session_start) AS last_seen FROM fact_sessions WHERE user_id IS NOT NULL GROUP BY user_id)
+SELECT (SELECT count(*) FROM latest) AS mau,
+       (SELECT count(*) FROM latest WHERE last_seen >= TIMESTAMP '2001-07-26') AS wau,
+       (SELECT count(*) FROM latest WHERE last_seen >= TIMESTAMP '2001-08-01') AS dau
 """
 
 

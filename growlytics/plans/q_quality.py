@@ -77,6 +77,69 @@ def b5_clean_users(ctx):
     return Q.clean(ctx.raw("users"), "users")
 
 
+# Dirty input by a fixed rule, written in both engines: repeated rows, amounts
+# that are negative or missing, users without a country or a plan.
+DIRTY = """,
+dp AS (SELECT payment_id, user_id, CASE WHEN payment_id % 101 = 0 THEN -amount WHEN payment_id % 103 = 0 THEN NULL ELSE amount END AS amount,
+              payment_date FROM payments),
+dirty_payments AS (SELECT * FROM dp UNION ALL SELECT * FROM dp WHERE payment_id % 97 = 0),
+du AS (SELECT user_id, signup_date, CASE WHEN user_id % 13 <> 0 THEN country END AS country, acquisition_channel,
+              CASE WHEN user_id % 17 <> 0 THEN plan_type END AS plan_type FROM users),
+dirty_users AS (SELECT * FROM du UNION ALL SELECT * FROM du WHERE user_id % 19 = 0)
+"""
+
+
+def _dirty(ctx, dataset: str):
+    df = ctx.raw(dataset)
+    if dataset == "payments":
+        pid = F.col("payment_id")
+        amount = F.when(pid % 101 == 0, -F.col("amount")).when(pid % 103 != 0, F.col("amount"))
+        df = df.withColumn("amount", amount.cast(df.schema["amount"].dataType))
+        return df.unionAll(df.where("payment_id % 97 = 0"))
+    uid = F.col("user_id")
+    df = df.withColumns({"country": F.when(uid % 13 != 0, F.col("country")), "plan_type": F.when(uid % 17 != 0, F.col("plan_type"))})
+    return df.unionAll(df.where("user_id % 19 = 0"))
+
+
+@register("a3_clean_payments", extra=DIRTY, sql="""
+SELECT DISTINCT payment_id, user_id, round(CAST(amount AS DOUBLE), 6) AS amount, strftime(payment_date, '%Y-%m-%d') AS payment_date
+FROM dirty_payments WHERE amount > 0
+""")
+def a3_clean_payments(ctx):
+    """What the load keeps of dirty payments."""
+    return Q.clean(_dirty(ctx, "payments"), "payments")
+
+
+@register("a3_clean_users", extra=DIRTY, sql="""
+SELECT DISTINCT user_id, strftime(signup_date, '%Y-%m-%d') AS signup_date, coalesce(country, 'Unknown') AS country,
+       acquisition_channel, coalesce(plan_type, 'Free') AS plan_type
+FROM dirty_users
+""")
+def a3_clean_users(ctx):
+    """What the load keeps of dirty users."""
+    return Q.clean(_dirty(ctx, "users"), "users")
+
+
+@register("b2_null_dirty", extra=DIRTY, sql="\nUNION ALL\n".join(
+    _null_sql(f"dirty_{t}", c).replace(f"'dirty_{t}'", f"'{t}'") for t, cols in (
+        ("payments", "payment_id user_id amount payment_date"),
+        ("users", "user_id signup_date country acquisition_channel plan_type")) for c in cols.split()))
+def b2_null_dirty(ctx):
+    """Null counts and rates of the dirty datasets (B2)."""
+    return Q.null_profile(_dirty(ctx, "payments"), "payments").unionByName(Q.null_profile(_dirty(ctx, "users"), "users"))
+
+
+@register("b7_quality_dirty", extra=DIRTY, sql="\nUNION ALL\n".join(
+    f"""SELECT '{d}' AS dataset, i.n AS initial_row_count, f.n AS final_row_count, i.n - x.n AS duplicate_rows_removed,
+       x.n - f.n AS validation_failures_removed
+FROM (SELECT count(*) AS n FROM dirty_{d}) i, (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM dirty_{d})) x,
+     (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM dirty_{d}) WHERE {rule}) f"""
+    for d, rule in (("payments", "amount > 0"), ("users", "true"))))
+def b7_quality_dirty(ctx):
+    """The quality report on dirty input."""
+    return Q.quality_report(_dirty(ctx, "payments"), "payments").unionByName(Q.quality_report(_dirty(ctx, "users"), "users"))
+
+
 DATASETS = ("users", "sessions", "events", "subscriptions", "payments", "experiments")
 _B7_SRC = {
     "users": "users", "sessions": "sessions",

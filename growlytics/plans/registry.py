@@ -22,13 +22,15 @@ from growlytics.sources.warehouse import Warehouse, materialized_binding
 
 @lru_cache(maxsize=1)
 def _code_version() -> str:
-    """Hash of the code that defines the marts (binding, staging, marts)."""
+    """Hash of the code that defines the marts (sources, cleaning, staging,
+    marts and what they import)."""
     import hashlib
     import os
 
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     h = hashlib.sha1()
-    for rel in ("sources/binding.py", "sources/warehouse.py", "operators/staging.py", "operators/marts.py"):
+    for rel in ("config.py", "functions/dates.py", "sources/binding.py", "sources/files.py", "sources/schemas.py",
+                "sources/warehouse.py", "operators/quality.py", "operators/staging.py", "operators/marts.py"):
         with open(os.path.join(root, rel), "rb") as fh:
             h.update(fh.read())
     return h.hexdigest()[:12]
@@ -106,7 +108,6 @@ MODULES = (
     "q_kpis",
     "q_activity",
     "q_revenue",
-    "q_funnel",
     "q_cohorts",
     "q_segments",
     "q_experiments",

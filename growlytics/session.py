@@ -80,7 +80,9 @@ def use_shared_base(spark: SparkSession, path: str) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder: ``spark.checkpoint.dir`` from the session
     (the cluster's shared storage), else the context's checkpoint dir, else
-    a local temporary folder (tests only: on a cluster it is always set)."""
+    a local temporary folder.  The last is for a local master only: on a
+    cluster a missing setting is an error, as no machine's own folder is
+    seen by the others."""
     app = spark.sparkContext.applicationId
     if app in _OVERRIDE:
         return _OVERRIDE[app]
@@ -88,6 +90,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc_dir = spark.sparkContext.getCheckpointDir()
     path = conf_dir or sc_dir
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder shared by the driver and all executors")
         path = tempfile.mkdtemp(prefix="growlytics-ckpt-")
         _OVERRIDE[app] = path
     if not sc_dir:
