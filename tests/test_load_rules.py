@@ -44,7 +44,7 @@ def _features(spark, n):
     df = spark.range(n).select(
         F.col("id").alias("user_id"), F.lit("Pro").alias("plan"), F.lit("Google").alias("channel"), F.lit("Mobile").alias("device_type"),
         (F.col("id") % 2).cast("int").alias("churned"))
-    return df.withColumns({c: (F.col("id") % 7 + 40 * F.col("churned")).cast("double") for c in CHURN_FEATURES if c not in churn.CATEGORICAL})
+    return df.withColumns({c: (F.col("user_id") % 7 + 40 * F.col("churned")).cast("double") for c in CHURN_FEATURES if c not in churn.CATEGORICAL})
 
 
 def test_row_minimum_counts_the_whole_table(spark):
