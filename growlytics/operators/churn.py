@@ -134,9 +134,10 @@ def enough_rows(feats: DataFrame, p: Params) -> bool:
     return feats.limit(p.min_training_rows).count() >= p.min_training_rows
 
 
-def fit(train: DataFrame, p: Params, label: str = "churned") -> PipelineModel | None:
-    """K2 + K4: fit encoders and the forest; None without training rows.
-    Whether there are enough rows is :func:`enough_rows`' question.
+def fit(train: DataFrame, p: Params, label: str = "churned", whole: DataFrame | None = None) -> PipelineModel | None:
+    """K2 + K4: fit encoders and the forest; None under the row minimum,
+    which holds for ``whole``, the feature table that ``train`` is a part of
+    (``train`` itself if not given).
 
     The training rows are persisted (memory, spilling to disk) for the
     duration of the fit: the indexers, the split search and the tree
@@ -145,7 +146,7 @@ def fit(train: DataFrame, p: Params, label: str = "churned") -> PipelineModel |
     lineage."""
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _fit(train, p, label)
+        return _fit(train, p, label) if enough_rows(train if whole is None else whole, p) else None
     finally:
         train.unpersist()
 

@@ -103,7 +103,7 @@ def _model(ctx):
     elif _fs_exists(ctx.spark, marker):
         model = churn.load(path)
     else:
-        model = churn.fit(train, ctx.p) if churn.enough_rows(feats, ctx.p) else None
+        model = churn.fit(train, ctx.p, whole=feats)
         if model is not None:
             churn.save(model, path)
             _fs_touch(ctx.spark, marker)
