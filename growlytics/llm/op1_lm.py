@@ -154,7 +154,7 @@ def contexts(symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _scatter(size: int, index: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    order = np.argsort(index, kind="stable")
+    order = np.argsort(index.astype(np.uint16), kind="stable")  # sorted by radix
     sorted_ = index[order]
     heads = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]])
     out = np.zeros((size, rows.shape[1]), np.float32)
@@ -162,17 +162,27 @@ def _scatter(size: int, index: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return out
 
 
+def _context_vectors(R: np.ndarray, C: np.ndarray, ctx: np.ndarray) -> np.ndarray:
+    """The weighted sum of the embeddings of each row of ``ctx``."""
+    r = (R * C[0])[ctx[:, 0]]
+    for j in range(1, CONTEXT):
+        r += (R * C[j])[ctx[:, j]]
+    return r
+
+
 def nce_step(p, grad2, ctx, target, noise, log_kpn):
     """One AdaGrad step of noise-contrastive estimation in place; the noise
     words are shared by the batch, so scores are one matrix product."""
     R, Q, b, C = _split(p)
-    emb = R[ctx]  # batch x context x width
-    r = np.einsum("bjd,jd->bd", emb, C)
+    r = _context_vectors(R, C, ctx)
     pos = np.einsum("bd,bd->b", r, Q[target]) + b[target] - log_kpn[target]
-    neg = r @ Q[noise].T + b[noise] - log_kpn[noise]
+    neg = r @ Q[noise].T
+    neg += b[noise] - log_kpn[noise]
     n = len(target)
     g_pos = -1 / (1 + np.exp(np.clip(pos, -30, 30)))  # d loss / d pos
-    g_neg = 1 / (1 + np.exp(-np.clip(neg, -30, 30)))
+    g_neg = np.clip(neg, -30, 30, out=neg)  # d loss / d neg, in place
+    np.exp(np.negative(g_neg, out=g_neg), out=g_neg)
+    np.reciprocal(np.add(g_neg, 1, out=g_neg), out=g_neg)
     g_r = g_pos[:, None] * Q[target] + g_neg @ Q[noise]
     g = np.zeros_like(p)
     gR, gQ, gb, gC = _split(g)
@@ -180,9 +190,10 @@ def nce_step(p, grad2, ctx, target, noise, log_kpn):
     np.add.at(gQ, noise, g_neg.T @ r)
     gb += np.bincount(target, weights=g_pos, minlength=SYMBOLS).astype(np.float32)
     gb += np.bincount(noise, weights=g_neg.sum(axis=0), minlength=SYMBOLS).astype(np.float32)
-    gC += np.einsum("bd,bjd->jd", g_r, emb)
     for j in range(CONTEXT):
-        gR += _scatter(SYMBOLS, ctx[:, j], g_r * C[j])
+        of_symbol = _scatter(SYMBOLS, ctx[:, j], g_r)
+        gR += of_symbol * C[j]
+        gC[j] += (of_symbol * R).sum(axis=0)
     g /= n
     grad2 += g * g
     p -= RATE * g / np.sqrt(grad2 + 1e-8)
@@ -191,21 +202,17 @@ def nce_step(p, grad2, ctx, target, noise, log_kpn):
 def log10_softmax(p: np.ndarray, ctx: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Normalised log10 probabilities of the targets, in batches."""
     R, Q, b, C = _split(p)
-    out = np.empty(len(target))
-    by_place = [R * c for c in C]
+    out, ones = np.empty(len(target)), np.ones(SYMBOLS, np.float32)
     for lo in range(0, len(target), 1024):  # a batch's scores stay in the processor's cache
         c, t = ctx[lo:lo + 1024], target[lo:lo + 1024]
-        r = by_place[0][c[:, 0]]
-        for j in range(1, CONTEXT):
-            r += by_place[j][c[:, j]]
-        s = r @ Q.T
+        s = _context_vectors(R, C, c) @ Q.T
         s += b
         hit = s[np.arange(len(t)), t].astype(np.float64)
         top = max(0.0, float(s.max()) - 60)  # keeps the exponentials finite
         if top:
             s -= top
         np.exp(s, out=s)
-        out[lo:lo + 1024] = (hit - top - np.log(s.sum(axis=1, dtype=np.float64))) / np.log(10)
+        out[lo:lo + 1024] = (hit - top - np.log((s @ ones).astype(np.float64))) / np.log(10)
     return out
 
 
