@@ -27,7 +27,6 @@ inside a document count as repeats; extra columns are carried along.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,16 +40,18 @@ _TOP = np.uint64(42)  # the 22 highest bits choose the bucket
 
 
 def _frequencies(share: float):
-    def run(frames):
+    def run(batches):
+        import pyarrow as pa
+
         count, total = np.zeros(BUCKETS, np.int64), 0
-        for f in frames:
-            texts = f["text"].tolist()
+        for b in batches:
+            texts = b.column("text").to_pylist()
             for lo, hi in slices(texts):
                 h = Tokens(texts[lo:hi]).hashes()
                 np.add.at(count, (h >> _TOP).astype(np.int64), 1)
                 total += len(h)
         at = np.flatnonzero(count >= max(2.0, total * share))
-        yield pd.DataFrame({"bucket": at, "n": count[at]})
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(count[at])], ["bucket", "n"])
 
     return run
 
@@ -59,7 +60,7 @@ def frequency_classes(texts: DataFrame, share: float = SHARE) -> np.ndarray:
     """A class from 0 (rare) to 63 for each bucket of word hashes: the
     logarithm of the bucket's count.  A bucket that no task finds frequent
     stays at 0; that only moves its words in the order."""
-    counts = texts.mapInPandas(_frequencies(share), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = texts.mapInArrow(_frequencies(share), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(BUCKETS, np.uint8)
     out[counts["bucket"].to_numpy(np.int64)] = np.minimum(63, 1 + np.log2(counts["n"].to_numpy(np.float64)) * 1.5).astype(np.uint8)
     return out
@@ -130,8 +131,10 @@ def _verified(docs: DataFrame, pairs: DataFrame, num: int, den: int, what: str)
     whose similarity is really at least num/den."""
     wanted = pairs.select("rid", "line").union(pairs.select("rid_0", "line_0")).distinct()
     wanted = staged(wanted.groupBy("rid").agg(F.collect_set("line").alias("lines")), what + "-wanted")
-    sets = docs.join(small(wanted), "rid").select("rid", F.split("text", "\n").alias("all"), F.explode("lines").alias("line"))
-    toks = F.array_distinct(F.filter(F.split(F.element_at("all", F.col("line") + 1), r"[\x20\x09-\x0D]+"), lambda x: x != ""))
+    # the lines of a text are split once and only the wanted ones go on
+    chosen = F.flatten(F.transform(F.array(F.split("text", "\n")), lambda x: F.transform("lines", lambda i: F.struct(i.alias("line"), F.get(x, i).alias("x")))))
+    sets = docs.join(small(wanted), "rid").select("rid", F.inline(chosen))
+    toks = F.array_distinct(F.filter(F.split("x", r"[\x20\x09-\x0D]+"), lambda x: x != ""))
     sets = staged(sets.select("rid", "line", toks.alias("w")), what + "-words")
     both = pairs.join(sets, ["rid", "line"]).join(sets.select(F.col("rid").alias("rid_0"), F.col("line").alias("line_0"), F.col("w").alias("w_0")), ["rid_0", "line_0"])
     i = F.size(F.array_intersect("w", "w_0"))
@@ -147,48 +150,44 @@ def kept_lines(docs: DataFrame, num: int = NUM, den: int = DEN, crowd: int = CRO
     firsts = lines.groupBy(*sets).agg(F.min(F.struct(*rest)).alias("s")).select(*sets, *[f"s.{c}" for c in rest])
     # place in the corpus: by doc_id, nulls last, then by row and line
     firsts = staged(firsts.withColumn("d", F.coalesce("doc_id", F.lit(2**63 - 1))).drop("nul", "doc_id"), "lines-first")
-    place = firsts.select("key", "n", "bm1", "bm2", "d", "rid", "line")
-
-    def bound(a: str, b: str):
-        """(length filter, least overlap, most symmetric difference)."""
-        na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-        least = F.floor((F.lit(num).cast("long") * (na + nb) + (num + den - 1)) / F.lit(num + den))
-        return F.greatest(na, nb) * num <= F.least(na, nb) * den, least, na + nb - 2 * least
-
-    def apart(a: str, b: str, *maps: str):
-        return sum((F.bit_count(F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}"))) for m in maps), F.lit(0))
-
-    def placed(pairs: DataFrame, what: str) -> DataFrame:
-        """Pairs (key, key_0) in corpus order that pass the filters on both
-        bitmaps, with places."""
-        p, i = place.alias("p"), place.withColumnRenamed("key", "key_0").alias("i")
-        length, _, most = bound("p", "i")
-        out = pairs.alias("x").join(p, F.col("x.key") == F.col("p.key")).join(i, F.col("x.key_0") == F.col("i.key_0"))
-        earlier = F.struct("i.d", "i.rid", "i.line") < F.struct("p.d", "p.rid", "p.line")
-        out = out.where(earlier & length & (apart("p", "i", "bm1", "bm2") <= most))
-        return staged(out.select("x.key", "p.rid", "p.line", F.col("i.rid").alias("rid_0"), F.col("i.line").alias("line_0")), what)
+    here = ["n", "bm1", "bm2", "d", "rid", "line"]
+
+    def similar(a: str, b: str):
+        """Length filter, and the symmetric difference (at least the bits in
+        which the bitmaps differ) at most (den - num) / (den + num) of both
+        lengths together."""
+        na, nb = F.abs(f"{a}.n"), F.abs(f"{b}.n")
+        apart = sum((F.bit_count(F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}"))) for m in ("bm1", "bm2")), F.lit(0))
+        return (F.greatest(na, nb) * num <= F.least(na, nb) * den) & ((na + nb) * (den - num) >= apart * (num + den))
 
     # in a crowd that shares a min-hash, the first line is tried for all others
-    bands = firsts.select("key", "d", "line", F.posexplode(F.array("m0", "m1", "m2")).alias("slot", "m"))
-    crowds = bands.groupBy("slot", "m").agg(F.min(F.struct("d", "line", "key")).alias("h"), F.count("*").alias("size")).where(F.col("size") > crowd)
-    crowds = staged(crowds.select("slot", "m", F.col("h.key").alias("key_0")), "lines-crowds")
-    tried = bands.join(small(crowds), ["slot", "m"]).where("key <> key_0").select("key", "key_0").distinct()
-    settled = _verified(docs, placed(tried, "lines-tried"), num, den, "lines-settled")
-
-    # all others probe the prefix index of the lines before them; both sides
-    # are one table, shuffled once: a settled line has its length negated, so
-    # that it passes the length filter as an index line only
+    bands = firsts.select("key", *here, F.posexplode(F.array("m0", "m1", "m2")).alias("slot", "m"))
+    crowds = bands.groupBy("slot", "m").agg(F.min_by("key", "d").alias("head"), F.count("*").alias("size")).where(F.col("size") > crowd)
+    crowds = staged(crowds.select("slot", "m", "head"), "lines-crowds")
+    heads = firsts.select(F.col("key").alias("head"), F.struct("key", *here).alias("i")).join(small(staged(crowds.select("head").distinct(), "lines-heads")), "head")
+    crowds = staged(crowds.join(heads, "head").select("slot", "m", "i"), "lines-tries")
+    tried = bands.alias("p").join(small(crowds), ["slot", "m"])
+    tried = tried.where((F.col("p.key") != F.col("i.key")) & (F.struct("i.d", "i.rid", "i.line") < F.struct("p.d", "p.rid", "p.line")) & similar("p", "i"))
+    tried = tried.select("p.key", "p.rid", "p.line", F.col("i.rid").alias("rid_0"), F.col("i.line").alias("line_0")).distinct()
+    settled = _verified(docs, staged(tried, "lines-tried"), num, den, "lines-settled")
+
+    # all others probe the prefix index; both sides are one table, shuffled
+    # once: a settled line has its length negated, two such are not compared.
+    # Each pair is found from its smaller key; which line is the earlier one
+    # is seen when the few that pass are placed
     gone = small(settled.withColumn("gone", F.lit(True)))
     listed = firsts.join(gone, "key", "left").withColumn("n", F.when(F.col("gone"), -F.col("n")).otherwise(F.col("n")))
-    listed = listed.select("key", "d", "line", "n", "bm1", F.posexplode("prefix").alias("pos", "tok"))
-    of_p, of_i = F.col("p.n"), F.abs("i.n")
-    least = F.floor((F.lit(num).cast("long") * (of_p + of_i) + (num + den - 1)) / F.lit(num + den))
-    length = F.greatest(of_p, of_i) * num <= F.least(of_p, of_i) * den
+    listed = listed.select("key", "n", "bm1", "bm2", F.posexplode("prefix").alias("pos", "tok"))
+    of_p, of_i = F.abs("p.n"), F.abs("i.n")
     left = F.least(of_p - F.col("p.pos"), of_i - F.col("i.pos"))
-    found = listed.alias("p").join(listed.alias("i"), (F.col("p.tok") == F.col("i.tok")) & ((F.col("i.d") < F.col("p.d")) | (F.col("i.d") == F.col("p.d")) & (F.col("i.line") <= F.col("p.line"))) & (F.col("i.key") != F.col("p.key")) & length & (left >= least)
-                                   & (apart("p", "i", "bm1") <= of_p + of_i - 2 * least))
+    found = listed.alias("p").join(listed.alias("i"), (F.col("p.tok") == F.col("i.tok")) & (F.col("i.key") < F.col("p.key")) & ((F.col("p.n") > 0) | (F.col("i.n") > 0))
+                                   & (left * (num + den) >= (of_p + of_i) * num) & similar("p", "i"))
     found = staged(found.select(F.col("p.key").alias("key"), F.col("i.key").alias("key_0")).distinct(), "lines-candidates")
-    also = _verified(docs, placed(found, "lines-found"), num, den, "lines-also")
+    place = firsts.select("key", F.struct("d", "rid", "line", "key").alias("at"))
+    found = found.join(place, "key").join(place.select(F.col("key").alias("key_0"), F.col("at").alias("at_0")), "key_0")
+    found = found.select(F.greatest("at", "at_0").alias("p"), F.least("at", "at_0").alias("i"))
+    found = staged(found.select("p.key", "p.rid", "p.line", F.col("i.rid").alias("rid_0"), F.col("i.line").alias("line_0")), "lines-pairs")
+    also = _verified(docs, found, num, den, "lines-also")
     return firsts.join(small(staged(settled.union(also), "lines-gone")), "key", "left_anti").select("rid", "line")
 
 
