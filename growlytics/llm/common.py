@@ -114,9 +114,10 @@ def spread(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def appended(df: DataFrame, inputs: list[str], fn, fields: dict[str, str]) -> DataFrame:
+def appended(df: DataFrame, inputs: list[str], fn, fields: dict[str, str], without: tuple[str, ...] = ()) -> DataFrame:
     """``df`` (whose names are distinct) and new columns that ``fn`` makes of
-    the input columns of a batch: lists, in the order of ``fields``."""
+    the input columns of a batch: lists, in the order of ``fields``; the
+    columns in ``without`` do not come back."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -124,14 +125,15 @@ def appended(df: DataFrame, inputs: list[str], fn, fields: dict[str, str]) -> Da
     at = [df.columns.index(c) for c in inputs]
     new = StructType.fromDDL(", ".join(f"{n} {t}" for n, t in fields.items()))
     types = [f.type for f in to_arrow_schema(new)]
+    back = [i for i, c in enumerate(df.columns) if c not in without]
 
     def run(batches):
         for b in batches:
             got = fn(*[b.column(i).to_pylist() for i in at])
             arrays = [pa.array(v, t) for v, t in zip(got, types)]
-            yield pa.RecordBatch.from_arrays([*b.columns, *arrays], [*b.schema.names, *new.names])
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in back], *arrays], [*[b.schema.names[i] for i in back], *new.names])
 
-    return df.mapInArrow(run, StructType(df.schema.fields + new.fields))
+    return df.mapInArrow(run, StructType([df.schema.fields[i] for i in back] + new.fields))
 
 
 def shipped(spark: SparkSession, thing):
@@ -256,15 +258,27 @@ def hashed(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of byte ranges, alike wherever the bytes stand."""
     up, down = _powers(len(data))
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
-    return mix((total[end] - total[start]) * down[start])
+    v = data.astype(np.uint64)
+    v += np.uint64(1)
+    v *= up[:len(data)]
+    np.cumsum(v, out=total[1:])
+    out = total[end]
+    out -= total[start]
+    out *= down[start]
+    return mix(out)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (finaliser of a public hash)."""
-    x = (x ^ (x >> _S33)) * _M1
-    x = (x ^ (x >> _S33)) * _M2
-    return x ^ (x >> _S33)
+    y = x >> _S33
+    y ^= x
+    y *= _M1
+    t = y >> _S33
+    y ^= t
+    y *= _M2
+    np.right_shift(y, _S33, out=t)
+    y ^= t
+    return y
 
 
 def rolled(h: np.ndarray, k: int) -> np.ndarray:

@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growlytics.llm.common import Tokens, appended, by_value, mix, plain, restored, row_key, slices, small, staged, words
+from growlytics.llm.common import Tokens, appended, by_value, mix, plain, restored, row_key, slices, small, staged
 
 by_value(__name__)
 NUM, DEN, MINHASHES = 4, 5, 3
@@ -199,7 +199,7 @@ def _strip(texts, kept):
             continue
         stay = set(k or ())
         lines = t.split("\n")
-        full = [bool(words(x)) for x in lines]
+        full = [bool(x.strip(" \t\n\v\f\r")) for x in lines]
         left = [x for i, x in enumerate(lines) if not full[i] or i in stay]
         out.append("\n".join(left)), n_lines.append(sum(full)), n_removed.append(len(lines) - len(left))
     return out, n_lines, n_removed
@@ -212,7 +212,7 @@ def deduplicated(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     rows = rows.withColumn("rid", row_key(at["doc_id"], at["text"]))
     kept = kept_lines(rows.select("rid", F.col(at["doc_id"]).alias("doc_id"), F.col(at["text"]).alias("text")), num, den)
     kept = staged(kept.groupBy("rid").agg(F.collect_list("line").alias("kept")), "lines-kept")  # the lines of one document
-    out = appended(rows.join(small(kept), "rid", "left"), [at["text"], "kept"], _strip, {"left": "string", "dedup_lines": "bigint", "dedup_removed": "bigint"})
+    out = appended(rows.join(small(kept), "rid", "left"), [at["text"], "kept"], _strip, {"left": "string", "dedup_lines": "bigint", "dedup_removed": "bigint"}, (at["text"], "kept"))
     return restored(out, docs.columns, "dedup_lines", "dedup_removed", text=F.col("left"))
 
 
