@@ -146,10 +146,10 @@ def contexts(symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(symbols)
     first = np.repeat(offsets[:-1], np.diff(offsets))
     out = np.zeros((n, CONTEXT), np.int64)
-    at = np.arange(n)
-    for j in range(CONTEXT):
-        ok = at - j - 1 >= first
-        out[ok, j] = symbols[at[ok] - j - 1]
+    place = np.arange(n) - first
+    for j in range(min(CONTEXT, n - 1)):
+        out[j + 1:, j] = symbols[:n - j - 1]
+        out[place <= j, j] = 0
     return out
 
 
@@ -203,12 +203,16 @@ def log10_softmax(p: np.ndarray, ctx: np.ndarray, target: np.ndarray) -> np.ndar
     """Normalised log10 probabilities of the targets, in batches."""
     R, Q, b, C = _split(p)
     out, ones = np.empty(len(target)), np.ones(SYMBOLS, np.float32)
+    with_b = np.hstack([Q, b[:, None]]).T
+    widest, highest = float(np.sqrt((Q * Q).sum(axis=1).max())), float(b.max())
     for lo in range(0, len(target), 1024):  # a batch's scores stay in the processor's cache
         c, t = ctx[lo:lo + 1024], target[lo:lo + 1024]
-        s = _context_vectors(R, C, c) @ Q.T
-        s += b
+        r = _context_vectors(R, C, c)
+        s = np.hstack([r, ones[:1].repeat(len(t))[:, None]]) @ with_b
         hit = s[np.arange(len(t)), t].astype(np.float64)
-        top = max(0.0, float(s.max()) - 60)  # keeps the exponentials finite
+        top = 0.0
+        if float(np.sqrt((r * r).sum(axis=1).max())) * widest + highest > 60:
+            top = max(0.0, float(s.max()) - 60)  # keeps the exponentials finite
         if top:
             s -= top
         np.exp(s, out=s)
