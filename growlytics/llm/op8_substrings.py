@@ -295,5 +295,5 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     found = repeats(rows, **options).groupBy("rid").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))  # of one document
     found = staged(found, "repeat-found")
     out = appended(rows.join(found, "rid", "left"), ["text", "starts"], _strip(options.get("window", WINDOW)),
-                   {"n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string", "kept": "string"})
+                   {"n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string", "kept": "string"}, ("text", "rid"))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256", "kept", "starts")
