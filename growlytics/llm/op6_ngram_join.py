@@ -7,10 +7,12 @@ follows the tokens j with h(path, j) < 1 / (t |x|), so a pair at the
 threshold t shares about one path a level while unrelated sets part at once.
 The paths depend on the set alone, so every task writes the chains of its own
 sets; Spark counts the buckets level by level, and only the buckets that are
-still large are split on.  Small buckets are compared in full; in every large
-bucket all members are compared with a few hubs (the join's "brute-force
-point" for buckets of near copies), which is linear in the bucket.  Runs are
-repeated until the expected recall of a pair at the threshold reaches
+still large are split on.  Small buckets are compared in full.  Large buckets
+are first compared with a few hubs, which joins crowds of near copies in one
+step; a bucket that is still large at the last
+level is then compared in full too, blocks against blocks, wherever its
+members are not yet in one component.  So every bucket at the end of a path is
+exact, and the runs give the expected recall of a pair at the threshold,
 ``recall``: with p the chance that the lineage of a pair survives all levels,
 ceil(log(1 - recall) / log(1 - p)) runs.
 
@@ -124,10 +126,12 @@ def _sets(n: int):
     return run
 
 
-def candidates(nodes: DataFrame, depth: int = DEPTH, limit: int = LIMIT, num: int = NUM, den: int = DEN, agree: int = AGREE) -> DataFrame:
+def candidates(nodes: DataFrame, depth: int = DEPTH, limit: int = LIMIT, num: int = NUM, den: int = DEN, agree: int = AGREE) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of node keys, a < b, from the buckets of the path tree,
     that pass the length filter and whose sketches agree in ``agree`` of 64
-    bits (58 are expected at the threshold 0.8, with a deviation of 2.4)."""
+    bits (58 are expected at the threshold 0.8, with a deviation of 2.4); and
+    the members (bucket, size, key, n, sketch) of the buckets that are still
+    large at the last level, which have only met their hubs."""
     ids = [f"p{i}" for i in range(depth)]
     own = ["key", "n", "sketch"]
     chain = F.transform(F.sequence(F.lit(0), F.size("paths") - 1, F.lit(depth)), lambda i: F.slice("paths", i + 1, depth))
@@ -147,6 +151,7 @@ def candidates(nodes: DataFrame, depth: int = DEPTH, limit: int = LIMIT, num: in
         pairs = few.alias("x").join(few.alias("y"), (F.col(f"x.{p}") == F.col(f"y.{p}")) & (F.col("x.key") < F.col("y.key")) & alike("x", "y"))
         pairs = pairs.select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
         me = F.struct(*own)
+        # the same three for most buckets of a crowd, so that its pairs stay few; the last level does not depend on them
         hubs = many.groupBy(p).agg(F.min(me).alias("h0"), F.max(me).alias("h1"), F.min(F.struct(F.xxhash64("key"), me.alias("me")))["me"].alias("h2"))
         stars = many.join(hubs, p).select(me.alias("x"), F.explode(F.array_distinct(F.array("h0", "h1", "h2"))).alias("y")).where((F.col("x.key") != F.col("y.key")) & alike("x", "y"))
         stars = stars.select(F.least("x.key", "y.key").alias("a"), F.greatest("x.key", "y.key").alias("b"))
@@ -154,34 +159,99 @@ def candidates(nodes: DataFrame, depth: int = DEPTH, limit: int = LIMIT, num: in
         out = pairs if out is None else out.union(pairs)
         if level + 1 < depth:
             rows = staged(rows.join(many.select(p).distinct(), p).select(*own, *ids[level + 1:]), f"join-rows-{level}")
-    return out.distinct()
+    return out.distinct(), met.where(F.col("size") > limit).select(F.col(p).alias("bucket"), "size", *own)
+
+
+def _sides(f):
+    """The rows of the two blocks of a group, and whether they are the same."""
+    left = (f["blk"] == f["i"]).to_numpy()
+    same = bool((f["i"] == f["j"]).iloc[0])
+    a = np.flatnonzero(left)
+    return a, a if same else np.flatnonzero(~left), same
+
+
+def _similar(x, a: np.ndarray, b: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Which of the sets ``a`` and ``b`` of ``x`` are similar, exactly."""
+    size = x.map(len).to_numpy(np.int64)
+    every = np.concatenate(x.tolist()) if len(x) else np.empty(0, np.int64)
+    _, code, times = np.unique(every, return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(x)), size)
+    shared = times[code] > 1
+    number = np.cumsum(times > 1) - 1
+    code, row = number[code[shared]], row[shared]
+    order = np.argsort(code, kind="stable")
+    code, row = code[order], row[order]
+    common = np.zeros((len(x), len(x)), np.float32)
+    width = int(code[-1]) + 1 if len(code) else 0
+    for lo in range(0, width, 4096):  # a slice of the shared shingles at a time
+        s, e = np.searchsorted(code, [lo, lo + 4096])
+        m = np.zeros((len(x), min(4096, width - lo)), np.float32)
+        m[row[s:e], code[s:e] - lo] = 1
+        common += m @ m.T
+    return common[np.ix_(a, b)] * (num + den) >= num * (size[a][:, None] + size[b][None, :])
+
+
+def _met(num: int, den: int, agree: int):
+    def run(f):
+        """The rows of a group that pass the filters with a row of the other
+        block that is in another component."""
+        a, b, _ = _sides(f)
+        n, sk, comp = (f[c].to_numpy(np.int64) for c in ("n", "sketch", "comp"))
+        ok = comp[a][:, None] != comp[b][None, :]
+        ok &= np.maximum(n[a][:, None], n[b][None, :]) * num <= np.minimum(n[a][:, None], n[b][None, :]) * den
+        ok &= np.bitwise_count((sk[a][:, None] ^ sk[b][None, :]).view(np.uint64)) <= 64 - agree
+        keep = np.zeros(len(f), bool)
+        keep[a[ok.any(1)]] = True
+        keep[b[ok.any(0)]] = True
+        return f.loc[keep, ["bucket", "i", "j", "blk", "key", "comp"]]
+
+    return run
+
+
+def _joins(num: int, den: int):
+    def run(f):
+        """Links of a group that join its components (a spanning forest)."""
+        a, b, _ = _sides(f)
+        key, comp = f["key"].to_numpy(np.int64), f["comp"].to_numpy(np.int64)
+        ok = _similar(f["x"], a, b, num, den) & (comp[a][:, None] != comp[b][None, :])
+        up, out = {c: c for c in comp.tolist()}, []
+
+        def root(c):
+            while up[c] != c:
+                up[c] = c = up[up[c]]
+            return c
+
+        for i, j in np.argwhere(ok).tolist():
+            s, t = root(int(comp[a[i]])), root(int(comp[b[j]]))
+            if s != t:
+                up[max(s, t)] = min(s, t)
+                out.append((min(key[a[i]], key[b[j]]), max(key[a[i]], key[b[j]])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+    return run
+
+
+def crowded(large: DataFrame, comps: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN, block: int = BLOCK, agree: int = AGREE) -> DataFrame:
+    """Links (a, b) that join components inside the large buckets: all members
+    of a bucket that is not one component are compared, blocks against blocks;
+    the sets are sent only for those that pass the filters."""
+    rows = large.join(comps.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
+    mixed = rows.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
+    rows = staged(rows.join(mixed, "bucket"), "join-crowds").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    rows = rows.withColumn("blk", F.pmod(F.xxhash64("key", "bucket"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("bucket", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "key", "n", "sketch", "comp")
+    group = ["bucket", "i", "j"]
+    met = rows.groupBy(*group).applyInPandas(_met(num, den, agree), "bucket long, i int, j int, blk int, key long, comp long")
+    met = staged(met, "join-crowds-met").join(sets.select("key", "x"), "key")
+    return met.groupBy(*group).applyInPandas(_joins(num, den), "a long, b long").distinct()
 
 
 def _links(num: int, den: int):
     def run(f):
         """Links between the two blocks of a group (or inside one), by key."""
-        left = (f["blk"] == f["i"]).to_numpy()
-        same = bool((f["i"] == f["j"]).iloc[0])
-        size = f["x"].map(len).to_numpy(np.int64)
-        every = np.concatenate(f["x"].tolist()) if len(f) else np.empty(0, np.int64)
-        _, code, times = np.unique(every, return_inverse=True, return_counts=True)
-        row = np.repeat(np.arange(len(f)), size)
-        shared = times[code] > 1
-        number = np.cumsum(times > 1) - 1
-        code, row = number[code[shared]], row[shared]
-        order = np.argsort(code, kind="stable")
-        code, row = code[order], row[order]
-        a = np.flatnonzero(left)
-        b = a if same else np.flatnonzero(~left)
-        common = np.zeros((len(f), len(f)), np.float32)
-        width = int(code[-1]) + 1 if len(code) else 0
-        for lo in range(0, width, 4096):  # a slice of the shared shingles at a time
-            s, e = np.searchsorted(code, [lo, lo + 4096])
-            m = np.zeros((len(f), min(4096, width - lo)), np.float32)
-            m[row[s:e], code[s:e] - lo] = 1
-            common += m @ m.T
-        c = common[np.ix_(a, b)]
-        ok = c * (num + den) >= num * (size[a][:, None] + size[b][None, :])
+        a, b, same = _sides(f)
+        ok = _similar(f["x"], a, b, num, den)
         w = f["w"].to_numpy(np.int64)
         if same:
             np.fill_diagonal(ok, False)
@@ -204,16 +274,21 @@ def joined(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, depth: i
     first = F.min(F.struct(F.col("doc_id").isNull().alias("nul"), "doc_id", "rid")).alias("first")
     nodes = member.groupBy("key", "n", "sketch").agg(first, F.count("*").alias("copies"), F.first("paths").alias("paths"))
     nodes = staged(nodes, "join-nodes")
-    pairs = staged(candidates(nodes, depth, limit, num, den), "join-candidates")
+    pairs, large = candidates(nodes, depth, limit, num, den)
+    pairs = staged(pairs, "join-candidates")
 
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(large.select("key")).distinct()
     wanted = nodes.join(wanted, "key").select("key", F.col("first.rid").alias("rid"), F.col("copies").alias("weight"))
     sets = docs.select("rid", "text").join(small(staged(wanted, "join-wanted")), "rid").dropDuplicates(["key"]).select("key", "weight", "text")
     sets = staged(sets.mapInPandas(_sets(n), "key long, w long, x array<long>"), "join-sets")
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("x").alias("xa")), "a").join(sets.select(F.col("key").alias("b"), F.col("x").alias("xb")), "b")
     common = F.size(F.array_intersect("xa", "xb"))
     links = both.where(common * (num + den) >= num * (F.size("xa") + F.size("xb"))).select("a", "b")
+    links = staged(links, "join-links")
     comps = staged(components(links, "join-classes"), "join-components")
+    more = staged(crowded(large, comps, sets, num, den, block), "join-crowd-links")
+    if not more.isEmpty():
+        comps = staged(components(links.union(more), "join-classes"), "join-components")
 
     # exact links inside the classes, blocks against blocks
     size = comps.groupBy("comp").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
