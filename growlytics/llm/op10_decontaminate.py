@@ -6,9 +6,13 @@ a sentence) replaced by typed placeholders.  Windows of ``window`` template
 tokens are hash-joined: the items' windows are a small table that is shipped
 to the tasks in parts of a checked size, whatever the number of items.  A hit
 then needs consistent slots: along an alignment, the same item value must
-always stand for the same document value and the reverse; so a question with
-other numbers or names is caught, a text that only shares the form is not.
-Windows with few literal words count only with equal slot values.
+always stand for the same document value and the reverse.  A document holds
+an item if such windows, at one place of it, cover more than half of the
+item's tokens; so a question with other numbers or names is caught, a text
+that shares a phrase is not.  Where values differ, at least half of what is
+covered must be literal words, ``TELLING`` different ones of them of four
+letters or more (shorter ones are mostly function words, which any text of
+the same form has); with equal values that is not asked.
 
 Defined cases: null or empty texts hold nothing; items of fewer than
 ``least`` tokens are not searched for; items shorter than the window are one
@@ -18,6 +22,7 @@ is reported as null; extra columns are ignored or carried along.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import defaultdict
 
 import numpy as np
@@ -27,7 +32,7 @@ from pyspark.sql import functions as F
 from growlytics.llm.common import WORD, Tokens, appended, by_value, flags, hashed, pick, plain, restored, revived, rolled, shipped, slices
 
 by_value(__name__)
-WINDOW, LEAST, PART_WORDS = 8, 5, 1 << 21
+WINDOW, LEAST, TELLING, PART_WORDS = 8, 5, 3, 1 << 21
 NUM, UNIT, NAME = (np.uint64(i) for i in (1, 2, 3))
 _NUMBERS = ("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen "
             "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion").split()
@@ -50,7 +55,7 @@ def _in(sorted_: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def templates(texts: list):
-    """(template codes, values, offsets) of the texts' tokens.  A token is a
+    """(template codes, values, characters, offsets) of the texts' tokens.  A token is a
     word without the marks around it; number: it starts with a digit and has
     at most two letters, or is a number word."""
     t = Tokens(texts)
@@ -90,7 +95,7 @@ def templates(texts: list):
     code[name] = NAME
     code[_in(UNIT_HASHES, h)] = UNIT
     code[_DIGIT[first] & (letters <= 2) | _in(NUMBER_HASHES, h)] = NUM
-    return code[core], h[core], np.concatenate([[0], np.cumsum(core)])[t.offsets]
+    return code[core], h[core], within((data & 0xC0) != 0x80)[core], np.concatenate([[0], np.cumsum(core)])[t.offsets]
 
 
 NUMBER_HASHES, UNIT_HASHES = _of_words(_NUMBERS), _of_words(_UNITS)
@@ -100,8 +105,8 @@ class Items:
     """The windows of some benchmark items, sorted by hash, per length."""
 
     def __init__(self, ids: list, texts: list, window: int = WINDOW, least: int = LEAST):
-        t, v, off = templates(texts)
-        self.ids, self.t, self.v, self.off = ids, t, v, off
+        t, v, chars, off = templates(texts)
+        self.ids, self.t, self.v, self.wide, self.off = ids, t, v, chars >= 4, off
         per = defaultdict(list)
         for i in range(len(ids)):
             n = int(off[i + 1] - off[i])
@@ -134,9 +139,10 @@ class Items:
         return found
 
     def hits(self, diagonals: dict, t: np.ndarray, v: np.ndarray) -> dict:
-        """Item id -> number of consistent windows of one text."""
-        out: dict = defaultdict(int)
-        for (item, _), found in diagonals.items():
+        """Item id -> number of consistent windows of one text, for the items
+        of which it holds enough."""
+        good: dict = defaultdict(list)
+        for (item, diagonal), found in diagonals.items():
             base, there, back = int(self.off[item]), {}, {}
             for d, p, k in sorted(found):
                 mine, its, its_v = t[d:d + k], self.t[base + p:base + p + k], v[d:d + k]
@@ -146,22 +152,43 @@ class Items:
                 slots = np.flatnonzero(mine < 16).tolist()
                 pairs = [(int(item_v[s]), int(its_v[s])) for s in slots]
                 same = all(a == b for a, b in pairs)
-                if not same and (k - len(slots) < (k + 1) // 2 or any(there.get(a, b) != b or back.get(b, a) != a for a, b in pairs)):
+                if not same and any(there.get(a, b) != b or back.get(b, a) != a for a, b in pairs):
                     continue
                 trial, rev = dict(there), dict(back)
                 if not same and any(trial.setdefault(a, b) != b or rev.setdefault(b, a) != a for a, b in pairs):
                     continue
                 there, back = {**there, **dict(pairs)}, {**back, **{b: a for a, b in pairs}}
-                out[self.ids[item]] += 1
+                good[item].append((diagonal, p, k, same))
+        out: dict = defaultdict(int)
+        for item, found in good.items():
+            if self.enough(item, sorted(found)):
+                out[self.ids[item]] += len(found)
         return out
 
+    def enough(self, item: int, found: list) -> bool:
+        """Whether windows (diagonal, place in the item, length, equal values)
+        hold most of an item at one place of a text: on diagonals less than a
+        window apart, so that words may be put in or left out."""
+        lo, hi = int(self.off[item]), int(self.off[item + 1])
+        t, wide = self.t[lo:hi], self.wide[lo:hi]
+        for first in dict.fromkeys(f[0] for f in found):
+            here = [f for f in found[bisect_left(found, (first,)):] if f[0] < first + WINDOW]
+            for some in ([f for f in here if f[3]], here):  # with equal values only, then all
+                held = np.zeros(hi - lo, bool)
+                for _, p, k, _ in some:
+                    held[p:p + k] = True
+                literal = held & (t >= 16)
+                if 2 * held.sum() > hi - lo and (all(f[3] for f in some) or 2 * literal.sum() >= held.sum() and len(np.unique(t[literal & wide])) >= TELLING):
+                    return True
+        return False
+
 
 def _search(shared):
     def fn(texts):
         items = revived(Items, shared)
         ids, n = [[] for _ in texts], [0] * len(texts)
         for lo, hi in slices(texts):
-            t, v, off = templates(texts[lo:hi])
+            t, v, _, off = templates(texts[lo:hi])
             for i, diagonals in items.alignments(t, off).items():
                 got = items.hits(diagonals, t, v)
                 if got:

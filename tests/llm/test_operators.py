@@ -233,6 +233,20 @@ def test_decontamination(spark, docs):
     assert op10_decontaminate.clean(docs, bench.limit(0)).count() == len(corpus())
 
 
+def test_decontamination_needs_most_of_an_item(spark):
+    item = "A baker in Lyon sells 240 loaves at the end of the day and keeps one dozen for the children of the village school"
+    german = "heute sieht der Hund und die Katze in der Stadt"
+    bench = spark.createDataFrame([(1, item), (2, german)], "item_id long, text string")
+    clean = ["We walked home at the end of the day and keeps one thing in mind: rest. " + "Nothing else of it is here. " * 40,
+             "Oft liegt der Brief und die Karte in der Tasche. Dort stehen der Baum und die Bank in der Sonne.",
+             "we said heute sieht der Mann und die Frau in der Kirche nichts"]
+    leaks = ["so, " + item.replace("Lyon", "Nice").replace("240", "31"), item.replace("village", "town"), item.replace("end of", "very end of"), "und " + german]
+    df = spark.createDataFrame(list(enumerate(clean + leaks)), "doc_id long, text string")
+    got = {r.doc_id: (r.contaminated, r.item_ids) for r in op10_decontaminate.contamination(df, bench).collect()}
+    assert got == {0: (False, []), 1: (False, []), 2: (False, []), 3: (True, [1]), 4: (True, [1]), 5: (True, [1]), 6: (True, [2])}
+    assert {r.doc_id for r in op10_decontaminate.clean(df, bench).collect()} == {0, 1, 2}
+
+
 def test_queries_agree_with_sql(spark):
     con = duckdb.connect()
     for t in ("documents", "embeddings"):
