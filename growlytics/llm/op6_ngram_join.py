@@ -9,12 +9,12 @@ The paths depend on the set alone, so every task writes the chains of its own
 sets; Spark counts the buckets level by level, and only the buckets that are
 still large are split on.  Small buckets are compared in full.  Large buckets
 are first compared with a few hubs, which joins crowds of near copies in one
-step; a bucket that is still large at the last
-level is then compared in full too, blocks against blocks, wherever its
-members are not yet in one component.  So every bucket at the end of a path is
-exact, and the runs give the expected recall of a pair at the threshold,
-``recall``: with p the chance that the lineage of a pair survives all levels,
-ceil(log(1 - recall) / log(1 - p)) runs.
+step; a bucket that is still large at the last level is then compared in full
+too, blocks against blocks, wherever its members are not yet in one component.
+So every bucket at the end of a path is compared in full, and the runs give
+the expected recall of a pair at the threshold, ``recall``: with p the chance
+that the lineage of a pair survives all levels, ceil(log(1 - recall) /
+log(1 - p)) runs.
 
 Candidates are verified exactly.  Classes are the connected components of the
 verified links; inside each class the links are then counted exactly, in
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from growlytics.llm.common import Tokens, by_value, components, mix, pick, plain, restored, rolled, row_key, slices, small, staged
 
 by_value(__name__)
-N, NUM, DEN, DEPTH, LIMIT, RECALL, BLOCK, AGREE = 5, 4, 5, 3, 12, 0.999, 256, 46
+N, NUM, DEN, DEPTH, LIMIT, RECALL, BLOCK, WIDE, AGREE = 5, 4, 5, 3, 12, 0.999, 256, 8192, 46
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -197,13 +197,15 @@ def _met(num: int, den: int, agree: int):
         block that is in another component."""
         a, b, _ = _sides(f)
         n, sk, comp = (f[c].to_numpy(np.int64) for c in ("n", "sketch", "comp"))
-        ok = comp[a][:, None] != comp[b][None, :]
-        ok &= np.maximum(n[a][:, None], n[b][None, :]) * num <= np.minimum(n[a][:, None], n[b][None, :]) * den
-        ok &= np.bitwise_count((sk[a][:, None] ^ sk[b][None, :]).view(np.uint64)) <= 64 - agree
         keep = np.zeros(len(f), bool)
-        keep[a[ok.any(1)]] = True
-        keep[b[ok.any(0)]] = True
-        return f.loc[keep, ["bucket", "i", "j", "blk", "key", "comp"]]
+        for lo in range(0, len(a), 256):
+            x, y = a[lo:lo + 256, None], b[None, :]
+            ok = comp[x] != comp[y]
+            ok &= np.maximum(n[x], n[y]) * num <= np.minimum(n[x], n[y]) * den
+            ok &= np.bitwise_count((sk[x] ^ sk[y]).view(np.uint64)) <= 64 - agree
+            keep[x[ok.any(1), 0]] = True
+            keep[b[ok.any(0)]] = True
+        return f.loc[keep, ["bucket", "key", "comp"]]
 
     return run
 
@@ -231,20 +233,26 @@ def _joins(num: int, den: int):
     return run
 
 
-def crowded(large: DataFrame, comps: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN, block: int = BLOCK, agree: int = AGREE) -> DataFrame:
+def _against(rows: DataFrame, block: int, *cols: str) -> DataFrame:
+    """Every bucket (with its ``size``) in salted blocks of about ``block``
+    rows; one group (bucket, i, j) for each two blocks."""
+    rows = rows.withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).withColumn("blk", F.pmod(F.xxhash64("key", "bucket"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return rows.select("bucket", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "key", "comp", *cols)
+
+
+def crowded(large: DataFrame, comps: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN, block: int = BLOCK, wide: int = WIDE, agree: int = AGREE) -> DataFrame:
     """Links (a, b) that join components inside the large buckets: all members
-    of a bucket that is not one component are compared, blocks against blocks;
-    the sets are sent only for those that pass the filters."""
+    of a bucket that is not one component are compared, by the filters in
+    blocks of ``wide``, then those that pass by their sets in blocks of
+    ``block``."""
+    group = ["bucket", "i", "j"]
     rows = large.join(comps.withColumnRenamed("node", "key"), "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     mixed = rows.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("bucket")
-    rows = staged(rows.join(mixed, "bucket"), "join-crowds").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
-    rows = rows.withColumn("blk", F.pmod(F.xxhash64("key", "bucket"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("bucket", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j"), "blk", "key", "n", "sketch", "comp")
-    group = ["bucket", "i", "j"]
-    met = rows.groupBy(*group).applyInPandas(_met(num, den, agree), "bucket long, i int, j int, blk int, key long, comp long")
-    met = staged(met, "join-crowds-met").join(sets.select("key", "x"), "key")
-    return met.groupBy(*group).applyInPandas(_joins(num, den), "a long, b long").distinct()
+    rows = _against(staged(rows.join(mixed, "bucket"), "join-crowds"), wide, "n", "sketch")
+    met = staged(rows.groupBy(*group).applyInPandas(_met(num, den, agree), "bucket long, key long, comp long").distinct(), "join-crowds-met")
+    rows = met.join(met.groupBy("bucket").agg(F.count("*").alias("size")), "bucket").join(sets.select("key", "x"), "key")
+    return _against(rows, block, "x").groupBy(*group).applyInPandas(_joins(num, den), "a long, b long").distinct()
 
 
 def _links(num: int, den: int):
@@ -265,7 +273,7 @@ def _links(num: int, den: int):
 
 
 def joined(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, depth: int = DEPTH, limit: int = LIMIT,
-           recall: float = RECALL, block: int = BLOCK) -> DataFrame:
+           recall: float = RECALL, block: int = BLOCK, wide: int = WIDE) -> DataFrame:
     """(rid, doc_id, class_id, n_links, leader) per row of ``docs`` (doc_id,
     rid, text); leader is the rid of the class's first document."""
     runs = runs_needed(num, den, depth, recall)
@@ -286,7 +294,7 @@ def joined(docs: DataFrame, n: int = N, num: int = NUM, den: int = DEN, depth: i
     links = both.where(common * (num + den) >= num * (F.size("xa") + F.size("xb"))).select("a", "b")
     links = staged(links, "join-links")
     comps = staged(components(links, "join-classes"), "join-components")
-    more = staged(crowded(large, comps, sets, num, den, block), "join-crowd-links")
+    more = staged(crowded(large, comps, sets, num, den, block, wide), "join-crowd-links")
     if not more.isEmpty():
         comps = staged(components(links.union(more), "join-classes"), "join-components")
 

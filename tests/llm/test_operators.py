@@ -156,12 +156,12 @@ def test_ngram_join(docs, empty):
     assert op6_ngram_join.classes(empty).count() == 0
 
 
-@pytest.mark.parametrize("block", [op6_ngram_join.BLOCK, 16])
-def test_ngram_join_in_a_crowd_of_one_form(spark, docs, block):
+@pytest.mark.parametrize("options", [{}, {"block": 16, "wide": 24}])
+def test_ngram_join_in_a_crowd_of_one_form(spark, docs, options):
     """60 texts share 220 words (0.786 similar); partners share 3 more (0.805)."""
     form = [f"t{i}" for i in range(220)]
     rows = [(i, " ".join([*form, *[f"p{i // 2}x{k}" for k in range(3)], *[f"o{i}x{k}" for k in range(27)]])) for i in range(60)]
-    got = op6_ngram_join.classes(spark.createDataFrame(rows, "doc_id long, text string"), n=1, block=block).collect()
+    got = op6_ngram_join.classes(spark.createDataFrame(rows, "doc_id long, text string"), n=1, **options).collect()
     want = brute.jaccard_classes(rows, n=1)
     assert sorted((r.doc_id, r.class_id, r.n_links) for r in got) == [(i, c, k) for (i, _), (c, k) in zip(rows, want)]
     assert {r.n_links for r in got} == {1}
