@@ -8,7 +8,10 @@ importance of a node is the normalised entropy of the two: what looks and
 reads the same on page after page is a template.  A page keeps its article
 (or main element; without either, its body) without branches that are noise
 by meaning (menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles, comments) and without containers of low importance.
+scripts, styles, comments) and without containers of low importance.  Class
+and id words are no proof of noise: article, main and what holds most of the
+text are exempt, and of doubtful words (``_MAYBE``) the tree's importance
+decides wherever it has enough pages.
 
 The statistics are one small row per page and style node, counted by key with
 partial aggregation, so a host with a third of all pages is not one group;
@@ -38,44 +41,48 @@ by_value(__name__)
 LEAST_PAGES, LOW = 8, 0.3
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_RAW = frozenset("script style textarea title noscript template iframe svg math object canvas select xmp noembed".split())
+_RAW = frozenset("script style textarea title noscript template iframe svg canvas select noembed".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
                    "form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre search section summary "
-                   "table tbody tfoot thead caption tr ul option".split())
+                   "table tbody tfoot thead caption tr ul option xmp".split())
 _CONTAINER = frozenset("aside center details dir div dl fieldset figure footer form header menu nav ol section table ul".split())
 _NOISE_TAGS = frozenset("head nav footer aside form button input label menu dialog option audio video".split()) | _RAW
-_NOISE = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner sidebar menu nav "
-                   "navbar navigation breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices alert popup "
-                   "modal overlay newsletter subscribe subscription signup login share sharing social comment comments reply "
-                   "replies disqus discussion related recommended widget toolbar pagination pager copyright".split())
+_NOISE = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored navbar nav navigation breadcrumb breadcrumbs "
+                   "footer masthead cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login "
+                   "comment comments disqus toolbar pagination pager copyright".split())
+#: Words that also stand on article text: they only mark, see ``judge``.
+_MAYBE = frozenset("promo promotion banner sidebar menu notice notices alert share sharing social reply replies discussion related "
+                   "recommended widget".split())
+_FREE = frozenset("html body main article".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar toolbar".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _STOP = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
 
 class Node:
-    __slots__ = ("tag", "style", "noise", "kids", "path")
+    __slots__ = ("tag", "style", "noise", "mark", "kids", "path")
 
-    def __init__(self, tag, style="", noise=False, path=""):
-        self.tag, self.style, self.noise, self.kids = tag, style, noise, []
-        self.path = f"{path}/{tag}{style}"
+    def __init__(self, tag, style="", noise=False, path="", mark=""):
+        self.tag, self.style, self.noise, self.mark, self.kids = tag, style, noise, mark, []
+        self.path = f"{path}/{tag}{style}{'!' if mark == 'maybe' else ''}"
 
 
 def _element(tag: str, attrs: str, up: Node, in_article: bool) -> Node:
     noise = tag in _NOISE_TAGS or tag == "header" and not in_article
-    style = ""
+    style = mark = ""
     if attrs.strip(" /"):
         got = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTR.finditer(attrs)}
         names = f"{got.get('class', '')} {got.get('id', '')}"
         if names.strip():
             style = "." + ".".join(sorted(got.get("class", "").lower().split()))
             parts = {x for x in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", names).lower()) if x}
-            noise = noise or bool(parts & _NOISE) and tag not in ("html", "body", "main")
-            noise = noise or not in_article and bool(parts & {"header", "masthead", "topbar"}) and tag not in ("html", "body", "main")
+            if tag not in _FREE:
+                sure = parts & _NOISE or not in_article and parts & {"header", "masthead", "topbar"}
+                mark = "noise" if sure else "maybe" if parts & _MAYBE else ""
         noise = noise or got.get("role", "").lower() in _ROLES or "hidden" in got or got.get("aria-hidden") == "true" \
             or "display:none" in got.get("style", "").replace(" ", "").lower()
-    return Node(tag, style, noise, up.path)
+    return Node(tag, style, noise, up.path, mark)
 
 
 def parse(source) -> Node:
@@ -123,8 +130,10 @@ def parse(source) -> Node:
                     break
         node = _element(tag, attrs or "", stack[-1], inside > 0)
         stack[-1].kids.append(node)
-        if tag in _RAW:
+        if tag in _RAW or tag == "xmp":
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
+            if tag == "xmp":
+                node.kids.append(html.escape(source[at:end.start() if end else n]))
             at = end.end() if end else n
         elif tag not in _VOID and not (attrs or "").rstrip().endswith("/"):
             stack.append(node)
@@ -152,16 +161,35 @@ def _all(root: Node):
 
 
 def style_nodes(root: Node) -> dict[str, tuple[int, int]]:
-    """Path -> (presentation, content) hashes of a page's containers; equal
+    """Path -> (presentation, content) hashes of a page's containers and of
+    what a word marks (such paths end in '!'); equal
     paths of a page are one style node."""
     out: dict[str, list] = {}
     for x in _all(root):
-        if x.tag in _CONTAINER:
+        if x.tag in _CONTAINER or x.mark == "maybe":
             shape = " ".join(dict.fromkeys(k.tag for k in x.kids if not isinstance(k, str)))
             out.setdefault(x.path, []).append((shape, _plain(x)))
     return {p: tuple(xxhash.xxh3_64_intdigest(repr([v[i] for v in vs]).encode("utf-8", "replace")) - 2**63 for i in (0, 1)) for p, vs in out.items()}
 
 
+def judge(root: Node, high: frozenset) -> None:
+    """Makes marked elements noise, but none that holds most of the page's text
+    (of those with a clear word: and an article, main or h1), and none with a
+    doubtful word that the style tree found important (``high``)."""
+    if not any(x.mark for x in _all(root)):
+        return
+    size, holds = {}, {}
+    for x in reversed(list(_all(root))):  # kids first
+        kids = [k for k in x.kids if not isinstance(k, str)]
+        own = sum(len("".join(k.split())) for k in x.kids if isinstance(k, str))
+        size[id(x)] = 0 if x.noise else own + sum(size[id(k)] for k in kids)
+        holds[id(x)] = x.tag in ("article", "main", "h1") or any(holds[id(k)] for k in kids)
+    for x in _all(root):
+        if x.mark:
+            most = 2 * size[id(x)] > size[id(root)] and (x.mark == "maybe" or holds[id(x)])
+            x.noise = x.noise or not (most or x.mark == "maybe" and x.path in high)
+
+
 def _top(root: Node) -> list[Node]:
     """The outermost articles that are no noise, else main elements, else the body."""
     for tag in ("article", "main", "body", "#"):
@@ -211,10 +239,14 @@ def blocks(nodes: list[Node], low: frozenset) -> list[str]:
     return out
 
 
-def extract(source, low: frozenset = frozenset()) -> str:
-    """The main text of one page; ``low`` are the unimportant style paths."""
-    top = _top(parse(source))
-    return "\n\n".join(blocks(top, low) or (blocks(top, frozenset()) if low else []))
+def extract(source, low: frozenset = frozenset(), high: frozenset = frozenset()) -> str:
+    """The main text of one page; ``low`` are the unimportant style paths,
+    ``high`` the important ones of marked elements.  If the words leave
+    nothing, they do not count."""
+    root = parse(source)
+    judge(root, high)
+    top = _top(root)
+    return "\n\n".join(blocks(top, low) or (blocks(top, frozenset()) if low else []) or blocks(_top(parse(source)), frozenset()))
 
 
 def _statistics(frames):
@@ -246,7 +278,8 @@ def style_tree(pages: DataFrame, least_pages: int = LEAST_PAGES) -> DataFrame:
 
 def _extracted(frames):
     for f in frames:
-        text = [extract(h, frozenset(x) if x is not None and len(x) else frozenset()) for h, x in zip(f["html"], f["low"])]
+        some = ([frozenset(x) if x is not None else frozenset() for x in f[c]] for c in ("low", "high"))
+        text = [extract(h, *x) for h, *x in zip(f["html"], *some)]
         yield pd.DataFrame({"page_id": f["page_id"], "url": f["url"], "text": text, "n_chars": np.fromiter(map(len, text), np.int64, len(text))})
 
 
@@ -255,7 +288,10 @@ def main_text(pages: DataFrame, low: float = LOW, least_pages: int = LEAST_PAGES
     rows = pick(pages, page_id="long", url="string", html="string")
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]*)", 1))
     rows = rows.withColumn("host", host)
-    tree = style_tree(rows.select("host", "html"), least_pages).where(F.col("importance") < low)
-    paths = staged(tree.groupBy("host").agg(F.collect_list("path").alias("low")), "style-low")
+    tree = style_tree(rows.select("host", "html"), least_pages)
+    poor = F.col("importance") < low
+    tree = tree.where(poor | F.col("path").endswith("!"))
+    paths = tree.groupBy("host").agg(F.collect_list(F.when(poor, F.col("path"))).alias("low"), F.collect_list(F.when(~poor, F.col("path"))).alias("high"))
+    paths = staged(paths, "style-low")
     rows = rows.join(paths, "host", "left")
-    return rows.select("page_id", "url", "html", "low").mapInPandas(_extracted, "page_id long, url string, text string, n_chars long")
+    return rows.select("page_id", "url", "html", "low", "high").mapInPandas(_extracted, "page_id long, url string, text string, n_chars long")

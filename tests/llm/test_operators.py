@@ -221,6 +221,18 @@ def test_style_tree_removes_what_repeats(spark):
     assert all(r.text == f"Text {r.page_id} of its own {r.page_id}" for r in got)
 
 
+def test_words_alone_do_not_drop_article_text(spark):
+    pages = ["<main><article class='post category-social has-comments'><p>Whole text</p></article></main>",
+             "<body><div class='with-sidebar'><article><p>Whole text</p></article></div><nav>Menu</nav></body>",
+             "<div class='alert'>Whole text</div>", "<p>Let <math><mi>x</mi></math> be <object>this</object></p><xmp>a <b> &amp; c</xmp>"]
+    want = ["Whole text"] * 3 + ["Let x be this\n\na <b> &amp; c"]
+    page = "<article><p>Text {0} of its own, the longer part</p><section id='discussion'><p>Point {0}</p></section><div class='related-work'>Work {0}</div><p class='alert'>Mind {0}</p><div class='share'>Share</div></article>"
+    rows = [(i, f"https://h{i}.example", p) for i, p in enumerate(pages)] + [(10 + i, "https://a.example", page.format(i)) for i in range(20)]
+    got = {r.page_id: r.text for r in op9_html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[i] for i in range(4)] == want
+    assert all(got[10 + i] == f"Text {i} of its own, the longer part\n\nPoint {i}\n\nWork {i}\n\nMind {i}" for i in range(20))
+
+
 def test_decontamination(spark, docs):
     item = "A train leaves Paris at 9 and Mary waits for 30 minutes until Mary sees the train from Paris arrive"
     other = "so: A train leaves London at 7 and Anna waits for 45 minutes until Anna sees the train from London arrive !"
