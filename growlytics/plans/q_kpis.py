@@ -6,8 +6,10 @@ from growlytics.operators import funnel, kpis
 from growlytics.plans.oracle import r6
 from growlytics.plans.registry import register
 
-E2_SQL = """
+LATEST = """
 , latest AS (SELECT user_id, max(session_start) AS last_seen FROM fact_sessions WHERE user_id IS NOT NULL GROUP BY user_id)
+"""
+E2_SQL = """
 SELECT (SELECT count(*) FROM latest) AS mau,
        (SELECT count(*) FROM latest WHERE last_seen >= TIMESTAMP '2001-07-26') AS wau,
        (SELECT count(*) FROM latest WHERE last_seen >= TIMESTAMP '2001-08-01') AS dau
@@ -19,7 +21,7 @@ def e1_total_users(ctx):
     return kpis.total_users(ctx.wh.dim_users)
 
 
-@register("e2_active", sql=E2_SQL)
+@register("e2_active", sql=LATEST + E2_SQL)
 def e2_active(ctx):
     return kpis.active_users(ctx.wh.fact_sessions, ctx.p)
 
@@ -57,7 +59,7 @@ def e8_rev_channel(ctx):
     return kpis.revenue_by_channel(ctx.wh.fact_payments, ctx.wh.dim_users)
 
 
-@register("e9_kpis", sql=f"""
+@register("e9_kpis", sql=f"""{LATEST}
 , a AS ({E2_SQL}),
 m AS (SELECT CAST(coalesce(sum(amount), 0) AS DOUBLE) AS mrr FROM fact_payments WHERE payment_date >= DATE '2001-07-02'),
 c AS (SELECT CASE WHEN count(*) > 0 THEN count(CASE WHEN status = 'cancelled' THEN 1 END) / count(*) * 100 ELSE 0 END AS churn_rate
@@ -76,6 +78,24 @@ def e9_kpis(ctx):
     return kpis.kpi_summary(ctx.wh, ctx.p)
 
 
+@register("e9_breakdown", sql=f"""
+, by_plan AS (SELECT s.plan AS label, sum(p.amount) AS value FROM fact_payments p JOIN subscriptions s ON p.user_id = s.user_id GROUP BY s.plan),
+by_channel AS (SELECT u.channel AS label, sum(p.amount) AS value FROM fact_payments p JOIN dim_users u ON p.user_id = u.user_id GROUP BY u.channel),
+n AS (SELECT count(*) AS total_users FROM dim_users)
+SELECT total_users, 'plan' AS breakdown, label, {r6('value')} AS value FROM n, by_plan
+UNION ALL SELECT total_users, 'channel', label, {r6('value')} FROM n, by_channel
+""")
+def e9_breakdown(ctx):
+    """The plan and channel lists that the KPI record carries, one row per
+    entry (beside the record's number of users)."""
+    row = kpis.kpi_summary(ctx.wh, ctx.p, with_breakdowns=True)
+    lists = F.array(*[
+        F.struct(F.lit(name).alias("breakdown"), F.col(f"{name}_revenue").alias("entries")) for name in ("plan", "channel")
+    ])
+    one = row.select("total_users", F.inline(lists))
+    return one.select("total_users", "breakdown", F.inline("entries"))
+
+
 @register("e10_monthly", sql="""
 SELECT strftime(session_start, '%Y-%m') AS month, count(DISTINCT user_id) AS active_users
 FROM fact_sessions GROUP BY 1 ORDER BY 1
