@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growlytics.llm import op1_lm, op2_language, op3_lines, op4_quality, op5_mixing, op6_ngram_join, op7_topk, op8_substrings, op9_html, op10_decontaminate
+from growlytics.llm import op1_lm, op2_language, op3_lines, op4_quality, op5_mixing, op6_ngram_join, op7_topk, op8_substrings, op9_html, op10_decontaminate, op11_bpe, op13_collocations
 from growlytics.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,38 @@ def op8_substring_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without repeated windows."""
     out = op8_substrings.deduplicated(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query()
+def op11_bpe_rank_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document to token ids and back."""
+    import public_tokenizers
+
+    return op11_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query(
+    r"""
+    WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+         q AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+         o AS (SELECT lang, unnest(list_transform(range(1, len(w) + 1), lambda i: {'a': w[i], 'b': w[i + 1], 'c': w[i + 2]}), recursive := true) FROM q),
+         g AS (SELECT lang, a AS phrase, 1 AS k, NULL AS head, NULL AS tail, NULL AS head2, NULL AS tail2 FROM o
+               UNION ALL SELECT lang, a || ' ' || b, 2, a, b, NULL, NULL FROM o WHERE b IS NOT NULL
+               UNION ALL SELECT lang, a || ' ' || b || ' ' || c, 3, a, b || ' ' || c, a || ' ' || b, c FROM o WHERE c IS NOT NULL),
+         f AS (SELECT lang, phrase, k, min(head) AS head, min(tail) AS tail, min(head2) AS head2, min(tail2) AS tail2, count(*) AS a FROM g GROUP BY ALL),
+         n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+         c AS (SELECT * FROM f WHERE k > 1 AND a >= 10),
+         cuts AS (SELECT c.lang, c.phrase, c.k, c.a, 1 AS cut, l.a AS l, r.a AS r FROM c JOIN f l ON l.lang = c.lang AND l.phrase = c.head JOIN f r ON r.lang = c.lang AND r.phrase = c.tail
+                  UNION ALL SELECT c.lang, c.phrase, c.k, c.a, 2, l.a, r.a FROM c JOIN f l ON l.lang = c.lang AND l.phrase = c.head2 JOIN f r ON r.lang = c.lang AND r.phrase = c.tail2 WHERE c.k = 3),
+         s AS (SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+         m AS (SELECT lang, phrase, k, a, min({'score': score, 'cut': cut, 'l': l, 'r': r}) AS low FROM s GROUP BY ALL),
+         x AS (SELECT lang, head2 AS phrase, a FROM c WHERE k = 3 UNION ALL SELECT lang, tail, a FROM c WHERE k = 3),
+         y AS (SELECT lang, phrase, max(a) AS around FROM x GROUP BY ALL),
+         z AS (SELECT m.*, row_number() OVER (PARTITION BY m.lang ORDER BY low.score DESC, m.a DESC, m.phrase) AS rank
+               FROM m LEFT JOIN y ON y.lang = m.lang AND y.phrase = m.phrase AND m.k = 2 WHERE y.around IS NULL OR 100 * y.around < 50 * m.a)
+    SELECT z.lang, rank, phrase, a, low.l AS l, low.r AS r, n.n, low.score AS score FROM z JOIN n ON n.lang = z.lang WHERE rank <= 2000
+    """
+)
+def op13_collocations_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strongest phrases of each language."""
+    return op13_collocations.collocations(table(spark, sf_dir, "documents"))
