@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from growlytics.llm import op1_lm, op2_language, op3_lines, op4_quality, op5_mixing, op6_ngram_join, op7_topk, op8_substrings, op9_html, op10_decontaminate, op11_bpe, op13_collocations
+from growlytics.llm import op1_lm, op2_language, op3_lines, op4_quality, op5_mixing, op6_ngram_join, op7_topk, op8_substrings, op9_html, op10_decontaminate, op11_bpe, op12_conversations, op13_collocations
 from growlytics.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,6 +127,12 @@ def op11_bpe_rank_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query()
+def op12_conversation_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, least audit and repair of every conversation."""
+    return op12_conversations.digests(table(spark, sf_dir, "conversations"))
+
+
 @query(
     r"""
     WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),

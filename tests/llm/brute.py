@@ -95,3 +95,88 @@ def lines_kept(rows, num=4, den=5):
             seen.append(s)
         out[i] = "\n".join(kept)
     return out
+
+
+def phrases(rows, least=10, top=2000, share=50):
+    """rows: (text, lang) -> the collocation report as tuples."""
+    counts, words = defaultdict(int), defaultdict(int)
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", ascii_lower(text or "")):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            words[lang] += len(w)
+            for k in (1, 2, 3):
+                for i in range(len(w) - k + 1):
+                    counts[lang, tuple(w[i:i + k])] += 1
+    found = {x: a for x, a in counts.items() if len(x[1]) > 1 and a >= least}
+    by_lang = defaultdict(list)
+    for (lang, p), a in found.items():
+        score, _, left, right = min((10**6 * a * a // (counts[lang, p[:k]] * counts[lang, p[k:]]), k, counts[lang, p[:k]], counts[lang, p[k:]]) for k in range(1, len(p)))
+        around = [f for (lg, q), f in found.items() if lg == lang and len(q) > len(p) and any(q[i:i + len(p)] == p for i in range(len(q) - len(p) + 1))]
+        if not any(100 * f >= share * a for f in around):
+            by_lang[lang].append((-score, -a, " ".join(p).encode(), left, right))
+    return [(lang, i, p.decode(), -a, left, right, words[lang], -s)
+            for lang, xs in by_lang.items() for i, (s, a, p, left, right) in enumerate(sorted(xs)[:top], 1)]
+
+
+def damaged(rows):
+    """rows: (conv_id, turn, role, text) -> {conv_id: rows after damage, in order}."""
+    out = defaultdict(list)
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        k = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        out[conv] += [] if k == 0 else [(turn, "user" if k == 4 else role, "" if k == 1 else re.sub("[.!?]", "", text) if k == 2 else text)] * (2 if k == 3 else 1)
+    for conv in out:
+        out[conv].sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.sha256(r[2].encode()).digest()))
+    return out
+
+
+def repaired(rows):
+    """One conversation's rows (turn, role, text) -> gaps, blank, duplicate,
+    truncated, illegal, cost, audit, sha256 of the repaired rows."""
+    made = {"": "u", "s": "u", "u": "a", "a": "u"}  # what may be inserted after each last initial
+    name = {"u": "user", "a": "assistant"}
+    best, seen, faults = {"": (0, "", ())}, set(), defaultdict(int)
+
+    def inserted(best):
+        best = dict(best)
+        for _ in range(3):
+            for s, (c, x, t) in list(best.items()):
+                new = (c + 5, x + "I", t + ((name[made[s]], ""),))
+                if made[s] not in best or new[:2] < best[made[s]][:2]:
+                    best[made[s]] = new
+        return best
+
+    for _, role, text in rows:
+        last = re.findall(r"[^\x20\x09-\x0D]", text)[-1:]
+        fault = "blank" if not last else "duplicate" if (role, text) in seen else "truncated" if last[0] not in ".!?" else ""
+        seen.add((role, text))
+        faults[fault] += 1
+        more = 5 * (fault == "truncated")
+        new = {}
+
+        def offer(s, x):
+            if s not in new or x[:2] < new[s][:2]:
+                new[s] = x
+
+        for s, (c, x, t) in inserted(best).items():
+            offer(s, (c + 2, x + "D", t))
+            if fault in ("blank", "duplicate"):
+                continue
+            offer(made[s], (c + 1 + more, x + "R", t + ((name[made[s]], text),)))
+            i = role[:1]
+            if i and i in "sua" and s + i in ("s", "u", "su", "ua", "au"):
+                offer(i, (c + more, x + "K", t + ((role, text),)))
+        best = new
+    ends = inserted(best)
+    cost, audit, kept = min((ends[s] for s in ("", "a") if s in ends), key=lambda e: e[:2])
+    turns = [r[0] for r in rows if r[0] is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    text = "\n".join(f"{r}:{t}" for r, t in kept)
+    return (gaps, faults["blank"], faults["duplicate"], faults["truncated"], illegal, cost, audit, hashlib.sha256(text.encode()).hexdigest())
+
+
+def conversations(rows):
+    broken = damaged(rows)
+    return {conv: repaired(broken.get(conv, [])) for conv in {r[0] for r in rows}}
