@@ -18,7 +18,11 @@ empty user or assistant row 5; a truncated row that stays adds 5.  Four states
    Fix-up passes give it the true vector of the piece behind it, up to a
    constant, and sweep it and the old vector until both differ by a constant
    only; from there on the old result holds.  Passes end when no vector
-   changes; the costs are stitched from the constants.
+   changes; the costs are stitched from the constants.  Rows whose two
+   alternating readings cost alike never make vectors converge: what is still
+   wrong after ``PASSES`` passes gets one more, in which the pieces of those
+   conversations are swept from each single state; that tells their left
+   vector for any right one, and the vectors are chained exactly.
 4. Tracing goes forward along the stitched costs and takes the ASCII-least
    letter that stays optimal.  Which state follows is fixed by the letters
    taken, so a piece is traced for the four states it may be entered in, the
@@ -43,7 +47,7 @@ from pyspark.sql import functions as F
 from growlytics.llm.common import by_value, pick, small, staged
 
 by_value(__name__)
-CHUNK, ROWS = 4096, 1 << 17
+CHUNK, ROWS, PASSES = 4096, 1 << 17, 4
 KEEP, REROLE, DELETE, INSERT, TRUNCATED = 0, 1, 2, 5, 5
 NONE, S, U, A = range(4)
 _FAR = 1 << 40
@@ -104,6 +108,11 @@ PIECE = ("has_conv boolean, conv long, part int, seq int, lo boolean, ro boolean
 def _pieces(chunk: int):
     """Sorted slim rows to pieces; ``lo``, ``ro``: the conversation may go on
     before, behind the piece."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    schema = to_arrow_schema(StructType.fromDDL(PIECE))
+
     def made(f, cuts, lo, seq, ends):
         import pandas as pd
 
@@ -138,10 +147,7 @@ def _pieces(chunk: int):
     def run(batches):
         import pandas as pd
         import pyarrow as pa
-        from pyspark.sql.pandas.types import to_arrow_schema
-        from pyspark.sql.types import StructType
 
-        schema = to_arrow_schema(StructType.fromDDL(PIECE))
         held, inside, seq = None, True, 0  # inside: the held rows' conversation may have begun before
 
         def cut(f, final):
@@ -322,15 +328,58 @@ def stitched(cut: DataFrame) -> tuple[DataFrame, int]:
     while True:
         behind = F.lead("left").over(order)
         true = F.when(F.col("last"), F.col("right")).otherwise(F.transform(behind, lambda x: x - F.array_min(behind)))
-        state = staged(state.withColumn("true", true), "turns-true")
-        wrong = state.where("true <> right")
+        state = staged(state.withColumn("fitting", true), "turns-true")
+        wrong = state.where("fitting <> right")
         if wrong.isEmpty():
-            return state.drop("true"), passes
+            return state.drop("fitting"), passes
         passes += 1
-        redo = wrong.select("part", "seq", F.col("true").alias("right"), F.col("right").alias("old_right"), F.col("left").alias("old_left"))
+        if passes > PASSES:
+            return _linked(body, state.drop("fitting"), wrong), passes
+        redo = wrong.select("part", "seq", F.col("fitting").alias("right"), F.col("right").alias("old_right"), F.col("left").alias("old_left"))
         swept = body.join(small(staged(redo, "turns-redo")), ["part", "seq"]).mapInArrow(_sweeping(True), SWEPT)
         state = state.withColumnsRenamed({"left": "old", "right": "was"}).join(swept, ["part", "seq"], "left")
-        state = staged(state.select("part", "seq", *CONV, "idx", "last", F.col("true").alias("right"), F.coalesce("left", "old").alias("left")), "turns-fixed")
+        state = staged(state.select("part", "seq", *CONV, "idx", "last", F.col("fitting").alias("right"), F.coalesce("left", "old").alias("left")), "turns-fixed")
+
+
+def _single(batches):
+    """codes, copies to the left vectors from each single state on the right."""
+    import pyarrow as pa
+
+    for b in batches:
+        codes, copies = b.column("codes").to_pylist(), b.column("copies").to_pylist()
+        left = []
+        for lo, hi in _slices([len(c) for c in codes]):
+            flat = _flat(codes[lo:hi], copies[lo:hi])
+            alone = [_swept(*flat, np.tile(np.where(np.arange(4) == j, 0, _FAR), (hi - lo, 1))) for j in range(4)]
+            left += np.concatenate(alone, axis=1).tolist()
+        yield pa.RecordBatch.from_arrays([b.column("part"), b.column("seq"), pa.array(left, pa.list_(pa.int64()))], ["part", "seq", "left"])
+
+
+def _chain(batches):
+    """Pieces of a conversation from its end: right and left vectors."""
+    import pyarrow as pa
+
+    right = None
+    for b in batches:
+        out = []
+        for last, moves in zip(b.column("last").to_pylist(), b.column("moves").to_pylist()):
+            right = _END if last else left - left.min()  # noqa: F821
+            left = (right[:, None] + np.array(moves, np.int64).reshape(4, 4)).min(0)
+            out.append((right.tolist(), left.tolist()))
+        vectors = [pa.array([x[i] for x in out], pa.list_(pa.int64())) for i in (0, 1)]
+        yield pa.RecordBatch.from_arrays([b.column("part"), b.column("seq"), *vectors], ["part", "seq", "right", "left"])
+
+
+def _linked(body: DataFrame, state: DataFrame, wrong: DataFrame) -> DataFrame:
+    """The state with the conversations of ``wrong`` chained exactly."""
+    which = small(staged(wrong.select(*CONV).distinct().withColumn("again", F.lit(True)), "turns-unsettled"))
+    state = staged(state.join(which, CONV, "left"), "turns-marked")
+    todo = state.where("again").select("part", "seq", *CONV, "idx", "last")
+    moves = body.join(small(staged(todo.select("part", "seq"), "turns-todo")), ["part", "seq"]).mapInArrow(_single, SWEPT).withColumnRenamed("left", "moves")
+    line = todo.join(moves, ["part", "seq"]).repartition(*CONV).sortWithinPartitions(*CONV, F.desc("idx"))
+    done = line.select("part", "seq", "last", "moves").mapInArrow(_chain, "part int, seq int, right array<long>, left array<long>")
+    done = state.where("again").drop("right", "left").join(done, ["part", "seq"]).select(*STATE)
+    return staged(state.where("again IS NULL").select(*STATE).unionByName(done), "turns-linked")
 
 
 # ------------------------------------------------------------------ traces

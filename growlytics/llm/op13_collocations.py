@@ -5,10 +5,11 @@
    ``ORDER`` in all, padded at the piece's end.  Only these longest windows
    are counted; words stand in them as 64-bit hashes (0 is padding).  A task
    counts the windows of a slice of texts before anything is shuffled.
-2. Equal windows meet and are summed.  A window below ``least`` can be no
-   candidate; what it still owes are the counts of its prefixes, so it goes on
-   as the longest prefix that can reach ``least`` (its first pair, or its
-   first word), padded.  That loses no count and leaves few rows.
+2. Equal windows meet, sorted by their words, and are summed in one pass.  A
+   window below ``least`` can be no candidate; what it still owes are the
+   counts of its prefixes, so it goes on as the longest prefix that can reach
+   ``least`` (its first pair, or its first word), padded.  That loses no count
+   and leaves few rows.
 3. ``ROLLUP`` over the window's columns sums successively shorter prefixes: a
    phrase of k words occurs exactly where it leads a window, so its count is
    that of its k-word prefix, and the total of a language is its number of
@@ -18,11 +19,12 @@
    the first ``top`` of their language get their words back, by one more pass
    over the texts that keeps the distinct words wanted.
 
-Skew: windows are dealt by language and first pair.  A pair that leads more
-than 1 / ``PARTS`` of the windows of a sample of rows is split by third words,
-so that no part is expected to hold more; the sample decides only where rows
-are summed, never what is counted.  At most ``PARTS`` pairs can be that
-frequent: that bounds the table sent to the tasks.
+Skew: windows are dealt by language and first word.  A word that leads more
+than 1 / ``PARTS`` of the windows of a sample of rows is split by second
+words, and a pair that does is split by third words, so that no part is
+expected to hold more; the sample decides only where rows are summed, never
+what is counted.  At most ``PARTS`` words, and as many pairs, can be that
+frequent: that bounds the tables sent to the tasks.
 
 Hashes: words of one language are told apart by 64 bits; among 10^8 distinct
 words two fall together with probability 3e-4.
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 from growlytics.llm.common import by_value, flags, hashed, mix, pick, slices, small, staged
 
 by_value(__name__)
-ORDER, LEAST, TOP, PARTS, CHARS = 3, 10, 2000, 4096, 1 << 22
+ORDER, LEAST, TOP, PARTS, CHARS, ROWS = 3, 10, 2000, 1 << 14, 1 << 22, 1 << 18
 SAMPLE = 1 / 64
 _BREAK, _GAP = flags(b".,;:!?\n\x0b\x0c\r"), flags(b" \t")
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -91,14 +93,28 @@ def _counted(lid: np.ndarray, w: list[np.ndarray]):
     return [x[order] for x in cols], c[order]
 
 
-def _pair(lid, w1, w2):
-    return mix(mix(lid ^ w1) + w2)
+def _named(*words) -> np.ndarray:
+    """A hash of a language's word or pair."""
+    out = mix(words[0])
+    for w in words[1:]:
+        out = mix(out + w)
+    return out
+
 
+def _parts(heavy, lid, w1, w2, w3) -> np.ndarray:
+    """Which part of its first word a window goes to: 0 if the word is not
+    split, above 0 by second words, below 0 by third words too."""
+    part = np.zeros(len(w1), np.int32)
+    for sign, names, splits, name, by in ((1, *heavy[0], (lid, w1), w2), (-1, *heavy[1], (lid, w1, w2), w2 + mix(w3))):
+        if len(names):
+            x = _named(*name)
+            at = np.minimum(np.searchsorted(names, x), len(names) - 1)
+            part = np.where(names[at] == x, sign * (1 + (mix(by + np.uint64(1)) % splits[at]).astype(np.int32)), part)
+    return part.astype(np.int32)
 
-def _windows(hot):
-    """``hot``: sorted hashes of pairs that are split, and into how many."""
-    pairs, splits = hot
 
+def _windows(heavy):
+    """Counted windows of slices of texts."""
     def run(batches):
         import pyarrow as pa
 
@@ -109,30 +125,95 @@ def _windows(hot):
                 _, _, _, h, piece, text = _words(texts[lo:hi])
                 if not len(h):
                     continue
-                (lid, w1, w2, w3), c = _counted(lids[lo:hi][text], [h, _lead(h, piece, 1), _lead(h, piece, 2)])
-                part = np.zeros(len(c), np.int32)
-                if len(pairs):
-                    p = _pair(lid, w1, w2)
-                    at = np.minimum(np.searchsorted(pairs, p), len(pairs) - 1)
-                    part = np.where(pairs[at] == p, 1 + (mix(w3 + np.uint64(1)) % splits[at]).astype(np.int32), part).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (lid, w1, w2, w3)] + [pa.array(part), pa.array(c.astype(np.int64))],
+                cols, c = _counted(lids[lo:hi][text], [h, _lead(h, piece, 1), _lead(h, piece, 2)])
+                yield pa.RecordBatch.from_arrays([*[pa.array(x.view(np.int64)) for x in cols], pa.array(_parts(heavy, *cols)), pa.array(c.astype(np.int64))],
                                                  ["lid", "w1", "w2", "w3", "part", "c"])
 
     return run
 
 
-def _frequent_pairs(rows: DataFrame):
-    """Pairs that lead more than 1 / PARTS of the windows of a sample."""
-    none = np.empty(0, np.uint64)
-    got = rows.sample(False, SAMPLE, 7).mapInArrow(_windows((none, none)), WINDOWS)
-    got = got.groupBy("lid", "w1", "w2").agg(F.sum("c").alias("c"))
-    got = staged(got, "phrases-sample")
+_NOTHING = (np.empty(0, np.uint64), np.empty(0, np.uint64))
+
+
+def _heavy(rows: DataFrame):
+    """First words and pairs that lead more than 1 / PARTS of the windows of a
+    sample, and into how many parts they are split."""
+    got = rows.sample(False, SAMPLE, 7).mapInArrow(_windows((_NOTHING, _NOTHING)), WINDOWS)
+    got = staged(got.groupBy("lid", "w1", "w2").agg(F.sum("c").alias("c")), "phrases-sample")
     total = got.agg(F.sum("c")).first()[0] or 0
-    top = got.where(F.col("c") * PARTS > total).toPandas()  # fewer than PARTS rows
-    lid, w1, w2 = (top[x].to_numpy(np.int64).view(np.uint64) for x in ("lid", "w1", "w2"))
-    p = _pair(lid, w1, w2)
-    order = np.argsort(p)
-    return p[order], np.ceil(top["c"].to_numpy(np.float64) * PARTS / max(total, 1)).astype(np.uint64)[order]
+    out = []
+    for names in (["lid", "w1"], ["lid", "w1", "w2"]):
+        top = got.groupBy(*names).agg(F.sum("c").alias("c")).where(F.col("c") * PARTS > total).toPandas()  # fewer than PARTS rows
+        x = _named(*[top[n].to_numpy(np.int64).view(np.uint64) for n in names])
+        order = np.argsort(x)
+        out.append((x[order], np.ceil(top["c"].to_numpy(np.float64) * PARTS / max(total, 1)).astype(np.uint64)[order]))
+    return tuple(out)
+
+
+_SORTED = ["w1", "lid", "part", "w2", "w3"]
+
+
+def _collapsed(least: int):
+    """Sorted windows to summed ones: those of at least ``least``, and the
+    rest as padded prefixes."""
+    def cut(cols, c):
+        w1, lid, part, w2, w3 = cols
+        change = np.zeros(len(c), bool)
+        change[:1] = True
+        for x in (w1, lid):
+            change[1:] |= x[1:] != x[:-1]
+        word = change.copy()
+        for x in (part, w2):
+            change[1:] |= x[1:] != x[:-1]
+        pair = change.copy()
+        change[1:] |= w3[1:] != w3[:-1]
+        at = np.flatnonzero(change)
+        n = np.add.reduceat(c, at)
+        often = (n >= least) & (w3[at] != 0)
+        heads = np.flatnonzero(pair[at])
+        rest, every = np.add.reduceat(np.where(often, 0, n), heads), np.add.reduceat(n, heads)
+        head = at[heads]
+        stay = ((every >= least) | (part[head] < 0)) & (rest > 0)
+        yield lid[at[often]], w1[at[often]], w2[at[often]], w3[at[often]], n[often]
+        yield lid[head[stay]], w1[head[stay]], w2[head[stay]], np.zeros(stay.sum(), np.int64), rest[stay]
+        firsts = np.flatnonzero(word[head])
+        short = np.add.reduceat(np.where(stay, 0, rest), firsts)
+        first, some = head[firsts], short > 0
+        none = np.zeros(some.sum(), np.int64)
+        yield lid[first[some]], w1[first[some]], none, none, short[some]
+
+    def run(batches):
+        import pyarrow as pa
+
+        held, size = [], 0
+
+        def flush(final: bool):
+            nonlocal held, size
+            table = pa.Table.from_batches(held)
+            cols, c = [table.column(n).to_numpy() for n in _SORTED], table.column("c").to_numpy()
+            stop = len(c)
+            if not final:  # the last pair may go on
+                same = np.ones(len(c), bool)
+                for x in cols[:4]:
+                    same &= x == x[-1]
+                stop = len(c) - int(np.argmin(same[::-1])) if not same.all() else 0
+            held = table.slice(stop).combine_chunks().to_batches()
+            size = len(c) - stop
+            if stop:
+                for out in cut([x[:stop] for x in cols], c[:stop]):
+                    if len(out[0]):
+                        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x, np.int64)) for x in out], ["lid", "w1", "w2", "w3", "c"])
+
+        for b in batches:
+            if b.num_rows:
+                held.append(b)
+                size += b.num_rows
+            if size >= ROWS and len(held) > 1:
+                yield from flush(False)
+        if size:
+            yield from flush(True)
+
+    return run
 
 
 def counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -142,23 +223,17 @@ def counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     rows = pick(docs, text="string", lang="string").withColumn("lang", F.coalesce("lang", F.lit("und")))
     langs = rows.select("lang").distinct().select(F.xxhash64("lang").alias("lid"), "lang")
     rows = rows.select(F.xxhash64("lang").alias("lid"), "text")
-    found = rows.mapInArrow(_windows(_frequent_pairs(rows)), WINDOWS).repartition("lid", "w1", "w2", "part")
-    # all of a window's counts, and all of a pair's (of its part, if split),
-    # are in one partition now: the sums below need no further shuffle
-    whole = found.groupBy("lid", "w1", "w2", "part", "w3").agg(F.sum("c").alias("c"))
-    # one condition on the sum, so that no filter moves below the exchange and both branches read the same one
-    often = F.when(F.col("w3") != 0, F.col("c")).otherwise(F.lit(0)) >= least
-    pairs = whole.groupBy("lid", "w1", "w2", "part").agg(F.sum(F.when(often, 0).otherwise(F.col("c"))).alias("c"), F.sum("c").alias("all"))
-    may = (F.col("all") >= least) | (F.col("part") > 0)
-    shorter = pairs.where("c > 0").select("lid", "w1", F.when(may, F.col("w2")).otherwise(0).cast("long").alias("w2"), F.lit(0).cast("long").alias("w3"), "c")
-    leading = whole.where(often).select("lid", "w1", "w2", "w3", "c").unionByName(shorter)
+    found = rows.mapInArrow(_windows(_heavy(rows)), WINDOWS).repartition("lid", "w1", "part").sortWithinPartitions(*_SORTED)
+    leading = found.mapInArrow(_collapsed(least), "lid long, w1 long, w2 long, w3 long, c long")
     cube = leading.rollup("lid", "w1", "w2", "w3").agg(F.sum("c").alias("f"), F.grouping_id().alias("g"))
     k = F.when(F.col("g") == 0, 3).when(F.col("g") == 1, 2).when(F.col("g") == 3, 1).when(F.col("g") == 7, 0)
     w = [F.coalesce(f"w{i}", F.lit(0)).alias(f"w{i}") for i in (1, 2, 3)]
     cube = cube.select("lid", *w, k.alias("k"), "f").where("k is not null")
     # a row that ends in padding is a shorter phrase, which has its own row
-    filled = (F.col("k") == 0) | (F.element_at(F.array("w1", "w2", "w3"), F.greatest("k", F.lit(1))) != 0)
-    return staged(cube.where(filled & ((F.col("f") >= least) | (F.col("k") == 0))), "phrases-counts"), staged(langs, "phrases-langs")
+    # (a condition on the grouping alone, which filters before the sums)
+    padding = F.when(F.col("k") == 3, F.col("w3") == 0).when(F.col("k") == 2, F.col("w2") == 0).otherwise(F.lit(False))
+    cube = cube.where(~padding).where(F.when(F.col("k") == 0, F.lit(True)).otherwise(F.col("f") >= least))
+    return staged(cube, "phrases-counts"), staged(langs, "phrases-langs")
 
 
 def _spelled(wanted: str):
