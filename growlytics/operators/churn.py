@@ -1,9 +1,8 @@
 """Churn model K1-K8 with Spark ML.
 
-K1 builds one feature row per paid subscription from three per-user
-pre-aggregates (sessions, events, payments), each a partial aggregation on
-``user_id`` so heavy users are combined map-side before their shuffle; the
-left joins then meet one row per user on each side.
+K1 builds one feature row per paid subscription from the user-day mart merged
+per user; the mart, the users and the subscriptions are bucketed by user, so
+neither the merge nor the joins need an exchange.
 
 The model is a ``pyspark.ml`` pipeline: alphabetical ``StringIndexer`` for
 the three categorical columns (unseen labels -> code 0, as the reference
@@ -24,16 +23,12 @@ from pyspark.sql import functions as F
 
 from growlytics.config import CHURN_FEATURES, DEFAULT_IMPORTANCES, Params
 from growlytics.functions.dates import lit_ts, whole_days_between
+from growlytics.operators import user_days as days
+from growlytics.operators.experiment_log import last_of_sample
 
 CATEGORICAL = ("plan", "channel", "device_type")
 
 
-def _before_cutoff(fact: DataFrame, ts_col: str, cutoffs: DataFrame | None) -> DataFrame:
-    if cutoffs is None:
-        return fact
-    return fact.join(cutoffs, "user_id").where(F.col(ts_col) < F.col("cutoff")).drop("cutoff")
-
-
 def features(wh, p: Params, leak_free: bool = False) -> DataFrame:
     """K1: paid subscriptions x users, with session, event and payment
     aggregates; defaults 0 / 365 / 'Desktop' / 0.0; label = cancelled.
@@ -42,58 +37,35 @@ def features(wh, p: Params, leak_free: bool = False) -> DataFrame:
     short life (the label) also shows as fewer sessions and payments.  With
     ``leak_free=True`` each user's activity is cut at their own cutoff (the
     cancellation date, or as-of when active) and recency is measured from
-    that cutoff.  The cutoff table has one row per user, so joining it to a
-    fact shuffles the fact by user_id (AQE splits a hot user's partition)."""
+    that cutoff.  A cutoff is a day, so whole days of the user-day mart fall
+    on one side of it.  All four tables are bucketed by user: there is no
+    exchange of fact or mart rows."""
     subs = wh.stg_subscriptions.where(F.col("plan").isin(*p.paid_plans)).select("user_id", "plan", "status")
     users = wh.dim_users.select("user_id", "channel")
-    cutoffs = None
+    rows = wh.user_days.select("user_id", "day", *days.COLUMNS)
+    until = lit_ts(p.as_of)
     if leak_free:
         paid = wh.stg_subscriptions.where(F.col("plan").isin(*p.paid_plans))
-        cutoffs = paid.groupBy("user_id").agg(
-            F.max(F.coalesce(F.col("end_date"), F.lit(p.as_of).cast("date"))).cast("timestamp").alias("cutoff")
-        )
-    sess = _before_cutoff(wh.fact_sessions.where(F.col("user_id").isNotNull()), "session_start", cutoffs)
-    if leak_free:
-        sess = sess.join(cutoffs, "user_id")
-        recency = whole_days_between(F.max("cutoff"), F.max("session_start"))
-    else:
-        recency = whole_days_between(lit_ts(p.as_of), F.max("session_start"))
-    s = sess.groupBy("user_id").agg(F.count_distinct("session_id").alias("session_count"), recency.alias("recency"))
-    # max(string) has no fixed-width buffer and would make the whole
-    # session aggregate sort-based; reduce to distinct (user, device) first
-    # (hash aggregate with map-side combine), so the string max only sees a
-    # handful of rows per user
-    dev = (
-        sess.select("user_id", "device_type").distinct()
-        .groupBy("user_id").agg(F.max("device_type").alias("device_type"))
-    )
-    s = s.join(dev, "user_id", "left")
-    events = _before_cutoff(wh.fact_events.where(F.col("user_id").isNotNull()), "event_time", cutoffs)
-    pays = _before_cutoff(wh.fact_payments.where(F.col("user_id").isNotNull()), "payment_date", cutoffs)
-    e = events.groupBy("user_id").agg(
-        F.sum(F.when(F.col("event_type") == p.search_event, 1).otherwise(0)).cast("bigint").alias("search_count"),
-        F.sum(F.when(F.col("event_type") == p.page_view_event, 1).otherwise(0)).cast("bigint").alias("pv_count"),
-        F.count("event_id").alias("total_events"),
-    )
-    pay = pays.groupBy("user_id").agg(
-        F.sum("amount").cast("double").alias("total_revenue")
-    )
+        cutoffs = paid.groupBy("user_id").agg(F.max(F.coalesce(F.col("end_date"), F.lit(p.as_of).cast("date"))).alias("cutoff"))
+        rows = rows.join(cutoffs, "user_id").where("day < cutoff").drop("cutoff")
+        users = users.join(cutoffs, "user_id", "left")
+        until = F.col("cutoff").cast("timestamp")
+    per = days.per_user(rows).withColumnRenamed("device_type", "device")
+    recency = whole_days_between(until, F.col("last_start"))
     return (
         subs.join(users, "user_id")
-        .join(s, "user_id", "left")
-        .join(e, "user_id", "left")
-        .join(pay, "user_id", "left")
+        .join(per, "user_id", "left")
         .select(
             "user_id",
             "plan",
             "channel",
-            F.coalesce("session_count", F.lit(0).cast("bigint")).alias("session_count"),
-            F.coalesce("recency", F.lit(p.missing_recency).cast("bigint")).alias("recency"),
-            F.coalesce("device_type", F.lit(p.default_device)).alias("device_type"),
-            F.coalesce("search_count", F.lit(0).cast("bigint")).alias("search_count"),
-            F.coalesce("pv_count", F.lit(0).cast("bigint")).alias("pv_count"),
-            F.coalesce("total_events", F.lit(0).cast("bigint")).alias("total_events"),
-            F.coalesce("total_revenue", F.lit(0.0)).alias("total_revenue"),
+            F.coalesce("sessions", F.lit(0).cast("bigint")).alias("session_count"),
+            F.coalesce(recency, F.lit(p.missing_recency).cast("bigint")).alias("recency"),
+            F.coalesce("device", F.lit(p.default_device)).alias("device_type"),
+            F.coalesce("searches", F.lit(0).cast("bigint")).alias("search_count"),
+            F.coalesce("page_views", F.lit(0).cast("bigint")).alias("pv_count"),
+            F.coalesce("event_ids", F.lit(0).cast("bigint")).alias("total_events"),
+            F.coalesce(F.col("amount").cast("double"), F.lit(0.0)).alias("total_revenue"),
             (F.col("status") == "cancelled").cast("int").alias("churned"),
         )
     )
@@ -104,21 +76,22 @@ def split(feats: DataFrame, p: Params, label: str = "churned", tight: bool = Fal
 
     The hash is independent of the label, so each class is split in the
     same proportion (stratified in expectation) without a shuffle or a
-    per-class window.  ``tight=True`` makes the per-class proportion exact
-    up to the sketch's accuracy: each class gets its own cut at the
-    ``test_fraction`` quantile of the hash (``percentile_approx`` per class,
-    a one-row-per-class aggregate joined back by broadcast)."""
+    per-class window.  ``tight=True`` makes the proportion exact: each class
+    gives ``test_fraction`` of its rows, rounded, the first by md5 of the user
+    (:func:`growlytics.operators.experiment_log.exact_sample`: a filter)."""
     h = F.xxhash64(F.col("user_id"), F.lit(p.seed))
     if not tight:
         cut = int(round(p.test_fraction * 10_000))
         bucket = F.pmod(h, F.lit(10_000))
         return feats.where(bucket >= cut), feats.where(bucket < cut)
-    hashed = feats.withColumn("_h", h)
-    cuts = hashed.groupBy(label).agg(F.percentile_approx("_h", p.test_fraction, 10_000).alias("_cut"))
-    j = hashed.join(F.broadcast(cuts), label)
-    test = j.where(F.col("_h") < F.col("_cut")).drop("_h", "_cut")
-    train = j.where(F.col("_h") >= F.col("_cut")).drop("_h", "_cut")
-    return train, test
+    labels = [r[0] for r in feats.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()]  # one row a class
+    test = train = None
+    for x in labels:
+        rows = feats.where(F.col(label).eqNullSafe(F.lit(x)))
+        last = last_of_sample(rows, int(rows.count() * p.test_fraction + 0.5), "user_id", p.seed)
+        a, b = (rows.limit(0), rows) if last is None else (rows.where(last), rows.where(~last))
+        test, train = (a, b) if test is None else (test.unionByName(a), train.unionByName(b))
+    return (feats, feats) if test is None else (train, test)
 
 
 def _indexers() -> list[StringIndexer]:

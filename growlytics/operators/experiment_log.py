@@ -5,7 +5,7 @@ landing_page, converted``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from growlytics.config import Params
@@ -43,6 +43,49 @@ def seeded_sample(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
     return df.orderBy(h, F.col(key)).limit(n)
 
 
+def last_of_sample(df: DataFrame, n: int, key: str, seed: int, few: int = 4096) -> Column | None:
+    """The condition that holds for the first ``n`` rows by (md5 of key and
+    seed, key), and for all further rows of the last one's key; None if
+    n <= 0.  Rows without a key come first.
+
+    The md5 of a row is compared digit by digit: a histogram of the next four
+    hex digits says in which bucket the n-th row lies, then only that bucket is
+    counted again, until it has at most ``few`` rows.  Those are counted per
+    key and give the last one that stays.  A histogram has at most 65,536
+    rows; there is no sort and no task that gathers the sample."""
+    if n <= 0:
+        return None
+    h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
+    prefix, left, inside = "", n, df
+    while True:
+        part = F.substring(h, len(prefix) + 1, 4)
+        steps = inside.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("c")).orderBy(F.col("p").asc_nulls_first()).collect()
+        for r in steps:
+            if r["c"] >= left:
+                break
+            left -= r["c"]
+        else:
+            return F.lit(True)  # fewer than n rows
+        if r["p"] is None:
+            return h.isNull()
+        prefix += r["p"]
+        inside = df.where(h.startswith(prefix))
+        if r["c"] <= few or len(prefix) == 32:
+            break
+    for r in inside.groupBy(h.alias("h"), F.col(key).alias("k")).agg(F.count(F.lit(1)).alias("c")).orderBy("h", "k").collect():
+        if r["c"] >= left:
+            break
+        left -= r["c"]
+    return h.isNull() | (h < r["h"]) | ((h == r["h"]) & (F.col(key) <= F.lit(r["k"])))
+
+
+def exact_sample(df: DataFrame, n: int, key: str, seed: int, few: int = 4096) -> DataFrame:
+    """B14 for any ``n``: the rows of :func:`seeded_sample`, by a filter over
+    ``df``.  ``key`` tells rows apart (as after B13)."""
+    last = last_of_sample(df, n, key, seed, few)
+    return df.limit(0) if last is None else df.where(last)
+
+
 def seeded_sample_fraction(df: DataFrame, fraction: float, key: str, seed: int) -> DataFrame:
     """B14 for very large samples: a hash threshold keeps about ``fraction``
     of the rows with no ordering or single-partition step."""
@@ -84,5 +127,5 @@ def prepare(log: DataFrame, p: Params, sample: bool = False) -> DataFrame:
     first = keep_first(consistent_assignments(log), "user_id", ("timestamp",), "exposure_id"
                        if "exposure_id" in log.columns else None)
     if sample:
-        first = seeded_sample(first, p.sample_size, "user_id", p.seed)
+        first = exact_sample(first, p.sample_size, "user_id", p.seed)
     return rescale_timestamps(first, "timestamp", p.rescale_start, p.rescale_end)

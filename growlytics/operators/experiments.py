@@ -30,12 +30,16 @@ from growlytics.session import checkpointed
 from growlytics.functions.stats import chi2_sf_sql, norm_ppf_sql, norm_two_sided_p_sql
 
 
+_UNNAMED = "\U0010FFFF"
+
+
 def arms(dim_variants: DataFrame, stg_subscriptions: DataFrame, p: Params,
          by: list[str] | None = None) -> DataFrame:
     """Group size and conversions per (experiment, variant[, by]).
 
     A user converts if any of their subscriptions is paid; subscriptions are
-    reduced to one row per user before the left join."""
+    reduced to one row per user before the left join.  Users without a
+    variant name are an arm of their own (NULL)."""
     conv = stg_subscriptions.groupBy("user_id").agg(
         F.max(F.when(F.col("plan").isin(*p.paid_plans), 1).otherwise(0)).alias("converted")
     )
@@ -48,7 +52,7 @@ def arms(dim_variants: DataFrame, stg_subscriptions: DataFrame, p: Params,
             F.count("user_id").alias("group_size"),
             F.sum(F.coalesce("converted", F.lit(0))).cast("bigint").alias("conversions"),
         )
-        .where(~F.col("variant").isin(*p.excluded_variants))
+        .where(~F.coalesce(F.col("variant").isin(*p.excluded_variants), F.lit(False)))
     )
 
 
@@ -59,7 +63,7 @@ def _pairs(arm_table: DataFrame, keys: list[str], p: Params) -> DataFrame:
     test key (a few rows per test) rather than a self-join, so the arm table
     is read once."""
     w = Window.partitionBy(*keys)
-    is_ctrl = F.col("variant") == p.control_variant
+    is_ctrl = F.col("variant").eqNullSafe(F.lit(p.control_variant))
     t = arm_table.select(
         *keys,
         "variant",
@@ -219,7 +223,7 @@ def chi_square_global(arm_table: DataFrame, p: Params, keys: list[str] | None =
     """I4 over control + all variants of each test."""
     keys = keys or ["experiment_id"]
     return chi_square(arm_table.select(*keys, "variant", "conversions", "group_size"), keys, p.alpha,
-                      control=F.col("variant") == p.control_variant)
+                      control=F.col("variant").eqNullSafe(F.lit(p.control_variant)))
 
 
 def chi_square_pairwise(arm_table: DataFrame, p: Params, keys: list[str] | None = None) -> DataFrame:
@@ -253,9 +257,11 @@ def experiment_report(arm_table: DataFrame, p: Params, keys: list[str] | None =
     subscriptions aggregation runs one time, and the lineage is cut."""
     keys = keys or ["experiment_id"]
     arm_table = checkpointed(arm_table.select(*keys, "variant", "conversions", "group_size"))
-    alone = arm_table.groupBy(*keys).agg(F.max(F.col("variant") != p.control_variant).alias("other")).where(~F.col("other"))
+    # an arm without a name takes part under the last name there can be
+    named = arm_table.fillna({"variant": _UNNAMED})
+    alone = named.groupBy(*keys).agg(F.max(F.col("variant") != p.control_variant).alias("other")).where(~F.col("other"))
     none = F.lit(0).cast("bigint")
-    filled = arm_table.unionByName(
+    filled = named.unionByName(
         alone.select(*keys, F.lit("Variant").alias("variant"), none.alias("conversions"), none.alias("group_size")))
     z = ztest(filled, p, keys)
     first = z.groupBy(*keys).agg(F.min("variant").alias("variant"))
@@ -270,9 +276,8 @@ def experiment_report(arm_table: DataFrame, p: Params, keys: list[str] | None =
         F.col("p_value").alias("global_chi2_p_value"),
         F.col("significant").alias("global_chi2_significant"),
     )
-    out = z1.join(pair, [*keys, "variant"], "left").join(glob, keys, "left").withColumnRenamed(
-        "variant", "first_variant"
-    )
+    out = z1.join(pair, [*keys, "variant"], "left").join(glob, keys, "left").withColumn(
+        "variant", F.nullif(F.col("variant"), F.lit(_UNNAMED))).withColumnRenamed("variant", "first_variant")
     if not with_variants:
         return out
     abn = abn_test(arm_table, p, keys)

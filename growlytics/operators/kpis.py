@@ -21,14 +21,11 @@ def total_users(dim_users: DataFrame) -> DataFrame:
     return dim_users.agg(F.count(F.lit(1)).alias("total_users"))
 
 
-def active_users(fact_sessions: DataFrame, p: Params) -> DataFrame:
+def active_users(user_days: DataFrame, p: Params) -> DataFrame:
     """``mau`` = distinct users over all time (as coded), ``wau`` / ``dau``
-    = distinct users with a session on or after the cutoffs."""
-    last = (
-        fact_sessions.where(F.col("user_id").isNotNull())
-        .groupBy("user_id")
-        .agg(F.max("session_start").alias("last_start"))
-    )
+    = distinct users with a session on or after the cutoffs; from the user-day
+    mart, without an exchange of its rows."""
+    last = user_days.where("session_rows > 0").groupBy("user_id").agg(F.max("last_start").alias("last_start"))
     return last.agg(
         F.count(F.lit(1)).alias("mau"),
         F.count_if(F.col("last_start") >= lit_ts(p.wau_cutoff)).alias("wau"),
@@ -56,28 +53,31 @@ def paid_churn(stg_subscriptions: DataFrame, p: Params) -> DataFrame:
     return s.select("churned", "total_paid", rate.alias("churn_rate"))
 
 
-def revenue_by_plan(fact_payments: DataFrame, stg_subscriptions: DataFrame) -> DataFrame:
+def _paid_per_user(user_days: DataFrame) -> DataFrame:
+    """One row per paying user, from the mart that is bucketed by user."""
+    return user_days.where("payments > 0").groupBy("user_id").agg(F.sum("amount").cast("decimal(28,2)").alias("amount"))
+
+
+def revenue_by_plan(user_days: DataFrame, stg_subscriptions: DataFrame) -> DataFrame:
     """Payments x subscriptions on user, summed by plan.  As coded, a user
     with several subscriptions counts each payment once per subscription;
     summing payments per user first gives the same totals with a join input
     of one row per paying user."""
     subs = stg_subscriptions.select("user_id", "plan")
-    per_user = fact_payments.groupBy("user_id").agg(F.sum("amount").alias("amount"))
     return (
-        per_user.join(subs, "user_id")
+        _paid_per_user(user_days).join(subs, "user_id")
         .groupBy(F.col("plan").alias("label"))
         .agg(F.sum("amount").alias("value"))
     )
 
 
-def revenue_by_channel(fact_payments: DataFrame, dim_users: DataFrame) -> DataFrame:
+def revenue_by_channel(user_days: DataFrame, dim_users: DataFrame) -> DataFrame:
     """Payments x users, summed by acquisition channel.
 
     Pre-aggregating payments per user before the join keeps the join input
     at one row per paying user whatever the payment history length."""
-    per_user = fact_payments.groupBy("user_id").agg(F.sum("amount").alias("amount"))
     return (
-        per_user.join(dim_users.select("user_id", "channel"), "user_id")
+        _paid_per_user(user_days).join(dim_users.select("user_id", "channel"), "user_id")
         .groupBy(F.col("channel").alias("label"))
         .agg(F.sum("amount").alias("value"))
     )
@@ -92,7 +92,7 @@ def kpi_summary(wh, p: Params, with_breakdowns: bool = False) -> DataFrame:
     """
     row = (
         total_users(wh.dim_users)
-        .crossJoin(active_users(wh.fact_sessions, p))
+        .crossJoin(active_users(wh.user_days, p))
         .crossJoin(mrr(wh.fact_payments, p))
         .crossJoin(paid_churn(wh.stg_subscriptions, p).select("churn_rate"))
     )
@@ -109,16 +109,15 @@ def kpi_summary(wh, p: Params, with_breakdowns: bool = False) -> DataFrame:
                 F.array_sort(F.collect_list(F.struct("label", F.col("value").cast("double").alias("value")))).alias(name)
             )
 
-        row = row.crossJoin(nest(revenue_by_plan(wh.fact_payments, wh.stg_subscriptions), "plan_revenue"))
-        row = row.crossJoin(nest(revenue_by_channel(wh.fact_payments, wh.dim_users), "channel_revenue"))
+        row = row.crossJoin(nest(revenue_by_plan(wh.user_days, wh.stg_subscriptions), "plan_revenue"))
+        row = row.crossJoin(nest(revenue_by_channel(wh.user_days, wh.dim_users), "channel_revenue"))
     return row
 
 
-def monthly_active_users(fact_sessions: DataFrame) -> DataFrame:
-    """Distinct users per calendar month ('yyyy-MM'), ordered."""
-    return (
-        fact_sessions.select(month_label(F.col("session_start")).alias("month"), "user_id")
-        .groupBy("month")
-        .agg(F.count_distinct("user_id").alias("active_users"))
-        .orderBy("month")
-    )
+def monthly_active_users(user_days: DataFrame) -> DataFrame:
+    """Distinct users per calendar month ('yyyy-MM'), ordered.
+
+    (user, month) pairs are made distinct inside the user's bucket; what is
+    shuffled are counts per month."""
+    pairs = user_days.where("session_rows > 0").groupBy("user_id", month_label(F.col("day")).alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    return pairs.groupBy("month").agg(F.count(F.lit(1)).alias("active_users")).orderBy("month")

@@ -1,9 +1,8 @@
 """RFM segmentation H1-H3.
 
-H1 pre-aggregates sessions and payments per user (partial aggregation, so a
-user with a third of all rows is combined map-side) before two left joins
-onto ``dim_users``; the joins are on ``user_id`` on both sides, so the three
-inputs are hash-partitioned once on the same key.
+H1 merges the user-day mart per user (no fact row is read) and joins it onto
+``dim_users``; both tables are bucketed by ``user_id``, so neither the
+aggregate nor the join needs an exchange.
 """
 
 from __future__ import annotations
@@ -13,29 +12,23 @@ from pyspark.sql import functions as F
 
 from growlytics.config import SEGMENT_NAMES, Params
 from growlytics.functions.dates import lit_ts, whole_days_between
+from growlytics.operators import user_days as days
 
 
-def rfm_features(dim_users: DataFrame, fact_sessions: DataFrame, fact_payments: DataFrame,
-                 p: Params) -> DataFrame:
+def rfm_features(dim_users: DataFrame, user_days: DataFrame, p: Params) -> DataFrame:
     """H1: recency (whole days as-of minus last session, default 365),
     frequency (distinct sessions, 0), monetary (sum of payments, 0)."""
-    rf = fact_sessions.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
-        whole_days_between(lit_ts(p.as_of), F.max("session_start")).alias("recency"),
-        F.count_distinct("session_id").alias("frequency"),
-    )
-    m = fact_payments.where(F.col("user_id").isNotNull()).groupBy("user_id").agg(
-        F.sum("amount").alias("monetary")
-    )
+    per = days.per_user(user_days.select("user_id", *days.COLUMNS))
+    recency = whole_days_between(lit_ts(p.as_of), F.col("last_start"))
     return (
         dim_users.select("user_id", "current_plan")
-        .join(rf, "user_id", "left")
-        .join(m, "user_id", "left")
+        .join(per.select("user_id", recency.alias("recency"), "sessions", "amount"), "user_id", "left")
         .select(
             "user_id",
             "current_plan",
             F.coalesce("recency", F.lit(p.missing_recency).cast("bigint")).alias("recency"),
-            F.coalesce("frequency", F.lit(0).cast("bigint")).alias("frequency"),
-            F.coalesce(F.col("monetary"), F.lit(0).cast("decimal(28,2)")).alias("monetary"),
+            F.coalesce("sessions", F.lit(0).cast("bigint")).alias("frequency"),
+            F.coalesce(F.col("amount"), F.lit(0).cast("decimal(28,2)")).alias("monetary"),
         )
     )
 
@@ -78,5 +71,5 @@ def segment_summary(segmented: DataFrame) -> DataFrame:
 
 def rfm_segments(wh, p: Params) -> DataFrame:
     """H1 -> H2 -> H3 on a warehouse."""
-    rfm = rfm_features(wh.dim_users, wh.fact_sessions, wh.fact_payments, p)
+    rfm = rfm_features(wh.dim_users, wh.user_days, p)
     return segment_summary(assign_segments(rfm, p))

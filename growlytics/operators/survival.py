@@ -42,6 +42,12 @@ def tenure(stg_subscriptions: DataFrame, p: Params) -> DataFrame:
     )
 
 
+def negative_tenures(ten: DataFrame) -> DataFrame:
+    """Per plan, how many tenures are below zero (an end before its start, or
+    a start after the as-of date): they count in the life table as they are."""
+    return ten.groupBy("plan").agg(F.count_if(F.col("tenure_days") < 0).alias("negative"), F.count_if(F.col("tenure_days").isNull()).alias("missing"))
+
+
 def tenure_groups(ten: DataFrame) -> DataFrame:
     """(plan, tenure) -> deaths, total: the one aggregation every survival
     output derives from (NULL tenures kept as their own group, so row counts

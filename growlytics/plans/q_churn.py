@@ -4,13 +4,16 @@ and the model path (K4, K6, K8; rows-only)."""
 import hashlib
 import os
 
-from growlytics.operators import churn
+from pyspark.sql import functions as F
+
+from growlytics.operators import churn, forest
 from growlytics.plans.oracle import days_since, r6
 from growlytics.plans.registry import _code_version, register
 from growlytics.session import ensure_checkpoint_dir
 from growlytics.sources.warehouse import _fs_exists, _fs_touch, input_state
 
 _LOADED: dict = {}
+_NODES: dict = {}
 
 FEATURES = f""",
 activity AS (
@@ -83,6 +86,35 @@ def k5_metrics(ctx):
     return churn.evaluate(pred)
 
 
+@register("k2_codes", extra=FEATURES, sql="""
+, labels AS (SELECT DISTINCT 'plan' AS feature, plan AS label FROM feats UNION SELECT 'channel', channel FROM feats UNION SELECT 'device_type', device_type FROM feats)
+SELECT feature, label, CAST(row_number() OVER (PARTITION BY feature ORDER BY label) - 1 AS DOUBLE) AS code FROM labels WHERE label IS NOT NULL
+""")
+def k2_codes(ctx):
+    """K2: the code of every label of the three categorical columns."""
+    f = churn.features(ctx.wh, ctx.p)
+    out = None
+    for c in churn.CATEGORICAL:
+        part = forest.encoding(f, c)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("k3_split", extra=FEATURES, sql="""
+, ranked AS (
+  SELECT user_id, churned, row_number() OVER (PARTITION BY churned ORDER BY md5(CAST(user_id AS VARCHAR) || '|42'), user_id) AS r,
+         count(*) OVER (PARTITION BY churned) AS n
+  FROM feats
+)
+SELECT user_id, CAST(churned AS BIGINT) AS churned, CASE WHEN r <= floor(n * 0.2 + 0.5) THEN 'test' ELSE 'train' END AS part FROM ranked
+""")
+def k3_split(ctx):
+    """K3: which rows train and which test, in exact proportion per class."""
+    train, test = churn.split(churn.features(ctx.wh, ctx.p), ctx.p, tight=True)
+    cols = ("user_id", "churned")
+    return test.select(*cols, F.lit("test").alias("part")).unionByName(train.select(*cols, F.lit("train").alias("part")))
+
+
 def _model(ctx):
     """Train once, then reuse: the fitted pipeline is saved under the shared
     folder (A7) keyed by the state of the input files, and later calls load
@@ -107,34 +139,44 @@ def _model(ctx):
         if model is not None:
             churn.save(model, path)
             _fs_touch(ctx.spark, marker)
-    _LOADED[app] = model
-    return feats, test, model
+    if app not in _LOADED:
+        _LOADED[app] = model
+        if model is not None:
+            _NODES[app] = forest.nodes(ctx.spark, path).collect(), forest.codes(ctx.spark, model).collect()
+    return feats, test, model, path
+
+
+def _score(ctx, rows, model, path):
+    """The forest as expressions over the feature columns."""
+    if model is None:
+        return churn.score(None, rows)
+    return forest.scored(rows, *_NODES[ctx.spark.sparkContext.applicationId, path])
 
 
 @register("k4_model")
 def k4_model(ctx):
     """Rows-only: forest predictions on the held-out split."""
-    _, test, model = _model(ctx)
-    return churn.score(model, test).select("user_id", "churned", "prediction", "churn_probability")
+    _, test, model, path = _model(ctx)
+    return _score(ctx, test, model, path).select("user_id", "churned", "prediction", "churn_probability")
 
 
 @register("k5_model_metrics")
 def k5_model_metrics(ctx):
     """Rows-only: K5 on the forest's held-out predictions."""
-    _, test, model = _model(ctx)
-    return churn.evaluate(churn.score(model, test))
+    _, test, model, path = _model(ctx)
+    return churn.evaluate(_score(ctx, test, model, path))
 
 
 @register("k6_scoring")
 def k6_scoring(ctx):
     """Rows-only: churn probability for every paid user."""
-    feats, _, model = _model(ctx)
-    return churn.score(model, feats).select("user_id", "churn_probability")
+    feats, _, model, path = _model(ctx)
+    return _score(ctx, feats, model, path).select("user_id", "churn_probability")
 
 
 @register("k8_importances")
 def k8_importances(ctx):
-    """Rows-only: the forest's feature importances."""
-    _, _, model = _model(ctx)
-    return churn.importances(ctx.spark, model)
+    """Rows-only: the forest's feature importances, from its nodes."""
+    _, _, model, path = _model(ctx)
+    return churn.importances(ctx.spark, None) if model is None else forest.importances(forest.nodes(ctx.spark, path))
 

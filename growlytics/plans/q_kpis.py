@@ -23,7 +23,7 @@ def e1_total_users(ctx):
 
 @register("e2_active", sql=LATEST + E2_SQL)
 def e2_active(ctx):
-    return kpis.active_users(ctx.wh.fact_sessions, ctx.p)
+    return kpis.active_users(ctx.wh.user_days, ctx.p)
 
 
 @register("e3_mrr", sql=f"""
@@ -48,7 +48,7 @@ SELECT s.plan AS label, {r6('sum(p.amount)')} AS value
 FROM fact_payments p JOIN subscriptions s ON p.user_id = s.user_id GROUP BY s.plan
 """)
 def e7_rev_plan(ctx):
-    return kpis.revenue_by_plan(ctx.wh.fact_payments, ctx.wh.stg_subscriptions)
+    return kpis.revenue_by_plan(ctx.wh.user_days, ctx.wh.stg_subscriptions)
 
 
 @register("e8_rev_channel", sql=f"""
@@ -56,7 +56,7 @@ SELECT u.channel AS label, {r6('sum(p.amount)')} AS value
 FROM fact_payments p JOIN dim_users u ON p.user_id = u.user_id GROUP BY u.channel
 """)
 def e8_rev_channel(ctx):
-    return kpis.revenue_by_channel(ctx.wh.fact_payments, ctx.wh.dim_users)
+    return kpis.revenue_by_channel(ctx.wh.user_days, ctx.wh.dim_users)
 
 
 @register("e9_kpis", sql=f"""{LATEST}
@@ -101,7 +101,7 @@ SELECT strftime(session_start, '%Y-%m') AS month, count(DISTINCT user_id) AS act
 FROM fact_sessions GROUP BY 1 ORDER BY 1
 """)
 def e10_monthly(ctx):
-    return kpis.monthly_active_users(ctx.wh.fact_sessions)
+    return kpis.monthly_active_users(ctx.wh.user_days)
 
 
 F1_SQL = """
@@ -167,3 +167,37 @@ SELECT s.step, coalesce(c.users, 0) AS users FROM (SELECT DISTINCT step FROM ste
 def f1_funnel_total(ctx):
     """F1 over all time, as the dashboard computes it (no split)."""
     return funnel.event_funnel(ctx.wh.fact_events, ctx.p)
+
+
+# A funnel on which the steps differ: signups, purchases and views only of some users.
+STEPS = """,
+ev AS (
+  SELECT * FROM fact_events
+  WHERE NOT (event_type = 'signup' AND user_id % 3 <> 0) AND NOT (event_type = 'purchase' AND user_id % 7 <> 0) AND NOT (event_type = 'view' AND user_id % 10 = 0)
+)
+"""
+
+
+def _steps(ctx):
+    u, t = F.col("user_id"), F.col("event_type")
+    return ctx.wh.fact_events.where(~((t == "signup") & (u % 3 != 0)) & ~((t == "purchase") & (u % 7 != 0)) & ~((t == "view") & (u % 10 == 0)))
+
+
+@register("f1_funnel_steps", extra=STEPS, sql="""
+SELECT s.step, count(DISTINCT e.user_id) AS users
+FROM (VALUES ('1. View', 'view'), ('2. Click', 'click'), ('3. Signup', 'signup'), ('4. Purchase', 'purchase')) s(step, kind) LEFT JOIN ev e ON e.event_type = s.kind
+GROUP BY s.step
+""")
+def f1_funnel_steps(ctx):
+    """F1 where every step has other users."""
+    return funnel.event_funnel(_steps(ctx), ctx.p)
+
+
+@register("e13_signup_steps", extra=STEPS, sql=f"""
+SELECT count(DISTINCT user_id) FILTER (WHERE event_type = 'view') AS landing_users, count(DISTINCT user_id) FILTER (WHERE event_type = 'signup') AS signup_users,
+       {r6("count(DISTINCT user_id) FILTER (WHERE event_type = 'signup') * 100.0 / nullif(count(DISTINCT user_id) FILTER (WHERE event_type = 'view'), 0)")} AS conversion_rate
+FROM ev
+""")
+def e13_signup_steps(ctx):
+    """E13 where fewer users sign up than land."""
+    return funnel.landing_to_signup(_steps(ctx), ctx.p)

@@ -60,6 +60,19 @@ def b3_dedupe(ctx):
     return out
 
 
+@register("b3_fingerprint_dirty", sql="""
+, d AS (SELECT l_orderkey % 97 AS k, CASE WHEN l_linenumber % 2 = 0 THEN l_returnflag END AS flag, CASE WHEN l_linenumber % 3 = 0 THEN l_linestatus END AS status FROM lineitem)
+SELECT 'lineitem' AS dataset, count(*) AS initial_rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM d)) AS distinct_rows,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM d)) AS duplicate_rows FROM d
+""")
+def b3_fingerprint_dirty(ctx):
+    """B3 where most rows repeat and many hold nulls in different columns."""
+    n = F.col("l_linenumber")
+    rows = ctx.table("lineitem").select((F.col("l_orderkey") % 97).alias("k"), F.when(n % 2 == 0, F.col("l_returnflag")).alias("flag"),
+                                        F.when(n % 3 == 0, F.col("l_linestatus")).alias("status"))
+    return Q.duplicate_stats(rows, "lineitem")
+
+
 @register("b4_clean_payments", sql="""
 SELECT DISTINCT payment_id, user_id, round(CAST(amount AS DOUBLE), 6) AS amount, strftime(payment_date, '%Y-%m-%d') AS payment_date
 FROM payments WHERE amount > 0
@@ -260,7 +273,7 @@ SELECT 'subscriptions', 'accepted_values', 'plan', (SELECT count(DISTINCT plan)
 def b_source_tests(ctx):
     """The declared source tests (B8-B11) on the six datasets: rows each
     test returns (duplicated values, null rows, orphan rows, bad values)."""
-    return Q.source_tests({d: ctx.raw(d) for d in DATASETS})
+    return Q.source_tests({d: ctx.raw(d) for d in DATASETS}, ctx.landed.profile)
 
 
 LOG = """,
@@ -313,6 +326,17 @@ def b14_sample(ctx):
     return XL.seeded_sample(first, ctx.p.sample_size, "user_id", ctx.p.seed)
 
 
+@register("b14_sample_exact", extra=LOG, sql="""
+SELECT user_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", "group", landing_page, converted, exposure_id
+FROM firsts ORDER BY md5(CAST(user_id AS VARCHAR) || '|42'), user_id LIMIT (SELECT count(*) // 2 FROM firsts)
+""")
+def b14_sample_exact(ctx):
+    """Half of the users, exactly, by a filter on hash prefixes."""
+    log = XL.consistent_assignments(ctx.raw("experiment_log"))
+    first = XL.keep_first(log, "user_id", ("timestamp",), "exposure_id")
+    return XL.exact_sample(first, first.count() // 2, "user_id", ctx.p.seed, few=64)
+
+
 @register("b15_rescale", extra=LOG, sql="""
 SELECT user_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') AS "timestamp", "group", landing_page, converted, exposure_id,
        strftime(scaled_time, '%Y-%m-%d %H:%M:%S') AS scaled_time
@@ -374,12 +398,41 @@ _NN_SRC = dict(_B7_SRC)
     f"FROM {_NN_SRC[d]}"
     for d, cols in NOT_NULL for c in cols))
 def b9_not_null(ctx):
-    """B9 on the declared columns of the six datasets (failing rows)."""
-    out = None
-    for d, cols in NOT_NULL:
-        part = Q.not_null_failures(ctx.raw(d), d, list(cols))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """B9 on the declared columns of the six datasets (failing rows), from
+    the profile that the load's writes collected."""
+    rows = [(r["dataset"], "not_null", r["column"], r["null_count"]) for r in ctx.landed.profile
+            if r["column"] in dict(NOT_NULL).get(r["dataset"], ())]
+    return ctx.spark.createDataFrame(rows, "dataset string, test string, column string, failures bigint")
+
+
+@register("b1_load_profile", sql="\nUNION ALL\n".join(
+    f"SELECT '{d}' AS dataset, '{c}' AS column, count(*) AS row_count, count(*) FILTER (WHERE {c} IS NULL) AS null_count, "
+    f"{r6(f'CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE {c} IS NULL) / count(*) END')} AS null_rate FROM {_NN_SRC[d]}"
+    for d, cols in (
+        ("users", "user_id signup_date country acquisition_channel plan_type"),
+        ("sessions", "session_id user_id session_start session_end device_type"),
+        ("events", "event_id user_id event_time event_type"),
+        ("subscriptions", "subscription_id user_id plan start_date end_date status"),
+        ("payments", "payment_id user_id amount payment_date"),
+        ("experiments", "experiment_id variant user_id assigned_date")) for c in cols.split()))
+def b1_load_profile(ctx):
+    """Rows and nulls of every column of the six datasets (B1, B2), as the
+    load's writes counted them: no scan of the data."""
+    rows = [(r["dataset"], r["column"], r["row_count"], r["null_count"], r["null_count"] / r["row_count"] if r["row_count"] else None)
+            for r in ctx.landed.profile if r["dataset"] in DATASETS]
+    return ctx.spark.createDataFrame(rows, "dataset string, column string, row_count bigint, null_count bigint, null_rate double")
+
+
+@register("b10_orphans_hot", sql="""
+, child AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN -1 WHEN l_orderkey % 50 = 1 THEN -l_orderkey ELSE l_orderkey END AS k FROM lineitem)
+SELECT k AS key, count(*) AS n FROM child WHERE k NOT IN (SELECT o_orderkey FROM orders) GROUP BY k
+""")
+def b10_orphans_hot(ctx):
+    """B10 where one orphan key holds a third of all child rows and others
+    hold a few."""
+    k = F.col("l_orderkey")
+    child = ctx.table("lineitem").select(F.when(k % 3 == 0, -1).when(k % 50 == 1, -k).otherwise(k).alias("k"))
+    return Q.orphan_key_counts(child, "k", ctx.table("orders"), "o_orderkey")
 
 
 @register("a1_csv_users", sql="""

@@ -10,7 +10,7 @@ SELECT user_id, current_plan, recency, frequency, {r6('monetary')} AS monetary F
 """)
 def h1_rfm(ctx):
     wh = ctx.wh
-    return segments.rfm_features(wh.dim_users, wh.fact_sessions, wh.fact_payments, ctx.p)
+    return segments.rfm_features(wh.dim_users, wh.user_days, ctx.p)
 
 
 @register("h2_segment", extra=RFM, sql=f"""
@@ -18,7 +18,7 @@ SELECT user_id, current_plan, recency, frequency, {r6('monetary')} AS monetary,
 """)
 def h2_segment(ctx):
     wh = ctx.wh
-    rfm = segments.rfm_features(wh.dim_users, wh.fact_sessions, wh.fact_payments, ctx.p)
+    rfm = segments.rfm_features(wh.dim_users, wh.user_days, ctx.p)
     return segments.assign_segments(rfm, ctx.p)
 
 

@@ -20,5 +20,5 @@ def l2_ingest(ctx):
     ckpt = shared_path(spark, "stream-checkpoint")
     intake.write_payloads(ctx.binding.events, landing)
     intake.run_available(spark, landing, sink, ckpt)
-    return spark.read.parquet(sink).drop("ingested_at")
+    return intake.read_sink(spark, sink).drop("ingested_at")
 

@@ -1,5 +1,7 @@
 """Registered queries: survival and predicted LTV."""
 
+from pyspark.sql import functions as F
+
 from growlytics.operators import survival as S
 from growlytics.plans.oracle import r6
 from growlytics.plans.registry import register
@@ -99,3 +101,33 @@ WHERE day % (CASE WHEN max_day < 180 THEN 10 ELSE 30 END) = 0 OR day = max_day
 def j6_sampled(ctx):
     _, curve = S.survival_ltv(ctx.wh.stg_subscriptions, ctx.p)
     return curve
+
+
+@register("j1_negative", sql="""
+, t AS (SELECT plan, CASE WHEN subscription_id % 5 = 0 THEN DATE '2001-09-01' ELSE start_date END AS start_date,
+               CASE WHEN subscription_id % 11 <> 0 THEN end_date END AS end_date, status FROM subscriptions WHERE plan <> 'Free'),
+d AS (SELECT plan, CASE WHEN status = 'cancelled' THEN end_date - start_date ELSE DATE '2001-08-02' - start_date END AS days FROM t)
+SELECT plan, count(*) FILTER (WHERE days < 0) AS negative, count(*) FILTER (WHERE days IS NULL) AS missing FROM d GROUP BY plan
+""")
+def j1_negative(ctx):
+    """Tenures below zero and without an end, where some starts lie after the
+    as-of date and some cancelled subscriptions have no end."""
+    sid = F.col("subscription_id")
+    subs = ctx.wh.stg_subscriptions.withColumns({
+        "start_date": F.when(sid % 5 == 0, F.lit("2001-09-01").cast("date")).otherwise(F.col("start_date")),
+        "end_date": F.when(sid % 11 != 0, F.col("end_date"))})
+    return S.negative_tenures(S.tenure(subs, ctx.p))
+
+
+@register("j7_default", sql=f"""
+, seen AS (SELECT DISTINCT plan FROM subscriptions WHERE plan = 'Pro'),
+missing AS (SELECT * FROM (VALUES ('Pro', 29.0), ('Enterprise', 299.0)) p(plan, price) WHERE plan NOT IN (SELECT plan FROM seen))
+SELECT plan, CAST(day AS BIGINT) AS day, {r6('pow(0.97, day / 30.0)')} AS survival_rate, {r6('price / 0.03')} AS ltv
+FROM missing, (SELECT unnest(generate_series(0, 360, 30)) AS day)
+""")
+def j7_default(ctx):
+    """Curve and LTV of the plan that has no subscriptions left."""
+    subs = ctx.wh.stg_subscriptions.where("plan = 'Pro'")
+    present = S.plan_stats_from_groups(S.tenure_groups(S.tenure(subs, ctx.p)), ctx.p).select("plan")
+    ltv = S.default_summary(ctx.spark, present, ctx.p).select("plan", "ltv")
+    return S.default_curve(ctx.spark, present, ctx.p).join(ltv, "plan")

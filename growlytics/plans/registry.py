@@ -8,7 +8,7 @@ the binding CTEs plus a SQL body (``None`` for rows-only operators).
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,7 +30,7 @@ def _code_version() -> str:
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     h = hashlib.sha1()
     for rel in ("config.py", "functions/dates.py", "sources/binding.py", "sources/files.py", "sources/schemas.py",
-                "sources/warehouse.py", "operators/quality.py", "operators/staging.py", "operators/marts.py"):
+                "sources/warehouse.py", "operators/quality.py", "operators/staging.py", "operators/marts.py", "operators/user_days.py"):
         with open(os.path.join(root, rel), "rb") as fh:
             h.update(fh.read())
     return h.hexdigest()[:12]
@@ -70,7 +70,7 @@ class Ctx:
     def binding(self) -> Binding:
         return bind(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def landed(self):
         return materialized_binding(self.spark, self.sf_dir, ensure_checkpoint_dir(self.spark), _code_version())
 
@@ -104,6 +104,7 @@ def load_all() -> None:
 
 MODULES = (
     "q_quality",
+    "q_load",
     "q_marts",
     "q_kpis",
     "q_activity",

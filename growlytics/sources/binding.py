@@ -75,17 +75,15 @@ class Binding:
         """Per customer: first order time, last order time and whether the
         last order (latest date, then highest key) has status 'F'.
 
-        The last order is found with ``max_by`` over a single bigint
-        ordering key (epoch day * 2^40 + order key; order keys stay below
-        2^40 ~ 1.1e12) so every aggregation buffer is fixed-width and the
-        aggregate runs as a hash aggregate with map-side combine."""
-        o = self.table("orders")
-        day = F.datediff(F.col("o_orderdate"), F.lit("1970-01-01")).cast("bigint")
-        order_key = day * F.lit(1 << 40) + F.col("o_orderkey")
-        return o.groupBy(F.col("o_custkey").alias("user_id")).agg(
+        The last order is the maximum in two steps, each with fixed-width
+        buffers (hash aggregates with map-side combine): per customer and
+        date the order with the highest key, then the latest date."""
+        o = self.table("orders").groupBy(F.col("o_custkey").alias("user_id"), "o_orderdate").agg(
+            F.max_by((F.col("o_orderstatus") == "F").cast("int"), F.col("o_orderkey")).alias("is_f"))
+        return o.groupBy("user_id").agg(
             F.min("o_orderdate").alias("first_ts"),
             F.max("o_orderdate").alias("last_ts"),
-            F.max_by((F.col("o_orderstatus") == "F").cast("int"), order_key).alias("last_is_f"),
+            F.max_by("is_f", "o_orderdate").alias("last_is_f"),
         )
 
     @cached_property

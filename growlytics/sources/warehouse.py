@@ -15,15 +15,18 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from growlytics.config import Params
 from growlytics.operators import marts, quality, staging
+from growlytics.operators.user_days import user_days
 from growlytics.sources.binding import bind
 
 
 class Warehouse:
     def __init__(self, raw: Callable[[str], DataFrame] | None = None,
-                 tables: Callable[[str], DataFrame] | None = None):
+                 tables: Callable[[str], DataFrame] | None = None, params: Params | None = None):
         self._raw = raw
         self._tables = tables
+        self._params = params or Params.binding()
 
     def _staged(self, dataset: str) -> DataFrame:
         return staging.STAGING[dataset](self._raw(dataset))
@@ -54,6 +57,13 @@ class Warehouse:
     def fact_payments(self) -> DataFrame:
         return self._mart("fact_payments", "payments", marts.fact_payments)
 
+    @cached_property
+    def user_days(self) -> DataFrame:
+        """The user-day mart, read if it is materialised, else derived."""
+        if self._tables is not None:
+            return self._tables("user_days")
+        return user_days(self.fact_sessions, self.fact_events, self.fact_payments, self._params)
+
     @cached_property
     def stg_subscriptions(self) -> DataFrame:
         return self._mart("stg_subscriptions", "subscriptions", lambda s: s)
@@ -106,12 +116,12 @@ import threading
 
 _ETL_LOCK = threading.Lock()
 
-MART_TABLES = ("dim_users", "fact_sessions", "fact_events", "fact_payments", "stg_subscriptions", "dim_variants")
-# One row per user (per experiment): bucketing these on user_id is skew-free.
+MART_TABLES = ("dim_users", "fact_sessions", "fact_events", "fact_payments", "stg_subscriptions", "dim_variants", "user_days")
+# One row per user (per experiment, per day): bucketing these on user_id is skew-free.
 # Facts are not bucketed: a user holding a third of all events would make
 # its bucket a third of the table in one scan task, while an unbucketed fact
 # is split evenly and combined map-side by the partial aggregate.
-BUCKETED = ("dim_users", "stg_subscriptions", "dim_variants")
+BUCKETED = ("dim_users", "stg_subscriptions", "dim_variants", "user_days")
 _REGISTERED: dict[tuple, "Warehouse"] = {}
 
 
@@ -127,19 +137,41 @@ def _fs_touch(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True).close()
 
 
+def input_files(spark: SparkSession, folder: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of all files under ``folder``, sorted."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    seen, todo = [], [p]
+    while todo:
+        for s in fs.listStatus(todo.pop()):
+            if s.isDirectory():
+                todo.append(s.getPath())
+            else:
+                seen.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return sorted(seen)
+
+
 def input_state(spark: SparkSession, folder: str) -> str:
     """Hash of the names, lengths and modification times of all files under
     ``folder``: what was built from other files is never served for these."""
+    return _state_of(input_files(spark, folder))
+
+
+def _state_of(files: list[tuple[str, int, int]]) -> str:
     import hashlib
 
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(folder)
-    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
-    seen = []
-    while files.hasNext():
-        f = files.next()
-        seen.append(f"{f.getPath().toString()}|{f.getLen()}|{f.getModificationTime()}")
-    return hashlib.sha1("\n".join(sorted(seen)).encode()).hexdigest()[:12]
+    return hashlib.sha1("\n".join("|".join(map(str, f)) for f in files).encode()).hexdigest()[:12]
+
+
+def bucket_count(input_bytes: int, per_bucket: int = 256 << 20, least: int = 8, most: int = 1 << 16) -> int:
+    """Buckets of the per-user tables: a power of two, so that a bucket comes
+    from about ``per_bucket`` bytes of input (``most`` is below Spark's own
+    limit of 100,000)."""
+    n = least
+    while n < most and n * per_bucket < input_bytes:
+        n *= 2
+    return n
 
 
 def _run_concurrently(fn, items, workers: int = 8) -> None:
@@ -157,7 +189,7 @@ def _ddl(df: DataFrame) -> str:
 
 
 def materialize(spark: SparkSession, wh: "Warehouse", location: str, database: str,
-                buckets: int = 8) -> "Warehouse":
+                buckets: int) -> "Warehouse":
     """ETL step: write the marts once as external parquet tables under
     ``location`` and return a warehouse reading them.
 
@@ -184,7 +216,10 @@ def materialize(spark: SparkSession, wh: "Warehouse", location: str, database: s
                      .bucketBy(buckets, "user_id").sortBy("user_id"))
             w.saveAsTable(f"{database}.{name}")
 
-        _run_concurrently(write, MART_TABLES)
+        _run_concurrently(write, [n for n in MART_TABLES if n != "user_days"])
+        wh = Warehouse(tables=lambda n: spark.table(f"{database}.{n}"), params=wh._params)
+        wh.user_days = user_days(wh.fact_sessions, wh.fact_events, wh.fact_payments, wh._params)
+        write("user_days")  # from the facts just written
         _fs_touch(spark, marker)
     else:
         for name in MART_TABLES:
@@ -201,28 +236,42 @@ def materialize(spark: SparkSession, wh: "Warehouse", location: str, database: s
 RAW_DATASETS = ("users", "sessions", "events", "subscriptions", "payments", "experiments", "experiment_log")
 
 
-def land_raw(spark: SparkSession, raw: dict[str, DataFrame], location: str) -> dict[str, DataFrame]:
+def land_raw(spark: SparkSession, raw: dict[str, DataFrame], location: str) -> tuple[dict[str, DataFrame], list]:
     """A3: write the raw datasets once as landing tables (``raw_<name>``
-    parquet folders, full replace) and return readers over them.  Idempotent
-    through a completion marker, like :func:`materialize`."""
+    parquet folders, full replace) and return readers over them, and the
+    profile (B1, B2, B9, B11) that the writes collected: a few rows per
+    dataset, kept beside them.  Idempotent through a completion marker, like
+    :func:`materialize`."""
     base = location.rstrip("/")
     marker = f"{base}/_COMPLETE"
     if not _fs_exists(spark, marker):
-        _run_concurrently(lambda name: raw[name].write.mode("overwrite").parquet(f"{base}/raw_{name}"), list(raw))
+        found = {}
+
+        def land(name: str) -> None:
+            df, seen = quality.observed(raw[name], name)
+            df.write.mode("overwrite").parquet(f"{base}/raw_{name}")
+            found[name] = quality.observed_profile(raw[name].columns, name, seen)
+
+        _run_concurrently(land, list(raw))
+        rows = [r for name in raw for r in found[name]]
+        spark.createDataFrame(rows, quality.PROFILE).coalesce(1).write.mode("overwrite").parquet(f"{base}/profile")
         _fs_touch(spark, marker)
-    return {name: spark.read.parquet(f"{base}/raw_{name}") for name in raw}
+    profile = spark.read.schema(quality.PROFILE).parquet(f"{base}/profile").collect()
+    return {name: spark.read.parquet(f"{base}/raw_{name}") for name in raw}, profile
 
 
 class Landed:
-    """Landing tables plus the bucketed star schema built from them."""
+    """Landing tables with the profile of their load, plus the bucketed star
+    schema built from them."""
 
-    def __init__(self, raw: dict[str, DataFrame], wh: "Warehouse"):
+    def __init__(self, raw: dict[str, DataFrame], profile: list, wh: "Warehouse"):
         self.raw = raw
+        self.profile = profile
         self.wh = wh
 
 
 def materialized_binding(spark: SparkSession, sf_dir: str, base: str, version: str,
-                         buckets: int = 8) -> Landed:
+                         buckets: int | None = None) -> Landed:
     """ETL for the test binding, once per state of the input folder and code
     version (changed files or rules never read a stale copy): binding ->
     landing tables (A3) -> staging views -> marts bucketed by user_id (A6)."""
@@ -231,7 +280,9 @@ def materialized_binding(spark: SparkSession, sf_dir: str, base: str, version: s
 
     from growlytics.sources.binding import bind
 
-    state = input_state(spark, sf_dir)
+    files = input_files(spark, sf_dir)
+    state = _state_of(files)
+    buckets = buckets or bucket_count(sum(f[1] for f in files))
     key = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{state}|{version}|{buckets}".encode()).hexdigest()[:12]
     cache_key = (spark.sparkContext.applicationId, key)
     with _ETL_LOCK:
@@ -242,10 +293,10 @@ def _landed(spark, sf_dir, base, key, cache_key, buckets, bind) -> Landed:
     if cache_key not in _REGISTERED or not spark.catalog.databaseExists(f"gw_{key}"):
         root = f"{base.rstrip('/')}/warehouse/{key}"
         b = bind(spark, sf_dir)
-        raw = land_raw(spark, {d: b.raw(d) for d in RAW_DATASETS}, f"{root}/landing")
+        raw, profile = land_raw(spark, {d: b.raw(d) for d in RAW_DATASETS}, f"{root}/landing")
         # the marts are built from cleaned rows (B3-B6); the landing tables
         # stay as extracted, for the profiles
         cleaned = Warehouse(raw=lambda dataset: quality.clean(raw[dataset], dataset))
         wh = materialize(spark, cleaned, f"{root}/marts", f"gw_{key}", buckets)
-        _REGISTERED[cache_key] = Landed(raw, wh)
+        _REGISTERED[cache_key] = Landed(raw, profile, wh)
     return _REGISTERED[cache_key]
