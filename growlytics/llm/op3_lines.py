@@ -17,7 +17,8 @@ not depend on an order of removals.  Blank lines stay.
    (prefix filter) are joined with those of all lines, under the length
    filter, the positional filter and a parity-bitmap bound on the symmetric
    difference (all exact: they drop no pair above the threshold).
-5. Candidates are verified on the words themselves.
+5. Candidates are verified on the words themselves, the earliest of each line
+   first: one match settles it.
 
 Defined cases: null text stays null; empty and blank texts have no lines to
 remove; repeated rows are one document and get the same result; equal lines
@@ -27,14 +28,14 @@ inside a document count as repeats; extra columns are carried along.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from growlytics.llm.common import Tokens, appended, by_value, mix, plain, restored, row_key, slices, small, staged
 
 by_value(__name__)
 NUM, DEN, MINHASHES = 4, 5, 3
-BUCKETS, SHARE, CROWD = 1 << 22, 1e-6, 16
+BUCKETS, SHARE, CROWD, SOME = 1 << 22, 1e-6, 16, 8
 ROW = "key long, n int, bm1 long, bm2 long, m0 long, m1 long, m2 long, nul boolean, doc_id long, rid long, line int, prefix array<int>"
 _TOP = np.uint64(42)  # the 22 highest bits choose the bucket
 
@@ -127,13 +128,37 @@ def _lines(shared, num: int, den: int):
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, num: int, den: int, what: str) -> DataFrame:
-    """The keys of ``pairs`` (key, rid, line and the earlier rid_0, line_0)
-    whose similarity is really at least num/den."""
+    """The keys of ``pairs`` (key, rid, line and the earlier d_0, rid_0,
+    line_0) whose similarity is really at least num/den.
+
+    One earlier match settles a line, so each line looks at its earliest
+    candidate first, then, if that was none, at the next ``SOME``, and only
+    what is still open at all others: the pairs that are verified stay in
+    proportion to the lines, not to the squares of groups."""
+    found, left = None, pairs
+    for k in (1, SOME, None):
+        if k is None:
+            now = left
+        else:
+            turn = F.row_number().over(Window.partitionBy("key").orderBy("d_0", "rid_0", "line_0"))
+            now = staged(left.withColumn("turn", turn).where(F.col("turn") <= k).drop("turn"), what + "-now")
+        hit = _matching(docs, now, num, den, what)
+        found = hit if found is None else found.union(hit)
+        if k is not None:
+            left = staged(left.join(small(hit), "key", "left_anti").join(now.select("key", "rid_0", "line_0"), ["key", "rid_0", "line_0"], "left_anti"), what + "-left")
+            if left.isEmpty():
+                break
+    return found
+
+
+def _matching(docs: DataFrame, pairs: DataFrame, num: int, den: int, what: str) -> DataFrame:
     wanted = pairs.select("rid", "line").union(pairs.select("rid_0", "line_0")).distinct()
     wanted = staged(wanted.groupBy("rid").agg(F.collect_set("line").alias("lines")), what + "-wanted")
     # the lines of a text are split once and only the wanted ones go on
     chosen = F.flatten(F.transform(F.array(F.split("text", "\n")), lambda x: F.transform("lines", lambda i: F.struct(i.alias("line"), F.get(x, i).alias("x")))))
     sets = docs.join(small(wanted), "rid").select("rid", F.inline(chosen))
+    # repeated rows of a document have the same lines
+    sets = sets.groupBy("rid", "line").agg(F.first("x").alias("x"))
     toks = F.array_distinct(F.filter(F.split("x", r"[\x20\x09-\x0D]+"), lambda x: x != ""))
     sets = staged(sets.select("rid", "line", toks.alias("w")), what + "-words")
     both = pairs.join(sets, ["rid", "line"]).join(sets.select(F.col("rid").alias("rid_0"), F.col("line").alias("line_0"), F.col("w").alias("w_0")), ["rid_0", "line_0"])
@@ -168,7 +193,7 @@ def kept_lines(docs: DataFrame, num: int = NUM, den: int = DEN, crowd: int = CRO
     crowds = staged(crowds.join(heads, "head").select("slot", "m", "i"), "lines-tries")
     tried = bands.alias("p").join(small(crowds), ["slot", "m"])
     tried = tried.where((F.col("p.key") != F.col("i.key")) & (F.struct("i.d", "i.rid", "i.line") < F.struct("p.d", "p.rid", "p.line")) & similar("p", "i"))
-    tried = tried.select("p.key", "p.rid", "p.line", F.col("i.rid").alias("rid_0"), F.col("i.line").alias("line_0")).distinct()
+    tried = tried.select("p.key", "p.rid", "p.line", F.col("i.d").alias("d_0"), F.col("i.rid").alias("rid_0"), F.col("i.line").alias("line_0")).distinct()
     settled = _verified(docs, staged(tried, "lines-tried"), num, den, "lines-settled")
 
     # all others probe the prefix index; both sides are one table, shuffled
@@ -186,7 +211,7 @@ def kept_lines(docs: DataFrame, num: int = NUM, den: int = DEN, crowd: int = CRO
     place = firsts.select("key", F.struct("d", "rid", "line", "key").alias("at"))
     found = found.join(place, "key").join(place.select(F.col("key").alias("key_0"), F.col("at").alias("at_0")), "key_0")
     found = found.select(F.greatest("at", "at_0").alias("p"), F.least("at", "at_0").alias("i"))
-    found = staged(found.select("p.key", "p.rid", "p.line", F.col("i.rid").alias("rid_0"), F.col("i.line").alias("line_0")), "lines-pairs")
+    found = staged(found.select("p.key", "p.rid", "p.line", F.col("i.d").alias("d_0"), F.col("i.rid").alias("rid_0"), F.col("i.line").alias("line_0")), "lines-pairs")
     also = _verified(docs, found, num, den, "lines-also")
     return firsts.join(small(staged(settled.union(also), "lines-gone")), "key", "left_anti").select("rid", "line")
 
