@@ -290,9 +290,13 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, share: int
     """lang, rank, phrase, a, l, r, n, score: the first ``top`` phrases of
     each language."""
     f, langs = counts(docs, least)
-    place = Window.partitionBy("lid").orderBy(F.desc("score"), F.desc("a"))
-    # all rows that tie with the last place stay, until the words are known
-    best = kept(scored(f), f, share).withColumn("at", F.rank().over(place)).where(F.col("at") <= top).drop("at")
+    # all rows that tie with the last place stay, until the words are known;
+    # ranked in parts of a language first, so that no task meets all its rows
+    best = kept(scored(f), f, share).withColumn("part", F.pmod(F.xxhash64("w1", "w2", "w3"), F.lit(64)))
+    for names in (["lid", "part"], ["lid"]):
+        place = Window.partitionBy(*names).orderBy(F.desc("score"), F.desc("a"))
+        best = best.withColumn("at", F.rank().over(place)).where(F.col("at") <= top).drop("at")
+    best = best.drop("part")
     best = staged(best, "phrases-best")
     wanted = best.select("lid", F.explode(F.array("w1", "w2", "w3")).alias("h")).where("h <> 0").distinct()
     rows = pick(docs, text="string", lang="string").select(F.xxhash64(F.coalesce("lang", F.lit("und"))).alias("lid"), "text")

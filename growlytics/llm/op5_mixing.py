@@ -7,7 +7,8 @@
    ``block_words`` words; an affine permutation orders the blocks.  The mix
    takes whole passes over the source and then the first blocks of one more
    pass, up to the target to the word: in the last block documents go in hash
-   order and the last one gives its first words only.
+   order and the last one gives its first words only (repeated rows of one
+   document share what is left alike, so a few words may be missing).
 3. Tree: the exact numbers of drawn blocks per source are split among the
    output shards by recursive halving; each node draws its left half from a
    multivariate hypergeometric distribution (numpy generator seeded by the
@@ -34,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from growlytics.llm.common import WORD, by_value, plain, restored, staged
+from growlytics.llm.common import WORD, by_value, plain, restored, small, staged
 
 by_value(__name__)
 _PRIME = 2654435761
@@ -147,12 +148,21 @@ def placements(docs: DataFrame, weights=(5.0, 2.0, 1.0), share: float = 1.5, mos
         F.sort_array(F.collect_list(F.struct(F.floor(F.col("ordinal") / F.col("blocks")).alias("copy"), "shard"))).alias("at"))
     blocks = staged(blocks.select("rn", "rank", "n_words", "need").join(at, ["rn", "rank"], "left"), "mix-drawn")
 
-    rows = dealt(base).join(blocks, ["rn", "rank"])
     cut = (F.col("need") > 0) & (F.col("need") < F.col("n_words"))
-    whole = rows.where(~cut).withColumn("last", F.when(F.col("need") > 0, F.col("size")).otherwise(F.lit(0)).cast("long"))
-    ahead = F.sum("size").over(Window.partitionBy("rn").orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, -1))
-    edge = rows.where(cut).withColumn("last", F.greatest(F.lit(0), F.least("size", F.col("need") - F.coalesce(ahead, F.lit(0)))).cast("long"))
-    out = whole.unionByName(edge)
+    # what the rows of each source's one cut block still give, from the slim
+    # rows; equal rows share alike
+    edge = dealt(slim).join(small(staged(blocks.where(cut).select("rn", "rank", "need"), "mix-cut")), ["rn", "rank"]).where("size > 0")
+    edge = edge.groupBy("rn", "h", "need").agg(F.sum("size").alias("group"))
+    ahead = F.coalesce(F.sum("group").over(Window.partitionBy("rn").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    edge = edge.withColumn("give", F.greatest(F.lit(0), F.least("group", F.col("need") - ahead))).where("give > 0")
+    edge = small(staged(edge.select("rn", "h", "group", "give"), "mix-edge"))
+
+    # the text meets the block plan and the edge where it is, if they are
+    # small enough to be sent; else it is shuffled by block, once
+    out = dealt(base).join(small(blocks), ["rn", "rank"]).join(edge, ["rn", "h"], "left")
+    part = F.floor(F.col("give") * F.col("size") / F.col("group"))
+    last = F.when(cut, F.coalesce(part, F.lit(0))).when(F.col("need") > 0, F.col("size")).otherwise(F.lit(0))
+    out = out.withColumn("last", last.cast("long"))
     given = F.transform(F.coalesce("at", F.array().cast("array<struct<copy:bigint,shard:bigint>>")), lambda x: F.struct(
         x["copy"].alias("copy"), x["shard"].alias("shard"), F.when(x["copy"] < F.col("passes"), F.col("size")).otherwise(F.col("last")).alias("words")))
     out = out.withColumn("placed", F.filter(given, lambda x: x["words"] > 0))
