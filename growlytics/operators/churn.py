@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from growlytics.config import CHURN_FEATURES, DEFAULT_IMPORTANCES, Params
 from growlytics.functions.dates import lit_ts, whole_days_between
+from growlytics.operators import forest
 from growlytics.operators import user_days as days
 from growlytics.operators.experiment_log import last_of_sample
 
@@ -146,11 +147,18 @@ def _fit(train: DataFrame, p: Params, label: str) -> PipelineModel | None:
 
 def score(model: PipelineModel | None, feats: DataFrame) -> DataFrame:
     """K6: churn probability per feature row (rule score when no model).  A
-    row with a missing feature cannot be scored and gets 0.5, prediction 1."""
+    row with a missing feature cannot be scored and gets 0.5, prediction 1.
+    The forest runs as expressions over the feature columns
+    (:mod:`growlytics.operators.forest`)."""
     if model is None:
         return feats.withColumn("churn_probability", rule_score(feats)).withColumn(
             "prediction", (F.col("churn_probability") >= 0.5).cast("double")
         )
+    return forest.scored(feats, *forest.compiled(feats.sparkSession, model))
+
+
+def transformed(model: PipelineModel, feats: DataFrame) -> DataFrame:
+    """K6 by the ML pipeline itself: what :func:`score` must equal."""
     numeric = [c for c in CHURN_FEATURES if c not in CATEGORICAL]
     whole = F.lit(True)
     for c in numeric:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from growlytics.config import CHURN_FEATURES
+from growlytics.session import shared_path
 
 NODES = ("tree int, node int, feature int, threshold double, `left` int, `right` int, p0 double, p1 double, gain double, weight double")
 CODES = "feature string, label string, code double"
@@ -47,6 +48,21 @@ def _folders(spark: SparkSession, path: str) -> list[dict]:
     return [{"path": s.getPath().toString()} for s in fs.listStatus(p) if s.isDirectory()]
 
 
+_COMPILED: dict[str, tuple[list, list]] = {}
+
+
+def compiled(spark: SparkSession, model: PipelineModel, path: str | None = None) -> tuple[list, list]:
+    """The rows of a pipeline's node table and code table, made once per
+    pipeline; ``path``: where it is saved, if it is."""
+    key = f"{spark.sparkContext.applicationId}/{model.uid}/{path}"
+    if key not in _COMPILED:
+        if path is None:
+            path = shared_path(spark, "models", "compiled")
+            model.write().save(path)
+        _COMPILED[key] = nodes(spark, path).collect(), codes(spark, model).collect()
+    return _COMPILED[key]
+
+
 def codes(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """K2 as a table: the code of each label, 0, 1, ... in alphabetical order;
     a label that is not listed has code 0."""

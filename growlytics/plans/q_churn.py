@@ -13,7 +13,6 @@ from growlytics.session import ensure_checkpoint_dir
 from growlytics.sources.warehouse import _fs_exists, _fs_touch, input_state
 
 _LOADED: dict = {}
-_NODES: dict = {}
 
 FEATURES = f""",
 activity AS (
@@ -122,7 +121,6 @@ def _model(ctx):
     prediction.  A marker beside it is written last: a save that was cut
     half-way is done anew."""
     feats = churn.features(ctx.wh, ctx.p)
-    train, test = churn.split(feats, ctx.p, tight=True)
     with open(churn.__file__, "rb") as fh:
         code = hashlib.sha1(fh.read()).hexdigest()
     state = input_state(ctx.spark, ctx.sf_dir)
@@ -135,48 +133,50 @@ def _model(ctx):
     elif _fs_exists(ctx.spark, marker):
         model = churn.load(path)
     else:
+        train, _ = churn.split(feats, ctx.p, tight=True)
         model = churn.fit(train, ctx.p, whole=feats)
         if model is not None:
             churn.save(model, path)
             _fs_touch(ctx.spark, marker)
-    if app not in _LOADED:
-        _LOADED[app] = model
-        if model is not None:
-            _NODES[app] = forest.nodes(ctx.spark, path).collect(), forest.codes(ctx.spark, model).collect()
-    return feats, test, model, path
+    _LOADED[app] = model
+    return feats, model, path
+
+
+def _held_out(ctx, feats):
+    return churn.split(feats, ctx.p, tight=True)[1]
 
 
 def _score(ctx, rows, model, path):
     """The forest as expressions over the feature columns."""
     if model is None:
         return churn.score(None, rows)
-    return forest.scored(rows, *_NODES[ctx.spark.sparkContext.applicationId, path])
+    return forest.scored(rows, *forest.compiled(ctx.spark, model, path))
 
 
 @register("k4_model")
 def k4_model(ctx):
     """Rows-only: forest predictions on the held-out split."""
-    _, test, model, path = _model(ctx)
-    return _score(ctx, test, model, path).select("user_id", "churned", "prediction", "churn_probability")
+    feats, model, path = _model(ctx)
+    return _score(ctx, _held_out(ctx, feats), model, path).select("user_id", "churned", "prediction", "churn_probability")
 
 
 @register("k5_model_metrics")
 def k5_model_metrics(ctx):
     """Rows-only: K5 on the forest's held-out predictions."""
-    _, test, model, path = _model(ctx)
-    return churn.evaluate(_score(ctx, test, model, path))
+    feats, model, path = _model(ctx)
+    return churn.evaluate(_score(ctx, _held_out(ctx, feats), model, path))
 
 
 @register("k6_scoring")
 def k6_scoring(ctx):
     """Rows-only: churn probability for every paid user."""
-    feats, _, model, path = _model(ctx)
+    feats, model, path = _model(ctx)
     return _score(ctx, feats, model, path).select("user_id", "churn_probability")
 
 
 @register("k8_importances")
 def k8_importances(ctx):
     """Rows-only: the forest's feature importances, from its nodes."""
-    _, _, model, path = _model(ctx)
+    _, model, path = _model(ctx)
     return churn.importances(ctx.spark, None) if model is None else forest.importances(forest.nodes(ctx.spark, path))
 

@@ -18,14 +18,14 @@ from tests.conftest import SMOKE
 SKIP = {"l2_ingest", "k4_model", "k5_model_metrics", "k6_scoring", "k8_importances"}  # run jobs while planning
 
 # one-row aggregates attached with a broadcast nested-loop join
-ONE_ROW_CROSS = {"e9_kpis", "b15_rescale", "b16_enrol", "k5_metrics"}
+ONE_ROW_CROSS = {"e9_kpis", "e9_breakdown", "b15_rescale", "b16_enrol", "k5_metrics"}
 
 # string in an aggregation buffer:
 #   keep-first min(struct(...)) over the exposure log (B13 family),
-#   min(variant) over arm rows (I5), max(device_type) over distinct
-#   (user, device) rows (K1 family), min(plan) over subscriptions
-SORT_AGG = {"b13_keep_first", "b14_sample", "b15_rescale", "b16_enrol", "i5_report", "k1_features",
-            "k7_rule_score", "k5_metrics", "b17_billing"}
+#   min(variant) over arm rows (I5), max(device_type) over user-day rows
+#   (H1 and K1 families), min(plan) over subscriptions
+SORT_AGG = {"b13_keep_first", "b14_sample", "b14_sample_exact", "b15_rescale", "b16_enrol", "i5_report", "i5_variants", "k1_features",
+            "k2_codes", "k3_split", "k7_rule_score", "k5_metrics", "b17_billing"}
 
 
 def _plan(spark, name):
@@ -46,8 +46,8 @@ def test_plan_properties(spark, name):
 
 def test_active_users_prunes_columns(spark):
     plan = _plan(spark, "e2_active")
-    schemas = re.findall(r"fact_sessions\[([^\]]*)\] Batched", re.sub(r"#\d+L?", "", plan))
-    assert schemas and all(set(s.replace(" ", "").split(",")) <= {"user_id", "session_start"} for s in schemas)
+    schemas = re.findall(r"user_days\[([^\]]*)\] Batched", re.sub(r"#\d+L?", "", plan))
+    assert schemas and all(set(s.replace(" ", "").split(",")) <= {"user_id", "session_rows", "last_start"} for s in schemas)
 
 
 def test_mrr_pushes_date_filter(spark):
