@@ -260,6 +260,40 @@ def test_words_alone_do_not_drop_article_text(spark):
     assert all(got[10 + i] == f"Text {i} of its own, the longer part\n\nPoint {i}\n\nWork {i}\n\nMind {i}" for i in range(20))
 
 
+def test_articles_are_found_by_what_they_hold(spark):
+    pages = ["<body><form id='aspnetForm'><header>Site</header><article><p>Whole text</p></article><input value='x'></form></body>",
+             "<main><h1>X</h1><p>A long text that is the page</p><article><p>small card</p></article></main>",
+             "<body><div><article><p>Whole text of the article</p></article></div><footer>Foot</footer></body>",
+             "<body><p>The page has a text of its own here</p><form action='/find'><label>Find</label>words</form></body>",
+             "<main><article><p>One whole card</p></article><article><p>Two whole cards</p></article></main>"]
+    want = ["Whole text", "X\n\nA long text that is the page\n\nsmall card", "Whole text of the article", "The page has a text of its own here", "One whole card\n\nTwo whole cards"]
+    rows = [(i, f"https://h{i}.example", p, "a", "b") for i, p in enumerate(pages)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, host string")
+    got = {r.page_id: r.text for r in op9_html.main_text(df).collect()}
+    assert [got[i] for i in range(len(pages))] == want
+    assert op9_html.main_text(df.limit(0)).count() == 0
+
+
+def test_small_hosts_and_depth():
+    import time
+
+    deep = "<div>" * 8000 + "core" + "</div>" * 8000
+    t = time.process_time()
+    assert op9_html.extract(deep) == "core" and len(op9_html.style_nodes(op9_html.parse(deep))) == 8000
+    assert time.process_time() - t < 3
+    # paths of the same element in the same place are one, whatever the page
+    a, b = (op9_html.style_nodes(op9_html.parse(f"<body><div class='k'>{x}</div><div class='k'><p>same</p></div></body>")) for x in "xy")
+    assert set(a) == set(b) and len(a) == 1 and a != b
+
+
+def test_importance_is_smoothed(spark):
+    page = "<article><p>Text {0} of its own {0}</p><div class='k'>The same box</div></article>"
+    for n, kept in ((2, True), (5, True), (12, False)):
+        rows = [(i, "https://a.example/x", page.format(i)) for i in range(n)]
+        got = op9_html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+        assert all(("The same box" in r.text) == kept and f"Text {r.page_id} of" in r.text for r in got)
+
+
 def test_decontamination(spark, docs):
     item = "A train leaves Paris at 9 and Mary waits for 30 minutes until Mary sees the train from Paris arrive"
     other = "so: A train leaves London at 7 and Anna waits for 45 minutes until Anna sees the train from London arrive !"
