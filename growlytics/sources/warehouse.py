@@ -73,8 +73,9 @@ class Warehouse:
         return self._mart("dim_variants", "experiments", marts.dim_variants)
 
     @staticmethod
-    def from_raw(raw: dict[str, DataFrame]) -> "Warehouse":
-        return Warehouse(raw=raw.__getitem__)
+    def from_raw(raw: dict[str, DataFrame], params: Params | None = None) -> "Warehouse":
+        """``params`` name the event types that the user-day mart counts."""
+        return Warehouse(raw=raw.__getitem__, params=params or Params.reference())
 
     @staticmethod
     def from_binding(spark: SparkSession, sf_dir: str) -> "Warehouse":
@@ -110,6 +111,7 @@ def write_warehouse(wh: Warehouse, prefix: str = "", buckets: int = 0) -> None:
     save(with_month(wh.fact_payments), "fact_payments", ["month_id"])
     save(wh.stg_subscriptions, "stg_subscriptions")
     save(wh.dim_variants, "dim_variants")
+    save(wh.user_days, "user_days")
 
 
 import threading
