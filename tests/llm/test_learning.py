@@ -64,7 +64,7 @@ def test_quality_of_repeated_rows_with_unequal_labels(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(120)] + [(i, 1) for i in range(10)], "doc_id long, quality int")
     got = {r.doc_id: r.score for r in op4_quality.score(docs, labels).collect()}
     same = {got[i] for i in range(60)}
-    assert len(got) == 120 and len(same) == 1 and 0.2 < same.pop() < 0.8
+    assert len(got) == 120 and max(same) - min(same) < 1e-9 and 0.2 < max(same) < 0.8
 
 
 @pytest.mark.parametrize("share", [op1_lm.SHARE, 0.01])
