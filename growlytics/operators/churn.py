@@ -18,7 +18,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from growlytics.config import CHURN_FEATURES, DEFAULT_IMPORTANCES, Params
@@ -85,14 +85,13 @@ def split(feats: DataFrame, p: Params, label: str = "churned", tight: bool = Fal
         cut = int(round(p.test_fraction * 10_000))
         bucket = F.pmod(h, F.lit(10_000))
         return feats.where(bucket >= cut), feats.where(bucket < cut)
-    labels = [r[0] for r in feats.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()]  # one row a class
-    test = train = None
-    for x in labels:
-        rows = feats.where(F.col(label).eqNullSafe(F.lit(x)))
-        last = last_of_sample(rows, int(rows.count() * p.test_fraction + 0.5), "user_id", p.seed)
-        a, b = (rows.limit(0), rows) if last is None else (rows.where(last), rows.where(~last))
-        test, train = (a, b) if test is None else (test.unionByName(a), train.unionByName(b))
-    return (feats, feats) if test is None else (train, test)
+    held = F.lit(False)
+    for x, n in feats.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect():  # one row a class
+        mine = F.col(label).eqNullSafe(F.lit(x))
+        last = last_of_sample(feats.where(mine), int(n * p.test_fraction + 0.5), "user_id", p.seed)
+        if last is not None:
+            held = held | (mine & last)
+    return feats.where(~held), feats.where(held)
 
 
 def _indexers() -> list[StringIndexer]:
@@ -194,9 +193,10 @@ def evaluate(pred: DataFrame, label: str = "churned", prediction: str = "predict
     conf = pred.groupBy(F.col(label).cast("int").alias("y"), F.col(prediction).cast("int").alias("yhat")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    tot = conf.agg(
-        F.sum("n").alias("total"), F.sum(F.when(F.col("y") == F.col("yhat"), F.col("n")).otherwise(0)).alias("correct")
-    )
+    # the totals stand beside the few cells, so the predictions are made once
+    all_cells = Window.partitionBy(F.lit(1))
+    right = F.when(F.col("y") == F.col("yhat"), F.col("n")).otherwise(0)
+    conf = conf.select("*", F.sum("n").over(all_cells).alias("total"), F.sum(right).over(all_cells).alias("correct"))
     # each confusion cell credits its true class (tp or fn) and, when wrong,
     # its predicted class (fp): an explode + aggregate, no join
     hit = F.col("y") == F.col("yhat")
@@ -207,12 +207,12 @@ def evaluate(pred: DataFrame, label: str = "churned", prediction: str = "predict
         F.struct(F.col("yhat").alias("cls"), F.lit(0).cast("bigint").alias("tp"),
                  F.when(hit, 0).otherwise(n).alias("fp"), F.lit(0).cast("bigint").alias("fn")),
     )
-    per = conf.select(F.explode(credits).alias("c")).groupBy("c.cls").agg(
-        F.sum("c.tp").alias("tp"), F.sum("c.fp").alias("fp"), F.sum("c.fn").alias("fn")
+    per = conf.select(F.explode(credits).alias("c"), "total", "correct").groupBy("c.cls").agg(
+        F.sum("c.tp").alias("tp"), F.sum("c.fp").alias("fp"), F.sum("c.fn").alias("fn"), F.max("total").alias("total"), F.max("correct").alias("correct")
     )
     precision = F.coalesce(F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")), F.lit(0.0))
     recall = F.coalesce(F.try_divide(F.col("tp"), F.col("tp") + F.col("fn")), F.lit(0.0))
-    out = per.crossJoin(F.broadcast(tot)).select(
+    out = per.select(
         F.col("cls").cast("bigint").alias("class"),
         precision.alias("precision"),
         recall.alias("recall"),

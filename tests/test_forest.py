@@ -35,7 +35,7 @@ def test_scores_equal_the_transformer_on_every_row(spark, fitted):
         F.when(F.col("user_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("total_revenue")).alias("total_revenue"), "churned").toDF(*df.columns)
     rows = df.unionByName(odd)
     got = {r.user_id: (r.churn_probability, r.prediction) for r in forest.scored(rows, forest.nodes(spark, path).collect(), forest.codes(spark, model).collect()).collect()}
-    want = {r.user_id: (r.churn_probability, r.prediction) for r in churn.transformed(model, rows).collect()}
+    want = {r.user_id: (r.churn_probability, r.prediction) for r in churn.transformed(churn.load(path), rows).collect()}
     assert len(got) == len(want) == 740
     for k, (p, y) in want.items():
         assert got[k][0] == pytest.approx(p, abs=1e-12) and got[k][1] == y
