@@ -13,6 +13,8 @@ without a date are under the day NULL."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,34 +31,34 @@ def _shaped(df: DataFrame, day: str, **given) -> DataFrame:
     return df.where(F.col("user_id").isNotNull()).select("user_id", F.to_date(F.col(day)).alias("day"), *cols)
 
 
-def user_days(fact_sessions: DataFrame, fact_events: DataFrame, fact_payments: DataFrame, p: Params) -> DataFrame:
-    """One partial aggregate per fact, then one shuffle of their union."""
-    per_device = fact_sessions.groupBy("user_id", F.to_date("session_start").alias("day"), "device_type").agg(
-        F.count(F.lit(1)).alias("n"), F.max("session_start").alias("last"))
+def user_days(fact_sessions: DataFrame, fact_events: DataFrame, fact_payments: DataFrame, p: Params,
+              buckets: int | None = None) -> DataFrame:
+    """The rows of all facts in one partial aggregate and shuffle, by fixed-width
+    states under (user, day, device); the devices of a day, strings whose
+    maximum takes a sort, are merged last, on what is left.  With ``buckets``
+    that is done where the bucketed table is written: rows are dealt by user.
+
+    A user with a third of all rows sends one row per task, day and device."""
     firsts = fact_sessions.where(F.col("session_id").isNotNull()).groupBy("user_id", "session_id").agg(
         F.min("session_start").alias("first"))
     parts = [
-        _shaped(per_device, "day", session_rows=F.col("n"), last_start=F.col("last"), device_type=F.col("device_type")),
+        _shaped(fact_sessions, "session_start", session_rows=F.lit(1), last_start=F.col("session_start"), device_type=F.col("device_type")),
         _shaped(firsts, "first", sessions=F.lit(1)),
         _shaped(fact_events, "event_time", event_ids=F.col("event_id").isNotNull().cast("int"),
                 searches=(F.col("event_type") == p.search_event).cast("int"),
                 page_views=(F.col("event_type") == p.page_view_event).cast("int")),
         _shaped(fact_payments, "payment_date", payments=F.lit(1), amount=F.col("amount")),
     ]
-    # each part is combined on its own before the union's shuffle: a user with
-    # a third of all rows sends one row per task and day
-    out = None
-    for part in parts:
-        part = merged(part, "user_id", "day")
-        out = part if out is None else out.unionByName(part)
-    return merged(out, "user_id", "day")
+    rows = merged(reduce(DataFrame.unionByName, parts), "user_id", "day", "device_type")
+    return merged(rows if buckets is None else rows.repartition(buckets, "user_id"), "user_id", "day")
 
 
 def merged(df: DataFrame, *keys: str) -> DataFrame:
     """The states of the rows of each key, merged."""
     aggs = []
     for c, t in COLUMNS.items():
-        aggs.append((F.max(c) if c in ("last_start", "device_type") else F.sum(c)).cast(t).alias(c))
+        if c not in keys:
+            aggs.append((F.max(c) if c in ("last_start", "device_type") else F.sum(c)).cast(t).alias(c))
     return df.groupBy(*keys).agg(*aggs)
 
 
