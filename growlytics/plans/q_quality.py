@@ -273,7 +273,8 @@ SELECT 'subscriptions', 'accepted_values', 'plan', (SELECT count(DISTINCT plan)
 def b_source_tests(ctx):
     """The declared source tests (B8-B11) on the six datasets: rows each
     test returns (duplicated values, null rows, orphan rows, bad values)."""
-    return Q.source_tests({d: ctx.raw(d) for d in DATASETS}, ctx.landed.profile)
+    profile = ctx.landed.profile(*DATASETS)
+    return Q.source_tests({d: ctx.raw(d) for d in DATASETS}, profile)
 
 
 LOG = """,
@@ -400,7 +401,7 @@ _NN_SRC = dict(_B7_SRC)
 def b9_not_null(ctx):
     """B9 on the declared columns of the six datasets (failing rows), from
     the profile that the load's writes collected."""
-    rows = [(r["dataset"], "not_null", r["column"], r["null_count"]) for r in ctx.landed.profile
+    rows = [(r["dataset"], "not_null", r["column"], r["null_count"]) for r in ctx.landed.profile(*dict(NOT_NULL))
             if r["column"] in dict(NOT_NULL).get(r["dataset"], ())]
     return ctx.spark.createDataFrame(rows, "dataset string, test string, column string, failures bigint")
 
@@ -419,7 +420,7 @@ def b1_load_profile(ctx):
     """Rows and nulls of every column of the six datasets (B1, B2), as the
     load's writes counted them: no scan of the data."""
     rows = [(r["dataset"], r["column"], r["row_count"], r["null_count"], r["null_count"] / r["row_count"] if r["row_count"] else None)
-            for r in ctx.landed.profile if r["dataset"] in DATASETS]
+            for r in ctx.landed.profile(*DATASETS)]
     return ctx.spark.createDataFrame(rows, "dataset string, column string, row_count bigint, null_count bigint, null_rate double")
 
 

@@ -77,12 +77,13 @@ class Ctx:
     @property
     def wh(self) -> Warehouse:
         """The star schema, built once per input folder by the ETL step
-        (bucketed by user_id under the shared folder) and read as tables."""
+        (bucketed by user_id under the shared folder) and read as tables; a
+        table is built when it is first read."""
         return self.landed.wh
 
     def raw(self, dataset: str) -> DataFrame:
         """A landing table (raw dataset) written by the ETL step."""
-        return self.landed.raw[dataset]
+        return self.landed.raw(dataset)
 
     @property
     def wh_lazy(self) -> Warehouse:

@@ -146,22 +146,15 @@ class Binding:
         u = self.users.select("user_id", "signup_date")
         base = u.join(c, u.user_id == c.c_custkey)
         assigned = F.to_timestamp(F.col("signup_date"))
-        three = base.select(
-            F.lit("EXP_3ARM").alias("experiment_id"),
-            F.when(F.col("user_id") % 3 == 0, "Control")
-            .when(F.col("user_id") % 3 == 1, "Variant A")
-            .otherwise("Variant B")
-            .alias("variant"),
-            F.col("user_id"),
-            assigned.alias("assigned_date"),
-        )
-        two = base.where(F.col("c_acctbal") > 0).select(
-            F.lit("EXP_2ARM").alias("experiment_id"),
-            F.when(F.col("user_id") % 2 == 0, "Control").otherwise("Variant").alias("variant"),
-            F.col("user_id"),
-            assigned.alias("assigned_date"),
-        )
-        return three.unionByName(two)
+        def arm(experiment: str, variant):
+            return F.struct(F.lit(experiment).alias("experiment_id"), variant.alias("variant"))
+
+        u3, u2 = F.col("user_id") % 3, F.col("user_id") % 2
+        three = arm("EXP_3ARM", F.when(u3 == 0, "Control").when(u3 == 1, "Variant A").otherwise("Variant B"))
+        two = arm("EXP_2ARM", F.when(u2 == 0, "Control").otherwise("Variant"))
+        arms = F.when(F.col("c_acctbal") > 0, F.array(three, two)).otherwise(F.array(three))
+        return base.select("user_id", assigned.alias("assigned_date"), F.explode(arms).alias("arm")).select(
+            "arm.experiment_id", "arm.variant", "user_id", "assigned_date")
 
     @cached_property
     def events(self) -> DataFrame:
