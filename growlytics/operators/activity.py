@@ -54,7 +54,9 @@ def rolling_active(activity: DataFrame, ts_col: str, windows=WINDOWS, calendar:
         .agg(*[F.sum(n).alias(n) for n in names])
     )
     if calendar is None:
-        bounds = ud.agg(F.min("day").alias("d0"), F.max("day").alias("d1"))
+        # from the rows as they are: no shuffle of users and days for two dates
+        day = F.to_date(F.col(ts_col))
+        bounds = activity.where(F.col("user_id").isNotNull()).agg(F.min(day).alias("d0"), F.max(day).alias("d1"))
         calendar = bounds.select(F.explode(F.sequence("d0", "d1")).alias("day"))
     run = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     j = calendar.join(deltas, "day", "left").na.fill(0, names)
