@@ -109,22 +109,39 @@ SELECT user_id, CAST(churned AS BIGINT) AS churned, CASE WHEN r <= floor(n * 0.2
 """)
 def k3_split(ctx):
     """K3: which rows train and which test, in exact proportion per class."""
-    train, test = churn.split(churn.features(ctx.wh, ctx.p), ctx.p, tight=True)
+    train, test = churn.split(_features(ctx, _key(ctx)), ctx.p, tight=True)
     cols = ("user_id", "churned")
     return test.select(*cols, F.lit("test").alias("part")).unionByName(train.select(*cols, F.lit("train").alias("part")))
 
 
+def _key(ctx) -> str:
+    """The state of the input files and of the code that makes the features."""
+    with open(churn.__file__, "rb") as fh:
+        code = hashlib.sha1(fh.read()).hexdigest()
+    state = input_state(ctx.spark, ctx.sf_dir)
+    return hashlib.sha1(f"{os.path.abspath(ctx.sf_dir)}|{state}|{_code_version()}|{code}".encode()).hexdigest()[:12]
+
+
+def _features(ctx, key: str):
+    """K1's rows, written once and read back: the split, the fit and the scores
+    pass over them many times, and each pass would merge the user-day mart
+    anew."""
+    path = f"{ensure_checkpoint_dir(ctx.spark).rstrip('/')}/models/features-{key}"
+    marker = f"{path}.complete"
+    if not _fs_exists(ctx.spark, marker):
+        churn.features(ctx.wh, ctx.p).write.mode("overwrite").parquet(path)
+        _fs_touch(ctx.spark, marker)
+    return ctx.spark.read.parquet(path)
+
+
 def _model(ctx):
     """Train once, then reuse: the fitted pipeline is saved under the shared
     folder (A7) keyed by the state of the input files, and later calls load
     it, the way the reference trains once and loads its pickles for
     prediction.  A marker beside it is written last: a save that was cut
     half-way is done anew."""
-    feats = churn.features(ctx.wh, ctx.p)
-    with open(churn.__file__, "rb") as fh:
-        code = hashlib.sha1(fh.read()).hexdigest()
-    state = input_state(ctx.spark, ctx.sf_dir)
-    key = hashlib.sha1(f"{os.path.abspath(ctx.sf_dir)}|{state}|{_code_version()}|{code}".encode()).hexdigest()[:12]
+    key = _key(ctx)
+    feats = _features(ctx, key)
     path = f"{ensure_checkpoint_dir(ctx.spark).rstrip('/')}/models/churn-{key}"
     marker = f"{path}.complete"
     app = (ctx.spark.sparkContext.applicationId, path)
