@@ -51,7 +51,8 @@ def features(wh, p: Params, leak_free: bool = False) -> DataFrame:
         rows = rows.join(cutoffs, "user_id").where("day < cutoff").drop("cutoff")
         users = users.join(cutoffs, "user_id", "left")
         until = F.col("cutoff").cast("timestamp")
-    per = days.per_user(rows).withColumnRenamed("device_type", "device")
+    # by device first, by a hash: what the maximum of strings sorts is no longer a row per day
+    per = days.per_user(days.merged(rows, "user_id", "device_type")).withColumnRenamed("device_type", "device")
     recency = whole_days_between(until, F.col("last_start"))
     return (
         subs.join(users, "user_id")
