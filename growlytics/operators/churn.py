@@ -73,23 +73,27 @@ def features(wh, p: Params, leak_free: bool = False) -> DataFrame:
     )
 
 
-def split(feats: DataFrame, p: Params, label: str = "churned", tight: bool = False) -> tuple[DataFrame, DataFrame]:
+def split(feats: DataFrame, p: Params, label: str = "churned", tight: bool = False,
+          counted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """K3: deterministic ~80/20 split by a seeded hash of the user id.
 
     The hash is independent of the label, so each class is split in the
     same proportion (stratified in expectation) without a shuffle or a
     per-class window.  ``tight=True`` makes the proportion exact: each class
     gives ``test_fraction`` of its rows, rounded, the first by md5 of the user
-    (:func:`growlytics.operators.experiment_log.exact_sample`: a filter)."""
+    (:func:`growlytics.operators.experiment_log.exact_sample`: a filter).  The
+    rows are counted in several passes, over ``counted`` if given: the same
+    rows, cheaper to read."""
     h = F.xxhash64(F.col("user_id"), F.lit(p.seed))
     if not tight:
         cut = int(round(p.test_fraction * 10_000))
         bucket = F.pmod(h, F.lit(10_000))
         return feats.where(bucket >= cut), feats.where(bucket < cut)
     held = F.lit(False)
-    for x, n in feats.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect():  # one row a class
+    counted = feats if counted is None else counted
+    for x, n in counted.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect():  # one row a class
         mine = F.col(label).eqNullSafe(F.lit(x))
-        last = last_of_sample(feats.where(mine), int(n * p.test_fraction + 0.5), "user_id", p.seed)
+        last = last_of_sample(counted.where(mine), int(n * p.test_fraction + 0.5), "user_id", p.seed)
         if last is not None:
             held = held | (mine & last)
     return feats.where(~held), feats.where(held)

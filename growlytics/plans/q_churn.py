@@ -123,9 +123,8 @@ def _key(ctx) -> str:
 
 
 def _features(ctx, key: str):
-    """K1's rows, written once and read back: the split, the fit and the scores
-    pass over them many times, and each pass would merge the user-day mart
-    anew."""
+    """K1's rows, written once and read back: the split and the scores pass
+    over them many times, and each pass would merge the user-day mart anew."""
     path = f"{ensure_checkpoint_dir(ctx.spark).rstrip('/')}/models/features-{key}"
     marker = f"{path}.complete"
     if not _fs_exists(ctx.spark, marker):
@@ -150,7 +149,8 @@ def _model(ctx):
     elif _fs_exists(ctx.spark, marker):
         model = churn.load(path)
     else:
-        train, _ = churn.split(feats, ctx.p, tight=True)
+        # trained on the rows as the mart has them: a forest's draws follow their order and partitions
+        train, _ = churn.split(churn.features(ctx.wh, ctx.p), ctx.p, tight=True, counted=feats)
         model = churn.fit(train, ctx.p, whole=feats)
         if model is not None:
             churn.save(model, path)
