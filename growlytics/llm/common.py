@@ -114,10 +114,11 @@ def spread(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def appended(df: DataFrame, inputs: list[str], fn, fields: dict[str, str], without: tuple[str, ...] = ()) -> DataFrame:
+def appended(df: DataFrame, inputs: list[str], fn, fields: dict[str, str], without: tuple[str, ...] = (), arrays: tuple[str, ...] = ()) -> DataFrame:
     """``df`` (whose names are distinct) and new columns that ``fn`` makes of
     the input columns of a batch: lists, in the order of ``fields``; the
-    columns in ``without`` do not come back."""
+    columns in ``without`` do not come back.  Inputs in ``arrays`` (lists of
+    numbers, none null) are numpy arrays, without an object per number."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -129,13 +130,20 @@ def appended(df: DataFrame, inputs: list[str], fn, fields: dict[str, str], witho
 
     def run(batches):
         for b in batches:
-            got = fn(*[b.column(i).to_pylist() for i in at])
-            arrays = [pa.array(v, t) for v, t in zip(got, types)]
-            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in back], *arrays], [*[b.schema.names[i] for i in back], *new.names])
+            got = fn(*[_numbers(b.column(i)) if n in arrays else b.column(i).to_pylist() for i, n in zip(at, inputs)])
+            made = [pa.array(v, t) for v, t in zip(got, types)]
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in back], *made], [*[b.schema.names[i] for i in back], *new.names])
 
     return df.mapInArrow(run, StructType([df.schema.fields[i] for i in back] + new.fields))
 
 
+def _numbers(column) -> list:
+    """The lists of a column as numpy arrays; None for a null."""
+    values, bounds = column.values.to_numpy(), column.offsets.to_pylist()
+    there = column.is_valid().to_pylist()
+    return [values[a:z] if ok else None for a, z, ok in zip(bounds, bounds[1:], there)]
+
+
 def shipped(spark: SparkSession, thing):
     """A broadcast of an object's fields (plain data, so that tasks need no
     copy of this package); :func:`revived` makes the object of them."""

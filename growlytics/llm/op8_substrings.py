@@ -28,6 +28,7 @@ rows get the same result; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -40,26 +41,47 @@ by_value(__name__)
 WINDOW, GRAM, SHARD_WORDS = 13, 5, 1 << 19
 
 
+#: The bits below bit i of a 64-bit word.
+_BELOW = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
+
+
+def _suffixes(text: np.ndarray, sigma: int) -> np.ndarray:
+    """The suffix array of codes below ``sigma`` (an end sorts before all
+    codes): suffixes are sorted by as many codes as fit one integer, then
+    those that are still alike by twice as many, until none are."""
+    n, bits = len(text), int(sigma).bit_length()
+    step = min(max(1, 63 // bits), max(1, n))
+    padded = np.concatenate([text.astype(np.int64) + 1, np.zeros(step, np.int64)])
+    key = np.zeros(n, np.int64)
+    for j in range(step):
+        key <<= bits
+        key |= padded[j:j + n]
+    sa, rank, alike = np.argsort(key), np.zeros(n + 1, np.int64), np.arange(n)
+    rank[n] = -1
+    got = sa
+    key = key[got]
+    while True:
+        # a rank is the place of the first of those alike, so others' ranks stay
+        head = np.ones(len(got) + 1, bool)
+        head[1:-1] = key[1:] != key[:-1]
+        rank[got] = np.maximum.accumulate(np.where(head[:-1], alike, 0))
+        alike = alike[~(head[:-1] & head[1:])]
+        if not len(alike):
+            return sa
+        got = sa[alike]
+        key = rank[got] * (n + 1) + rank[np.minimum(got + step, n)] + 1
+        order = np.argsort(key)
+        got, key = got[order], key[order]
+        sa[alike] = got
+        step *= 2
+
+
 class FMIndex:
     """Over a sequence of codes >= 0, where 0 separates (and ends) pieces."""
 
     def __init__(self, text: np.ndarray, sigma: int):
         n = len(text)
-        rank = text.astype(np.int64)
-        sa = np.argsort(rank, kind="stable")
-        step = 1
-        rank = np.unique(rank, return_inverse=True)[1]
-        while True:
-            second = np.zeros(n, np.int64)
-            second[:n - step] = rank[step:] + 1
-            both = rank * (n + 1) + second
-            sa = np.argsort(both, kind="stable")
-            new = np.zeros(n, np.int64)
-            new[sa[1:]] = np.cumsum(both[sa[1:]] != both[sa[:-1]])
-            rank = new
-            if rank.max(initial=0) == n - 1 or step >= n:
-                break
-            step *= 2
+        sa = _suffixes(text, sigma)
         self.sa, self.n, self.sigma, self.text = sa, n, sigma, text
         bwt = text[sa - 1]
         self.c = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))])[:sigma]
@@ -71,16 +93,17 @@ class FMIndex:
             self.bits.append(packed)
             self.ranks.append(np.concatenate([[0], np.cumsum(np.bitwise_count(packed), dtype=np.int32)]).astype(np.int32))
             self.zeros.append(n - int(bit.sum()))
-            bwt = np.concatenate([bwt[bit == 0], bwt[bit == 1]])
+            up = bit.view(bool)
+            bwt = np.concatenate([bwt[~up], bwt[up]])
         self.first = self._map(np.arange(sigma), np.zeros(sigma, np.int64))
 
     def _map(self, code: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Positions followed down the wavelet matrix along the codes' bits."""
         for i in range(self.levels):
             word = at >> 6
-            ones = self.ranks[i][word] + np.bitwise_count(self.bits[i][word] & ((np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)))
-            up = (code >> (self.levels - 1 - i)) & 1
-            at = np.where(up == 1, self.zeros[i] + ones, at - ones)
+            ones = self.ranks[i][word] + np.bitwise_count(self.bits[i][word] & _BELOW[at & 63])
+            up = code & (1 << (self.levels - 1 - i)) != 0
+            at = np.where(up, self.zeros[i] + ones, at - ones)
         return at
 
     def extend(self, code: np.ndarray, lo: np.ndarray, hi: np.ndarray):
@@ -134,15 +157,16 @@ def _runs(t: Tokens, window: int):
     n = len(h) - window + 1
     if n <= 0:
         return (np.zeros(0, np.int64),) * 4
-    best, at = g[:n].copy(), np.arange(n)
-    for j in range(1, window - GRAM + 1):
-        less = g[j:j + n] < best
-        best[less] = g[j:j + n][less]
-        at[less] = np.flatnonzero(less) + j
+    best, width = g, 1
+    while width < window - GRAM + 1:  # least of ever more runs
+        more = min(width, window - GRAM + 1 - width)
+        best = np.minimum(best[:len(best) - more], best[more:])
+        width += more
     of = t.of()
     inside = of[:n] == of[window - 1:]
     head = inside.copy()
-    head[1:] &= ~inside[:-1] | (at[1:] != at[:-1])
+    # the first least run moves on when it is left behind, or undercut
+    head[1:] &= ~inside[:-1] | (g[:n - 1] == best[:-1]) | (best[1:] != best[:-1])
     first = np.flatnonzero(head)
     # a run ends before the next one, or where the text has no more windows
     last_window = t.offsets[of[first] + 1] - window
@@ -215,7 +239,7 @@ def _search(window: int):
     def run(f):
         """The smallest doc_id of each window of a shard's distinct pieces."""
         t = Tokens(f["piece"].tolist())
-        distinct, codes = np.unique(t.hashes(), return_inverse=True)
+        codes, distinct = pd.factorize(t.hashes())
         offsets, sizes, lists = t.offsets, t.sizes(), f["piece"]
         text = np.zeros(len(codes) + len(lists) + 1, np.int64)
         at = np.arange(len(codes)) + np.repeat(np.arange(len(lists)), sizes)
@@ -244,15 +268,15 @@ def _strip(window: int):
     def fn(texts, found):
         n, gone, digest, kept_text = [], [], [], []
         for t, starts in zip(texts, found):
-            w = words(t)
-            cover = np.zeros(len(w) + 1, np.int64)
-            if starts:
-                s = np.unique(np.asarray(starts, np.int64))
-                np.add.at(cover, s, 1)
-                np.add.at(cover, s + window, -1)
-            out = np.cumsum(cover[:-1]) > 0
-            kept = b" ".join([x for x, o in zip(w, out.tolist()) if not o])
-            n.append(len(w)), gone.append(int(out.sum())), digest.append(hashlib.sha256(kept).hexdigest())
+            w = left = words(t)
+            if starts is not None and len(starts):
+                s = np.asarray(starts, np.int64)
+                cover = np.zeros(len(w) + 1, np.int64)
+                cover[s] += 1  # once for equal starts
+                cover[s + window] -= 1
+                left = list(compress(w, (np.cumsum(cover[:-1]) <= 0).tolist()))
+            kept = b" ".join(left)
+            n.append(len(w)), gone.append(len(w) - len(left)), digest.append(hashlib.sha256(kept).hexdigest())
             kept_text.append(kept.decode("utf-8", "replace"))
         return n, gone, digest, kept_text
 
@@ -295,5 +319,5 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
     found = repeats(rows, **options).groupBy("rid").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))  # of one document
     found = staged(found, "repeat-found")
     out = appended(rows.join(found, "rid", "left"), ["text", "starts"], _strip(options.get("window", WINDOW)),
-                   {"n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string", "kept": "string"}, ("text", "rid"))
+                   {"n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string", "kept": "string"}, ("text", "rid"), arrays=("starts",))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256", "kept", "starts")

@@ -229,6 +229,59 @@ def test_fm_index():
     assert sorted(index.sa[lo[7]:hi[7]].tolist()) == [0, 2, 7]  # 1 2
 
 
+def test_suffixes_are_sorted_once(monkeypatch):
+    """Few words are sorted again: only those of suffixes that are alike so far."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, s, n) for s, n in ((2, 1), (2, 70), (3, 200), (900, 500))] + [np.ones(64, np.int64), np.zeros(9, np.int64)]
+    for text in texts:
+        want = sorted(range(len(text)), key=lambda i: text[i:].tolist())
+        assert op8_substrings.FMIndex(text, int(text.max()) + 1).sa.tolist() == want
+    pieces = [rng.integers(1, 3000, 16) for _ in range(300)]
+    text = np.concatenate([np.append(p, 0) for p in [*pieces, *[np.append(p[1:], 7) for p in pieces[:100]]]])
+    real, lengths = np.argsort, []
+    monkeypatch.setattr(np, "argsort", lambda x, *a, **k: lengths.append(len(x)) or real(x, *a, **k))
+    op8_substrings.FMIndex(text, 3000)
+    assert sum(lengths) < 3 * len(text)
+
+
+@pytest.mark.parametrize("window", [5, 6, 13])
+def test_runs_of_one_anchor(window):
+    """A run ends where the first of a window's least 5-word runs is another."""
+    from growlytics.llm.common import Tokens, rolled
+
+    rng = random.Random(window)
+    for letters in ("ab", "abcdefgh"):
+        texts = [" ".join(rng.choices(letters, k=rng.randrange(60))) for _ in range(40)]
+        want = []
+        for i, t in enumerate(texts):
+            g = rolled(Tokens([t]).hashes(), op8_substrings.GRAM).tolist()
+            last = None
+            for k in range(len(t.split()) - window + 1):
+                at = min(range(k, k + window - op8_substrings.GRAM + 1), key=g.__getitem__)
+                if at == last:
+                    want[-1][2] += 1
+                else:
+                    want.append([i, k, 1, g[at]])
+                last = at
+        t = Tokens(texts)
+        of, first, n, anchor = op8_substrings._runs(t, window)
+        assert [list(x) for x in zip(of.tolist(), (first - t.offsets[of]).tolist(), n.tolist(), anchor.view("uint64").tolist())] == want
+
+
+def test_lists_as_arrays(spark):
+    """Lists of numbers reach a function as arrays, nulls as None."""
+    from growlytics.llm.common import appended
+
+    df = spark.createDataFrame([(1, [3, 4]), (2, None), (3, []), (4, [5])], "i long, v array<int>").coalesce(1)
+
+    def fn(lists):
+        return [[None if x is None else int(x.sum()) for x in lists]]
+
+    assert {r.i: r.s for r in appended(df, ["v"], fn, {"s": "bigint"}, ("v",), arrays=("v",)).collect()} == {1: 7, 2: None, 3: 0, 4: 5}
+
+
 PAGE = """<!doctype html><html><head><title>T</title><script>if (a<b) "</p>"</script></head><body><header>Site</header><nav><a>Menu</a></nav>
 <div class="cookie-notice">Accept</div><article><h1>Head &amp; line</h1><p><b>Bold<br>two<p>Next&nbsp;  one</p><div class="share">Share me</div>
 <ul><li>a<li>b</ul><section id="comments"><p>Nice!</p></section><form><p>x</p></form></article><aside>Side</aside><footer>&copy;</footer></body></html>"""
