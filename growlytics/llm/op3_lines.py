@@ -14,9 +14,12 @@ not depend on an order of removals.  Blank lines stay.
    for all others.  What it matches exactly is settled, so a large group of
    near copies does not become all pairs.
 4. All other lines probe an inverted index: the rarest words of each line
-   (prefix filter) are joined with those of all lines, under the length
-   filter, the positional filter and a parity-bitmap bound on the symmetric
-   difference (all exact: they drop no pair above the threshold).
+   (prefix filter; the shorter line of a pair needs fewer of them) meet those
+   of all lines, under the length filter, the positional filter and a
+   parity-bitmap bound on the symmetric difference (all exact: they drop no
+   pair above the threshold).  Postings are dealt by word into buckets of
+   bounded mean size, packed, and compared there; a word with more than
+   ``HOT`` of them is left to Spark's join.
 5. Candidates are verified on the words themselves, the earliest of each line
    first: one match settles it.
 
@@ -37,6 +40,12 @@ by_value(__name__)
 NUM, DEN, MINHASHES = 4, 5, 3
 BUCKETS, SHARE, CROWD, SOME = 1 << 22, 1e-6, 16, 8
 ROW = "key long, n int, bm1 long, bm2 long, m0 long, m1 long, m2 long, nul boolean, doc_id long, rid long, line int, prefix array<int>"
+#: The postings of about so many lines make a bucket; a task packs so many postings at a time, and compares so many pairs
+#: at a time; a word with more postings than ``HOT`` is left to Spark's join, which splits it.
+LINES, PACK, BLOCK, HOT = 1 << 13, 1 << 20, 1 << 18, 1 << 14
+POSTING = {"tok": np.uint32, "n": np.int32, "pos": np.int32, "key": np.int64, "bm1": np.uint64, "bm2": np.uint64}
+PACKED = "bucket int, tok binary, n binary, pos binary, key binary, bm1 binary, bm2 binary"
+SHARED = "key long, key_0 long, tok int, n int, pos int, bm1 long, bm2 long"
 _TOP = np.uint64(42)  # the 22 highest bits choose the bucket
 
 
@@ -134,7 +143,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, num: int, den: int, what: str)
     One earlier match settles a line, so each line looks at its earliest
     candidate first, then, if that was none, at the next ``SOME``, and only
     what is still open at all others: the pairs that are verified stay in
-    proportion to the lines, not to the squares of groups."""
+    proportion to the lines, not to the squares of groups.  The texts are read
+    once, for the words of all lines in ``pairs``."""
+    sets = _words(docs, pairs, what)
     found, left = None, pairs
     for k in (1, SOME, None):
         if k is None:
@@ -142,7 +153,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, num: int, den: int, what: str)
         else:
             turn = F.row_number().over(Window.partitionBy("key").orderBy("d_0", "rid_0", "line_0"))
             now = staged(left.withColumn("turn", turn).where(F.col("turn") <= k).drop("turn"), what + "-now")
-        hit = _matching(docs, now, num, den, what)
+        hit = _matching(sets, now, num, den, what)
         found = hit if found is None else found.union(hit)
         if k is not None:
             left = staged(left.join(small(hit), "key", "left_anti").join(now.select("key", "rid_0", "line_0"), ["key", "rid_0", "line_0"], "left_anti"), what + "-left")
@@ -151,22 +162,117 @@ def _verified(docs: DataFrame, pairs: DataFrame, num: int, den: int, what: str)
     return found
 
 
-def _matching(docs: DataFrame, pairs: DataFrame, num: int, den: int, what: str) -> DataFrame:
-    wanted = pairs.select("rid", "line").union(pairs.select("rid_0", "line_0")).distinct()
-    wanted = staged(wanted.groupBy("rid").agg(F.collect_set("line").alias("lines")), what + "-wanted")
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select("rid", "line").union(pairs.select("rid_0", "line_0")).distinct()
+
+
+def _words(docs: DataFrame, pairs: DataFrame, what: str) -> DataFrame:
+    """(rid, line, w) of the lines in ``pairs``: w has each word once."""
+    wanted = staged(_ends(pairs).groupBy("rid").agg(F.collect_set("line").alias("lines")), what + "-wanted")
     # the lines of a text are split once and only the wanted ones go on
     chosen = F.flatten(F.transform(F.array(F.split("text", "\n")), lambda x: F.transform("lines", lambda i: F.struct(i.alias("line"), F.get(x, i).alias("x")))))
     sets = docs.join(small(wanted), "rid").select("rid", F.inline(chosen))
     # repeated rows of a document have the same lines
     sets = sets.groupBy("rid", "line").agg(F.first("x").alias("x"))
     toks = F.array_distinct(F.filter(F.split("x", r"[\x20\x09-\x0D]+"), lambda x: x != ""))
-    sets = staged(sets.select("rid", "line", toks.alias("w")), what + "-words")
+    return staged(sets.select("rid", "line", toks.alias("w")), what + "-words")
+
+
+def _matching(sets: DataFrame, pairs: DataFrame, num: int, den: int, what: str) -> DataFrame:
+    sets = sets.join(small(staged(_ends(pairs), what + "-ends")), ["rid", "line"], "left_semi")
     both = pairs.join(sets, ["rid", "line"]).join(sets.select(F.col("rid").alias("rid_0"), F.col("line").alias("line_0"), F.col("w").alias("w_0")), ["rid_0", "line_0"])
     i = F.size(F.array_intersect("w", "w_0"))
     return staged(both.where(i * (num + den) >= num * (F.size("w") + F.size("w_0"))).select("key").distinct(), what)
 
 
-def kept_lines(docs: DataFrame, num: int = NUM, den: int = DEN, crowd: int = CROWD) -> DataFrame:
+def _packed(buckets: int):
+    """The postings (word, line, place of the word in the line's order) of a
+    run of lines, dealt by word: one row per bucket, its columns as bytes."""
+    def row(held):
+        import pyarrow as pa
+
+        held = {c: np.concatenate([x[c] for x in held]).astype(t, copy=False) for c, t in POSTING.items()}
+        bucket = held["tok"] % np.uint32(buckets)
+        order = np.argsort(bucket, kind="stable")
+        there, heads = np.unique(bucket[order], return_index=True)
+        ends = np.append(heads, len(order))[1:]
+        out = [pa.array(there.astype(np.int32))]
+        for c in POSTING:
+            x = held[c][order]
+            out.append(pa.array([x[a:z].tobytes() for a, z in zip(heads.tolist(), ends.tolist())], pa.binary()))
+        return pa.RecordBatch.from_arrays(out, ["bucket", *POSTING])
+
+    def run(batches):
+        held, size = [], 0
+        for b in batches:
+            many = b.column("prefix").value_lengths().to_numpy().astype(np.int64)
+            tok = b.column("prefix").flatten().to_numpy()
+            x = {c: np.repeat(b.column(c).to_numpy(), many) for c in ("n", "key", "bm1", "bm2")}
+            held.append(x | {"tok": tok.view(np.uint32), "pos": np.arange(len(tok)) - np.repeat(np.cumsum(many) - many, many)})
+            size += len(tok)
+            if size >= PACK:
+                yield row(held)
+                held, size = [], 0
+        if size:
+            yield row(held)
+
+    return run
+
+
+def _shared(num: int, den: int, hot: int):
+    """Pairs of lines that share a word of a bucket and may be similar; the
+    postings of a word with more than ``hot`` of them come back as they are.
+
+    Of two lines the shorter one has a common word in its index prefix, the
+    longer one in its whole prefix.  So, by word and length, each posting of
+    an index prefix meets those that follow it, as far as the length filter
+    reaches; a settled line meets open ones only."""
+    def run(table):
+        import pyarrow as pa
+
+        p = {c: np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in POSTING.items()}
+        at = p["tok"].astype(np.uint64) << np.uint64(32) | np.abs(p["n"]).astype(np.uint64)
+        order = np.argsort(at)
+        at, p = at[order], {c: x[order] for c, x in p.items()}
+        n, key, bm1, bm2, unsettled = np.abs(p["n"]).astype(np.int64), p["key"], p["bm1"], p["bm2"], p["n"] > 0
+        rest = n - p["pos"]
+        heads = np.flatnonzero(np.r_[True, p["tok"][1:] != p["tok"][:-1]])
+        many = np.diff(np.append(heads, len(at)))
+        large = np.repeat(many > hot, many)
+        reach = np.searchsorted(at, (at >> np.uint64(32) << np.uint64(32)) + (n * den // num).astype(np.uint64), side="right")
+        index = (p["pos"] < _prefix(n, 2 * num, num + den)) & ~large
+        opens = np.flatnonzero(unsettled)
+        a, b = np.flatnonzero(index & unsettled), np.flatnonzero(index & ~unsettled)
+        found = []
+        for i, lo, hi, ranks in ((a, a + 1, reach[a], None), (b, np.searchsorted(opens, b), np.searchsorted(opens, reach[b]), opens)):
+            sums = np.concatenate([[0], np.cumsum(hi - lo)])
+            cuts = np.unique(np.append(np.searchsorted(sums, np.arange(0, sums[-1], BLOCK)), len(i)))
+            for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                k = np.repeat(i[s:e], hi[s:e] - lo[s:e])
+                j = np.repeat(lo[s:e] - sums[s:e], hi[s:e] - lo[s:e]) + np.arange(sums[s], sums[e])
+                j = j if ranks is None else ranks[j]
+                both = n[k] + n[j]
+                ok = np.minimum(rest[k], rest[j]) * (num + den) >= both * num
+                k, j, both = k[ok], j[ok], both[ok]
+                apart = np.bitwise_count(bm1[k] ^ bm1[j]).astype(np.int64) + np.bitwise_count(bm2[k] ^ bm2[j])
+                ok = (both * (den - num) >= apart * (num + den)) & (key[k] != key[j])
+                found.append((key[k[ok]], key[j[ok]]))
+        x, y = (np.concatenate([f[c] for f in found] or [key[:0]]) for c in (0, 1))
+        pairs = {"key": np.maximum(x, y), "key_0": np.minimum(x, y)}
+        lists = {c: v[large].view(np.dtype(v.dtype.str.replace("u", "i"))) for c, v in p.items()}
+        names = ["key", "key_0", "tok", "n", "pos", "bm1", "bm2"]
+        types = dict(zip(names, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())))
+
+        def filled(have):
+            size = len(have["key"])
+            return pa.table([pa.array(have[c], types[c]) if c in have else pa.nulls(size, types[c]) for c in names], names)
+
+        return pa.concat_tables([filled(pairs), filled(lists)])
+
+    return run
+
+
+def kept_lines(docs: DataFrame, num: int = NUM, den: int = DEN, crowd: int = CROWD, hot: int = HOT) -> DataFrame:
     """(rid, line) of the lines with words that stay; docs: doc_id, rid, text."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(frequency_classes(docs.select("text")))  # BUCKETS bytes
@@ -196,18 +302,21 @@ def kept_lines(docs: DataFrame, num: int = NUM, den: int = DEN, crowd: int = CRO
     tried = tried.select("p.key", "p.rid", "p.line", F.col("i.d").alias("d_0"), F.col("i.rid").alias("rid_0"), F.col("i.line").alias("line_0")).distinct()
     settled = _verified(docs, staged(tried, "lines-tried"), num, den, "lines-settled")
 
-    # all others probe the prefix index; both sides are one table, shuffled
-    # once: a settled line has its length negated, two such are not compared.
-    # Each pair is found from its smaller key; which line is the earlier one
-    # is seen when the few that pass are placed
+    # all others probe the prefix index; a settled line has its length negated,
+    # two such are not compared.  Each pair has its smaller key as key_0; which
+    # line is the earlier one is seen when the few that pass are placed
     gone = small(settled.withColumn("gone", F.lit(True)))
     listed = firsts.join(gone, "key", "left").withColumn("n", F.when(F.col("gone"), -F.col("n")).otherwise(F.col("n")))
-    listed = listed.select("key", "n", "bm1", "bm2", F.posexplode("prefix").alias("pos", "tok"))
-    of_p, of_i = F.abs("p.n"), F.abs("i.n")
-    left = F.least(of_p - F.col("p.pos"), of_i - F.col("i.pos"))
-    found = listed.alias("p").join(listed.alias("i"), (F.col("p.tok") == F.col("i.tok")) & (F.col("i.key") < F.col("p.key")) & ((F.col("p.n") > 0) | (F.col("i.n") > 0))
-                                   & (left * (num + den) >= (of_p + of_i) * num) & similar("p", "i"))
-    found = staged(found.select(F.col("p.key").alias("key"), F.col("i.key").alias("key_0")).distinct(), "lines-candidates")
+    packed = listed.select("key", "n", "bm1", "bm2", "prefix").mapInArrow(_packed(1 + firsts.count() // LINES), PACKED)
+    found = staged(packed.groupBy("bucket").applyInArrow(_shared(num, den, hot), SHARED), "lines-shared")
+    pairs, lists = found.where("key_0 is not null").select("key", "key_0"), found.where("key_0 is null").drop("key_0")
+    if not lists.isEmpty():
+        of_p, of_i = F.abs("p.n"), F.abs("i.n")
+        left = F.least(of_p - F.col("p.pos"), of_i - F.col("i.pos"))
+        more = lists.alias("p").join(lists.alias("i"), (F.col("p.tok") == F.col("i.tok")) & (F.col("i.key") < F.col("p.key")) & ((F.col("p.n") > 0) | (F.col("i.n") > 0))
+                                     & (left * (num + den) >= (of_p + of_i) * num) & similar("p", "i"))
+        pairs = pairs.union(more.select(F.col("p.key"), F.col("i.key")))
+    found = staged(pairs.distinct(), "lines-candidates")
     place = firsts.select("key", F.struct("d", "rid", "line", "key").alias("at"))
     found = found.join(place, "key").join(place.select(F.col("key").alias("key_0"), F.col("at").alias("at_0")), "key_0")
     found = found.select(F.greatest("at", "at_0").alias("p"), F.least("at", "at_0").alias("i"))
