@@ -18,10 +18,14 @@ not depend on an order of removals.  Blank lines stay.
    of all lines, under the length filter, the positional filter and a
    parity-bitmap bound on the symmetric difference (all exact: they drop no
    pair above the threshold).  Postings are dealt by word into buckets of
-   bounded mean size, packed, and compared there; a word with more than
-   ``HOT`` of them is left to Spark's join.
+   bounded mean size, packed, and compared there.  One earlier match settles
+   a line, so a bucket gives the ``FEW`` earliest candidates of each line.
 5. Candidates are verified on the words themselves, the earliest of each line
-   first: one match settles it.
+   first.
+6. A line that none of them settles is searched for by its words in buckets
+   that had more for it and by its words with more than ``HOT`` postings: a
+   semi join of these postings with all postings of the same words, on the
+   words of the lines.  No step keeps more rows than a fixed number per posting.
 
 Defined cases: null text stays null; empty and blank texts have no lines to
 remove; repeated rows are one document and get the same result; equal lines
@@ -41,11 +45,12 @@ NUM, DEN, MINHASHES = 4, 5, 3
 BUCKETS, SHARE, CROWD, SOME = 1 << 22, 1e-6, 16, 8
 ROW = "key long, n int, bm1 long, bm2 long, m0 long, m1 long, m2 long, nul boolean, doc_id long, rid long, line int, prefix array<int>"
 #: The postings of about so many lines make a bucket; a task packs so many postings at a time, and compares so many pairs
-#: at a time; a word with more postings than ``HOT`` is left to Spark's join, which splits it.
-LINES, PACK, BLOCK, HOT = 1 << 13, 1 << 20, 1 << 18, 1 << 14
+#: at a time; a word with more postings than ``HOT`` is left to Spark's join, which splits it; a bucket gives a line so ``FEW``
+#: candidates.
+LINES, PACK, BLOCK, HOT, FEW = 1 << 13, 1 << 20, 1 << 18, 1 << 14, 4
 POSTING = {"tok": np.uint32, "n": np.int32, "pos": np.int32, "key": np.int64, "bm1": np.uint64, "bm2": np.uint64}
 PACKED = "bucket int, tok binary, n binary, pos binary, key binary, bm1 binary, bm2 binary"
-SHARED = "key long, key_0 long, tok int, n int, pos int, bm1 long, bm2 long"
+SHARED = "key long, key_0 long, tok int"
 _TOP = np.uint64(42)  # the 22 highest bits choose the bucket
 
 
@@ -137,7 +142,7 @@ def _lines(shared, num: int, den: int):
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, num: int, den: int, what: str) -> DataFrame:
-    """The keys of ``pairs`` (key, rid, line and the earlier d_0, rid_0,
+    """The keys of ``pairs`` (key, rid, line and the earlier key_0, rid_0,
     line_0) whose similarity is really at least num/den.
 
     One earlier match settles a line, so each line looks at its earliest
@@ -145,18 +150,18 @@ def _verified(docs: DataFrame, pairs: DataFrame, num: int, den: int, what: str)
     what is still open at all others: the pairs that are verified stay in
     proportion to the lines, not to the squares of groups.  The texts are read
     once, for the words of all lines in ``pairs``."""
-    sets = _words(docs, pairs, what)
+    sets = _words(docs, _ends(pairs), what)
     found, left = None, pairs
     for k in (1, SOME, None):
         if k is None:
             now = left
         else:
-            turn = F.row_number().over(Window.partitionBy("key").orderBy("d_0", "rid_0", "line_0"))
+            turn = F.row_number().over(Window.partitionBy("key").orderBy("key_0"))
             now = staged(left.withColumn("turn", turn).where(F.col("turn") <= k).drop("turn"), what + "-now")
         hit = _matching(sets, now, num, den, what)
         found = hit if found is None else found.union(hit)
         if k is not None:
-            left = staged(left.join(small(hit), "key", "left_anti").join(now.select("key", "rid_0", "line_0"), ["key", "rid_0", "line_0"], "left_anti"), what + "-left")
+            left = staged(left.join(small(hit), "key", "left_anti").join(now.select("key", "key_0"), ["key", "key_0"], "left_anti"), what + "-left")
             if left.isEmpty():
                 break
     return found
@@ -166,9 +171,9 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select("rid", "line").union(pairs.select("rid_0", "line_0")).distinct()
 
 
-def _words(docs: DataFrame, pairs: DataFrame, what: str) -> DataFrame:
-    """(rid, line, w) of the lines in ``pairs``: w has each word once."""
-    wanted = staged(_ends(pairs).groupBy("rid").agg(F.collect_set("line").alias("lines")), what + "-wanted")
+def _words(docs: DataFrame, ends: DataFrame, what: str) -> DataFrame:
+    """(rid, line, w) of the lines ``ends`` (rid, line): w has each word once."""
+    wanted = staged(ends.groupBy("rid").agg(F.collect_set("line").alias("lines")), what + "-wanted")
     # the lines of a text are split once and only the wanted ones go on
     chosen = F.flatten(F.transform(F.array(F.split("text", "\n")), lambda x: F.transform("lines", lambda i: F.struct(i.alias("line"), F.get(x, i).alias("x")))))
     sets = docs.join(small(wanted), "rid").select("rid", F.inline(chosen))
@@ -181,8 +186,35 @@ def _words(docs: DataFrame, pairs: DataFrame, what: str) -> DataFrame:
 def _matching(sets: DataFrame, pairs: DataFrame, num: int, den: int, what: str) -> DataFrame:
     sets = sets.join(small(staged(_ends(pairs), what + "-ends")), ["rid", "line"], "left_semi")
     both = pairs.join(sets, ["rid", "line"]).join(sets.select(F.col("rid").alias("rid_0"), F.col("line").alias("line_0"), F.col("w").alias("w_0")), ["rid_0", "line_0"])
-    i = F.size(F.array_intersect("w", "w_0"))
-    return staged(both.where(i * (num + den) >= num * (F.size("w") + F.size("w_0"))).select("key").distinct(), what)
+    return staged(both.where(_alike("w", "w_0", num, den)).select("key").distinct(), what)
+
+
+def _alike(w: str, w_0: str, num: int, den: int):
+    return F.size(F.array_intersect(w, w_0)) * (num + den) >= num * (F.size(w) + F.size(w_0))
+
+
+def _similar(a: str, b: str, num: int, den: int):
+    """Length filter, and the symmetric difference (at least the bits in
+    which the bitmaps differ) at most (den - num) / (den + num) of both
+    lengths together."""
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    apart = sum((F.bit_count(F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}"))) for m in ("bm1", "bm2")), F.lit(0))
+    return (F.greatest(na, nb) * num <= F.least(na, nb) * den) & ((na + nb) * (den - num) >= apart * (num + den))
+
+
+def _searched(docs: DataFrame, firsts: DataFrame, still: DataFrame, num: int, den: int, what: str) -> DataFrame:
+    """The keys of ``still`` (key, tok) that share this first word with an
+    earlier line and whose similarity is at least num/den: a semi join, which
+    looks for one match and keeps no pairs."""
+    posts = firsts.select("key", "n", "bm1", "bm2", "rid", "line", F.posexplode("prefix").alias("pos", "tok"))
+    probes = staged(posts.join(small(still), ["key", "tok"], "left_semi"), what + "-probes")
+    lists = staged(posts.join(small(staged(probes.select("tok").distinct(), what + "-toks")), "tok", "left_semi"), what + "-lists")
+    sets = _words(docs, lists.select("rid", "line").distinct(), what)
+    p, i = (x.join(sets, ["rid", "line"]).drop("rid", "line") for x in (probes, lists))
+    left = F.least(F.col("p.n") - F.col("p.pos"), F.col("i.n") - F.col("i.pos"))
+    meets = (F.col("p.tok") == F.col("i.tok")) & (F.col("i.key") < F.col("p.key")) & (left * (num + den) >= (F.col("p.n") + F.col("i.n")) * num)
+    hit = p.alias("p").join(i.alias("i"), meets & _similar("p", "i", num, den) & _alike("p.w", "i.w", num, den), "left_semi")
+    return staged(hit.select("key").distinct(), what)
 
 
 def _packed(buckets: int):
@@ -219,9 +251,24 @@ def _packed(buckets: int):
     return run
 
 
-def _shared(num: int, den: int, hot: int):
-    """Pairs of lines that share a word of a bucket and may be similar; the
-    postings of a word with more than ``hot`` of them come back as they are.
+def _earliest(x: np.ndarray, y: np.ndarray, few: int):
+    """Pairs without repeats, of each x those with its ``few`` smallest y; and
+    where x was in more pairs."""
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    new = np.ones(len(x), bool)
+    new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    x, y = x[new], y[new]
+    _, heads, many = np.unique(x, return_index=True, return_counts=True)
+    first = np.arange(len(x)) - np.repeat(heads, many) < few
+    return x[first], y[first], np.repeat(many > few, many)[first]
+
+
+def _shared(num: int, den: int, hot: int, few: int | None = None):
+    """Pairs of lines that share a word of a bucket and may be similar: of
+    each open line (key) the ``few`` earliest before it (key_0); None: all
+    pairs.  The postings (key, tok) of open lines with more pairs come too, and
+    those of words with more than ``hot`` postings, which are not compared.
 
     Of two lines the shorter one has a common word in its index prefix, the
     longer one in its whole prefix.  So, by word and length, each posting of
@@ -243,7 +290,8 @@ def _shared(num: int, den: int, hot: int):
         index = (p["pos"] < _prefix(n, 2 * num, num + den)) & ~large
         opens = np.flatnonzero(unsettled)
         a, b = np.flatnonzero(index & unsettled), np.flatnonzero(index & ~unsettled)
-        found = []
+        x, y = key[:0], key[:0]
+        found, held = [], 0
         for i, lo, hi, ranks in ((a, a + 1, reach[a], None), (b, np.searchsorted(opens, b), np.searchsorted(opens, reach[b]), opens)):
             sums = np.concatenate([[0], np.cumsum(hi - lo)])
             cuts = np.unique(np.append(np.searchsorted(sums, np.arange(0, sums[-1], BLOCK)), len(i)))
@@ -256,73 +304,66 @@ def _shared(num: int, den: int, hot: int):
                 k, j, both = k[ok], j[ok], both[ok]
                 apart = np.bitwise_count(bm1[k] ^ bm1[j]).astype(np.int64) + np.bitwise_count(bm2[k] ^ bm2[j])
                 ok = (both * (den - num) >= apart * (num + den)) & (key[k] != key[j])
-                found.append((key[k[ok]], key[j[ok]]))
-        x, y = (np.concatenate([f[c] for f in found] or [key[:0]]) for c in (0, 1))
-        pairs = {"key": np.maximum(x, y), "key_0": np.minimum(x, y)}
-        lists = {c: v[large].view(np.dtype(v.dtype.str.replace("u", "i"))) for c, v in p.items()}
-        names = ["key", "key_0", "tok", "n", "pos", "bm1", "bm2"]
-        types = dict(zip(names, (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())))
-
-        def filled(have):
-            size = len(have["key"])
-            return pa.table([pa.array(have[c], types[c]) if c in have else pa.nulls(size, types[c]) for c in names], names)
-
-        return pa.concat_tables([filled(pairs), filled(lists)])
+                if few is not None:  # the later line is open
+                    ok &= np.where(key[k] > key[j], unsettled[k], unsettled[j])
+                k, j = key[k[ok]], key[j[ok]]
+                found.append((np.maximum(k, j), np.minimum(k, j)))
+                held += len(k)
+                if few is not None and held >= BLOCK:  # one more than few tells that there are more
+                    x, y, _ = _earliest(*map(np.concatenate, zip((x, y), *found)), few + 1)
+                    found, held = [], 0
+        x, y = map(np.concatenate, zip((x, y), *found))
+        left = large & unsettled
+        if few is not None:
+            x, y, more = _earliest(x, y, few)
+            left |= unsettled & np.isin(key, x[more])
+        toks = p["tok"][left].view(np.int32)
+        return pa.table([pa.array(np.concatenate([x, key[left]])), pa.concat_arrays([pa.array(y), pa.nulls(len(toks), pa.int64())]),
+                         pa.concat_arrays([pa.nulls(len(x), pa.int32()), pa.array(toks)])], ["key", "key_0", "tok"])
 
     return run
 
 
-def kept_lines(docs: DataFrame, num: int = NUM, den: int = DEN, crowd: int = CROWD, hot: int = HOT) -> DataFrame:
+def kept_lines(docs: DataFrame, num: int = NUM, den: int = DEN, crowd: int = CROWD, hot: int = HOT, few: int = FEW) -> DataFrame:
     """(rid, line) of the lines with words that stay; docs: doc_id, rid, text."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(frequency_classes(docs.select("text")))  # BUCKETS bytes
     lines = docs.select("doc_id", "rid", "text").mapInArrow(_lines(shared, num, den), ROW)
     sets, rest = ["key", "n", "bm1", "bm2"], ["nul", "doc_id", "rid", "line", "m0", "m1", "m2", "prefix"]
-    firsts = lines.groupBy(*sets).agg(F.min(F.struct(*rest)).alias("s")).select(*sets, *[f"s.{c}" for c in rest])
-    # place in the corpus: by doc_id, nulls last, then by row and line
-    firsts = staged(firsts.withColumn("d", F.coalesce("doc_id", F.lit(2**63 - 1))).drop("nul", "doc_id"), "lines-first")
-    here = ["n", "bm1", "bm2", "d", "rid", "line"]
-
-    def similar(a: str, b: str):
-        """Length filter, and the symmetric difference (at least the bits in
-        which the bitmaps differ) at most (den - num) / (den + num) of both
-        lengths together."""
-        na, nb = F.abs(f"{a}.n"), F.abs(f"{b}.n")
-        apart = sum((F.bit_count(F.col(f"{a}.{m}").bitwiseXOR(F.col(f"{b}.{m}"))) for m in ("bm1", "bm2")), F.lit(0))
-        return (F.greatest(na, nb) * num <= F.least(na, nb) * den) & ((na + nb) * (den - num) >= apart * (num + den))
+    firsts = lines.groupBy(*sets).agg(F.min(F.struct(*rest)).alias("s")).select("n", "bm1", "bm2", *[f"s.{c}" for c in rest])
+    # place in the corpus: by doc_id, nulls last, then by row and line; from here on a line's key grows with it
+    firsts = firsts.withColumn("d", F.coalesce("doc_id", F.lit(2**63 - 1))).drop("nul", "doc_id").orderBy("d", "rid", "line")
+    firsts = staged(firsts.withColumn("key", F.monotonically_increasing_id()).drop("d"), "lines-first")
+    here = ["n", "bm1", "bm2", "rid", "line"]
 
     # in a crowd that shares a min-hash, the first line is tried for all others
     bands = firsts.select("key", *here, F.posexplode(F.array("m0", "m1", "m2")).alias("slot", "m"))
-    crowds = bands.groupBy("slot", "m").agg(F.min_by("key", "d").alias("head"), F.count("*").alias("size")).where(F.col("size") > crowd)
+    crowds = bands.groupBy("slot", "m").agg(F.min("key").alias("head"), F.count("*").alias("size")).where(F.col("size") > crowd)
     crowds = staged(crowds.select("slot", "m", "head"), "lines-crowds")
     heads = firsts.select(F.col("key").alias("head"), F.struct("key", *here).alias("i")).join(small(staged(crowds.select("head").distinct(), "lines-heads")), "head")
     crowds = staged(crowds.join(heads, "head").select("slot", "m", "i"), "lines-tries")
     tried = bands.alias("p").join(small(crowds), ["slot", "m"])
-    tried = tried.where((F.col("p.key") != F.col("i.key")) & (F.struct("i.d", "i.rid", "i.line") < F.struct("p.d", "p.rid", "p.line")) & similar("p", "i"))
-    tried = tried.select("p.key", "p.rid", "p.line", F.col("i.d").alias("d_0"), F.col("i.rid").alias("rid_0"), F.col("i.line").alias("line_0")).distinct()
+    tried = tried.where((F.col("i.key") < F.col("p.key")) & _similar("p", "i", num, den))
+    tried = tried.select("p.key", "p.rid", "p.line", F.col("i.key").alias("key_0"), F.col("i.rid").alias("rid_0"), F.col("i.line").alias("line_0")).distinct()
     settled = _verified(docs, staged(tried, "lines-tried"), num, den, "lines-settled")
 
     # all others probe the prefix index; a settled line has its length negated,
-    # two such are not compared.  Each pair has its smaller key as key_0; which
-    # line is the earlier one is seen when the few that pass are placed
+    # it is only met as the earlier one
     gone = small(settled.withColumn("gone", F.lit(True)))
     listed = firsts.join(gone, "key", "left").withColumn("n", F.when(F.col("gone"), -F.col("n")).otherwise(F.col("n")))
     packed = listed.select("key", "n", "bm1", "bm2", "prefix").mapInArrow(_packed(1 + firsts.count() // LINES), PACKED)
-    found = staged(packed.groupBy("bucket").applyInArrow(_shared(num, den, hot), SHARED), "lines-shared")
-    pairs, lists = found.where("key_0 is not null").select("key", "key_0"), found.where("key_0 is null").drop("key_0")
-    if not lists.isEmpty():
-        of_p, of_i = F.abs("p.n"), F.abs("i.n")
-        left = F.least(of_p - F.col("p.pos"), of_i - F.col("i.pos"))
-        more = lists.alias("p").join(lists.alias("i"), (F.col("p.tok") == F.col("i.tok")) & (F.col("i.key") < F.col("p.key")) & ((F.col("p.n") > 0) | (F.col("i.n") > 0))
-                                     & (left * (num + den) >= (of_p + of_i) * num) & similar("p", "i"))
-        pairs = pairs.union(more.select(F.col("p.key"), F.col("i.key")))
-    found = staged(pairs.distinct(), "lines-candidates")
-    place = firsts.select("key", F.struct("d", "rid", "line", "key").alias("at"))
-    found = found.join(place, "key").join(place.select(F.col("key").alias("key_0"), F.col("at").alias("at_0")), "key_0")
-    found = found.select(F.greatest("at", "at_0").alias("p"), F.least("at", "at_0").alias("i"))
-    found = staged(found.select("p.key", "p.rid", "p.line", F.col("i.d").alias("d_0"), F.col("i.rid").alias("rid_0"), F.col("i.line").alias("line_0")), "lines-pairs")
-    also = _verified(docs, found, num, den, "lines-also")
-    return firsts.join(small(staged(settled.union(also), "lines-gone")), "key", "left_anti").select("rid", "line")
+    found = staged(packed.groupBy("bucket").applyInArrow(_shared(num, den, hot, few), SHARED), "lines-shared")
+    pairs = staged(found.where("key_0 is not null").select("key", "key_0").distinct(), "lines-candidates")
+    ends = staged(pairs.select("key").union(pairs.select("key_0")).distinct(), "lines-ends")
+    place = staged(firsts.select("key", "rid", "line").join(small(ends), "key"), "lines-places")
+    pairs = pairs.join(place, "key").join(place.select(*[F.col(c).alias(f"{c}_0") for c in ("key", "rid", "line")]), "key_0")
+    also = _verified(docs, staged(pairs, "lines-pairs"), num, den, "lines-also")
+    done = staged(settled.union(also), "lines-done")
+
+    still = staged(found.where("key_0 is null").select("key", "tok").join(small(done), "key", "left_anti"), "lines-still")
+    if not still.isEmpty():
+        done = staged(done.union(_searched(docs, firsts, still, num, den, "lines-searched")), "lines-gone")
+    return firsts.join(small(done), "key", "left_anti").select("rid", "line")
 
 
 def _strip(texts, kept):
