@@ -206,9 +206,9 @@ def _searched(docs: DataFrame, firsts: DataFrame, still: DataFrame, num: int, de
     """The keys of ``still`` (key, tok) that share this first word with an
     earlier line and whose similarity is at least num/den: a semi join, which
     looks for one match and keeps no pairs."""
-    posts = firsts.select("key", "n", "bm1", "bm2", "rid", "line", F.posexplode("prefix").alias("pos", "tok"))
-    probes = staged(posts.join(small(still), ["key", "tok"], "left_semi"), what + "-probes")
-    lists = staged(posts.join(small(staged(probes.select("tok").distinct(), what + "-toks")), "tok", "left_semi"), what + "-lists")
+    post = ["key", "n", "bm1", "bm2", "rid", "line", F.posexplode("prefix").alias("pos", "tok")]
+    probes = staged(firsts.join(small(still), "key", "left_semi").select(*post).join(small(still), ["key", "tok"], "left_semi"), what + "-probes")
+    lists = staged(firsts.select(*post).join(small(staged(probes.select("tok").distinct(), what + "-toks")), "tok", "left_semi"), what + "-lists")
     sets = _words(docs, lists.select("rid", "line").distinct(), what)
     p, i = (x.join(sets, ["rid", "line"]).drop("rid", "line") for x in (probes, lists))
     left = F.least(F.col("p.n") - F.col("p.pos"), F.col("i.n") - F.col("i.pos"))
